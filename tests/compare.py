@@ -11,6 +11,7 @@ import math
 import sys
 import time
 import traceback
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import duckdb
@@ -64,7 +65,8 @@ def check(spark, con, name: str, folder: str) -> str | None:
     scols, srows = norm(df.columns, [tuple(r) for r in df.collect()])
     if name not in ORACLE:
         return None if srows else "no rows"
-    cur = con.execute(ORACLE[name])
+    cur = con.cursor()
+    cur.execute(ORACLE[name])
     ocols, orows = norm([d[0] for d in cur.description], cur.fetchall())
     if scols != ocols:
         return f"columns {scols} != {ocols}"
@@ -88,20 +90,24 @@ def main(argv: list[str]) -> int:
         del argv[i : i + 2]
     folder = f"/root/testdata/sf{sf}"
     spark, con = local_session(), connect(folder)
+    argv = [a for a in argv if not a.startswith("-")]
     names = [n for n in QUERIES if not argv or any(n.startswith(p) for p in argv)]
-    failed = 0
-    for n in names:
+    def one(n: str):
         t0 = time.time()
         try:
             problem = check(spark, con, n, folder)
         except Exception as e:  # noqa: BLE001
-            problem = f"{type(e).__name__}: {str(e)[:700]}"
+            problem = f"{type(e).__name__}: {str(e)[:900]}"
             if "--trace" in sys.argv:
                 traceback.print_exc()
-        took = time.time() - t0
-        if problem:
-            failed += 1
-        print(f"{'FAIL' if problem else 'ok  '} {n} {took:.1f}s {problem or ''}{'' if n in ORACLE else ' (no oracle)'}", flush=True)
+        return n, problem, time.time() - t0
+
+    failed = 0
+    with ThreadPoolExecutor(4) as pool:
+        for n, problem, took in pool.map(one, names):
+            failed += bool(problem)
+            if problem or "-v" in sys.argv:
+                print(f"{'FAIL' if problem else 'ok  '} {n} {took:.1f}s {problem or ''}{'' if n in ORACLE else ' (no oracle)'}", flush=True)
     print(f"{len(names) - failed} of {len(names)} ok")
     return failed
 

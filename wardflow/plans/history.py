@@ -139,3 +139,33 @@ def build_history(
         .transform(close_stays, as_of)
         .transform(add_measures)
     )
+
+
+# The same two rules as joins; the windows above need no second copy of the rows.
+
+
+def keep_discharges_by_semi_join(df: DataFrame) -> DataFrame:
+    programs = df.filter(_is_program()).select(
+        "casefile_id", "program_level", F.col("start_date").alias("_begun")
+    )
+    ended = df.filter(_is_discharge())
+    found = ended.join(
+        programs,
+        (ended["casefile_id"] == programs["casefile_id"])
+        & (ended["program_level"] == programs["program_level"])
+        & (programs["_begun"] < ended["start_date"]),
+        "left_semi",
+    )
+    return df.filter(_is_program()).unionByName(found)
+
+
+def drop_interim_by_anti_join(df: DataFrame, hours: int = 24) -> DataFrame:
+    programs = df.filter(_is_program()).select("casefile_id", micros("start_date").alias("_begun"))
+    ended = df.filter(_is_discharge())
+    gap = programs["_begun"] - micros(ended["start_date"])
+    left = ended.join(
+        programs,
+        (ended["casefile_id"] == programs["casefile_id"]) & gap.between(0, hours * 3_600_000_000),
+        "left_anti",
+    )
+    return df.filter(_is_program()).unionByName(left)

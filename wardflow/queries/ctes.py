@@ -18,8 +18,9 @@ program_types(program, program_level, program_category, program_class, program_l
   ('signup', 'Outpatient', 'SUD IOP', 'Program', 'North'), ('purchase', 'Outpatient', 'Psych IOP', 'Program', 'North'),
   ('error', 'Outpatient', 'Discharge', 'Discharge', 'North'), ('admin_hold', 'Administrative', 'Hold', 'Program', 'Main'))"""
 
-LATEST = """
-latest AS (
+def latest(name: str = "latest", where: str = "TRUE") -> str:
+    return f"""
+{name} AS (
   SELECT casefile_id, CAST(user_id AS VARCHAR) AS patient_id, split_part(casefile_id, ':', 2) AS patient_master_id,
          CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS first_name, c_name AS last_name,
          CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
@@ -32,9 +33,12 @@ latest AS (
          CASE WHEN c_acctbal >= 0 THEN n_name END AS insurance_company, CAST(NULL AS VARCHAR) AS level_of_care,
          program, CAST(c_nationkey AS DOUBLE) AS location_id, n_name AS location_name, 'events' AS record_source
   FROM (SELECT casefile_id, user_id, min(ts) AS first_ts, max(ts) AS last_ts,
-               arg_max(event_type, (ts, event_id)) AS program FROM case_events GROUP BY 1, 2) c
+               arg_max(event_type, (ts, event_id)) AS program FROM case_events WHERE {where} GROUP BY 1, 2) c
   LEFT JOIN customer ON c_custkey = user_id LEFT JOIN nation ON n_nationkey = c_nationkey)"""
 
+
+LATEST = latest()
+
 DISCHARGE_TYPES = """
 discharge_types(discharge_type_code, discharge_type, discharge_class) AS (VALUES
   ('T0', 'Completed', 'Successful'), ('T1', 'Moved by staff', 'Administrative'), ('T2', 'Left early', 'AMA'), ('T3', 'Other', NULL))"""

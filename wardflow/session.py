@@ -24,6 +24,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
         .appName("wardflow")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )

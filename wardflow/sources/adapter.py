@@ -10,6 +10,8 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wardflow.schemas import SOURCE_TABLES
+
 AS_OF = datetime(2024, 2, 1)
 SPINE = (date(2024, 1, 1), date(2024, 2, 1))
 
@@ -32,8 +34,12 @@ DISCHARGE_TYPE_ROWS = [
 
 def lookup(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
     """A small literal text table; Spark knows its size, so joins to it need no hint."""
-    structs = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, row)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+
+    def cell(v: str | None) -> str:
+        return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("'", "\\'") + "'"
+
+    body = ", ".join("(" + ", ".join(cell(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS lookup({', '.join(names)})")
 
 
 class Tables:
@@ -45,7 +51,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SOURCE_TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def case_events(self) -> DataFrame:
         part = F.floor((F.dayofmonth("ts") - 1) / 10).cast("string")
@@ -53,37 +59,43 @@ class Tables:
 
     def program_log(self) -> DataFrame:
         """The append-only log: one row per event."""
-        people = self.customer.select(
-            F.col("c_custkey").alias("user_id"),
-            F.expr("CASE WHEN c_acctbal >= 0 THEN c_mktsegment END").alias("first_name"),
-            F.col("c_name").alias("last_name"),
-        )
         return (
             self.case_events()
-            .join(people, "user_id", "left")
-            .select(
+            .join(self.customer, F.col("c_custkey") == F.col("user_id"), "left")
+            .selectExpr(
                 "casefile_id",
-                F.col("user_id").cast("string").alias("patient_id"),
-                F.element_at(F.split("casefile_id", ":"), 2).alias("patient_master_id"),
-                "first_name",
-                "last_name",
-                F.expr("CASE WHEN event_id % 17 = 0 THEN 'admin_hold' ELSE event_type END").alias("program_name"),
-                F.col("ts").alias("start_date"),
-                F.lit("log").alias("logged_by"),
-                F.expr("ts + INTERVAL '5' MINUTE").alias("logged_at"),
-                F.col("event_id").alias("program_history_pk"),
+                "CAST(user_id AS STRING) AS patient_id",
+                "element_at(split(casefile_id, ':'), 2) AS patient_master_id",
+                "CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS first_name",
+                "c_name AS last_name",
+                "CASE WHEN event_id % 17 = 0 THEN 'admin_hold' ELSE event_type END AS program_name",
+                "ts AS start_date",
+                "'log' AS logged_by",
+                "ts + INTERVAL '5' MINUTE AS logged_at",
+                "event_id AS program_history_pk",
             )
         )
 
-    def latest(self) -> DataFrame:
-        """Current state, one row per case."""
-        last = F.struct("ts", "event_id")
-        cases = self.case_events().groupBy("casefile_id", "user_id").agg(
-            F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.max_by("event_type", last).alias("program")
+    def case_state(self, before: datetime | None = None) -> DataFrame:
+        """One row per case: first and last time, last program, discharge."""
+        events = self.case_events()
+        if before is not None:
+            events = events.filter(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
+        return (
+            events.groupBy("casefile_id", "user_id")
+            .agg(F.expr("min(ts) AS first_ts"), F.expr("max(ts) AS last_ts"), F.expr("max_by(event_type, struct(ts, event_id)) AS program"))
+            .selectExpr(
+                "*",
+                "CASE user_id % 3 WHEN 1 THEN last_ts + INTERVAL '12' HOUR WHEN 2 THEN last_ts - INTERVAL '24' HOUR END AS discharge_date",
+                "concat('T', CAST(user_id % 5 AS STRING)) AS discharge_type_code",
+            )
         )
-        people = self.customer.select(F.col("c_custkey").alias("user_id"), "c_name", "c_acctbal", "c_mktsegment", "c_nationkey")
+
+    def latest(self, before: datetime | None = None) -> DataFrame:
+        """Current state, one row per case, all columns."""
         return (
-            cases.join(people, "user_id", "left")
+            self.case_state(before)
+            .join(self.customer, F.col("c_custkey") == F.col("user_id"), "left")
             .join(self.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .selectExpr(
                 "casefile_id",
@@ -94,10 +106,10 @@ class Tables:
                 "CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS gender",
                 "first_ts - INTERVAL '1' DAY AS first_contact_date",
                 "first_ts AS admission_date",
-                "CASE user_id % 3 WHEN 1 THEN last_ts + INTERVAL '12' HOUR WHEN 2 THEN last_ts - INTERVAL '24' HOUR END AS discharge_date",
+                "discharge_date",
                 "last_ts + INTERVAL '2' DAY AS anticipated_discharge_date",
                 "CAST(NULL AS STRING) AS discharge_type",
-                "concat('T', CAST(user_id % 5 AS STRING)) AS discharge_type_code",
+                "discharge_type_code",
                 "CAST(NULL AS STRING) AS referrer_name",
                 "concat('MR', CAST(user_id AS STRING)) AS mr_number",
                 "c_mktsegment AS payment_method",
