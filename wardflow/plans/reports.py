@@ -66,12 +66,17 @@ def day_totals(census: DataFrame, day: date) -> DataFrame:
 
 
 def census_report(census: DataFrame, *, day: date) -> DataFrame:
-    """Cards per program in display order, then the total."""
-    cards = on_day(census, "census_date", day).withColumn("place", list_index("program_category", PROGRAM_ORDER))
-    total = day_totals(census, day).select(F.lit("Total").alias("program_category"), "*", F.lit(99).alias("place"))
+    """Cards per program in display order, then the total; one pass over the day."""
+    rolled = (
+        on_day(census, "census_date", day)
+        .rollup("program_category")
+        .agg(*_sums(["census", *FLOWS]), F.grouping("program_category").alias("_all"))
+    )
+    is_total = F.col("_all") == 1
     return (
-        cards.select("program_category", "census", *FLOWS, "place")
-        .unionByName(total)
+        rolled.withColumn("place", F.when(is_total, 99).otherwise(list_index("program_category", PROGRAM_ORDER)))
+        .withColumn("program_category", F.when(is_total, "Total").otherwise(F.col("program_category")))
+        .select("program_category", "census", *FLOWS, "place")
         .orderBy("place", "program_category")
     )
 
