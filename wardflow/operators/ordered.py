@@ -49,6 +49,22 @@ def time_bucket(col: Column | str, width: str | int = "1 day") -> Column:
     return (m - F.pmod(m, F.lit(w))) / F.lit(w)
 
 
+def edges_below(col: str, edges: list[float], strict: bool = False) -> Column:
+    """How many of the sorted edges are <= the value (< with ``strict``).
+
+    A decision tree over literals: it stays in generated code and takes log(n) comparisons.
+    """
+    op = "<=" if strict else "<"
+
+    def tree(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        mid = (low + high) // 2
+        return f"CASE WHEN _x {op} {edges[mid]!r}D THEN {tree(low, mid)} ELSE {tree(mid + 1, high)} END"
+
+    return F.expr(tree(0, len(edges)).replace("_x", f"CAST(`{col}` AS DOUBLE)"))
+
+
 def value_bucket(df: DataFrame, col: str, parts: int = 64) -> Column:
     """Bucket of a numeric column by approximate quantiles.
 
@@ -56,13 +72,8 @@ def value_bucket(df: DataFrame, col: str, parts: int = 64) -> Column:
     of the column sees the same buckets.
     """
     probs = [i / parts for i in range(1, parts)]
-    edges = sorted(set(df.approxQuantile(col, probs, 0.5 / parts)))
-    if not edges:
-        return F.lit(0)
-    array = F.array(*[F.lit(float(e)) for e in edges])
-    return F.when(F.col(col).isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(array, lambda e: e <= F.col(col).cast("double")))
-    )
+    edges = sorted({float(e) for e in df.approxQuantile(col, probs, 0.5 / parts)})
+    return F.when(F.col(col).isNull(), F.lit(-1)).otherwise(edges_below(col, edges))
 
 
 @dataclass(frozen=True)
