@@ -1,0 +1,406 @@
+"""Rolling, expanding, cumulative and exponentially weighted results per key.
+
+All of them split long keys (see ``ordered``).  ``col`` is a column name; results are
+NULL where fewer than ``min_periods`` values are in the frame.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
+
+from wardflow.operators.aggregates import transform_groups, unbiased_kurtosis, unbiased_skew
+from wardflow.operators.keys import join_null_safe
+from wardflow.operators.ordered import Series, position, row_frame, running, span_micros, time_frame
+
+Kernel = Callable[[str, WindowSpec], Column]
+
+
+def _moment(make, correct) -> Kernel:
+    return lambda c, w: correct(make(F.col(c)).over(w), F.count(c).over(w))
+
+
+def quantile_kernel(q: float) -> Kernel:
+    return lambda c, w: F.percentile(c, F.lit(q)).over(w)
+
+
+def rank_kernel(c: str, w: WindowSpec) -> Column:
+    """Average rank of the row's value in its frame."""
+    seen = F.collect_list(c).over(w)
+    below = F.size(F.filter(seen, lambda e: e < F.col(c)))
+    equal = F.size(F.filter(seen, lambda e: e == F.col(c)))
+    return F.when(F.col(c).isNotNull(), below + (equal + 1) / 2)
+
+
+KERNELS: dict[str, Kernel] = {
+    "sum": lambda c, w: F.sum(c).over(w),
+    "mean": lambda c, w: F.avg(c).over(w),
+    "var": lambda c, w: F.var_samp(c).over(w),
+    "std": lambda c, w: F.stddev_samp(c).over(w),
+    "sem": lambda c, w: F.stddev_samp(c).over(w) / F.sqrt(F.count(c).over(w)),
+    "min": lambda c, w: F.min(c).over(w),
+    "max": lambda c, w: F.max(c).over(w),
+    "count": lambda c, w: F.count(c).over(w),
+    "median": quantile_kernel(0.5),
+    "skew": _moment(F.skewness, unbiased_skew),
+    "kurt": _moment(F.kurtosis, unbiased_kurtosis),
+    "rank": rank_kernel,
+}
+
+
+def _enough(value: Column, col: str, w: WindowSpec, min_periods: int) -> Column:
+    return F.when(F.count(col).over(w) >= min_periods, value)
+
+
+def rolling(
+    df: DataFrame, series: Series, col: str, n: int, kernels: dict[str, Kernel], *, min_periods: int | None = None,
+    center: bool = False, forward: bool = False, step: int = 1, block: int = 65536,
+) -> DataFrame:
+    """Frames of ``n`` rows ending at the row, around it (center) or starting at it (forward).
+
+    ``step`` keeps every step-th row of a key.
+    """
+    m = n if min_periods is None else min_periods
+    ahead = n - 1 if forward else ((n - 1) // 2 if center else 0)
+    behind = n - 1 - ahead
+    frame = row_frame(df, series, before=behind, after=ahead, block=block)
+    w = frame.window(-behind, ahead)
+    out = frame.rows.select("*", *[_enough(k(col, w), col, w, m).alias(name) for name, k in kernels.items()])
+    kept = frame.close(out, keep_position=True)
+    if step > 1:
+        kept = kept.filter((F.col("_pos") - 1) % step == 0)
+    return kept.drop("_pos")
+
+
+CLOSED = {"right": (1, 0), "both": (0, 0), "left": (0, -1), "neither": (1, -1)}
+
+
+def rolling_time(
+    df: DataFrame, by: list[str], ts: str, col: str, span: str, kernels: dict[str, Kernel], *, closed: str = "right",
+    min_periods: int = 1, width: str = "1 day",
+) -> DataFrame:
+    """Frames of a time span before the row.  ``closed`` says which ends belong to the frame.
+
+    Rows of equal time see each other.
+    """
+    us = span_micros(span)
+    open_low, high = CLOSED[closed]
+    frame = time_frame(df, by, ts, before=us, width=width)
+    w = frame.window(-us + open_low, high)
+    return frame.close(frame.rows.select("*", *[_enough(k(col, w), col, w, min_periods).alias(n) for n, k in kernels.items()]))
+
+
+def rolling_pair(df: DataFrame, series: Series, x: str, y: str, n: int, *, block: int = 65536) -> DataFrame:
+    """Covariance and correlation over frames of ``n`` rows with both values."""
+    frame = row_frame(df, series, before=n - 1, block=block)
+    w = frame.window(-n + 1, 0)
+    both = F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), 1)
+    ok = F.count(both).over(w) >= n
+    out = frame.rows.select(
+        "*", F.when(ok, F.covar_samp(x, y).over(w)).alias("cov"), F.when(ok, F.corr(x, y).over(w)).alias("corr")
+    )
+    return frame.close(out)
+
+
+def window_weights(shape: str, n: int, std: float = 1.0) -> list[float]:
+    """Weights of the common window shapes, symmetric."""
+    if shape == "boxcar" or n == 1:
+        return [1.0] * n
+    k = range(n)
+    if shape == "triang":
+        if n % 2:
+            half = [2 * (i + 1) / (n + 1) for i in range((n + 1) // 2)]
+            return half + half[-2::-1]
+        half = [(2 * i + 1) / n for i in range(n // 2)]
+        return half + half[::-1]
+    if shape == "hann":
+        return [0.5 - 0.5 * math.cos(2 * math.pi * i / (n - 1)) for i in k]
+    if shape == "hamming":
+        return [0.54 - 0.46 * math.cos(2 * math.pi * i / (n - 1)) for i in k]
+    if shape == "gaussian":
+        return [math.exp(-0.5 * ((i - (n - 1) / 2) / std) ** 2) for i in k]
+    raise ValueError(shape)
+
+
+def rolling_weighted(df: DataFrame, series: Series, col: str, weights: list[float], *, block: int = 65536) -> DataFrame:
+    """Weighted sum, mean and variance of full frames; the last weight is the row's own."""
+    n = len(weights)
+    frame = row_frame(df, series, before=n - 1, block=block)
+    order = frame.window()
+    lags = [F.lag(col, n - 1 - i).over(order).alias(f"_v{i}") for i in range(n)]
+    rows = frame.rows.select("*", *lags)
+    total = sum(weights)
+
+    def add(items: list[Column]) -> Column:
+        out = items[0]
+        for i in items[1:]:
+            out = out + i
+        return out
+
+    rows = rows.withColumn("wsum", add([F.col(f"_v{i}") * w for i, w in enumerate(weights)]))
+    rows = rows.withColumn("wmean", F.col("wsum") / total)
+    squares = add([F.lit(w) * (F.col(f"_v{i}") - F.col("wmean")) ** 2 for i, w in enumerate(weights)])
+    rows = rows.withColumn("wvar", squares * n / ((n - 1) * total))
+    return frame.close(rows.drop(*[f"_v{i}" for i in range(n)]))
+
+
+def rolling_apply(df: DataFrame, series: Series, col: str, n: int, fn: Callable[[pd.Series], float], name: str, *, block: int = 65536) -> DataFrame:
+    """An own function of the frame's values, as a vectorised aggregate."""
+
+    @F.pandas_udf("double")
+    def call(values: pd.Series) -> float:
+        return fn(values)
+
+    frame = row_frame(df, series, before=n - 1, block=block)
+    w = frame.window(-n + 1, 0)
+    out = frame.rows.withColumn(name, call(F.col(col)).over(w)).withColumn("_k", F.count(col).over(w))
+    return frame.close(out.withColumn(name, F.when(F.col("_k") >= n, F.col(name))).drop("_k"))
+
+
+# Expanding
+
+
+def expanding(df: DataFrame, series: Series, col: str, kinds: list[str], *, min_periods: int = 1) -> DataFrame:
+    """Results over all rows of the key so far: count, sum, min, max, mean, var, std, sem, skew, kurt.
+
+    Higher moments come from running power sums about the key's mean, which keeps them
+    accurate for values far from zero.
+    """
+    by = series.by
+    moments = {"var", "std", "sem", "skew", "kurt"} & set(kinds)
+    base = transform_groups(df, by, {"_m": F.avg(col)}) if moments else df
+    d = F.col(col) - F.col("_m")
+    what = {"_n": ("count", F.col(col))}
+    if {"sum", "mean"} & set(kinds):
+        what["_s"] = ("sum", F.col(col))
+    what |= {f"_{k}": (k, F.col(col)) for k in ("min", "max") if k in kinds}
+    if moments:
+        top = 4 if "kurt" in kinds else 3 if "skew" in kinds else 2
+        what |= {f"_p{i}": ("sum", d**i) for i in range(1, top + 1)}
+    rows = running(base, series, what)
+    n, c = F.col("_n"), F.col
+    mean = c("_p1") / n if moments else None
+    out = {"count": n, "sum": c("_s") if "_s" in what else None, "min": c("_min") if "min" in kinds else None, "max": c("_max") if "max" in kinds else None}
+    out["mean"] = c("_s") / n if "_s" in what else None
+    if moments:
+        m2 = F.greatest(c("_p2") / n - mean**2, F.lit(0.0))
+        out["var"] = F.when(n > 1, m2 * n / (n - 1))
+        out["std"] = F.sqrt(out["var"])
+        out["sem"] = out["std"] / F.sqrt(n)
+        if "_p3" in what:
+            m3 = c("_p3") / n - 3 * mean * c("_p2") / n + 2 * mean**3
+            out["skew"] = unbiased_skew(F.try_divide(m3, F.pow(m2, F.lit(1.5))), n)
+        if "_p4" in what:
+            m4 = c("_p4") / n - 4 * mean * c("_p3") / n + 6 * mean**2 * c("_p2") / n - 3 * mean**4
+            out["kurt"] = unbiased_kurtosis(F.try_divide(m4, m2 * m2) - 3, n)
+    return rows.select(*df.columns, *[F.when(n >= (0 if k == "count" else min_periods), out[k]).alias(k) for k in kinds])
+
+
+def expanding_pair(df: DataFrame, series: Series, x: str, y: str) -> DataFrame:
+    """Covariance and correlation over all rows so far."""
+    both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    base = transform_groups(both, series.by, {"_mx": F.avg(x), "_my": F.avg(y)})
+    a, b = F.col(x) - F.col("_mx"), F.col(y) - F.col("_my")
+    rows = running(
+        base, series,
+        {"_n": ("count", F.col(x)), "_a": ("sum", a), "_b": ("sum", b), "_ab": ("sum", a * b), "_aa": ("sum", a * a), "_bb": ("sum", b * b)},
+    )
+    c, n = F.col, F.col("_n")
+    sab, saa, sbb = c("_ab") - c("_a") * c("_b") / n, c("_aa") - c("_a") ** 2 / n, c("_bb") - c("_b") ** 2 / n
+    return rows.select(*df.columns, F.when(n > 1, sab / (n - 1)).alias("cov"), F.when(n > 1, F.try_divide(sab, F.sqrt(F.greatest(saa * sbb, F.lit(0.0))))).alias("corr"))
+
+
+def expanding_order_statistics(df: DataFrame, by: list[str], period: str, col: str, kernels: dict[str, Kernel]) -> DataFrame:
+    """Median, quantile and rank so far, over a series with one row per key and period.
+
+    These need all earlier values at hand, so the input is a resampled series, whose length
+    per key is the number of periods in the calendar, not the number of events.
+    """
+    w = W.partitionBy(*by).orderBy(period).rowsBetween(W.unboundedPreceding, 0)
+    return df.select("*", *[k(col, w).alias(n) for n, k in kernels.items()])
+
+
+# Cumulative and neighbours
+
+
+def cumulative(df: DataFrame, series: Series, col: str, kinds: dict[str, str]) -> DataFrame:
+    """``{"cumsum": "sum"}``; a NULL row stays NULL and does not end the run."""
+    rows = running(df, series, {n: (k, F.col(col)) for n, k in kinds.items()})
+    return rows.withColumns({n: F.when(F.col(col).isNotNull(), F.col(n)) for n in kinds})
+
+
+def shift(df: DataFrame, series: Series, col: str, n: int, name: str, fill=None, *, block: int = 65536) -> DataFrame:
+    """The value ``n`` rows earlier (later when negative)."""
+    frame = row_frame(df, series, before=max(n, 0), after=max(-n, 0), block=block)
+    moved = F.lag(col, n, fill).over(frame.window()) if n >= 0 else F.lead(col, -n, fill).over(frame.window())
+    return frame.close(frame.rows.withColumn(name, moved))
+
+
+def difference(df: DataFrame, series: Series, col: str, n: int = 1, name: str = "diff") -> DataFrame:
+    return shift(df, series, col, n, "_s").withColumn(name, F.col(col) - F.col("_s")).drop("_s")
+
+
+def percent_change(df: DataFrame, series: Series, col: str, n: int = 1, name: str = "pct_change") -> DataFrame:
+    return shift(df, series, col, n, "_s").withColumn(name, F.try_divide(F.col(col), F.col("_s")) - 1).drop("_s")
+
+
+def head(df: DataFrame, series: Series, n: int) -> DataFrame:
+    """First ``n`` rows of each key; a negative n leaves out the last -n."""
+    if n >= 0:
+        return position(df, series, "_p").filter(F.col("_p") <= n).drop("_p")
+    return position(df, series.reversed(), "_p").filter(F.col("_p") > -n).drop("_p")
+
+
+def tail(df: DataFrame, series: Series, n: int) -> DataFrame:
+    return head(df, series.reversed(), n)
+
+
+def rows_between(df: DataFrame, series: Series, start: int, stop: int, step: int = 1) -> DataFrame:
+    """Rows start..stop-1 of each key, from 0."""
+    p = F.col("_p") - 1
+    return position(df, series, "_p").filter((p >= start) & (p < stop) & ((p - start) % step == 0)).drop("_p")
+
+
+def autocorrelation(df: DataFrame, series: Series, col: str, lag: int) -> DataFrame:
+    return shift(df, series, col, lag, "_s").groupBy(*series.by).agg(F.corr(col, "_s").alias("autocorr"))
+
+
+def trapezoid(df: DataFrame, series: Series, x: str, y: str) -> DataFrame:
+    """Area under y over x, per key."""
+    frame = row_frame(df, series, before=1)
+    w = frame.window()
+    step = (F.col(x) - F.lag(x).over(w)) * (F.col(y) + F.lag(y).over(w)) / 2
+    return frame.close(frame.rows.withColumn("_a", step)).groupBy(*series.by).agg(F.sum("_a").alias("area"))
+
+
+def gradient(df: DataFrame, series: Series, x: str, y: str, name: str = "gradient") -> DataFrame:
+    """Slope of y over x: second order inside, one-sided at the ends, uneven steps allowed."""
+    frame = row_frame(df, series, before=1, after=1)
+    w = frame.window()
+    back, ahead = F.col(x) - F.lag(x).over(w), F.lead(x).over(w) - F.col(x)
+    before, after = F.lag(y).over(w), F.lead(y).over(w)
+    left, right = F.try_divide(F.col(y) - before, back), F.try_divide(after - F.col(y), ahead)
+    inside = F.try_divide(ahead * left + back * right, back + ahead)
+    value = F.when(back.isNull(), right).when(ahead.isNull(), left).otherwise(inside)
+    return frame.close(frame.rows.withColumn(name, value))
+
+
+# Exponentially weighted
+
+NATS = 40.0  # weights below exp(-40) vanish beside a weight of 1 in double precision
+
+
+def decay_rate(*, com: float | None = None, span: float | None = None, halflife: float | None = None, alpha: float | None = None) -> float:
+    """Smoothing factor from exactly one of the four."""
+    if sum(v is not None for v in (com, span, halflife, alpha)) != 1:
+        raise ValueError("give exactly one of com, span, halflife, alpha")
+    if com is not None:
+        return 1 / (1 + com)
+    if span is not None:
+        return 2 / (span + 1)
+    if halflife is not None:
+        return 1 - math.exp(-math.log(2) / halflife)
+    return alpha
+
+
+def decayed_sums(df: DataFrame, series: Series, decay: Column, sums: dict[str, tuple[Column, float]]) -> DataFrame:
+    """For each row the sum over earlier rows and itself of ``value * exp(-rate * (decay - decay_i))``.
+
+    ``decay`` grows along the series, in nats; ``sums`` gives value and rate.  Rows are cut where the
+    decay passes a multiple of NATS.  A row then needs its own block and the total of the one
+    before: anything older weighs less than the rounding error of the row itself.
+    """
+    keys = [*series.by, "_blk"]
+    rows = df.withColumn("_d", decay).withColumn("_blk", F.floor(F.col("_d") / NATS)).withColumn("_d", F.col("_d") - F.col("_blk") * NATS)
+    local = W.partitionBy(*keys).orderBy(*series.sort()).rowsBetween(W.unboundedPreceding, 0)
+    totals = (
+        rows.groupBy(*keys)
+        .agg(*[F.sum(v * F.exp(F.lit(r) * (F.col("_d") - NATS))).alias(f"_t_{n}") for n, (v, r) in sums.items()])
+        .withColumn("_blk", F.col("_blk") + 1)
+    )
+    scanned = rows.select("*", *[F.sum(v * F.exp(F.lit(r) * F.col("_d"))).over(local).alias(f"_h_{n}") for n, (v, r) in sums.items()])
+    joined = join_null_safe(scanned, totals, keys, "left")
+    return joined.select(
+        *df.columns,
+        *[
+            ((F.coalesce(F.col(f"_h_{n}"), F.lit(0.0)) + F.coalesce(F.col(f"_t_{n}"), F.lit(0.0))) * F.exp(F.lit(-r) * F.col("_d"))).alias(n)
+            for n, (_, r) in sums.items()
+        ],
+    )
+
+
+def ewm(
+    df: DataFrame, series: Series, col: str, outputs: list[str], *, alpha: float | None = None, adjust: bool = True,
+    ignore_na: bool = False, halflife_time: str | None = None, ts: str | None = None, other: str | None = None,
+    min_periods: int = 1, bias: bool = False,
+) -> DataFrame:
+    """Exponentially weighted mean, sum, var, std, and with ``other`` cov and corr.
+
+    NULL rows repeat the last result.  With ``ignore_na`` they do not age the weights.  With
+    ``halflife_time`` weights age by time, not by row.
+    """
+    by = series.by
+    both = F.col(col).isNotNull() if other is None else F.col(col).isNotNull() & F.col(other).isNotNull()
+    base = transform_groups(df, by, {"_mx": F.avg(F.when(both, F.col(col))), **({"_my": F.avg(F.when(both, F.col(other)))} if other else {})})
+    counted = running(base, series, {"_all": ("count", F.lit(1)), "_ok": ("count", F.when(both, 1))})
+    present = counted.filter(both)
+    if halflife_time is not None:
+        per_micro = math.log(2) / span_micros(halflife_time)
+        decay = F.unix_micros(F.col(ts).cast("timestamp")) * F.lit(per_micro)
+    else:
+        decay = F.col("_ok" if ignore_na else "_all") * F.lit(-math.log1p(-alpha))
+    if adjust:
+        weight = F.lit(1.0)
+    elif ignore_na or halflife_time is not None:
+        weight = F.when(F.col("_ok") == 1, 1.0).otherwise(alpha)
+    else:
+        # A gap of k rows weighs the old mean (1-alpha)^k against alpha.  Scaled to a weight of one
+        # for each new mean, that is a further, row-dependent ageing.
+        present, decay, weight = _gap_ageing(present, series, alpha)
+    x = F.col(col) - F.col("_mx")
+    sums = {"_w": (weight, 1.0), "_wx": (weight * x, 1.0)}
+    if {"var", "std", "corr"} & set(outputs):
+        sums["_wxx"] = (weight * x * x, 1.0)
+    if {"var", "std", "cov", "corr"} & set(outputs):
+        sums["_ww"] = (weight * weight, 2.0)
+    if other is not None:
+        y = F.col(other) - F.col("_my")
+        sums |= {"_wy": (weight * y, 1.0), "_wxy": (weight * x * y, 1.0), "_wyy": (weight * y * y, 1.0)}
+    s = decayed_sums(present, series, decay, sums)
+    c, w = F.col, F.col("_w")
+    mean = c("_wx") / w
+    unbias = F.lit(1.0) if bias else F.when(w * w - c("_ww") > 1e-12 * w * w, w * w / (w * w - c("_ww")))
+    made = {"mean": mean + c("_mx"), "sum": c("_wx") + c("_mx") * w}
+    if "_wxx" in sums:
+        vx = F.greatest(c("_wxx") / w - mean**2, F.lit(0.0))
+        if "_ww" in sums:
+            made["var"] = vx * unbias
+            made["std"] = F.sqrt(made["var"])
+    if other is not None:
+        my = c("_wy") / w
+        cov = c("_wxy") / w - mean * my
+        made["cov"] = cov * unbias if "_ww" in sums else None
+        if "_wxx" in sums:
+            vy = F.greatest(c("_wyy") / w - my**2, F.lit(0.0))
+            # A variance below the rounding error of its terms is that of equal values.
+            spread = (vx > 1e-13 * c("_wxx") / w) & (vy > 1e-13 * c("_wyy") / w)
+            made["corr"] = F.when((c("_ok") > 1) & spread, F.try_divide(cov, F.sqrt(vx * vy)))
+    made = {n: F.when(c("_ok") >= min_periods, made[n]).alias(n) for n in outputs}
+    results = s.select(*df.columns, *made.values())
+    # NULL rows take the last result before them.
+    gaps = counted.filter(~both).select(*df.columns, *[F.lit(None).cast("double").alias(n) for n in outputs])
+    return running(results.unionByName(gaps), series, {n: ("last", F.col(n)) for n in outputs})
+
+
+def _gap_ageing(present: DataFrame, series: Series, alpha: float):
+    moved = shift(present, series, "_all", 1, "_before")
+    k = F.col("_all") - F.col("_before")
+    old = F.pow(F.lit(1 - alpha), k)
+    # ln((old + alpha) / old) is what this row adds to the age of all earlier ones.
+    rows = moved.withColumn("_age", F.coalesce(F.log((old + alpha) / old), F.lit(0.0)))
+    rows = rows.withColumn("_share", F.coalesce(F.lit(alpha) / (old + alpha), F.lit(1.0)))
+    rows = running(rows, series, {"_aged": ("sum", F.col("_age"))})
+    return rows, F.col("_aged"), F.col("_share")
