@@ -124,7 +124,10 @@ def infer_types(df: DataFrame, cols: list[str]) -> DataFrame:
     """Narrowest type that every text of a column can be read as, from one pass."""
 
     def misses(c: str, kind: str) -> Column:
-        return F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull())
+        reads = F.col(c).try_cast(kind).isNotNull()
+        if kind == "date":  # the cast would drop a time of day
+            reads = reads & ~F.col(c).contains(":")
+        return F.count_if(F.col(c).isNotNull() & ~reads)
 
     aggs = []
     for c in cols:
