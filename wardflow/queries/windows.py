@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from wardflow.operators import ranks as R, windows as W
-from wardflow.operators.ordered import Series
+from wardflow.operators.ordered import Series, position
 from wardflow.queries.registry import query
 
 # The value over 7.919: results then have no short decimal form, and rounding them has no ties.
@@ -173,7 +173,7 @@ query("b_a23_cumprod", f"SELECT event_id, round(product(1 + value / 10000) OVER
     lambda t: out(W.cumulative(t.events.withColumn("f", 1 + F.col("value") / 10000), series(), "f", {"cumprod": "product"}), "cumprod", digits=8)
 )
 query("b_a23_cumcount", f"SELECT event_id, row_number() OVER ({O}) - 1 AS cumcount FROM events")(
-    lambda t: __import__("wardflow.operators.ordered", fromlist=["position"]).position(rows(t), series(), "p").select("event_id", (F.col("p") - 1).alias("cumcount"))
+    lambda t: position(rows(t), series(), "p").select("event_id", (F.col("p") - 1).alias("cumcount"))
 )
 query("b_a23_shift", f"SELECT event_id, lag(value, 2, -1) OVER ({O}) AS back, lead(value, 1) OVER ({O}) AS ahead FROM (SELECT event_id, user_id, ts, value / 7.919 AS value FROM events)")(
     lambda t: W.shift(W.shift(rows(t), series(), "value", 2, "back", -1.0), series(), "value", -1, "ahead").select("event_id", "back", "ahead")
