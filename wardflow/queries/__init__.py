@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["views", "reports", "ingest", "joins", "aggregates", "reshape", "windows", "missing", "dates", "sets", "text", "chains", "files", "streams"]
+MODULES = ["views", "reports", "ingest", "joins", "aggregates", "reshape", "windows", "missing", "dates", "sets", "text", "chains", "files", "streams", "basics"]
 
 for _name in MODULES:
     import_module(f"wardflow.queries.{_name}")
