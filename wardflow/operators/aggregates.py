@@ -9,8 +9,8 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from wardflow.operators.keys import join_null_safe
-from wardflow.operators.ordered import Series, edges_below, position, value_bucket
+from wardflow.operators.keys import join_null_safe, with_one_row
+from wardflow.operators.ordered import GROUP_LIMIT, Series, edges_below, first_rows, position, value_bucket
 from wardflow.operators.ranks import quantiles, ranks
 
 
@@ -99,7 +99,11 @@ def nth(df: DataFrame, series: Series, n: int) -> DataFrame:
     """The n-th row of each group, from 0; negative counts from the end."""
     order = series if n >= 0 else series.reversed()
     want = n + 1 if n >= 0 else -n
-    return position(df, order, "_nth").filter(F.col("_nth") == want).drop("_nth")
+    if want <= GROUP_LIMIT and series.by:
+        found = first_rows(df, series.by, order.sort(), want, "_nth")
+    else:
+        found = position(df, order, "_nth")
+    return found.filter(F.col("_nth") == want).drop("_nth")
 
 
 def value_shares(df: DataFrame, by: list[str], col: str) -> DataFrame:
@@ -132,21 +136,23 @@ def group_numbers(df: DataFrame, key: str, name: str = "ngroup") -> DataFrame:
 
 
 def apply_groups(
-    df: DataFrame, by: list[str], chunk: Column, partial: Callable[[pd.DataFrame], dict], partial_schema: str, combine: list[Column]
+    df: DataFrame, by: list[str], partial: Callable[[pd.DataFrame], dict], partial_schema: str, combine: list[Column]
 ) -> DataFrame:
-    """An own function per group, as partial results by chunk that Spark combines.
+    """An own function per group, as partial results that Spark combines.
 
-    ``partial`` sees the rows of one (group, chunk) and returns one row of figures;
-    ``combine`` are aggregates over those.  A group of any size is never in one task.
+    ``partial`` sees the rows of one group in one batch of rows, and returns one row of figures;
+    ``combine`` are aggregates over those.  Rows are not shuffled, and a batch has a bounded size
+    however large its group is.
     """
-    keys = [*by, "_chunk"]
     fields = [f"{c} {df.schema[c].dataType.simpleString()}" for c in by]
-    out_schema = ", ".join([*fields, partial_schema])
+    columns = [c.strip().split(" ")[0] for c in partial_schema.split(",")]
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in by}, **partial(pdf)}])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [{**dict(zip(by, key)), **partial(part)} for key, part in pdf.groupby(by, dropna=False)]
+            yield pd.DataFrame(rows, columns=[*by, *columns])
 
-    return df.withColumn("_chunk", chunk).groupBy(*keys).applyInPandas(one, out_schema).groupBy(*by).agg(*combine)
+    return df.mapInPandas(run, ", ".join([*fields, partial_schema])).groupBy(*by).agg(*combine)
 
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -167,11 +173,11 @@ def spearman(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
 
 
 def describe_numbers(df: DataFrame, col: str) -> DataFrame:
-    quartiles = quantiles(df, [], col, {"q25": 0.25, "q50": 0.5, "q75": 0.75}).withColumn("_one", F.lit(1))
+    quartiles = quantiles(df, [], col, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     stats = df.agg(
         F.count(col).alias("count"), F.avg(col).alias("mean"), std(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max")
-    ).withColumn("_one", F.lit(1))
-    return stats.join(quartiles, "_one").select("count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    )
+    return with_one_row(stats, quartiles).select("count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def describe_text(df: DataFrame, col: str) -> DataFrame:
@@ -191,7 +197,7 @@ def describe_times(df: DataFrame, col: str) -> DataFrame:
         return F.timestamp_micros(F.floor(F.col(name)).cast("bigint")).cast("timestamp_ntz").alias(name)
 
     stats = us.agg(F.count("_us").alias("count"), F.avg("_us").alias("mean"), F.min("_us").alias("min"), F.max("_us").alias("max"))
-    both = stats.withColumn("_one", F.lit(1)).join(quartiles.withColumn("_one", F.lit(1)), "_one")
+    both = with_one_row(stats, quartiles)
     return both.select("count", *[clock(n) for n in ["mean", "min", "q25", "q50", "q75", "max"]])
 
 
@@ -281,9 +287,9 @@ def histogram(df: DataFrame, col: str, edges: list[float], *, by: list[str] = ()
     array = F.array(*[F.lit(float(e)) for e in edges])
     out = counts.withColumns({"low": F.element_at(array, F.col("bin") + 1), "high": F.element_at(array, F.col("bin") + 2)})
     if density:
-        totals = counts.groupBy(*by).agg(F.sum("count").alias("_t")).withColumn("_one", F.lit(1))
-        out = out.withColumn("_one", F.lit(1)).join(totals, [*by, "_one"])
-        out = out.withColumn("density", F.col("count") / F.col("_t") / (F.col("high") - F.col("low"))).drop("_t", "_one")
+        totals = counts.groupBy(*by).agg(F.sum("count").alias("_t"))
+        out = join_null_safe(out, totals, by) if by else with_one_row(out, totals)
+        out = out.withColumn("density", F.col("count") / F.col("_t") / (F.col("high") - F.col("low"))).drop("_t")
     return out
 
 

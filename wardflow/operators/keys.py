@@ -4,11 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+from pyspark.sql import DataFrame, functions as F
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -25,3 +21,12 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     if how in ("left_semi", "left_anti"):
         return joined
     return joined.drop(*[f"__r_{k}" for k in keys])
+
+
+def with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """Add the columns of a one-row result, such as a total, to every row.
+
+    A scalar subquery: it runs once and its value is put into the plan.
+    """
+    value = one.select(F.struct(*one.columns)).scalar()
+    return df.select("*", value.alias("_one")).select(*df.columns, "_one.*")

@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardflow.operators.keys import join_null_safe
+from wardflow.operators.keys import join_null_safe, with_one_row
 from wardflow.operators.ordered import Series, position
 
 
@@ -92,12 +92,7 @@ def hashed_key(cols: list[str]) -> Column:
 def sequence_key(df: DataFrame, order: Series, name: str, after: DataFrame) -> DataFrame:
     """Number rows in order after the largest key of ``after`` (one row, column ``top``)."""
     numbered = position(df, order, "_n")
-    return (
-        numbered.withColumn("_one", F.lit(1))
-        .join(after.select("top", F.lit(1).alias("_one")), "_one")
-        .withColumn(name, F.coalesce("top", F.lit(0)) + F.col("_n"))
-        .drop("_one", "top", "_n")
-    )
+    return with_one_row(numbered, after.select("top")).withColumn(name, F.coalesce("top", F.lit(0)) + F.col("_n")).drop("top", "_n")
 
 
 def all_of(conditions: list[Column]) -> Column:

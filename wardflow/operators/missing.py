@@ -8,12 +8,15 @@ from wardflow.operators.keys import join_null_safe
 from wardflow.operators.ordered import Series, micros, position, running
 
 
-def _neighbours(df: DataFrame, series: Series, col: str, at: Column) -> DataFrame:
+def _neighbours(df: DataFrame, series: Series, col: str, at: Column, *, number: bool, prev: bool = True, nxt: bool = True) -> DataFrame:
     """Add ``_prev`` and ``_next``: place and value of the nearest values on either side (or the row's own)."""
+    rows = position(df, series) if number else df.withColumn("_pos", F.lit(0))
     mark = F.when(F.col(col).isNotNull(), F.struct(at.alias("at"), F.col("_pos").alias("pos"), F.col(col).alias("v")))
-    rows = position(df, series)
-    rows = running(rows, series, {"_prev": ("last", mark)})
-    return running(rows, series.reversed(), {"_next": ("last", mark)})
+    if prev:
+        rows = running(rows, series, {"_prev": ("last", mark)})
+    if nxt:
+        rows = running(rows, series.reversed(), {"_next": ("last", mark)})
+    return rows
 
 
 def _area(area: str | None) -> Column:
@@ -25,9 +28,11 @@ def fill(
     df: DataFrame, series: Series, col: str, name: str | None = None, *, backward: bool = False, limit: int | None = None, area: str | None = None
 ) -> DataFrame:
     """Carry the last (or next) value into gaps, at most ``limit`` rows far, inside or outside the known range."""
-    rows = _neighbours(df, series, col, F.col("_pos"))
+    rows = _neighbours(
+        df, series, col, F.col("_pos"), number=limit is not None, prev=area is not None or not backward, nxt=area is not None or backward
+    )
     source = F.col("_next" if backward else "_prev")
-    ok = _area(area)
+    ok = _area(area) if area else F.lit(True)
     if limit is not None:
         ok = ok & (F.abs(source["pos"] - F.col("_pos")) <= limit)
     value = F.coalesce(F.col(col), F.when(ok, source["v"]))
@@ -48,7 +53,7 @@ def interpolate(
     (backward or both), unless ``area`` is inside.
     """
     at = micros(ts) if ts else F.col("_pos")
-    rows = _neighbours(df, series, col, at)
+    rows = _neighbours(df, series, col, at, number=ts is None or limit is not None)
     prev, nxt = F.col("_prev"), F.col("_next")
     line = prev["v"] + (nxt["v"] - prev["v"]) * F.try_divide(at - prev["at"], nxt["at"] - prev["at"])
     value = F.when(prev.isNotNull() & nxt.isNotNull(), line).otherwise(F.coalesce(prev["v"], nxt["v"]))

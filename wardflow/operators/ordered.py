@@ -4,7 +4,8 @@ A plain window puts all rows of a key into one task, which fails when one key
 holds a large share of the table.  Everything here splits a key's rows first:
 
 * ``running``  - prefix results.  Each (key, bucket) is scanned on its own; one
-  summary row per bucket is scanned per key; the two are combined.
+  summary row per bucket is scanned per key and handed to its bucket as a head row.
+  The rows are shuffled once.
 * ``position`` - the row number inside a key, from bucket counts.
 * ``RowFrame`` - frames of a few rows.  Rows are cut into blocks of equal size by
   position; a block also receives the few neighbouring rows its frames reach.
@@ -21,8 +22,6 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
-from wardflow.operators.keys import join_null_safe
-
 MICROS = {"second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86400 * 10**6, "week": 7 * 86400 * 10**6}
 
 
@@ -136,6 +135,16 @@ def _merge(kind: str, carried: Column, here: Column) -> Column:
     return F.coalesce(here, carried)
 
 
+def with_heads(rows: DataFrame, heads: DataFrame, keys: list[str], order: list[Column]) -> tuple[DataFrame, WindowSpec]:
+    """Put one head row before the rows of each key, and the window that scans them.
+
+    This hands a small table of carried values to a large table without joining them: the
+    large one is shuffled once, for the window.  ``_head`` is 0 for heads, 1 for rows.
+    """
+    both = rows.withColumn("_head", F.lit(1)).unionByName(heads.withColumn("_head", F.lit(0)), allowMissingColumns=True)
+    return both, W.partitionBy(*keys).orderBy("_head", *order)
+
+
 def running(
     df: DataFrame, series: Series, what: dict[str, tuple[str, Column]], *, exclusive: bool = False
 ) -> DataFrame:
@@ -146,10 +155,8 @@ def running(
     """
     keys = [*series.by, "_b"]
     rows = df.withColumn("_b", series.bucket)
-    local = (
-        W.partitionBy(*keys).orderBy(*series.sort()).rowsBetween(W.unboundedPreceding, -1 if exclusive else 0)
-    )
     summary = rows.groupBy(*keys).agg(*[_partial(k, c, series).alias(f"_p_{n}") for n, (k, c) in what.items()])
+    # One row per bucket: their number per key is bounded by the range of the order.
     over_buckets = (
         W.partitionBy(*[F.col(c) for c in series.by] or [F.lit(0)])
         .orderBy(series.bucket_sort())
@@ -160,12 +167,28 @@ def running(
         *keys,
         *[_scan(second.get(k, k), F.col(f"_p_{n}")).over(over_buckets).alias(f"_c_{n}") for n, (k, _) in what.items()],
     )
-    scanned = rows.select("*", *[_scan(k, c).over(local).alias(f"_h_{n}") for n, (k, c) in what.items()])
-    joined = join_null_safe(scanned, carry, keys)
-    return joined.select(
-        *[F.col(c) for c in df.columns if c not in what],
-        *[_merge(k, F.col(f"_c_{n}"), F.col(f"_h_{n}")).alias(n) for n, (k, _) in what.items()],
-    )
+    both, w = with_heads(rows, carry, keys, series.sort())
+    is_row = F.col("_head") == 1
+    local = w.rowsBetween(W.unboundedPreceding, -1 if exclusive else 0)
+    head = w.rowsBetween(W.unboundedPreceding, 0)
+    results = [
+        _merge(k, F.first(f"_c_{n}").over(head), _scan(k, F.when(is_row, c)).over(local)).alias(n) for n, (k, c) in what.items()
+    ]
+    kept = [F.col(c) for c in df.columns if c not in what]
+    return both.select(*kept, *results, "_head").filter(is_row).drop("_head")
+
+
+def first_rows(df: DataFrame, by: list[str], order: list[Column], n: int, name: str = "_p") -> DataFrame:
+    """The first n rows of each key, with their 1-based number.
+
+    For a limit this small Spark cuts each task's rows to n per key before the shuffle.
+    """
+    w = W.partitionBy(*by).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n)
+
+
+# Spark's default for the largest limit it applies before the shuffle.
+GROUP_LIMIT = 1000
 
 
 def position(df: DataFrame, series: Series, name: str = "_pos") -> DataFrame:

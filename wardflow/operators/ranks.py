@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardflow.operators.keys import join_null_safe
+from wardflow.operators.keys import join_null_safe, with_one_row
 from wardflow.operators.ordered import Series, position, running, value_bucket
 
 
@@ -46,10 +46,7 @@ def ranks(
             F.count_if(F.col(col).isNull()).cast("double").alias("_nulls"),
             F.count_distinct(col).cast("double").alias("_values"),
         )
-        if by:
-            out = join_null_safe(out, sizes, by)
-        else:
-            out = out.withColumn("_one", F.lit(1)).join(sizes.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        out = join_null_safe(out, sizes, by) if by else with_one_row(out, sizes)
     if nulls != "keep":
         missing = F.when(F.col("_nulls") > 0, 1).otherwise(0)
         block = {"min": F.lit(1.0), "max": F.col("_nulls"), "average": (F.col("_nulls") + 1) / 2, "dense": F.lit(1.0)}[method]
@@ -88,10 +85,7 @@ def quantiles(df: DataFrame, by: list[str], col: str, qs: dict[str, float], *, i
     """Exact quantiles per group, ``{"p90": 0.9}``; NULLs are left out."""
     scan = value_counts_running(df, by, col, parts=parts)
     sizes = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-    if by:
-        rows = join_null_safe(scan, sizes, by)
-    else:
-        rows = scan.withColumn("_one", F.lit(1)).join(sizes.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    rows = join_null_safe(scan, sizes, by) if by else with_one_row(scan, sizes)
     aggs, outs = [], []
     for name, q in qs.items():
         h = (F.col("_size") - 1) * F.lit(float(q))

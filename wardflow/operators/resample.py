@@ -50,6 +50,22 @@ def upsample(df: DataFrame, *, ts: str, every: str, by: list[str], columns: list
     return running(rows, series, {c: ("last", F.col(c)) for c in columns})
 
 
+def sessions(df: DataFrame, *, ts: str, by: list[str], gap: str, width: str = "1 day") -> DataFrame:
+    """Runs of rows with less than ``gap`` between them: start, end (last time plus gap), rows.
+
+    The session of a row is its key and its latest start so far, from two ordered scans; a
+    session is then an aggregate, so a busy key is no single task.
+    """
+    g = span_micros(gap)
+    at = micros(ts)
+    series = Series.by_time(by, ts, width=width)
+    rows = running(df.select(*by, ts), series, {"_before": ("last", at)}, exclusive=True)
+    starts = F.when(F.col("_before").isNull() | (at - F.col("_before") >= g), at)
+    marked = running(rows, series, {"_start": ("last", starts)})
+    out = marked.groupBy(*by, "_start").agg(F.max(at).alias("_last"), F.count(F.lit(1)).alias("n"))
+    return out.select(*by, from_micros(F.col("_start")).alias("start"), from_micros(F.col("_last") + g).alias("end"), "n")
+
+
 # Names of regular steps, in microseconds.
 STEPS = [("W", 7 * 86_400_000_000), ("D", 86_400_000_000), ("h", 3_600_000_000), ("min", 60_000_000), ("s", 1_000_000)]
 

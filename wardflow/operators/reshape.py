@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wardflow.operators.joins import distinct_values, hash_join
+from wardflow.operators.keys import with_one_row
 from wardflow.operators.ordered import edges_below
 from wardflow.operators.quality import duplicate_keys
 from wardflow.operators.ranks import quantiles
@@ -64,8 +65,7 @@ def crosstab(df: DataFrame, row: str, column: str, values: list, normalize: str
     if normalize == "index":
         counts = counts.select(row, *[(F.col(n) / F.col(ALL)).alias(n) for n in names])
     elif normalize in ("all", "columns"):
-        base = sums.select(F.lit(1).alias("_one"), *[F.col(n).alias(f"_t_{n}") for n in [*names, ALL]])
-        joined = counts.withColumn("_one", F.lit(1)).join(base, "_one")
+        joined = with_one_row(counts, sums.select(*[F.col(n).alias(f"_t_{n}") for n in [*names, ALL]]))
         counts = joined.select(row, *[(F.col(n) / F.col(f"_t_{ALL if normalize == 'all' else n}")).alias(n) for n in names])
     return counts if margins and not normalize else counts.drop(ALL)
 

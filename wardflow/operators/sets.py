@@ -6,8 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardflow.operators.keys import join_null_safe
-from wardflow.operators.ordered import Series, edges_below, position, value_bucket
+from wardflow.operators.keys import join_null_safe, with_one_row
+from wardflow.operators.ordered import GROUP_LIMIT, Series, edges_below, first_rows, position, value_bucket
 from wardflow.operators.ranks import value_counts_running
 
 
@@ -34,10 +34,9 @@ def n_largest(df: DataFrame, n: int, col: str, ties: list[str], *, keep: str = "
     if keep != "all":
         return rows.orderBy(value, *[F.col(c).asc() if keep == "first" else F.col(c).desc() for c in ties]).limit(n)
     top = rows.select(col).orderBy(value).limit(n)
-    edge = top.agg((F.max(col) if smallest else F.min(col)).alias("_edge")).withColumn("_one", F.lit(1))
-    joined = rows.withColumn("_one", F.lit(1)).join(edge, "_one")
+    edge = top.agg((F.max(col) if smallest else F.min(col)).alias("_edge"))
     good = F.col(col) <= F.col("_edge") if smallest else F.col(col) >= F.col("_edge")
-    return joined.filter(good).drop("_one", "_edge")
+    return with_one_row(rows, edge).filter(good).drop("_edge")
 
 
 # Sampling.  The random number of a row comes from its key and the seed, so a rerun, a lost
@@ -63,18 +62,21 @@ def sample_n(df: DataFrame, n: int, keys: list[str], seed: str, weight: str | No
 
 
 def sample_by_group(df: DataFrame, by: list[str], n: int, keys: list[str], seed: str) -> DataFrame:
-    """n rows of each group.  A group is scanned in slices of its random numbers."""
+    """n rows of each group.  Up to GROUP_LIMIT each task hands on n rows per group at most;
+    beyond, a group is scanned in slices of its random numbers."""
     rows = df.withColumn("_u", uniform(keys, seed))
-    series = Series(by, ["_u", *keys], F.floor(F.col("_u") * 64))
+    if n <= GROUP_LIMIT:
+        return first_rows(rows, by, [F.col(c) for c in ["_u", *keys]], n).drop("_u", "_p")
+    series = Series(by, ["_u", *keys], F.floor(F.col("_u") * 4096))
     return position(rows, series, "_p").filter(F.col("_p") <= n).drop("_u", "_p")
 
 
 def sample_with_replacement(df: DataFrame, n: int, keys: list[str], bucket: Column, seed: str) -> DataFrame:
     """n draws; a row may come up several times.  Each draw picks a row number."""
     numbered = position(df, Series([], keys, bucket), "_p")
-    draws = df.sparkSession.range(n).withColumn("_u", uniform(["id"], seed)).withColumn("_one", F.lit(1))
-    size = df.agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
-    picks = draws.join(size, "_one").select(F.col("id").alias("draw"), (F.floor(F.col("_u") * F.col("_n")) + 1).alias("_p"))
+    draws = df.sparkSession.range(n).withColumn("_u", uniform(["id"], seed))
+    size = df.agg(F.count(F.lit(1)).alias("_n"))
+    picks = with_one_row(draws, size).select(F.col("id").alias("draw"), (F.floor(F.col("_u") * F.col("_n")) + 1).alias("_p"))
     return picks.join(numbered, "_p").drop("_p")
 
 

@@ -13,8 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from wardflow.operators.aggregates import transform_groups, unbiased_kurtosis, unbiased_skew
-from wardflow.operators.keys import join_null_safe
-from wardflow.operators.ordered import Series, position, row_frame, running, span_micros, time_frame
+from wardflow.operators.ordered import GROUP_LIMIT, Series, first_rows, position, row_frame, running, span_micros, time_frame, with_heads
 
 Kernel = Callable[[str, WindowSpec], Column]
 
@@ -249,6 +248,8 @@ def percent_change(df: DataFrame, series: Series, col: str, n: int = 1, name: st
 
 def head(df: DataFrame, series: Series, n: int) -> DataFrame:
     """First ``n`` rows of each key; a negative n leaves out the last -n."""
+    if 0 <= n <= GROUP_LIMIT and series.by:
+        return first_rows(df, series.by, series.sort(), n).drop("_p")
     if n >= 0:
         return position(df, series, "_p").filter(F.col("_p") <= n).drop("_p")
     return position(df, series.reversed(), "_p").filter(F.col("_p") > -n).drop("_p")
@@ -315,21 +316,23 @@ def decayed_sums(df: DataFrame, series: Series, decay: Column, sums: dict[str, t
     """
     keys = [*series.by, "_blk"]
     rows = df.withColumn("_d", decay).withColumn("_blk", F.floor(F.col("_d") / NATS)).withColumn("_d", F.col("_d") - F.col("_blk") * NATS)
-    local = W.partitionBy(*keys).orderBy(*series.sort()).rowsBetween(W.unboundedPreceding, 0)
+    # The total of a block, aged to its end, is the head of the next one.
     totals = (
         rows.groupBy(*keys)
         .agg(*[F.sum(v * F.exp(F.lit(r) * (F.col("_d") - NATS))).alias(f"_t_{n}") for n, (v, r) in sums.items()])
         .withColumn("_blk", F.col("_blk") + 1)
     )
-    scanned = rows.select("*", *[F.sum(v * F.exp(F.lit(r) * F.col("_d"))).over(local).alias(f"_h_{n}") for n, (v, r) in sums.items()])
-    joined = join_null_safe(scanned, totals, keys, "left")
-    return joined.select(
-        *df.columns,
-        *[
-            ((F.coalesce(F.col(f"_h_{n}"), F.lit(0.0)) + F.coalesce(F.col(f"_t_{n}"), F.lit(0.0))) * F.exp(F.lit(-r) * F.col("_d"))).alias(n)
-            for n, (_, r) in sums.items()
-        ],
-    )
+    both, w = with_heads(rows, totals, keys, series.sort())
+    scan = w.rowsBetween(W.unboundedPreceding, 0)
+    here = F.coalesce(F.col("_d"), F.lit(0.0))
+
+    def aged(name: str, value: Column, rate: float) -> Column:
+        grown = F.sum(F.when(F.col("_head") == 1, value) * F.exp(F.lit(rate) * here)).over(scan)
+        carried = F.first(f"_t_{name}").over(scan)  # NULL where the block has no head
+        return (F.coalesce(grown, F.lit(0.0)) + F.coalesce(carried, F.lit(0.0))) * F.exp(F.lit(-rate) * here)
+
+    out = both.select(*df.columns, *[aged(n, v, r).alias(n) for n, (v, r) in sums.items()], "_head")
+    return out.filter(F.col("_head") == 1).drop("_head")
 
 
 def ewm(
@@ -344,7 +347,11 @@ def ewm(
     """
     by = series.by
     both = F.col(col).isNotNull() if other is None else F.col(col).isNotNull() & F.col(other).isNotNull()
-    base = transform_groups(df, by, {"_mx": F.avg(F.when(both, F.col(col))), **({"_my": F.avg(F.when(both, F.col(other)))} if other else {})})
+    if set(outputs) <= {"mean", "sum"}:
+        base = df.withColumn("_mx", F.lit(0.0))
+    else:  # second moments are taken about the key's mean, for accuracy
+        means = {"_mx": F.avg(F.when(both, F.col(col)))}
+        base = transform_groups(df, by, means | ({"_my": F.avg(F.when(both, F.col(other)))} if other else {}))
     counted = running(base, series, {"_all": ("count", F.lit(1)), "_ok": ("count", F.when(both, 1))})
     present = counted.filter(both)
     if halflife_time is not None:

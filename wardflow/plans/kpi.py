@@ -15,14 +15,26 @@ def tagged_union(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def daily_kpi(tables: dict[str, DataFrame]) -> DataFrame:
-    """Distinct ids by source and distinct patients, per organisation, program and day."""
-    return (
+    """Distinct ids by source and distinct patients, per organisation, program and day.
+
+    Each row gives an id token and a patient token.  Tokens are made distinct once, map-side
+    first, and then counted; several distinct counts in one aggregate would copy each row for
+    every one of them.
+    """
+    day = F.to_date("created_at").alias("date")
+    tokens = F.array(
+        F.struct(F.col("source").alias("kind"), F.col("id").cast("string").alias("token")),
+        F.struct(F.lit("patient").alias("kind"), F.col("patient_id").cast("string").alias("token")),
+    )
+    distinct = (
         tagged_union(tables)
-        .groupBy("organization_id", "program", F.to_date("created_at").alias("date"))
-        .agg(
-            *[F.count_distinct(F.when(F.col("source") == s, F.col("id"))).alias(s) for s in tables],
-            F.count_distinct("patient_id").alias("census"),
-        )
+        .select("organization_id", "program", day, F.inline(tokens))
+        .filter(F.col("token").isNotNull() | (F.col("kind") == "patient"))
+        .distinct()
+    )
+    seen = F.col("token").isNotNull()
+    return distinct.groupBy("organization_id", "program", "date").agg(
+        *[F.count_if((F.col("kind") == s) & seen).alias(s) for s in tables], F.count_if((F.col("kind") == "patient") & seen).alias("census")
     )
 
 

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from wardflow.operators import aggregates as A, ranks as R
-from wardflow.operators.ordered import Series, time_bucket
+from wardflow.operators.ordered import Series
 from wardflow.queries.registry import query
 
 G = ["l_returnflag", "l_linestatus"]
@@ -129,7 +129,7 @@ def _(t):
         return {"logs": float(np.log(pdf["value"]).sum()), "n": len(pdf), "low": pdf["value"].min(), "high": pdf["value"].max()}
 
     return A.apply_groups(
-        t.events.filter("value > 0").select("event_type", "value", "ts"), ["event_type"], time_bucket("ts", "1 day"), partial,
+        t.events.filter("value > 0").select("event_type", "value"), ["event_type"], partial,
         "logs double, n long, low double, high double",
         [F.round(F.exp(F.sum("logs") / F.sum("n")), 8).alias("geometric_mean"), F.round(F.max("high") - F.min("low"), 6).alias("spread")],
     )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from wardflow import schemas
 from wardflow.operators.ordered import Series
+from wardflow.operators.resample import sessions
 from wardflow.queries import ctes as Q
 from wardflow.queries.ingest import UTC_TEXT
 from wardflow.queries.registry import query
@@ -51,7 +52,7 @@ query("b_t2_presence", ISLANDS + " SELECT user_id, 'join' AS change, \"start\" A
     lambda t: S.run_to_files(S.presence(events(t).select("ts", "user_id"), "ts", "user_id", "6 hours"), scratch_dir(t.spark))
 )
 query("b_t2_presence_batch", ISLANDS + " SELECT user_id, 'join' AS change, \"start\" AS \"at\" FROM s UNION ALL SELECT user_id, 'leave', \"end\" FROM s")(
-    lambda t: S.presence(t.events.select("ts", "user_id"), "ts", "user_id", "6 hours")
+    lambda t: S.joins_and_leaves(sessions(t.events, ts="ts", by=["user_id"], gap="6 hours"), "user_id")
 )
 
 

@@ -128,11 +128,14 @@ def presence(stream: DataFrame, ts: str, key: str, timeout: str, delay: str = "1
     """Join and leave of each key.  A key joins with its first sign of life and leaves when none
     has come for ``timeout``.  Sessions are merged map-side before the shuffle, so the state is
     one row per open session and a busy key is no burden."""
-    s = session_counts(stream, ts, [key], timeout, delay)
+    return joins_and_leaves(session_counts(stream, ts, [key], timeout, delay), key)
+
+
+def joins_and_leaves(sessions: DataFrame, key: str) -> DataFrame:
     diff = F.array(
         F.struct(F.lit("join").alias("change"), F.col("start").alias("at")), F.struct(F.lit("leave").alias("change"), F.col("end").alias("at"))
     )
-    return s.select(key, F.inline(diff))
+    return sessions.select(key, F.inline(diff))
 
 
 # Online exponentially weighted mean
