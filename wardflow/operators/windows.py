@@ -34,12 +34,17 @@ def rank_kernel(c: str, w: WindowSpec) -> Column:
     return F.when(F.col(c).isNotNull(), below + (equal + 1) / 2)
 
 
+def window_sem(std: Column, n: Column) -> Column:
+    """Standard error in a frame.  The divisor is n - 1, unlike that of the grouped form."""
+    return F.when(n > 1, std / F.sqrt(n - 1))
+
+
 KERNELS: dict[str, Kernel] = {
     "sum": lambda c, w: F.sum(c).over(w),
     "mean": lambda c, w: F.avg(c).over(w),
     "var": lambda c, w: F.var_samp(c).over(w),
     "std": lambda c, w: F.stddev_samp(c).over(w),
-    "sem": lambda c, w: F.stddev_samp(c).over(w) / F.sqrt(F.count(c).over(w)),
+    "sem": lambda c, w: window_sem(F.stddev_samp(c).over(w), F.count(c).over(w)),
     "min": lambda c, w: F.min(c).over(w),
     "max": lambda c, w: F.max(c).over(w),
     "count": lambda c, w: F.count(c).over(w),
@@ -188,7 +193,7 @@ def expanding(df: DataFrame, series: Series, col: str, kinds: list[str], *, min_
         m2 = F.greatest(c("_p2") / n - mean**2, F.lit(0.0))
         out["var"] = F.when(n > 1, m2 * n / (n - 1))
         out["std"] = F.sqrt(out["var"])
-        out["sem"] = out["std"] / F.sqrt(n)
+        out["sem"] = window_sem(out["std"], n)
         if "_p3" in what:
             m3 = c("_p3") / n - 3 * mean * c("_p2") / n + 2 * mean**3
             out["skew"] = unbiased_skew(F.try_divide(m3, F.pow(m2, F.lit(1.5))), n)

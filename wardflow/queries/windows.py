@@ -91,7 +91,7 @@ query("b_w8_rolling_own_function", f"WITH {X} SELECT event_id, CASE WHEN count(*
     lambda t: out(W.rolling_apply(rows(t), series(), "value", 5, lambda s: float(s.max() - s.min()), "spread"), "spread")
 )
 EXP = f"({O} ROWS UNBOUNDED PRECEDING)"
-EXPANDING = {**BASIC, "sem": "stddev_samp(v) OVER w / sqrt(count(v) OVER w)"}
+EXPANDING = {**BASIC, "sem": "stddev_samp(v) OVER w / sqrt(count(v) OVER w - 1)"}
 query("b_w9_expanding", sql(", ".join((f"{e} AS {k}" if k == "count" else f"{least(2, e)} AS {k}") for k, e in EXPANDING.items()), EXP))(
     lambda t: out(W.expanding(rows(t), series(), "v", list(EXPANDING), min_periods=2), *EXPANDING)
 )
