@@ -191,3 +191,19 @@ def test_own_function_sees_bounded_batches(spark):
     out = A.apply_groups(df, ["k"], partial, "s double, n long", [F.sum("s").alias("s"), F.sum("n").alias("n")])
     want = df.groupBy("k").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("closed", ["right", "left", "both", "neither"])
+def test_rolling_time_sums_agree_with_frames(rows, closed):
+    frames = values(W.rolling_time(rows, ["k"], "ts", "v", "9 hours", {k: W.KERNELS[k] for k in ("sum", "count")}, closed=closed), "sum", "count")
+    linear = values(W.rolling_time_sums(rows, series(), "ts", "v", "9 hours", closed=closed), "sum", "count")
+    same(linear[0], frames[0])
+    same(linear[1], frames[1])
+
+
+def test_buckets_are_narrowed_for_a_busy_key(rows):
+    narrow = Series.fitted(rows, ["k"], "ts", "id", rows=10, width="5 days")
+    sizes = rows.groupBy("k", narrow.bucket.alias("b")).count().agg(F.max("count")).first()[0]
+    assert sizes <= 10
+    wide = Series.fitted(rows, ["k"], "ts", "id", width="5 days")
+    assert rows.select(wide.bucket.alias("b")).distinct().count() <= 6

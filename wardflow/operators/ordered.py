@@ -85,9 +85,24 @@ class Series:
     descending: bool = False
 
     @staticmethod
-    def by_time(by: list[str], ts: str, *ties: str, width: str = "1 day") -> "Series":
+    def by_time(by: list[str], ts: str, *ties: str, width: str | int = "1 day") -> "Series":
         return Series(by, [ts, *ties], time_bucket(ts, width).cast("long"))
 
+    @staticmethod
+    def fitted(df: DataFrame, by: list[str], ts: str, *ties: str, rows: int = 5_000_000, width: str = "1 day") -> "Series":
+        """Buckets narrow enough that the busiest key and bucket hold about ``rows`` rows.
+
+        One number per try reaches the driver: the size of the largest bucket, counted map-side.
+        """
+        micros_wide = span_micros(width)
+        while micros_wide > MICROS["second"]:
+            sizes = df.groupBy(*by, time_bucket(ts, micros_wide).alias("_b")).agg(F.count(F.lit(1)).alias("n"))
+            peak = sizes.agg(F.max("n")).first()[0] or 0
+            if peak <= rows:
+                break
+            micros_wide = max(micros_wide // -(-peak // rows), MICROS["second"])
+        return Series.by_time(by, ts, *ties, width=micros_wide)
+
     def reversed(self) -> "Series":
         return replace(self, descending=not self.descending)
 

@@ -97,6 +97,42 @@ def rolling_time(
     return frame.close(frame.rows.select("*", *[_enough(k(col, w), col, w, min_periods).alias(n) for n, k in kernels.items()]))
 
 
+def rolling_time_sums(df: DataFrame, series: Series, ts: str, col: str, span: str, *, closed: str = "right") -> DataFrame:
+    """Count, sum and mean over a time span, in linear time however many rows a frame holds.
+
+    ``rolling_time`` goes through a row's whole frame; here a frame is the difference of two
+    prefix results.  Each row sends a probe to the time where its frame begins; one ordered scan
+    gives rows and probes their prefix, and both meet again by the row's key.
+    """
+    by, us = series.by, span_micros(span)
+    open_low, high = CLOSED[closed]
+    row_id = F.struct(*[F.col(c).alias(c) for c in [*by, *series.order]])
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    # A frame over [a, b] in microseconds: everything up to b, less everything before a.
+    kinds = [("_hi", at + high), ("_lo", at - us + open_low - 1)]
+    probes = df.select(
+        *by, row_id.alias("_id"),
+        F.inline(F.array(*[F.struct(F.lit(n).alias("_kind"), moment.alias("_us")) for n, moment in kinds])),
+    )
+    facts = df.select(*by, at.alias("_us"), F.col(col).alias("_v"))
+    # At equal times facts are scanned before probes, so that a probe sees them.
+    both = facts.withColumn("_probe", F.lit(0)).unionByName(probes.withColumn("_probe", F.lit(1)), allowMissingColumns=True)
+    clock = F.timestamp_micros(F.col("_us")).cast("timestamp_ntz")
+    shaped = both.withColumn(ts, clock)
+    prefix = running(
+        shaped, Series(by, ["_us", "_probe", "_kind", "_id"], series.bucket), {"_n": ("count", F.col("_v")), "_s": ("sum", F.col("_v"))}
+    ).filter(F.col("_probe") == 1)
+
+    def pick(kind: str, name: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("_kind") == kind, F.col(name))), F.lit(0))
+
+    frames = prefix.groupBy("_id").agg((pick("_hi", "_n") - pick("_lo", "_n")).alias("count"), (pick("_hi", "_s") - pick("_lo", "_s")).alias("_sum"))
+    some = F.col("count") > 0
+    return frames.select(
+        "_id.*", F.when(some, F.col("count")).alias("count"), F.when(some, F.col("_sum")).alias("sum"), F.when(some, F.col("_sum") / F.col("count")).alias("mean")
+    )
+
+
 def rolling_pair(df: DataFrame, series: Series, x: str, y: str, n: int, *, block: int = 65536) -> DataFrame:
     """Covariance and correlation over frames of ``n`` rows with both values."""
     frame = row_frame(df, series, before=n - 1, block=block)

@@ -17,7 +17,7 @@ from wardflow.plans.census import daily_census
 from wardflow.plans.discharges import discharges
 from wardflow.plans.history import build_history
 from wardflow.sources import landing
-from wardflow.sources.tables import refresh_views, report, write_counted
+from wardflow.sources.tables import load_staging, refresh_views, report, write_counted
 
 FORM_TABLES = ["ama_forms", "admin_discharge", "detox_forms"]
 KEYS = {"latest": "casefile_id", "ama_forms": "form_id", "admin_discharge": "form_id", "detox_forms": "form_id"}
@@ -59,6 +59,8 @@ def run(
         if name == "detox_forms":
             rows = landing.detox_forms(rows, landing.step_down_values(landed["detox_details"]))
         staged[name] = rows
+    # Several steps read a pull; staged as a table, its JSON is parsed once.
+    staged = {name: load_staging(df, f"{folder}/staging/{name}") for name, df in staged.items()}
     # Changed cases are found against the old state, before it is merged.
     work = changed_keys(
         staged["latest"], current["latest"], key="casefile_id", compare="program", columns=["casefile_id"]

@@ -79,18 +79,17 @@ def _(t):
     return exact.join(near, G).select(*G, F.col("p").between(F.col("a"), F.col("b")).alias("close"))
 
 
-SERIES = dict(by=["user_id"], ts="ts", ties="event_id")
 
 
-def by_user():
-    return Series.by_time(["user_id"], "ts", "event_id")
+def by_user(t):
+    return Series.fitted(t.events, ["user_id"], "ts", "event_id")
 
 
 for _n, _order in [(2, "ts, event_id"), (-1, "ts DESC, event_id DESC")]:
     query(
         f"b_a6_nth_{'last' if _n < 0 else _n}",
         f"SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {_order}) AS n FROM events) WHERE n = {_n + 1 if _n >= 0 else -_n}",
-    )(lambda t, n=_n: A.nth(t.events.select("user_id", "ts", "event_id", "value"), by_user(), n).select("user_id", "event_id", "value"))
+    )(lambda t, n=_n: A.nth(t.events.select("user_id", "ts", "event_id", "value"), by_user(t), n).select("user_id", "event_id", "value"))
 query("b_a8_value_shares", "SELECT o_orderstatus, o_orderpriority, count(*) AS count, round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderstatus), 10) AS proportion FROM orders GROUP BY 1, 2")(
     lambda t: A.value_shares(t.orders, ["o_orderstatus"], "o_orderpriority").withColumn("proportion", F.round("proportion", 10))
 )

@@ -68,28 +68,28 @@ query("b_a7_row_of_extreme", "SELECT user_id, arg_max(event_type, (value, -event
 O = "PARTITION BY user_id ORDER BY ts, event_id"
 
 
-def by_user():
-    return Series.by_time(["user_id"], "ts", "event_id")
+def by_user(t):
+    return Series.fitted(t.events, ["user_id"], "ts", "event_id")
 
 
 query("b_a17_group_and_row_numbers", f"SELECT event_id, dense_rank() OVER (ORDER BY user_id) - 1 AS ngroup, row_number() OVER ({O}) - 1 AS cumcount FROM events")(
-    lambda t: position(A.group_numbers(t.events.select("event_id", "user_id", "ts"), "user_id"), by_user(), "p").select("event_id", "ngroup", (F.col("p") - 1).alias("cumcount"))
+    lambda t: position(A.group_numbers(t.events.select("event_id", "user_id", "ts"), "user_id"), by_user(t), "p").select("event_id", "ngroup", (F.col("p") - 1).alias("cumcount"))
 )
 query(
     "b_w12_cumulative",
     f"SELECT event_id, round(sum(value) OVER w, 4) AS total, round(product(1 + value / 10000) OVER w, 8) AS growth, min(value) OVER w AS low, max(value) OVER w AS high FROM events WINDOW w AS ({O} ROWS UNBOUNDED PRECEDING)",
 )(
     lambda t: W.cumulative(
-        W.cumulative(t.events.withColumn("f", 1 + F.col("value") / 10000), by_user(), "value", {"total": "sum", "low": "min", "high": "max"}), by_user(), "f", {"growth": "product"}
+        W.cumulative(t.events.withColumn("f", 1 + F.col("value") / 10000), by_user(t), "value", {"total": "sum", "low": "min", "high": "max"}), by_user(t), "f", {"growth": "product"}
     ).select("event_id", F.round("total", 4).alias("total"), F.round("growth", 8).alias("growth"), "low", "high")
 )
 query("b_w13_shift_diff_change", f"SELECT event_id, lag(value, 3) OVER ({O}) AS back, round(value - lag(value) OVER ({O}), 6) AS diff, round(sqrt(value) / lag(sqrt(value), 2) OVER ({O}) - 1, 5) AS change FROM events")(
-    lambda t: W.percent_change(W.difference(W.shift(t.events.selectExpr("event_id", "user_id", "ts", "value", "sqrt(value) AS r"), by_user(), "value", 3, "back"), by_user(), "value"), by_user(), "r", 2, "change")
+    lambda t: W.percent_change(W.difference(W.shift(t.events.selectExpr("event_id", "user_id", "ts", "value", "sqrt(value) AS r"), by_user(t), "value", 3, "back"), by_user(t), "value"), by_user(t), "r", 2, "change")
     .select("event_id", "back", F.round("diff", 6).alias("diff"), F.round("change", 5).alias("change"))
 )
 query("b_m1_fill_by_column", f"SELECT o_orderkey, coalesce({NULLED}, 'none') AS status, coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END, 0) AS price FROM orders")(
     lambda t: t.orders.selectExpr("o_orderkey", f"{NULLED} AS status", "CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price").fillna({"status": "none", "price": 0.0})
 )
 query("b_o6_consecutive_differences", f"SELECT event_id, epoch_us(ts) - epoch_us(lag(ts) OVER ({O})) AS gap FROM events")(
-    lambda t: W.difference(t.events.select("event_id", "user_id", "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")), by_user(), "us", 1, "gap").select("event_id", "gap")
+    lambda t: W.difference(t.events.select("event_id", "user_id", "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")), by_user(t), "us", 1, "gap").select("event_id", "gap")
 )

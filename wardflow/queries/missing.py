@@ -13,8 +13,8 @@ NEAR = f"""{X}, y AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN {{n: n,
   first_value(CASE WHEN v IS NOT NULL THEN {{n: n, t: epoch_us(ts), v: v}} END IGNORE NULLS) OVER ({O} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS q FROM x)"""
 
 
-def series():
-    return Series.by_time(["user_id"], "ts", "event_id")
+def series(t):
+    return Series.fitted(t.events, ["user_id"], "ts", "event_id")
 
 
 def rows(t):
@@ -26,29 +26,29 @@ def near(expr):
 
 
 query("b_a23_fillna", f"SELECT event_id, coalesce({GAP}, 0) AS v FROM events")(lambda t: rows(t).fillna({"v": 0.0}).select("event_id", "v"))
-query("b_a23_ffill", near("p.v"))(lambda t: M.fill(rows(t), series(), "v").select("event_id", "v"))
-query("b_a23_bfill", near("q.v"))(lambda t: M.fill(rows(t), series(), "v", backward=True).select("event_id", "v"))
-query("b_m2_ffill_many_columns", near("p.v"))(lambda t: M.carry_forward(rows(t), series(), ["v"]).select("event_id", "v"))
-query("b_m2_ffill_limit", near("CASE WHEN n - p.n <= 1 THEN p.v END"))(lambda t: M.fill(rows(t), series(), "v", limit=1).select("event_id", "v"))
+query("b_a23_ffill", near("p.v"))(lambda t: M.fill(rows(t), series(t), "v").select("event_id", "v"))
+query("b_a23_bfill", near("q.v"))(lambda t: M.fill(rows(t), series(t), "v", backward=True).select("event_id", "v"))
+query("b_m2_ffill_many_columns", near("p.v"))(lambda t: M.carry_forward(rows(t), series(t), ["v"]).select("event_id", "v"))
+query("b_m2_ffill_limit", near("CASE WHEN n - p.n <= 1 THEN p.v END"))(lambda t: M.fill(rows(t), series(t), "v", limit=1).select("event_id", "v"))
 query("b_m2_bfill_limit_inside", near("CASE WHEN q.n - n <= 2 AND p IS NOT NULL THEN q.v END"))(
-    lambda t: M.fill(rows(t), series(), "v", backward=True, limit=2, area="inside").select("event_id", "v")
+    lambda t: M.fill(rows(t), series(t), "v", backward=True, limit=2, area="inside").select("event_id", "v")
 )
 query("b_m2_ffill_outside", near("CASE WHEN v IS NOT NULL THEN v WHEN q IS NULL THEN p.v END"))(
-    lambda t: M.fill(rows(t), series(), "v", area="outside").select("event_id", "v")
+    lambda t: M.fill(rows(t), series(t), "v", area="outside").select("event_id", "v")
 )
 LINE = "CASE WHEN v IS NOT NULL THEN v WHEN p IS NULL THEN q.v WHEN q IS NULL THEN p.v ELSE p.v + (q.v - p.v) * (({at} - p.{k}) / CAST(q.{k} - p.{k} AS DOUBLE)) END"
 ROW_LINE, TIME_LINE = LINE.format(at="n", k="n"), LINE.format(at="epoch_us(ts)", k="t")
 query("b_m3_interpolate_rows", near(f"round(CASE WHEN p IS NOT NULL THEN {ROW_LINE} END, 7)"))(
-    lambda t: M.interpolate(rows(t), series(), "v", "w").select("event_id", F.round("w", 7).alias("v"))
+    lambda t: M.interpolate(rows(t), series(t), "v", "w").select("event_id", F.round("w", 7).alias("v"))
 )
 query("b_m3_interpolate_time", near(f"round(CASE WHEN p IS NOT NULL THEN {TIME_LINE} END, 7)"))(
-    lambda t: M.interpolate(rows(t), series(), "v", "w", ts="ts").select("event_id", F.round("w", 7).alias("v"))
+    lambda t: M.interpolate(rows(t), series(t), "v", "w", ts="ts").select("event_id", F.round("w", 7).alias("v"))
 )
 query("b_m3_interpolate_limit_both", near(f"round(CASE WHEN n - p.n <= 1 OR q.n - n <= 1 THEN {ROW_LINE} END, 7)"))(
-    lambda t: M.interpolate(rows(t), series(), "v", "w", limit=1, direction="both").select("event_id", F.round("w", 7).alias("v"))
+    lambda t: M.interpolate(rows(t), series(t), "v", "w", limit=1, direction="both").select("event_id", F.round("w", 7).alias("v"))
 )
 query("b_m3_interpolate_backward_inside", near(f"round(CASE WHEN p IS NOT NULL AND q.n - n <= 2 THEN {ROW_LINE} END, 7)"))(
-    lambda t: M.interpolate(rows(t), series(), "v", "w", limit=2, direction="backward", area="inside").select("event_id", F.round("w", 7).alias("v"))
+    lambda t: M.interpolate(rows(t), series(t), "v", "w", limit=2, direction="backward", area="inside").select("event_id", F.round("w", 7).alias("v"))
 )
 query("b_m4_drop_rows", "SELECT event_id FROM (SELECT event_id, " + GAP + " AS v, CASE WHEN value > 20 THEN value END AS w FROM events) WHERE v IS NOT NULL OR w IS NOT NULL")(
     lambda t: rows(t).withColumn("w", F.when(F.col("value") > 20, F.col("value"))).dropna(thresh=1, subset=["v", "w"]).select("event_id")

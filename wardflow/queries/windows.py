@@ -11,8 +11,8 @@ GAP = "CASE WHEN event_id % 5 <> 0 THEN value / 7.919 END"
 X = f"x AS (SELECT event_id, user_id, ts, event_type, value / 7.919 AS value, {GAP} AS v, length(props) + value / 7.919 AS u FROM events)"
 
 
-def series():
-    return Series.by_time(["user_id"], "ts", "event_id")
+def series(t):
+    return Series.fitted(t.events, ["user_id"], "ts", "event_id")
 
 
 def rows(t):
@@ -43,7 +43,7 @@ def body(items, n):
 
 
 query("b_w1_rolling_rows", sql(body(BASIC, 3)))(
-    lambda t: out(W.rolling(rows(t), series(), "v", 5, {k: W.KERNELS[k] for k in BASIC}, min_periods=3), *BASIC)
+    lambda t: out(W.rolling(rows(t), series(t), "v", 5, {k: W.KERNELS[k] for k in BASIC}, min_periods=3), *BASIC)
 )
 SPAN = "RANGE BETWEEN INTERVAL 24 HOUR {a} PRECEDING AND {b}"
 FRAMES = {
@@ -56,26 +56,30 @@ for _closed, _frame in FRAMES.items():
     query(f"b_w2_rolling_time_{_closed}", sql(body({"sum": "sum(v) OVER w", "mean": "avg(v) OVER w", "count": "count(v) OVER w"}, 1), f"(PARTITION BY user_id ORDER BY ts {_frame})"))(
         lambda t, c=_closed: out(W.rolling_time(rows(t), ["user_id"], "ts", "v", "24 hours", {k: W.KERNELS[k] for k in ("sum", "mean", "count")}, closed=c), "sum", "mean", "count")
     )
+for _closed, _frame in FRAMES.items():
+    query(f"b_w2_rolling_time_sums_{_closed}", sql(body({"sum": "sum(v) OVER w", "mean": "avg(v) OVER w", "count": "count(v) OVER w"}, 1), f"(PARTITION BY user_id ORDER BY ts {_frame})"))(
+        lambda t, c=_closed: out(W.rolling_time_sums(rows(t), series(t), "ts", "v", "24 hours", closed=c), "sum", "mean", "count")
+    )
 query("b_w3_rolling_centred", sql(body({"mean": BASIC["mean"]}, 3), f"({O} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)"))(
-    lambda t: out(W.rolling(rows(t), series(), "v", 5, {"mean": W.KERNELS["mean"]}, min_periods=3, center=True), "mean")
+    lambda t: out(W.rolling(rows(t), series(t), "v", 5, {"mean": W.KERNELS["mean"]}, min_periods=3, center=True), "mean")
 )
 query("b_w3_rolling_forward", sql(body({"sum": BASIC["sum"], "max": BASIC["max"]}, 3), f"({O} ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)"))(
-    lambda t: out(W.rolling(rows(t), series(), "v", 5, {k: W.KERNELS[k] for k in ("sum", "max")}, min_periods=3, forward=True), "sum", "max")
+    lambda t: out(W.rolling(rows(t), series(t), "v", 5, {k: W.KERNELS[k] for k in ("sum", "max")}, min_periods=3, forward=True), "sum", "max")
 )
 query("b_w3_rolling_step", f"SELECT event_id, sum FROM (WITH {X} SELECT event_id, {least(3, 'sum(v) OVER w')} AS sum, row_number() OVER (ORDER BY user_id, ts, event_id) AS dummy, row_number() OVER ({O}) AS n FROM x WINDOW w AS {ROLL}) WHERE (n - 1) % 3 = 0")(
-    lambda t: out(W.rolling(rows(t), series(), "v", 5, {"sum": W.KERNELS["sum"]}, min_periods=3, step=3), "sum")
+    lambda t: out(W.rolling(rows(t), series(t), "v", 5, {"sum": W.KERNELS["sum"]}, min_periods=3, step=3), "sum")
 )
 query("b_w4_rolling_median_quantile", sql(body({"median": "quantile_cont(v, 0.5) OVER w", "q25": "quantile_cont(v, 0.25) OVER w"}, 3)))(
-    lambda t: out(W.rolling(rows(t), series(), "v", 5, {"median": W.KERNELS["median"], "q25": W.quantile_kernel(0.25)}, min_periods=3), "median", "q25")
+    lambda t: out(W.rolling(rows(t), series(t), "v", 5, {"median": W.KERNELS["median"], "q25": W.quantile_kernel(0.25)}, min_periods=3), "median", "q25")
 )
 RANK = "CASE WHEN v IS NOT NULL THEN len(list_filter(list(v) OVER w, lambda e: e < v)) + (len(list_filter(list(v) OVER w, lambda e: e = v)) + 1) / 2.0 END"
-query("b_w4_rolling_rank", sql(f"{least(3, RANK)} AS rank"))(lambda t: out(W.rolling(rows(t), series(), "v", 5, {"rank": W.KERNELS["rank"]}, min_periods=3), "rank"))
+query("b_w4_rolling_rank", sql(f"{least(3, RANK)} AS rank"))(lambda t: out(W.rolling(rows(t), series(t), "v", 5, {"rank": W.KERNELS["rank"]}, min_periods=3), "rank"))
 ROLL8 = f"({O} ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)"
 query("b_w5_rolling_skew_kurt", sql(body({"skew": "skewness(v) OVER w", "kurt": "kurtosis(v) OVER w"}, 4), ROLL8))(
-    lambda t: out(W.rolling(rows(t), series(), "v", 8, {k: W.KERNELS[k] for k in ("skew", "kurt")}, min_periods=4), "skew", "kurt")
+    lambda t: out(W.rolling(rows(t), series(t), "v", 8, {k: W.KERNELS[k] for k in ("skew", "kurt")}, min_periods=4), "skew", "kurt")
 )
 query("b_w6_rolling_cov_corr", f"WITH {X} SELECT event_id, CASE WHEN count(*) OVER w >= 5 THEN round(covar_samp(value, u) OVER w, 6) END AS cov, CASE WHEN count(*) OVER w >= 5 THEN round(corr(value, u) OVER w, 6) END AS corr FROM x WINDOW w AS {ROLL}")(
-    lambda t: out(W.rolling_pair(rows(t), series(), "value", "u", 5), "cov", "corr")
+    lambda t: out(W.rolling_pair(rows(t), series(t), "value", "u", 5), "cov", "corr")
 )
 for _shape in ("triang", "hamming", "gaussian"):
     _w = W.window_weights(_shape, 5, 1.5)
@@ -85,21 +89,21 @@ for _shape in ("triang", "hamming", "gaussian"):
     _var = "(" + " + ".join(f"{w!r} * pow(a{i} - m, 2)" for i, w in enumerate(_w)) + f") * 5 / (4 * {sum(_w)!r})"
     _cols = ", ".join(f"{x} AS a{i}" for i, x in enumerate(_lags))
     query(f"b_w7_rolling_weighted_{_shape}", f"WITH {X}, y AS (SELECT event_id, {_cols}, {_sum} AS s, {_mean} AS m FROM x) SELECT event_id, round(s, 6) AS wsum, round(m, 6) AS wmean, round({_var}, 6) AS wvar FROM y")(
-        lambda t, w=tuple(_w): out(W.rolling_weighted(rows(t), series(), "value", list(w)), "wsum", "wmean", "wvar")
+        lambda t, w=tuple(_w): out(W.rolling_weighted(rows(t), series(t), "value", list(w)), "wsum", "wmean", "wvar")
     )
 query("b_w8_rolling_own_function", f"WITH {X} SELECT event_id, CASE WHEN count(*) OVER w >= 5 THEN round(max(value) OVER w - min(value) OVER w, 6) END AS spread FROM x WINDOW w AS {ROLL}")(
-    lambda t: out(W.rolling_apply(rows(t), series(), "value", 5, lambda s: float(s.max() - s.min()), "spread"), "spread")
+    lambda t: out(W.rolling_apply(rows(t), series(t), "value", 5, lambda s: float(s.max() - s.min()), "spread"), "spread")
 )
 EXP = f"({O} ROWS UNBOUNDED PRECEDING)"
 EXPANDING = {**BASIC, "sem": "stddev_samp(v) OVER w / sqrt(count(v) OVER w - 1)"}
 query("b_w9_expanding", sql(", ".join((f"{e} AS {k}" if k == "count" else f"{least(2, e)} AS {k}") for k, e in EXPANDING.items()), EXP))(
-    lambda t: out(W.expanding(rows(t), series(), "v", list(EXPANDING), min_periods=2), *EXPANDING)
+    lambda t: out(W.expanding(rows(t), series(t), "v", list(EXPANDING), min_periods=2), *EXPANDING)
 )
 query("b_w9_expanding_skew_kurt", sql(body({"skew": "skewness(v) OVER w", "kurt": "kurtosis(v) OVER w"}, 5), EXP).replace(", 6) END", ", 5) END"))(
-    lambda t: out(W.expanding(rows(t), series(), "v", ["skew", "kurt"], min_periods=5), "skew", "kurt", digits=5)
+    lambda t: out(W.expanding(rows(t), series(t), "v", ["skew", "kurt"], min_periods=5), "skew", "kurt", digits=5)
 )
 query("b_w9_expanding_cov_corr", f"WITH {X} SELECT event_id, round(covar_samp(value, u) OVER w, 6) AS cov, CASE WHEN count(*) OVER w > 1 THEN round(corr(value, u) OVER w, 6) END AS corr FROM x WINDOW w AS {EXP}")(
-    lambda t: out(W.expanding_pair(rows(t), series(), "value", "u"), "cov", "corr")
+    lambda t: out(W.expanding_pair(rows(t), series(t), "value", "u"), "cov", "corr")
 )
 DAYS = "d AS (SELECT user_id, CAST(ts AS DATE) AS day, round(sum(value), 4) AS total FROM events GROUP BY 1, 2)"
 DRANK = "len(list_filter(list(total) OVER w, lambda e: e < total)) + (len(list_filter(list(total) OVER w, lambda e: e = total)) + 1) / 2.0"
@@ -127,25 +131,25 @@ p AS (SELECT c.event_id, c.k AS k, sum({w}) AS s0, sum({w} * p.v) AS s1, sum({w}
 ALL_ROWS = " FROM events LEFT JOIN p USING (event_id)"
 # At a NULL row the sums have decayed alike, so ratios repeat the last result.
 query("b_w10_ewm_mean", pairs() + " SELECT event_id, round(s1 / s0, 6) AS mean" + ALL_ROWS)(
-    lambda t: out(W.ewm(rows(t), series(), "v", ["mean"], alpha=0.3), "mean")
+    lambda t: out(W.ewm(rows(t), series(t), "v", ["mean"], alpha=0.3), "mean")
 )
 query("b_w10_ewm_mean_span", pairs(alpha=2 / 11) + " SELECT event_id, round(s1 / s0, 6) AS mean" + ALL_ROWS)(
-    lambda t: out(W.ewm(rows(t), series(), "v", ["mean"], alpha=W.decay_rate(span=10)), "mean")
+    lambda t: out(W.ewm(rows(t), series(t), "v", ["mean"], alpha=W.decay_rate(span=10)), "mean")
 )
 query("b_w10_ewm_mean_ignore_na", pairs(decay="pow(1 - {a}, c.k - p.k)") + " SELECT event_id, round(s1 / s0, 6) AS mean" + ALL_ROWS)(
-    lambda t: out(W.ewm(rows(t), series(), "v", ["mean"], alpha=0.3, ignore_na=True), "mean")
+    lambda t: out(W.ewm(rows(t), series(t), "v", ["mean"], alpha=0.3, ignore_na=True), "mean")
 )
 query("b_w10_ewm_var_std", pairs() + " SELECT event_id, CASE WHEN k > 1 THEN round((s2 / s0 - pow(s1 / s0, 2)) * s0 * s0 / (s0 * s0 - ww), 5) END AS var, CASE WHEN k > 1 THEN round(sqrt(greatest(0, (s2 / s0 - pow(s1 / s0, 2)) * s0 * s0 / (s0 * s0 - ww))), 5) END AS std" + ALL_ROWS)(
-    lambda t: out(W.ewm(rows(t), series(), "v", ["var", "std"], alpha=0.3), "var", "std", digits=5)
+    lambda t: out(W.ewm(rows(t), series(t), "v", ["var", "std"], alpha=0.3), "var", "std", digits=5)
 )
 query("b_w10_ewm_cov_corr", pairs() + " SELECT event_id, CASE WHEN k > 1 THEN round((svu / s0 - s1 / s0 * su / s0) * s0 * s0 / (s0 * s0 - ww), 5) END AS cov, CASE WHEN k > 1 THEN round((svu / s0 - s1 / s0 * su / s0) / CASE WHEN least(s2 / s0 - pow(s1 / s0, 2), suu / s0 - pow(su / s0, 2)) > 1e-9 THEN sqrt((s2 / s0 - pow(s1 / s0, 2)) * (suu / s0 - pow(su / s0, 2))) END, 5) END AS corr" + ALL_ROWS)(
-    lambda t: out(W.ewm(rows(t), series(), "v", ["cov", "corr"], alpha=0.3, other="u"), "cov", "corr", digits=5)
+    lambda t: out(W.ewm(rows(t), series(t), "v", ["cov", "corr"], alpha=0.3, other="u"), "cov", "corr", digits=5)
 )
 query("b_w10_ewm_sum", pairs().replace("p.v", "p.value") + " SELECT event_id, round(s1, 5) AS sum" + ALL_ROWS)(
-    lambda t: out(W.ewm(rows(t), series(), "value", ["sum"], alpha=0.3), "sum", digits=5)
+    lambda t: out(W.ewm(rows(t), series(t), "value", ["sum"], alpha=0.3), "sum", digits=5)
 )
 query("b_w10_ewm_mean_by_time", pairs(decay="pow(0.5, (epoch_us(c.ts) - epoch_us(p.ts)) / 172800000000.0)") + " SELECT event_id, round(s1 / s0, 6) AS mean" + ALL_ROWS)(
-    lambda t: out(W.ewm(rows(t), series(), "v", ["mean"], halflife_time="2 days", ts="ts"), "mean")
+    lambda t: out(W.ewm(rows(t), series(t), "v", ["mean"], halflife_time="2 days", ts="ts"), "mean")
 )
 query(
     "b_w10_ewm_mean_recursive",
@@ -153,7 +157,7 @@ query(
 r AS (SELECT user_id, event_id, n, value AS m FROM n WHERE n = 1 UNION ALL
   SELECT n.user_id, n.event_id, n.n, 0.7 * r.m + 0.3 * n.value FROM r JOIN n ON n.user_id = r.user_id AND n.n = r.n + 1)
 SELECT event_id, round(m, 6) AS mean FROM r""",
-)(lambda t: out(W.ewm(rows(t), series(), "value", ["mean"], alpha=0.3, adjust=False), "mean"))
+)(lambda t: out(W.ewm(rows(t), series(t), "value", ["mean"], alpha=0.3, adjust=False), "mean"))
 query(
     "b_w10_ewm_mean_recursive_gaps",
     f"""WITH RECURSIVE {X}, q AS (SELECT *, row_number() OVER ({O}) AS n FROM x),
@@ -161,26 +165,26 @@ n AS (SELECT *, n - lag(n) OVER (PARTITION BY user_id ORDER BY n) AS k, row_numb
 r AS (SELECT user_id, event_id, n, i, v AS m FROM n WHERE i = 1 UNION ALL
   SELECT n.user_id, n.event_id, n.n, n.i, (pow(0.7, n.k) * r.m + 0.3 * n.v) / (pow(0.7, n.k) + 0.3) FROM r JOIN n ON n.user_id = r.user_id AND n.i = r.i + 1)
 SELECT q.event_id, round(last_value(r.m IGNORE NULLS) OVER (PARTITION BY q.user_id ORDER BY q.n ROWS UNBOUNDED PRECEDING), 6) AS mean FROM q LEFT JOIN r USING (event_id)""",
-)(lambda t: out(W.ewm(rows(t), series(), "v", ["mean"], alpha=0.3, adjust=False), "mean"))
+)(lambda t: out(W.ewm(rows(t), series(t), "v", ["mean"], alpha=0.3, adjust=False), "mean"))
 
 # Cumulative results and neighbours
 CUM = {"cumsum": ("sum", "sum(v) OVER w"), "cummin": ("min", "min(v) OVER w"), "cummax": ("max", "max(v) OVER w")}
 for _name, (_kind, _e) in CUM.items():
     query(f"b_a23_{_name}", sql(f"CASE WHEN v IS NOT NULL THEN round({_e}, 4) END AS {_name}", EXP))(
-        lambda t, n=_name, k=_kind: out(W.cumulative(rows(t), series(), "v", {n: k}), n, digits=4)
+        lambda t, n=_name, k=_kind: out(W.cumulative(rows(t), series(t), "v", {n: k}), n, digits=4)
     )
 query("b_a23_cumprod", f"SELECT event_id, round(product(1 + value / 10000) OVER ({O} ROWS UNBOUNDED PRECEDING), 8) AS cumprod FROM events")(
-    lambda t: out(W.cumulative(t.events.withColumn("f", 1 + F.col("value") / 10000), series(), "f", {"cumprod": "product"}), "cumprod", digits=8)
+    lambda t: out(W.cumulative(t.events.withColumn("f", 1 + F.col("value") / 10000), series(t), "f", {"cumprod": "product"}), "cumprod", digits=8)
 )
 query("b_a23_cumcount", f"SELECT event_id, row_number() OVER ({O}) - 1 AS cumcount FROM events")(
-    lambda t: position(rows(t), series(), "p").select("event_id", (F.col("p") - 1).alias("cumcount"))
+    lambda t: position(rows(t), series(t), "p").select("event_id", (F.col("p") - 1).alias("cumcount"))
 )
 query("b_a23_shift", f"SELECT event_id, lag(value, 2, -1) OVER ({O}) AS back, lead(value, 1) OVER ({O}) AS ahead FROM (SELECT event_id, user_id, ts, value / 7.919 AS value FROM events)")(
-    lambda t: W.shift(W.shift(rows(t), series(), "value", 2, "back", -1.0), series(), "value", -1, "ahead").select("event_id", "back", "ahead")
+    lambda t: W.shift(W.shift(rows(t), series(t), "value", 2, "back", -1.0), series(t), "value", -1, "ahead").select("event_id", "back", "ahead")
 )
-query("b_a23_diff", f"WITH {X} SELECT event_id, round(v - lag(v, 2) OVER ({O}), 6) AS diff FROM x")(lambda t: out(W.difference(rows(t), series(), "v", 2), "diff"))
+query("b_a23_diff", f"WITH {X} SELECT event_id, round(v - lag(v, 2) OVER ({O}), 6) AS diff FROM x")(lambda t: out(W.difference(rows(t), series(t), "v", 2), "diff"))
 query("b_a23_pct_change", f"SELECT event_id, round(value / lag(value) OVER ({O}) - 1, 6) AS pct_change FROM events")(
-    lambda t: out(W.percent_change(rows(t), series(), "value"), "pct_change")
+    lambda t: out(W.percent_change(rows(t), series(t), "value"), "pct_change")
 )
 RK = "PARTITION BY event_type ORDER BY q"
 RANKED = "(SELECT event_id, event_type, floor(value) AS q, CASE WHEN event_id % 5 <> 0 THEN floor(value) END AS g FROM events)"
@@ -212,14 +216,14 @@ for _nulls, _pos in [("top", "FIRST"), ("bottom", "LAST")]:
         lambda t, n=_nulls: R.ranks(ranked(t), ["event_type"], "g", nulls=n).select("event_id", "rank")
     )
 NUMBERED = f"(SELECT event_id, row_number() OVER ({O}) AS a, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS z FROM events)"
-query("b_w15_group_head", f"SELECT event_id FROM {NUMBERED} WHERE a <= 3")(lambda t: W.head(rows(t), series(), 3).select("event_id"))
-query("b_w15_group_tail", f"SELECT event_id FROM {NUMBERED} WHERE z <= 2")(lambda t: W.tail(rows(t), series(), 2).select("event_id"))
-query("b_w15_group_head_negative", f"SELECT event_id FROM {NUMBERED} WHERE z > 4")(lambda t: W.head(rows(t), series(), -4).select("event_id"))
+query("b_w15_group_head", f"SELECT event_id FROM {NUMBERED} WHERE a <= 3")(lambda t: W.head(rows(t), series(t), 3).select("event_id"))
+query("b_w15_group_tail", f"SELECT event_id FROM {NUMBERED} WHERE z <= 2")(lambda t: W.tail(rows(t), series(t), 2).select("event_id"))
+query("b_w15_group_head_negative", f"SELECT event_id FROM {NUMBERED} WHERE z > 4")(lambda t: W.head(rows(t), series(t), -4).select("event_id"))
 query("b_w15_group_slice", f"SELECT event_id FROM {NUMBERED} WHERE a - 1 >= 2 AND a - 1 < 11 AND (a - 3) % 3 = 0")(
-    lambda t: W.rows_between(rows(t), series(), 2, 11, 3).select("event_id")
+    lambda t: W.rows_between(rows(t), series(t), 2, 11, 3).select("event_id")
 )
 query("b_w16_autocorrelation", f"SELECT user_id, round(corr(value, p), 8) AS autocorr FROM (SELECT user_id, value, lag(value, 2) OVER ({O}) AS p FROM events) GROUP BY 1")(
-    lambda t: W.autocorrelation(rows(t), series(), "value", 2).withColumn("autocorr", F.round("autocorr", 8))
+    lambda t: W.autocorrelation(rows(t), series(t), "value", 2).withColumn("autocorr", F.round("autocorr", 8))
 )
 US = "epoch_us(ts)"
 
@@ -229,10 +233,10 @@ def timed(t):
 
 
 query("b_w17_trapezoid", f"SELECT user_id, round(sum((us - pus) / 3.6e9 * (value + pv) / 2), 6) AS area FROM (SELECT user_id, {US} AS us, lag({US}) OVER ({O}) AS pus, value / 7.919 AS value, lag(value / 7.919) OVER ({O}) AS pv FROM events) GROUP BY 1")(
-    lambda t: W.trapezoid(timed(t), series(), "us", "value").withColumn("area", F.round(F.col("area") / 3.6e9, 6))
+    lambda t: W.trapezoid(timed(t), series(t), "us", "value").withColumn("area", F.round(F.col("area") / 3.6e9, 6))
 )
 query(
     "b_w17_gradient",
     f"""WITH {X}, d AS (SELECT event_id, value AS y, lag(value) OVER ({O}) AS a, lead(value) OVER ({O}) AS b, (epoch_us(ts) - epoch_us(lag(ts) OVER ({O}))) / 3.6e9 AS hs, (epoch_us(lead(ts) OVER ({O})) - epoch_us(ts)) / 3.6e9 AS hd FROM x)
 SELECT event_id, round(CASE WHEN hs IS NULL THEN (b - y) / hd WHEN hd IS NULL THEN (y - a) / hs ELSE (hd * ((y - a) / hs) + hs * ((b - y) / hd)) / (hs + hd) END, 5) AS gradient FROM d""",
-)(lambda t: W.gradient(timed(t), series(), "us", "value").select("event_id", F.round(F.col("gradient") * 3.6e9, 5).alias("gradient")))
+)(lambda t: W.gradient(timed(t), series(t), "us", "value").select("event_id", F.round(F.col("gradient") * 3.6e9, 5).alias("gradient")))
