@@ -369,7 +369,7 @@ def _(t):
     steps = {
         "history": lambda _: history(t),
         "census": lambda v: daily_census(v["history"], start=SPINE[0], end=SPINE[1]),
-        "broken": lambda v: v["history"].select("no_such_column"),
+        "broken": lambda v: v["no_such_view"],
         "discharges": lambda v: discharges(v["history"], t.case_state(), t.discharge_types(), t.forms("ama"), t.forms("admin")),
     }
     return S.refresh_views(t.spark, steps, scratch_dir(t.spark))[1].drop("error")
