@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from wardflow.operators.keys import join_null_safe, with_one_row
 from wardflow.operators.ordered import GROUP_LIMIT, Series, edges_below, first_rows, position, value_bucket
 from wardflow.operators.ranks import quantiles, ranks
+from wardflow.session import settle
 
 
 def _c(col: Column | str) -> Column:
@@ -168,7 +169,7 @@ def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schem
 def spearman(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     """Correlation of average ranks over rows that have both values."""
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = ranks(ranks(both, by, x, "_rx"), by, y, "_ry")
+    ranked = ranks(settle(ranks(both, by, x, "_rx")), by, y, "_ry")
     return ranked.groupBy(*by).agg(F.corr("_rx", "_ry").alias("spearman"))
 
 

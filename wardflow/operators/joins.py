@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.operators.keys import join_null_safe
 from wardflow.operators.ordered import Series, micros, running, span_micros, time_bucket
+from wardflow.session import settle
 
 
 def hash_join(
@@ -77,7 +78,7 @@ def asof_join(
     args = dict(on=on, by=by, ties=list(ties), exact=exact, width=width, carry=list(columns))
     if direction == "nearest":
         # The left rows of the first scan, with their match, are the left side of the second.
-        first = _asof_one_way(left, right, backward=True, **args).select("_left.*", F.col("_match").alias("_before"))
+        first = settle(_asof_one_way(left, right, backward=True, **args).select("_left.*", F.col("_match").alias("_before")))
         both = _asof_one_way(first, right, backward=False, **args).select(
             *[F.col(f"_left.{c}").alias(c) for c in left.columns], F.col("_left._before").alias("_before"), F.col("_match").alias("_after")
         )

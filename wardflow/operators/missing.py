@@ -6,17 +6,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.operators.keys import join_null_safe
 from wardflow.operators.ordered import Series, micros, position, running
+from wardflow.session import settle
 
 
 def _neighbours(df: DataFrame, series: Series, col: str, at: Column, *, number: bool, prev: bool = True, nxt: bool = True) -> DataFrame:
     """Add ``_prev`` and ``_next``: place and value of the nearest values on either side (or the row's own)."""
-    rows = position(df, series) if number else df.withColumn("_pos", F.lit(0))
+    rows = settle(position(df, series)) if number else df.withColumn("_pos", F.lit(0))
     mark = F.when(F.col(col).isNotNull(), F.struct(at.alias("at"), F.col("_pos").alias("pos"), F.col(col).alias("v")))
-    if prev:
-        rows = running(rows, series, {"_prev": ("last", mark)})
-    if nxt:
-        rows = running(rows, series.reversed(), {"_next": ("last", mark)})
-    return rows
+    wanted = ({"_prev": ("last", mark)} if prev else {}) | ({"_next": ("next", mark)} if nxt else {})
+    return running(rows, series, wanted)
 
 
 def _area(area: str | None) -> Column:

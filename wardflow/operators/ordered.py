@@ -150,14 +150,14 @@ def _merge(kind: str, carried: Column, here: Column) -> Column:
     return F.coalesce(here, carried)
 
 
-def with_heads(rows: DataFrame, heads: DataFrame, keys: list[str], order: list[Column]) -> tuple[DataFrame, WindowSpec]:
-    """Put one head row before the rows of each key, and the window that scans them.
+def with_heads(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """Add head rows, one per window partition; ``_head`` is 0 for them and 1 for rows.
 
-    This hands a small table of carried values to a large table without joining them: the
-    large one is shuffled once, for the window.  ``_head`` is 0 for heads, 1 for rows.
+    A window ordered by ``_head`` first then hands the head's values to its rows.  So a small
+    table of carried values reaches a large one without a join: the large one is shuffled once,
+    for the window.
     """
-    both = rows.withColumn("_head", F.lit(1)).unionByName(heads.withColumn("_head", F.lit(0)), allowMissingColumns=True)
-    return both, W.partitionBy(*keys).orderBy("_head", *order)
+    return rows.withColumn("_head", F.lit(1)).unionByName(heads.withColumn("_head", F.lit(0)), allowMissingColumns=True)
 
 
 def running(
@@ -165,32 +165,41 @@ def running(
 ) -> DataFrame:
     """Add prefix results: ``{"total": ("sum", F.col("x"))}``.
 
-    Kinds: sum, count, min, max, product, first and last (both skip NULL).  With
-    ``exclusive`` the current row is left out.
+    Kinds: sum, count, min, max, product, first and last, and next, the value at or after the
+    row (these three skip NULL).  With ``exclusive`` the current row is left out.
+
+    The frame is read twice, once for the summary in the columns that needs.  Chained scans
+    should therefore write the result between them (``settle``), or each one doubles the work
+    of all before it.
     """
     keys = [*series.by, "_b"]
     rows = df.withColumn("_b", series.bucket)
-    summary = rows.groupBy(*keys).agg(*[_partial(k, c, series).alias(f"_p_{n}") for n, (k, c) in what.items()])
-    # One row per bucket: their number per key is bounded by the range of the order.
-    over_buckets = (
-        W.partitionBy(*[F.col(c) for c in series.by] or [F.lit(0)])
-        .orderBy(series.bucket_sort())
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
+    # "next" is "last" along the reversed series: another sort of the same partitions, no shuffle.
+    along = {n: series.reversed() if k == "next" else series for n, (k, _) in what.items()}
+    kinds = {n: "last" if k == "next" else k for n, (k, _) in what.items()}
+    summary = rows.groupBy(*keys).agg(*[_partial(kinds[n], c, along[n]).alias(f"_p_{n}") for n, (_, c) in what.items()])
     second = {"count": "sum"}
+
+    def over_buckets(s: Series) -> WindowSpec:
+        # One row per bucket: their number per key is bounded by the range of the order.
+        w = W.partitionBy(*[F.col(c) for c in s.by] or [F.lit(0)]).orderBy(s.bucket_sort())
+        return w.rowsBetween(W.unboundedPreceding, -1)
+
     carry = summary.select(
         *keys,
-        *[_scan(second.get(k, k), F.col(f"_p_{n}")).over(over_buckets).alias(f"_c_{n}") for n, (k, _) in what.items()],
+        *[_scan(second.get(kinds[n], kinds[n]), F.col(f"_p_{n}")).over(over_buckets(along[n])).alias(f"_c_{n}") for n in what],
     )
-    both, w = with_heads(rows, carry, keys, series.sort())
+    both = with_heads(rows, carry)
     is_row = F.col("_head") == 1
-    local = w.rowsBetween(W.unboundedPreceding, -1 if exclusive else 0)
-    head = w.rowsBetween(W.unboundedPreceding, 0)
-    results = [
-        _merge(k, F.first(f"_c_{n}").over(head), _scan(k, F.when(is_row, c)).over(local)).alias(n) for n, (k, c) in what.items()
-    ]
+
+    def result(name: str, col: Column) -> Column:
+        w = W.partitionBy(*keys).orderBy("_head", *along[name].sort())
+        local = w.rowsBetween(W.unboundedPreceding, -1 if exclusive else 0)
+        head = F.first(f"_c_{name}").over(w.rowsBetween(W.unboundedPreceding, 0))
+        return _merge(kinds[name], head, _scan(kinds[name], F.when(is_row, col)).over(local)).alias(name)
+
     kept = [F.col(c) for c in df.columns if c not in what]
-    return both.select(*kept, *results, "_head").filter(is_row).drop("_head")
+    return both.select(*kept, *[result(n, c) for n, (_, c) in what.items()], "_head").filter(is_row).drop("_head")
 
 
 def first_rows(df: DataFrame, by: list[str], order: list[Column], n: int, name: str = "_p") -> DataFrame:

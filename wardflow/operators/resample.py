@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.operators.keys import join_null_safe
 from wardflow.operators.ordered import Series, from_micros, micros, row_frame, running, span_micros
+from wardflow.session import settle
 
 
 def bucket_start(ts: str, every: str, *, closed: str = "left", origin: int = 0) -> Column:
@@ -59,7 +60,7 @@ def sessions(df: DataFrame, *, ts: str, by: list[str], gap: str, width: str = "1
     g = span_micros(gap)
     at = micros(ts)
     series = Series.by_time(by, ts, width=width)
-    rows = running(df.select(*by, ts), series, {"_before": ("last", at)}, exclusive=True)
+    rows = settle(running(df.select(*by, ts), series, {"_before": ("last", at)}, exclusive=True))
     starts = F.when(F.col("_before").isNull() | (at - F.col("_before") >= g), at)
     marked = running(rows, series, {"_start": ("last", starts)})
     out = marked.groupBy(*by, "_start").agg(F.max(at).alias("_last"), F.count(F.lit(1)).alias("n"))

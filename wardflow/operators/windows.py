@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as
 
 from wardflow.operators.aggregates import transform_groups, unbiased_kurtosis, unbiased_skew
 from wardflow.operators.ordered import GROUP_LIMIT, Series, first_rows, position, row_frame, running, span_micros, time_frame, with_heads
+from wardflow.session import settle
 
 Kernel = Callable[[str, WindowSpec], Column]
 
@@ -211,7 +212,7 @@ def expanding(df: DataFrame, series: Series, col: str, kinds: list[str], *, min_
     """
     by = series.by
     moments = {"var", "std", "sem", "skew", "kurt"} & set(kinds)
-    base = transform_groups(df, by, {"_m": F.avg(col)}) if moments else df
+    base = settle(transform_groups(df, by, {"_m": F.avg(col)})) if moments else df
     d = F.col(col) - F.col("_m")
     what = {"_n": ("count", F.col(col))}
     if {"sum", "mean"} & set(kinds):
@@ -242,7 +243,7 @@ def expanding(df: DataFrame, series: Series, col: str, kinds: list[str], *, min_
 def expanding_pair(df: DataFrame, series: Series, x: str, y: str) -> DataFrame:
     """Covariance and correlation over all rows so far."""
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    base = transform_groups(both, series.by, {"_mx": F.avg(x), "_my": F.avg(y)})
+    base = settle(transform_groups(both, series.by, {"_mx": F.avg(x), "_my": F.avg(y)}))
     a, b = F.col(x) - F.col("_mx"), F.col(y) - F.col("_my")
     rows = running(
         base, series,
@@ -363,8 +364,8 @@ def decayed_sums(df: DataFrame, series: Series, decay: Column, sums: dict[str, t
         .agg(*[F.sum(v * F.exp(F.lit(r) * (F.col("_d") - NATS))).alias(f"_t_{n}") for n, (v, r) in sums.items()])
         .withColumn("_blk", F.col("_blk") + 1)
     )
-    both, w = with_heads(rows, totals, keys, series.sort())
-    scan = w.rowsBetween(W.unboundedPreceding, 0)
+    both = with_heads(rows, totals)
+    scan = W.partitionBy(*keys).orderBy("_head", *series.sort()).rowsBetween(W.unboundedPreceding, 0)
     here = F.coalesce(F.col("_d"), F.lit(0.0))
 
     def aged(name: str, value: Column, rate: float) -> Column:
@@ -392,8 +393,8 @@ def ewm(
         base = df.withColumn("_mx", F.lit(0.0))
     else:  # second moments are taken about the key's mean, for accuracy
         means = {"_mx": F.avg(F.when(both, F.col(col)))}
-        base = transform_groups(df, by, means | ({"_my": F.avg(F.when(both, F.col(other)))} if other else {}))
-    counted = running(base, series, {"_all": ("count", F.lit(1)), "_ok": ("count", F.when(both, 1))})
+        base = settle(transform_groups(df, by, means | ({"_my": F.avg(F.when(both, F.col(other)))} if other else {})))
+    counted = settle(running(base, series, {"_all": ("count", F.lit(1)), "_ok": ("count", F.when(both, 1))}))
     present = counted.filter(both)
     if halflife_time is not None:
         per_micro = math.log(2) / span_micros(halflife_time)
@@ -440,7 +441,7 @@ def ewm(
     results = s.select(*df.columns, *made.values())
     # NULL rows take the last result before them.
     gaps = counted.filter(~both).select(*df.columns, *[F.lit(None).cast("double").alias(n) for n in outputs])
-    return running(results.unionByName(gaps), series, {n: ("last", F.col(n)) for n in outputs})
+    return running(settle(results.unionByName(gaps)), series, {n: ("last", F.col(n)) for n in outputs})
 
 
 def _gap_ageing(present: DataFrame, series: Series, alpha: float):
@@ -450,5 +451,5 @@ def _gap_ageing(present: DataFrame, series: Series, alpha: float):
     # ln((old + alpha) / old) is what this row adds to the age of all earlier ones.
     rows = moved.withColumn("_age", F.coalesce(F.log((old + alpha) / old), F.lit(0.0)))
     rows = rows.withColumn("_share", F.coalesce(F.lit(alpha) / (old + alpha), F.lit(1.0)))
-    rows = running(rows, series, {"_aged": ("sum", F.col("_age"))})
+    rows = settle(running(settle(rows), series, {"_aged": ("sum", F.col("_age"))}))
     return rows, F.col("_aged"), F.col("_share")

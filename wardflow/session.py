@@ -59,14 +59,11 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/wardflow/{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a frame that several later steps read to the shared folder.
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame that several later steps read to the shared folder, and read it from there.
 
-    Unlike a cache, the written table survives the loss of executors.
+    This cuts the lineage and, unlike a cache, survives the loss of executors.
     """
     path = scratch_dir(df.sparkSession)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ stops when what is there has been read (``availableNow``), unless told otherwise
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from wardflow.operators.merge import last_by_key
 from wardflow.operators.ordered import Series, position
 from wardflow.operators.windows import decayed_sums
+from wardflow.session import settle
 
 
 def stream_of(spark: SparkSession, folder: str, name: str, schema: str | T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -151,16 +153,15 @@ def ewm_step(batch: DataFrame, state: DataFrame, series: Series, col: str, alpha
     The state is the sum of weights and of weighted values per key.  A batch's own sums come
     from the distributed scan; the state is added with the ageing of the rows since.
     """
-    import math
-
     by, rate = series.by, -math.log1p(-alpha)
-    rows = position(batch.filter(F.col(col).isNotNull()), series, "_n")
+    rows = settle(position(batch.filter(F.col(col).isNotNull()), series, "_n"))
     sums = decayed_sums(rows, series, F.col("_n") * F.lit(rate), {"_w": (F.lit(1.0), 1.0), "_x": (F.col(col), 1.0)})
     old = state.select(*by, F.col("weight").alias("_ow"), F.col("weighted").alias("_ox"))
     aged = F.exp(F.col("_n") * F.lit(-rate))
     joined = sums.join(old, by, "left").withColumns(
         {"_w": F.col("_w") + F.coalesce(F.col("_ow") * aged, F.lit(0.0)), "_x": F.col("_x") + F.coalesce(F.col("_ox") * aged, F.lit(0.0))}
     )
+    joined = settle(joined)
     means = joined.select(*batch.columns, (F.col("_x") / F.col("_w")).alias("mean"))
     fresh = joined.groupBy(*by).agg(F.max_by("_w", "_n").alias("weight"), F.max_by("_x", "_n").alias("weighted"))
     kept = state.join(fresh, by, "left_anti")
