@@ -207,3 +207,8 @@ def test_buckets_are_narrowed_for_a_busy_key(rows):
     assert sizes <= 10
     wide = Series.fitted(rows, ["k"], "ts", "id", width="5 days")
     assert rows.select(wide.bucket.alias("b")).distinct().count() <= 6
+
+
+def test_many_value_buckets(rows, table):
+    got = R.quantiles(rows, ["k"], "v", {"a": 0.31}, parts=400).toPandas().sort_values("k", na_position="last")
+    same(got["a"], table.groupby("k")["v"].quantile(0.31))

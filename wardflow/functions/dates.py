@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wardflow.operators.ordered import from_micros, micros, span_micros
 
@@ -84,15 +84,32 @@ FLOATING_HOLIDAYS = [
 
 
 def observed(day: Column, rule: str | None) -> Column:
-    """A fixed holiday moved off the weekend."""
-    wd = F.weekday(day)
+    """A fixed holiday moved by an observance rule."""
+    if rule is None:
+        return day
+    wd = F.weekday(day)  # Monday is 0
+    nearest = F.when(wd == 5, -1).when(wd == 6, 1).otherwise(0)
+    if rule in ("before_nearest_workday", "after_nearest_workday"):
+        return _step_workday(F.date_add(day, nearest), -1 if rule.startswith("before") else 1)
+    if rule in ("previous_workday", "next_workday"):
+        return _step_workday(day, -1 if rule.startswith("previous") else 1)
     moves = {
-        "nearest_workday": F.when(wd == 5, -1).when(wd == 6, 1),
+        "nearest_workday": nearest,
         "sunday_to_monday": F.when(wd == 6, 1),
         "next_monday": F.when(wd == 5, 2).when(wd == 6, 1),
+        "weekend_to_monday": F.when(wd == 5, 2).when(wd == 6, 1),
+        "next_monday_or_tuesday": F.when(wd.isin(5, 6), 2).when(wd == 0, 1),
         "previous_friday": F.when(wd == 5, -1).when(wd == 6, -2),
     }
-    return day if rule is None else F.date_add(day, F.coalesce(moves[rule], F.lit(0)))
+    return F.date_add(day, F.coalesce(moves[rule], F.lit(0)))
+
+
+def _step_workday(day: Column, step: int) -> Column:
+    """The weekday just before or after a date."""
+    wd = F.weekday(day)
+    if step > 0:
+        return F.date_add(day, F.when(wd == 4, 3).when(wd == 5, 2).otherwise(1))
+    return F.date_sub(day, F.when(wd == 0, 3).when(wd == 6, 2).otherwise(1))
 
 
 def nth_weekday(year: Column, month: int, weekday: str, n: int) -> Column:
@@ -169,6 +186,33 @@ def move_business_days(d: Column, n: int) -> Column:
     return F.date_add(base, F.lit(7 * weeks + rest) + over)
 
 
+def add_business_days(df: DataFrame, column: str, n: int, calendar: DataFrame, name: str) -> DataFrame:
+    """Move dates by working days of a calendar: ``day`` and ``is_open``, one row per date.
+
+    A closed date counts from the open day before it, and for n <= 0 from the one after it.
+    Both lookups join the calendar, whose length is the number of days it spans.
+    """
+    days = W.orderBy("day").rowsBetween(W.unboundedPreceding, 0)
+    numbered = calendar.withColumn("_open", F.sum(F.col("is_open").cast("int")).over(days))
+    start = numbered.select(F.col("day").alias(column), "_open", F.col("is_open").alias("_on"))
+    goal = numbered.filter("is_open").select(F.col("_open").alias("_goal"), F.col("day").alias(name))
+    shift = F.lit(n) + (F.when(~F.col("_on"), 1).otherwise(0) if n <= 0 else F.lit(0))
+    return (
+        df.join(start, column, "left").withColumn("_goal", F.col("_open") + shift).join(goal, "_goal", "left").drop("_goal", "_open", "_on")
+    )
+
+
+def business_calendar(bounds: DataFrame, closed: DataFrame | None = None, weekmask: str = "1111100") -> DataFrame:
+    """Every date between ``low`` and ``high`` with whether it is a working day."""
+    days = date_spine(bounds, "1 day", name="day").withColumn("day", F.col("day").cast("date"))
+    if closed is not None:
+        days = days.join(closed.select("day").distinct().withColumn("_closed", F.lit(True)), "day", "left")
+    else:
+        days = days.withColumn("_closed", F.lit(None).cast("boolean"))
+    open_days = [i for i, m in enumerate(weekmask) if m == "1"]
+    return days.select("day", (F.weekday("day").isin(open_days) & F.col("_closed").isNull()).alias("is_open"))
+
+
 def roll(d: Column, direction: str = "forward") -> Column:
     """A weekend date to the next or previous working day."""
     wd = F.weekday(d)

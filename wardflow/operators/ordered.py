@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 MICROS = {"second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86400 * 10**6, "week": 7 * 86400 * 10**6}
@@ -48,11 +50,22 @@ def time_bucket(col: Column | str, width: str | int = "1 day") -> Column:
     return (m - F.pmod(m, F.lit(w))) / F.lit(w)
 
 
+TREE_LIMIT = 256
+
+
 def edges_below(col: str, edges: list[float], strict: bool = False) -> Column:
     """How many of the sorted edges are <= the value (< with ``strict``).
 
     A decision tree over literals: it stays in generated code and takes log(n) comparisons.
+    Lists too long for generated code are searched by numpy, in batches.
     """
+    if len(edges) > TREE_LIMIT:
+
+        @F.pandas_udf("int")
+        def search(values: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(edges, values.to_numpy(), side="left" if strict else "right"))
+
+        return search(F.col(col).cast("double"))
     op = "<=" if strict else "<"
 
     def tree(low: int, high: int) -> str:
@@ -64,12 +77,14 @@ def edges_below(col: str, edges: list[float], strict: bool = False) -> Column:
     return F.expr(tree(0, len(edges)).replace("_x", f"CAST(`{col}` AS DOUBLE)"))
 
 
-def value_bucket(df: DataFrame, col: str, parts: int = 64) -> Column:
-    """Bucket of a numeric column by approximate quantiles.
+def value_bucket(df: DataFrame, col: str, parts: int | None = None) -> Column:
+    """Bucket of a numeric column by approximate quantiles, as many as there are shuffle partitions.
 
-    At most ``parts`` edges reach the driver; they become literals, so that every use
+    At most 4096 edges reach the driver; they become literals, so that every use
     of the column sees the same buckets.
     """
+    if parts is None:
+        parts = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 64), 4096)
     probs = [i / parts for i in range(1, parts)]
     edges = sorted({float(e) for e in df.approxQuantile(col, probs, 0.5 / parts)})
     return F.when(F.col(col).isNull(), F.lit(-1)).otherwise(edges_below(col, edges))

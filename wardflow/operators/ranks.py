@@ -12,7 +12,7 @@ from wardflow.operators.keys import join_null_safe, with_one_row
 from wardflow.operators.ordered import Series, position, running, value_bucket
 
 
-def value_counts_running(df: DataFrame, by: list[str], col: str, *, ascending: bool = True, parts: int = 64) -> DataFrame:
+def value_counts_running(df: DataFrame, by: list[str], col: str, *, ascending: bool = True, parts: int | None = None) -> DataFrame:
     """Distinct non-NULL values per group: ``_n`` copies, ``_cum`` rows and ``_distinct`` values up to it."""
     present = df.filter(F.col(col).isNotNull())
     counts = present.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
@@ -81,7 +81,7 @@ def _index_weights(interpolation: str, h: Column):
     raise ValueError(interpolation)
 
 
-def quantiles(df: DataFrame, by: list[str], col: str, qs: dict[str, float], *, interpolation: str = "linear", parts: int = 64) -> DataFrame:
+def quantiles(df: DataFrame, by: list[str], col: str, qs: dict[str, float], *, interpolation: str = "linear", parts: int | None = None) -> DataFrame:
     """Exact quantiles per group, ``{"p90": 0.9}``; NULLs are left out."""
     scan = value_counts_running(df, by, col, parts=parts)
     sizes = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))

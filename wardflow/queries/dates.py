@@ -77,6 +77,26 @@ query(
     "b_d6_business_day_offset",
     "SELECT o_orderkey, CAST(list_filter(list_transform(range(0, 16), lambda i: d - CASE isodow(d) WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END::INTEGER + CAST(i AS INTEGER)), lambda x: isodow(x) < 6)[9] AS DATE) AS later FROM " + DD,
 )(lambda t: t.orders.select("o_orderkey", D.move_business_days(F.to_date("o_orderdate"), 8).alias("later")))
+
+
+def wide(t):
+    return bounds(t).select(F.date_sub("low", 60).alias("low"), F.date_add("high", 60).alias("high"))
+
+
+WIDE_HOL = HOL.replace("SELECT CAST(min(o_orderdate) AS DATE) AS low, CAST(max(o_orderdate) AS DATE) AS high", "SELECT CAST(min(o_orderdate) AS DATE) - 60 AS low, CAST(max(o_orderdate) AS DATE) + 60 AS high")
+for _label, _n in [("forward", 8), ("back", -3)]:
+    _base = "count(*)" if _n > 0 else "count(*) + CASE WHEN max(w.d) = o.d THEN 0 ELSE 1 END"
+    query(
+        f"b_d6_holiday_calendar_{_label}",
+        f"""WITH {WIDE_HOL}, open AS (SELECT d, row_number() OVER (ORDER BY d) AS i FROM days, b WHERE d BETWEEN low AND high AND isodow(d) < 6 AND d NOT IN (SELECT day FROM holidays)),
+dates AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+at AS (SELECT o.d, {_base} + {_n} AS i FROM dates o JOIN open w ON w.d <= o.d GROUP BY o.d)
+SELECT o_orderkey, open.d AS moved FROM orders JOIN at ON at.d = CAST(o_orderdate AS DATE) JOIN open ON open.i = at.i""".replace("at AS (", "spots AS (").replace("JOIN at ON at.d", "JOIN spots ON spots.d").replace("open.i = at.i", "open.i = spots.i"),
+    )(
+        lambda t, n=_n: D.add_business_days(
+            t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("d")), "d", n, D.business_calendar(wide(t), D.holidays(wide(t))), "moved"
+        ).select("o_orderkey", "moved")
+    )
 FIELD_SQL = {
     "year": "year(ts)", "month": "month(ts)", "day": "day(ts)", "hour": "hour(ts)", "minute": "minute(ts)", "second": "second(ts)", "microsecond": "microsecond(ts) % 1000000",
     "day_of_week": "isodow(ts) - 1", "day_of_year": "dayofyear(ts)", "quarter": "quarter(ts)", "iso_week": "week(ts)", "days_in_month": "day(last_day(ts))",
