@@ -75,6 +75,7 @@ def asof_join(
     right rows of equal time: the last is taken backward, the first forward.  Nearest takes the
     smaller gap, and backward when both gaps are equal.  The match's time is ``<on>_right``.
     """
+    right = right.filter(F.col(on).isNotNull())
     args = dict(on=on, by=by, ties=list(ties), exact=exact, width=width, carry=list(columns))
     if direction == "nearest":
         # The left rows of the first scan, with their match, are the left side of the second.

@@ -288,15 +288,18 @@ class TimeFrame:
 def time_frame(
     df: DataFrame, by: list[str], ts: str, before: str | int = 0, after: str | int = 0, width: str | int = "1 day", ties: tuple[str, ...] = ()
 ) -> TimeFrame:
-    """Cut each key into time blocks at least as wide as the frame reaches."""
+    """Cut each key into time blocks at least as wide as the frame reaches.
+
+    Rows without a time stay, in a block of their own.
+    """
     b, a = span_micros(before), span_micros(after)
     w = max(span_micros(width), b, a, 1)
     us = F.col("_us")
     rows = (
         df.withColumn("_us", micros(ts))
         .withColumn("_home", F.floor(us / w))
-        .withColumn("_blk", F.explode(F.sequence(F.floor((us - a) / w), F.floor((us + b) / w))))
-        .withColumn("_own", F.col("_blk") == F.col("_home"))
+        .withColumn("_blk", F.explode_outer(F.sequence(F.floor((us - a) / w), F.floor((us + b) / w))))
+        .withColumn("_own", F.col("_blk").eqNullSafe(F.col("_home")))
         .drop("_home")
     )
     return TimeFrame(rows, list(by), [ts, *ties])

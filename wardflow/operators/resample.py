@@ -24,9 +24,9 @@ def resample(
     origin: int = 0, empty: bool = False, fill: dict | None = None,
 ) -> DataFrame:
     """Aggregate by time bucket.  With ``empty``, buckets without rows between a key's first
-    and last one are there too, with NULL or the ``fill`` value."""
+    and last one are there too, with NULL or the ``fill`` value.  Rows without a time have no bucket."""
     w = span_micros(every)
-    rows = df.groupBy(*by, bucket_start(ts, every, closed=closed, origin=origin).alias("_at")).agg(*[a.alias(n) for n, a in aggs.items()])
+    rows = df.filter(F.col(ts).isNotNull()).groupBy(*by, bucket_start(ts, every, closed=closed, origin=origin).alias("_at")).agg(*[a.alias(n) for n, a in aggs.items()])
     if empty:
         spans = rows.groupBy(*by).agg(F.min("_at").alias("_a"), F.max("_at").alias("_z"))
         grid = spans.select(*by, F.explode(F.sequence("_a", "_z", F.lit(w))).alias("_at"))
@@ -58,9 +58,9 @@ def sessions(df: DataFrame, *, ts: str, by: list[str], gap: str, width: str = "1
     session is then an aggregate, so a busy key is no single task.
     """
     g = span_micros(gap)
-    at = micros(ts)
+    at = micros(ts)  # rows without a time are in no session
     series = Series.by_time(by, ts, width=width)
-    rows = settle(running(df.select(*by, ts), series, {"_before": ("last", at)}, exclusive=True))
+    rows = settle(running(df.select(*by, ts).filter(F.col(ts).isNotNull()), series, {"_before": ("last", at)}, exclusive=True))
     starts = F.when(F.col("_before").isNull() | (at - F.col("_before") >= g), at)
     marked = running(rows, series, {"_start": ("last", starts)})
     out = marked.groupBy(*by, "_start").agg(F.max(at).alias("_last"), F.count(F.lit(1)).alias("n"))
