@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.operators.merge import all_of, any_of, delete_where, insert_ignore, update_where, upsert
@@ -61,31 +63,27 @@ def range_overlaps(c, lo, hi) -> Column:
 # Text search.  A text is its lower-case words; there is no stemming.
 
 
-def _words(c) -> Column:
-    """Words with one space between, before and after."""
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(_col(c)), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-
-
-def _has(words: Column, phrase: str) -> Column:
-    return words.contains(" " + " ".join(phrase.lower().split()) + " ")
+def _has(c, phrase: str) -> Column:
+    """The words one after another, as whole words; stops at the first place found."""
+    words = [re.escape(w) for w in re.split(r"[\W_]+", phrase.lower()) if w]
+    sign = r"[\p{L}\p{N}]"
+    between = r"[^\p{L}\p{N}]+"
+    return F.lower(_col(c)).rlike(f"(?<!{sign})" + between.join(words) + f"(?!{sign})")
 
 
 def search_plain(c, text: str) -> Column:
     """All words, in any order."""
-    words = _words(c)
-    return all_of([_has(words, w) for w in text.split()])
+    return all_of([_has(c, w) for w in text.split()])
 
 
 def search_phrase(c, text: str) -> Column:
-    """The words one after another."""
-    return _has(_words(c), text)
+    return _has(c, text)
 
 
 def search_web(c, required: list[str] = (), excluded: list[str] = (), any_group: list[str] = ()) -> Column:
     """Words or phrases that must be there, must not, and of which one must."""
-    words = _words(c)
-    out = all_of([_has(words, p) for p in required] + [~_has(words, p) for p in excluded])
-    return out & any_of([_has(words, p) for p in any_group]) if any_group else out
+    out = all_of([_has(c, p) for p in required] + [~_has(c, p) for p in excluded])
+    return out & any_of([_has(c, p) for p in any_group]) if any_group else out
 
 
 class TableQuery:

@@ -9,6 +9,7 @@ from wardflow.plans import kpi as K, reports as R
 from wardflow.queries import ctes as Q
 from wardflow.queries.registry import query
 from wardflow.queries.views import daily, ended
+from wardflow.session import settle
 
 DAY, LOW, HIGH = date(2024, 1, 15), date(2024, 1, 8), date(2024, 1, 21)
 PROGRAMS = ["Detox", "Residential", "Psych IOP"]
@@ -67,7 +68,7 @@ query(
     ),
 )(lambda t: R.census_report(daily(t), day=DAY))
 query("a_v7_census_trends_report", Q.using(Q.DAILY, f"{BY_PROGRAM} UNION ALL SELECT 'Total', *, 99 FROM ({PERIOD})"))(
-    lambda t: R.census_trends(daily(t), start=LOW, end=HIGH)
+    lambda t: R.census_trends(settle(daily(t)), start=LOW, end=HIGH)
 )
 
 
@@ -82,7 +83,7 @@ UNION ALL (SELECT 'page', casefile_id, CAST(discharge_date AS VARCHAR) FROM disc
     ),
 )
 def _(t):
-    total, matrix, rows = R.discharge_trends(ended(t), start=LOW, end=HIGH, programs=PROGRAMS)
+    total, matrix, rows = R.discharge_trends(settle(ended(t)), start=LOW, end=HIGH, programs=PROGRAMS)
     return (
         total.selectExpr("'total' AS section", "CAST(NULL AS STRING) AS label", "CAST(total AS STRING) AS figure")
         .unionByName(matrix.selectExpr("'matrix' AS section", "program_category AS label", "CAST(total AS STRING) AS figure"))
