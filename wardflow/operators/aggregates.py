@@ -271,7 +271,7 @@ def histogram(df: DataFrame, col: str, edges: list[float], *, by: list[str] = ()
         .groupBy(*by, "bin")
         .agg(F.sum(w).alias("count"))
     )
-    array = F.array(*[F.lit(float(e)) for e in edges])
+    array = F.expr("array(" + ", ".join(f"{float(e)!r}D" for e in edges) + ")")
     out = counts.withColumns({"low": F.element_at(array, F.col("bin") + 1), "high": F.element_at(array, F.col("bin") + 2)})
     if density:
         totals = counts.groupBy(*by).agg(F.sum("count").alias("_t"))
