@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,20 +48,21 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below the shared folder named in ``spark.checkpoint.dir``.
-
-    A cluster names that folder.  Only where it is unset (tests, one machine)
-    is a local folder made and set.
-    """
+    """A new folder below the shared folder named in ``spark.checkpoint.dir``, which a cluster has to name."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and spark.sparkContext.master.startswith("local["):
+        root = f"file://{_one_machine()}"
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="wardflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise RuntimeError("spark.checkpoint.dir is not set: it has to name a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/wardflow/{uuid.uuid4().hex}"
 
 
+@cache
+def _one_machine() -> str:
+    """The scratch folder of tests, where driver and executors are one process."""
+    return tempfile.mkdtemp(prefix="wardflow-")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write a frame that several later steps read to the shared folder, and read it from there.
 
