@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import langid, packing
+from wardflow.llm import langid, packing, simhash
 from wardflow.llm.common import table
 from wardflow.session import prepare
 
@@ -40,6 +40,11 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+@query("op9_simhash_near_duplicates")
+def simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op10_harmonic_packing")
 def harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
