@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import langid, packing, simhash
+from wardflow.llm import decontam, langid, packing, simhash
 from wardflow.llm.common import table
 from wardflow.session import prepare
 
@@ -34,6 +34,29 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op3_benchmark_decontamination",
+    f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, w[i : i + 9] AS g FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT len(g) AS n FROM bw),
+dw AS (SELECT doc_id, n, i, w[i : i + n - 1] AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
+hits AS (SELECT doc_id, i, n, item FROM dw JOIN bw USING (g)),
+spots AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+)
+def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontam.contamination(table(spark, folder, "documents"), decontam.blocks(table(spark, folder, "benchmark")))
+    return found.drop("n_near")
+
+
 @query("op7_language_id")
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
