@@ -10,7 +10,6 @@ The benchmark is read in blocks of bounded size, each sent to all tasks; more be
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,9 +26,8 @@ STARTS = 1 << 20
 RARE = 3
 #: Word characters are digits, a-z and all beyond ASCII; A-Z are lowered, the rest separates.
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.binary()), ("near", pa.binary()), ("items", pa.list_(pa.string()))])
 ROWS = "doc_id long, text string, spans binary, near binary, items array<string>"
-REPORT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("n_near", pa.int64())])
+REPORT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("n_near", pa.int64())])
 
 
 def words(text: bytes) -> list[bytes]:
@@ -135,11 +133,11 @@ def lookup(index: Postings, block: Block, slop: int | None) -> tuple[np.ndarray,
 
 def search(rows: DataFrame, block: Block, slop: int | None) -> DataFrame:
     """Add one block's matches to each row: spans of words (start, end) and the items they are of."""
-    sent = rows.sparkSession.sparkContext.broadcast(block)
+    sent = rows.sparkSession.sparkContext.broadcast(vars(block))
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("spans", pa.binary()), ("near", pa.binary()), ("items", pa.list_(pa.string()))])
 
     def run(batches):
-        block = sent.value
+        block = Block(**sent.value)
         for b in pieces(batches):
             index = Postings(text_bytes(column(b, "text")), block.terms)
             win, start, near_win, near_start = lookup(index, block, slop)
@@ -179,23 +177,24 @@ def contamination(docs: DataFrame, benchmark: list[Block], id_col: str = "doc_id
                 s = np.frombuffer(spans.as_py(), "<i4").reshape(-1, 2)
                 np.add.at(inside, s[:, 0], 1)
                 np.add.at(inside, s[:, 1], -1)
-                hit, names = int((np.cumsum(inside) > 0).sum()), items.as_py()
-                out.append((doc_id.as_py(), n, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0, len(near.as_py()) // 8))
+                hit = int((np.cumsum(inside) > 0).sum())
+                out.append((doc_id.as_py(), n, hit, items.as_py(), len(near.as_py()) // 8))
             yield batch(REPORT, *zip(*out))
 
-    return rows.mapInArrow(report, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_near long")
+    return rows.mapInArrow(report, "doc_id long, n_words long, n_hit long, items array<string>, n_near long")
 
 
 def keep_clean(docs: DataFrame, benchmark: list[Block], text_col: str = "text") -> DataFrame:
     """The documents, with all their columns, that hold no window of the benchmark."""
     for block in benchmark:
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+        sent = docs.sparkSession.sparkContext.broadcast(vars(block))
 
         def run(batches, sent=sent):
+            block = Block(**sent.value)
             for b in pieces(batches, text_col):
-                index = Postings(text_bytes(column(b, text_col)), sent.value.terms)
+                index = Postings(text_bytes(column(b, text_col)), block.terms)
                 hit = np.zeros(b.num_rows, bool)
-                hit[index.doc[lookup(index, sent.value, None)[1]]] = True
+                hit[index.doc[lookup(index, block, None)[1]]] = True
                 yield b.filter(pa.array(~hit))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -144,12 +144,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     learned.  A text with letters but without a known n-gram gets the language with most training documents, with score 0.
     Repeated rows and null ids are answered row by row; there is no shuffle.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches):
-        letter, chance = letters(), sent.value.chance()
+        model = Model(**sent.value)
+        letter, chance = letters(), model.chance()
         for b in pieces(batches):
-            names, scores = predict(sent.value, column(b, "text").to_pylist(), letter, chance)
+            names, scores = predict(model, column(b, "text").to_pylist(), letter, chance)
             yield batch(ARROW, column(b, "doc_id"), column(b, "held_out"), names, scores)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (remainder(id_col, 3) == 1).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -158,12 +159,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The documents, with all their columns, whose language is not ``und``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches):
-        letter, chance = letters(), sent.value.chance()
+        model = Model(**sent.value)
+        letter, chance = letters(), model.chance()
         for b in pieces(batches, text_col):
             texts = ["" if t is None else t for t in column(b, text_col).to_pylist()]
-            yield b.filter(pa.array([x != UNKNOWN for x in predict(sent.value, texts, letter, chance)[0]], pa.bool_()))
+            yield b.filter(pa.array([x != UNKNOWN for x in predict(model, texts, letter, chance)[0]], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
