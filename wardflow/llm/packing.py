@@ -12,9 +12,10 @@ a task alone is short.
 from __future__ import annotations
 
 import os
-import zlib
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -24,10 +25,19 @@ from wardflow.llm.common import batch, column, pieces, two
 CAPACITY = 2048
 TAIL = 32
 END_ID = 1
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 SEGMENT = 1 << 20
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
+WORD_END = "</w>"
+#: Letters whose lower case is one letter and that no normal form joins or splits, then punctuation that is a token of its own.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+ARROW = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")])
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is printable, else the next from 256 on."""
+    shown = [33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255 for b in range(256)]
+    return [chr(b) if shown[b] else chr(256 + shown[:b].count(False)) for b in range(256)]
 
 
 def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
@@ -43,31 +53,51 @@ def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
 class WordIds:
     """Token ids of a text as little-endian 32-bit bytes.
 
-    The tokenizer never joins characters across white space, so a text's ids are those
-    of its words, one after the other, and words seen before come from a dictionary of bounded size.
+    The tokenizer never joins characters across white space, nor letters and punctuation, so a text's ids are those of
+    its words, one after the other, and words seen before come from a dictionary of bounded size.  New words of
+    plain letters are encoded many at a time by the ranks of the same vocabulary, with a mark for the word's end, which gives the same
+    ids; all others go through the tokenizer itself.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        ranks, byte = {}, {c: b for b, c in enumerate(byte_letters())}
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            if all(c in byte for c in token.removesuffix(WORD_END)):
+                last = token.endswith(WORD_END)
+                ranks[bytes(byte[c] for c in token.removesuffix(WORD_END)) + b"\0" * last] = i
+                self.ends[i] = last
+        self.ranks = tiktoken.Encoding("words", pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={})
 
     def learn(self, words: list[str]) -> None:
-        import numpy as np
-
-        for i in range(0, len(words), 4096):
-            some = words[i : i + 4096]
+        plain, other = [], []
+        for w in words:
+            (plain if (m := PLAIN.fullmatch(w)) else other).append(m or w)
+        other += {m[2] for m in plain}.difference(self.known)
+        for i in range(0, len(other), 4096):
+            some = other[i : i + 4096]
             for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 self.known[w] = np.array(e.ids, "<u4").tobytes()
+        if plain:
+            ids = np.array(self.ranks.encode_ordinary("\0".join([m[1] for m in plain]).lower() + "\0"), "<u4")
+            flat, start = ids.tobytes(), 0
+            for m, end in zip(plain, (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()):
+                self.known[m[0]] = flat[start:end] + self.known[m[2]]
+                start = end
 
     def __call__(self, text: str) -> bytes:
         out = []
         for part in segments(text):
             words = part.replace("\n", " ").split(" ")
             new = set(words).difference(self.known)
-            if len(self.known) + len(new) > CACHED_WORDS:
+            if len(self.known) + 2 * len(new) > CACHED_WORDS:
                 self.known.clear()
                 new = set(words)
             self.learn(list(new))
@@ -110,7 +140,7 @@ class Bins:
     def laid(self, bin_: list[tuple]) -> list[tuple]:
         sequence, at, rows = self.new(), 0, []
         for doc_id, start, length, ids, total in bin_:
-            rows.append((doc_id, start, length, zlib.crc32(ids), total, sequence, at))
+            rows.append((doc_id, start, length, ids, total, sequence, at))
             at += length
         return rows
 
@@ -130,7 +160,7 @@ class Bins:
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, tail: int = TAIL) -> DataFrame:
-    """Pieces of all documents, each with its sequence and its place there.
+    """Pieces of all documents, each with its ids (little-endian, 32 bits), its sequence and its place there.
 
     ``tokenizer`` is the path of a word-end BPE file.  A null or empty text has the end id alone.  Rows of equal id or text
     are packed each by itself; a null id stays null; an empty table gives no rows.  There is no shuffle.  Sequence
@@ -147,7 +177,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 for length in cuts(total, capacity, tail):
                     rows += bins.add((doc_id, start, length, ids[4 * start : 4 * (start + length)], total))
                     start += length
-            if len(rows) > 10_000:
+            if len(rows) > 4_000:
                 yield batch(ARROW, *zip(*rows))
                 rows = []
         if rows := rows + bins.rest():
