@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm import decontam, langid, packing, simhash
+from wardflow.llm import decontam, langid, packing, pii, secrets, simhash, spans
 from wardflow.llm.common import table
 from wardflow.session import prepare
 
@@ -34,6 +34,21 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_personal_data")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii.personal_data(docs, pii.fit(docs))
+    counts = [spans.count("base", k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, spans.digest("base", pii.KINDS).alias("base_sha256"), spans.listed("spans").alias("spans"))
+
+
+@query("op2_secrets")
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.secrets(table(spark, folder, "documents"))
+    counts = [spans.count("spans", k).alias(f"n_{k}") for k in secrets.BASE]
+    return found.select("doc_id", *counts, spans.digest("spans", secrets.BASE).alias("base_sha256"), spans.listed("spans").alias("spans"))
+
+
 WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 
@@ -54,7 +69,7 @@ FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)
 )
 def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.contamination(table(spark, folder, "documents"), decontam.blocks(table(spark, folder, "benchmark")))
-    return found.drop("n_near")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 @query("op7_language_id")
@@ -70,4 +85,5 @@ def simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_harmonic_packing")
 def harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+    pieces = packing.pack(table(spark, folder, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
