@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm import decontam, langid, packing, pii, secrets, simhash, spans
+from wardflow.llm import decontam, langid, packing, pii, secrets, simhash, spans, topk
 from wardflow.llm.common import table
 from wardflow.session import prepare
 
@@ -78,6 +78,19 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+@query(
+    "op8_exact_top_k",
+    """
+WITH v AS (SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+""",
+)
+def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op9_simhash_near_duplicates")
 def simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
