@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm import decontam, langid, packing, pii, secrets, simhash, spans, topk
+from wardflow.llm import decontam, langid, lm, packing, pii, secrets, simhash, spans, topk
 from wardflow.llm.common import table
 from wardflow.session import prepare
 
@@ -72,6 +72,11 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query("op4_lm_scores")
+def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scores(table(spark, folder, "documents"))
+
+
 @query("op7_language_id")
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
