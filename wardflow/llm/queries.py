@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.llm import decontam, langid, lm, packing, pii, secrets, simhash, spans, topk
+from wardflow.llm import decontam, langid, lm, packing, pii, secrets, simhash, spans, substring, suffix, topk
 from wardflow.llm.common import table
 from wardflow.session import prepare
 
@@ -77,6 +77,45 @@ def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scores(table(spark, folder, "documents"))
 
 
+@query(
+    "op5_substring_dedup",
+    """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, w[i : i + 12] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY 1),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN f USING (g) WHERE first < doc_id),
+w AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept FROM w ANTI JOIN r USING (doc_id, p) GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM r GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+""",
+)
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query(
+    "op6_suffix_dedup",
+    """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS g FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY 1),
+m AS (SELECT doc_id, i FROM g JOIN f USING (g) WHERE first < doc_id),
+s AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM m)),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM s GROUP BY doc_id, run),
+x AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM r),
+k AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept FROM x JOIN d USING (doc_id) GROUP BY 1)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+""",
+)
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op7_language_id")
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
