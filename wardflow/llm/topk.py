@@ -80,7 +80,7 @@ class Shard:
                 rows, s, most = rows[passed > 0], s[passed > 0], int(passed.max(initial=0))
                 if not most:
                     continue
-                pick = np.argpartition(-s, most - 1, 1)[:, :most] if most < s.shape[1] else np.broadcast_to(np.arange(s.shape[1]), s.shape)
+                pick = np.argpartition(~s, most - 1, 1)[:, :most] if most < s.shape[1] else np.broadcast_to(np.arange(s.shape[1]), s.shape)
                 all_scores = np.concatenate([scores[rows], np.take_along_axis(s, pick, 1)], 1)
                 all_ids = np.concatenate([found[rows], others[pick]], 1)
                 keep = np.lexsort((all_ids, ~all_scores), axis=1)[:, :k]
