@@ -217,7 +217,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     A document without an id stays only if no document of its component has one.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    first = found.select(F.col("component_id").alias("_first")).distinct()
-    kept = docs.join(first, docs[id_col].eqNullSafe(F.col("_first")), "left_semi")
+    first = found.select("component_id").distinct()
+    kept = docs.join(first, docs[id_col].eqNullSafe(first["component_id"]), "left_semi")
     repeated = docs.groupBy(id_col).count().filter("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates([id_col, text_col])
