@@ -179,11 +179,18 @@ def semi_month_end(d: Column) -> Column:
 
 
 def move_business_days(d: Column, n: int) -> Column:
-    """Forward by working days, weekends skipped; a weekend counts from its Friday."""
-    base = F.when(F.weekday(d) == 5, F.date_sub(d, 1)).when(F.weekday(d) == 6, F.date_sub(d, 2)).otherwise(d)
-    weeks, rest = divmod(n, 5)
-    over = F.when(F.weekday(base) + rest > 4, 2).otherwise(0)
-    return F.date_add(base, F.lit(7 * weeks + rest) + over)
+    """By working days, weekends skipped.
+
+    Forward a weekend counts from its Friday, backward from the Monday after it; no step moves a weekend to that Monday.
+    """
+    day = F.weekday(d)
+    if n > 0:
+        base = F.when(day == 5, F.date_sub(d, 1)).when(day == 6, F.date_sub(d, 2)).otherwise(d)
+        weeks, rest = divmod(n, 5)
+        return F.date_add(base, F.lit(7 * weeks + rest) + F.when(F.weekday(base) + rest > 4, 2).otherwise(0))
+    base = F.when(day == 5, F.date_add(d, 2)).when(day == 6, F.date_add(d, 1)).otherwise(d)
+    weeks, rest = divmod(-n, 5)
+    return F.date_sub(base, F.lit(7 * weeks + rest) + F.when(F.weekday(base) - rest < 0, 2).otherwise(0))
 
 
 def add_business_days(df: DataFrame, column: str, n: int, calendar: DataFrame, name: str) -> DataFrame:
@@ -225,7 +232,7 @@ def roll(d: Column, direction: str = "forward") -> Column:
 
 FIELDS = {
     "year": "year({c})", "month": "month({c})", "day": "day({c})", "hour": "hour({c})", "minute": "minute({c})",
-    "second": "second({c})", "microsecond": "CAST(unix_micros(CAST({c} AS TIMESTAMP)) % 1000000 AS INT)",
+    "second": "second({c})", "microsecond": "CAST(pmod(unix_micros(CAST({c} AS TIMESTAMP)), 1000000) AS INT)",
     "day_of_week": "weekday({c})", "day_of_year": "dayofyear({c})", "quarter": "quarter({c})", "iso_week": "weekofyear({c})",
     "is_month_start": "day({c}) = 1", "is_month_end": "to_date({c}) = last_day({c})",
     "is_quarter_start": "to_date({c}) = trunc({c}, 'QUARTER')", "is_quarter_end": "date_add(to_date({c}), 1) = trunc(date_add(to_date({c}), 1), 'QUARTER')",
@@ -266,18 +273,40 @@ def round_to(col: Column, width: str) -> Column:
 def localize(col: Column, zone: str, *, ambiguous: str = "first", nonexistent: str = "shift_forward") -> Column:
     """Clock time in a zone to UTC clock time.
 
-    A time the clock shows twice is the first of both, or NULL; one it skips is moved forward
-    by the length of the gap, or NULL.
+    ``ambiguous`` is for a time the clock shows twice: the ``first`` or ``second`` of both, ``null`` or ``raise``.  ``nonexistent`` is
+    for one it skips: ``shift_forward`` to the first time after the gap, ``shift_backward`` to the last before it, ``null`` or ``raise``.
     """
     utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), col)
+    skipped, repeated = is_skipped(col, zone), is_repeated(col, zone)
     out = utc
-    if nonexistent == "null":
-        out = F.when(is_skipped(col, zone), None).otherwise(out)
-    if ambiguous == "null":
-        out = F.when(is_repeated(col, zone), None).otherwise(out)
+    if nonexistent in ("shift_forward", "shift_backward"):
+        edge = _gap_end(col, zone) - (0 if nonexistent == "shift_forward" else 1)
+        out = F.when(skipped, from_micros(edge)).otherwise(out)
+    else:
+        out = F.when(skipped, None if nonexistent == "null" else F.raise_error(F.concat(F.lit("no such time: "), col.cast("string")))).otherwise(out)
+    if ambiguous in ("first", "second"):
+        hour = F.expr("INTERVAL '1' HOUR")
+        for step in [utc - hour] if ambiguous == "first" else [utc + hour]:
+            out = F.when(repeated & (F.convert_timezone(F.lit("UTC"), F.lit(zone), step) == col), step).otherwise(out)
+    else:
+        out = F.when(repeated, None if ambiguous == "null" else F.raise_error(F.concat(F.lit("shown twice: "), col.cast("string")))).otherwise(out)
     return out.cast("timestamp_ntz")
 
 
+def _gap_end(col: Column, zone: str) -> Column:
+    """UTC microseconds at which the zone's clock jumped over a skipped time, by halving down to a second."""
+    offset = lambda t: micros(F.convert_timezone(F.lit("UTC"), F.lit(zone), from_micros(t * 1_000_000))) - t * 1_000_000
+    high = F.floor(micros(F.convert_timezone(F.lit(zone), F.lit("UTC"), col)) / 1_000_000)
+    span = F.struct((high - 86_400).alias("low"), high.alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2)
+        after = offset(middle) == offset(s["high"])
+        return F.struct(F.when(after, s["low"]).otherwise(middle).alias("low"), F.when(after, middle).otherwise(s["high"]).alias("high"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(17)), span, halve)["high"] * 1_000_000
+
+
 def is_skipped(col: Column, zone: str) -> Column:
     """The zone's clock never shows this time."""
     utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), col)
@@ -294,21 +323,31 @@ def is_repeated(col: Column, zone: str) -> Column:
 
 # Durations and times of day
 
-_UNITS = {"days": r"(-?\d+)\s*(?:days?|d)\b", "hours": r"(\d+)\s*(?:hours?|h)\b", "minutes": r"(\d+)\s*(?:minutes?|min|m)\b", "seconds": r"(\d+(?:\.\d+)?)\s*(?:seconds?|sec|s)\b"}
-_CLOCK = r"(\d+):(\d{2})(?::(\d{2}(?:\.\d+)?))?"
+_NUMBER = r"(\d+(?:\.\d+)?|\.\d+)"
+_UNITS = [(604_800, r"weeks?|w"), (86_400, r"days?|d"), (3600, r"hours?|hrs?|h"), (60, r"minutes?|mins?|m(?!s)"), (1, r"seconds?|secs?|s"), (0.001, r"milliseconds?|millis?|ms"), (0.000001, r"microseconds?|micros?|us")]
+_DURATION = r"\A\s*([+-]?)\s*" + "".join(rf"(?:{_NUMBER}\s*(?:{u})(?![a-z])[\s,]*)?" for _, u in _UNITS) + r"(?:([+-]?)\s*(\d+):(\d{1,2})(?::(\d{1,2}(?:\.\d+)?))?)?\s*\z"
 
 
 def duration_micros(text: Column) -> Column:
-    """'1 days 02:03:04.5' or '5 h 30 min' to microseconds; other text to NULL."""
+    """'1 days 02:03:04.5', '-1.5 h', '2 weeks' or '5 h 30 min' to microseconds; NULL if anything of the text is left over.
+
+    A sign at the front holds for all that follows, unless the clock part has its own.
+    """
+    low = F.lower(text)
+
+    def number(group: int) -> Column:
+        part = F.regexp_extract(low, _DURATION, group)
+        return F.coalesce(F.nullif(part, F.lit("")).cast("decimal(24,9)"), F.lit(0).cast("decimal(24,9)"))
 
-    def number(pattern: str, group: int = 1) -> Column:
-        part = F.regexp_extract(text, pattern, group)
-        return F.coalesce(F.nullif(part, F.lit("")).cast("decimal(20,6)"), F.lit(0).cast("decimal(20,6)"))
+    def sign(group: int, default: Column) -> Column:
+        mark = F.regexp_extract(low, _DURATION, group)
+        return F.when(mark == "-", -1).when(mark == "+", 1).otherwise(default)
 
-    clock = number(_CLOCK, 1) * 3600 + number(_CLOCK, 2) * 60 + number(_CLOCK, 3)
-    units = number(_UNITS["days"]) * 86400 + number(_UNITS["hours"]) * 3600 + number(_UNITS["minutes"]) * 60 + number(_UNITS["seconds"])
-    known = text.rlike(_CLOCK) | text.rlike("|".join(_UNITS.values()))
-    return F.when(known, ((clock + units) * 1_000_000).cast("bigint"))
+    units, first = len(_UNITS), sign(1, F.lit(1))
+    total = sum((number(i + 2) * F.lit(str(int(round(s * 1_000_000)))).cast("decimal(15,0)") for i, (s, _) in enumerate(_UNITS)), F.lit(0))
+    clock = (number(units + 3) * 3600 + number(units + 4) * 60 + number(units + 5)) * 1_000_000
+    known = low.rlike(_DURATION) & low.rlike(r"\d")
+    return F.when(known, (first * total + sign(units + 2, first) * clock).cast("bigint"))
 
 
 def duration_parts(us: Column) -> list[Column]:
@@ -332,5 +371,5 @@ def parse_time(text: Column) -> Column:
 
 def between_times(col: Column, low: int, high: int) -> Column:
     """Time of day within [low, high] seconds; a low above the high goes over midnight."""
-    s = micros(col) % 86_400_000_000 / F.lit(1_000_000)
+    s = F.pmod(micros(col), F.lit(86_400_000_000)) / F.lit(1_000_000)
     return s.between(low, high) if low <= high else (s >= low) | (s <= high)

@@ -14,8 +14,14 @@ def capitalize(c: Column) -> Column:
 
 
 def title(c: Column) -> Column:
-    """First letter of each word upper, the rest lower."""
-    return F.initcap(c)
+    """First letter of each run of letters upper, the rest lower; whatever is no letter ends a run."""
+    runs = F.regexp_extract_all(c, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    return F.array_join(F.transform(runs, capitalize), "")
+
+
+def casefold(c: Column) -> Column:
+    """Lower case for comparison: by way of upper case, with the sharp s spelt out and one form of sigma."""
+    return F.regexp_replace(F.regexp_replace(F.lower(F.upper(c)), "[ßẞ]", "ss"), "ς", "σ")
 
 
 def swapcase(c: Column) -> Column:
@@ -88,11 +94,11 @@ def count(c: Column, pattern: str) -> Column:
 
 
 def match(c: Column, pattern: str) -> Column:
-    return c.rlike(f"^(?:{pattern})")
+    return c.rlike(rf"\A(?:{pattern})")
 
 
 def full_match(c: Column, pattern: str) -> Column:
-    return c.rlike(f"^(?:{pattern})$")
+    return c.rlike(rf"\A(?:{pattern})\z")
 
 
 def find_all(c: Column, pattern: str) -> Column:
@@ -130,14 +136,15 @@ def partition(c: Column, sep: str, names: tuple[str, str, str] = ("before", "sep
 
 # Character classes of whole-text tests.
 CLASSES = {
-    "is_alnum": r"^[\p{L}\p{N}]+$",
-    "is_alpha": r"^\p{L}+$",
-    "is_decimal": r"^\p{Nd}+$",
-    "is_digit": r"^[0-9]+$",
-    "is_numeric": r"^\p{N}+$",
-    "is_space": r"^\s+$",
-    "is_lower": r"^[^\p{Lu}]*\p{Ll}[^\p{Lu}]*$",
-    "is_upper": r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$",
+    "is_alnum": r"\A[\p{L}\p{N}]+\z",
+    "is_alpha": r"\A\p{L}+\z",
+    "is_decimal": r"\A\p{Nd}+\z",
+    "is_digit": r"\A[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐❶-❾]+\z",
+    "is_numeric": r"\A\p{N}+\z",
+    "is_space": r"\A\s+\z",
+    "is_lower": r"\A[^\p{Lu}]*\p{Ll}[^\p{Lu}]*\z",
+    "is_upper": r"\A[^\p{Ll}]*\p{Lu}[^\p{Ll}]*\z",
+    "is_title": r"\A[^\p{Lu}\p{Ll}]*\p{Lu}\p{Ll}*(?:[^\p{Lu}\p{Ll}]+\p{Lu}\p{Ll}*)*[^\p{Lu}\p{Ll}]*\z",
 }
 
 

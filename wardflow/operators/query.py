@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,9 +29,26 @@ def overlaps(c, items) -> Column:
     return F.arrays_overlap(_col(c), F.array(*[F.lit(i) for i in items]))
 
 
-def json_contains(c, values: dict) -> Column:
-    """A JSON object text that has these members."""
-    return all_of([F.get_json_object(_col(c), f"$.{k}") == F.lit(str(v)) for k, v in values.items()])
+def json_contains(c, values: dict, path: str = "$") -> Column:
+    """A JSON object text that has these members, of the same kind; members of a member are compared one by one, lists by what they hold."""
+    text = _col(c)
+
+    def one(k: str, v) -> Column:
+        found = F.get_json_object(text, f"{path}.{k}")
+        if isinstance(v, dict):
+            return json_contains(c, v, f"{path}.{k}")
+        if isinstance(v, (list, tuple)):
+            held = F.from_json(found, "array<string>")
+            return F.coalesce(F.size(F.array_except(F.array(*[F.lit(_json_text(x)) for x in v]).cast("array<string>"), held)) == 0, F.lit(False))
+        if isinstance(v, (int, float)) and not isinstance(v, bool):
+            return F.coalesce(found.try_cast("double") == F.lit(float(v)), F.lit(False))
+        return found == F.lit(_json_text(v))
+
+    return all_of([one(k, v) for k, v in values.items()])
+
+
+def _json_text(v) -> str:
+    return v if isinstance(v, str) else json.dumps(v)
 
 
 # Ranges are structs ``lo, hi`` with the low end included and the high end not.

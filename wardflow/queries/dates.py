@@ -213,3 +213,47 @@ def _(t):
     rows = rows.unionByName(part("ship_days", F.col("l_shipdate"), t.lineitem.select("l_shipdate")))
     rows = rows.unionByName(part("month_ends", F.last_day("ts"))).unionByName(part("half_days", D.floor_to(F.col("ts"), "12 hours"), t.events.select("ts")))
     return R.infer_frequency(rows.unionByName(part("events", F.col("ts"), t.events.select("ts"))), ["kind"], "ts")
+
+
+# Working days one by one: the n-th weekday after (before) the date; no step from a weekend gives its Monday.
+for _n in (-6, -1, 0, 1, 7):
+    if _n:
+        _days = f"[x FOR x IN generate_series(1, {abs(_n) * 2 + 4}) IF isodow(d {'+' if _n > 0 else '-'} x::INTEGER) < 6][{abs(_n)}]"
+        _sql = f"CAST(d {'+' if _n > 0 else '-'} ({_days})::INTEGER AS DATE)"
+    else:
+        _sql = "CAST(d + (CASE isodow(d) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END)::INTEGER AS DATE)"
+    query(f"b_d6_business_days_{'back_' if _n < 0 else ''}{abs(_n)}", f"SELECT o_orderkey, {_sql} AS moved FROM {DD}")(
+        lambda t, n=_n: t.orders.select("o_orderkey", D.move_business_days(F.to_date("o_orderdate"), n).alias("moved"))
+    )
+OLD = "o_orderdate - INTERVAL 60 YEAR + to_microseconds(o_orderkey % 999999)"
+
+
+def long_ago(t):
+    return t.orders.selectExpr("o_orderkey", "timestampadd(MICROSECOND, o_orderkey % 999999, o_orderdate - INTERVAL '60' YEAR) AS moment")
+
+
+query("b_d7_fields_before_1970", f"SELECT o_orderkey, CAST(microsecond(moment) % 1000000 AS INTEGER) AS microsecond, year(moment)::INTEGER AS year FROM (SELECT o_orderkey, {OLD} AS moment FROM orders)")(
+    lambda t: long_ago(t).select("o_orderkey", *D.date_fields("moment", ["microsecond", "year"]))
+)
+query("b_d11_between_times_before_1970", f"SELECT o_orderkey FROM (SELECT o_orderkey, {OLD} + to_hours(o_orderkey % 24) AS moment FROM orders) WHERE hour(moment) >= 22 OR hour(moment) < 3")(
+    lambda t: long_ago(t).withColumn("moment", F.expr("timestampadd(HOUR, o_orderkey % 24, moment)")).filter(D.between_times(F.col("moment"), 22 * 3600, 3 * 3600 - 1)).select("o_orderkey")
+)
+# The clock skips 02:00 to 03:00 on the first Sunday of April (the second of March from 2007); the gap ends at 07:00 UTC.
+for _how, _edge in (("forward", "INTERVAL 0 MICROSECOND"), ("backward", "INTERVAL 1 MICROSECOND")):
+    query(
+        f"b_d9_shift_{_how}",
+        f"SELECT o_orderkey, CASE WHEN {SKIPPED} THEN CAST(CAST(clock AS DATE) AS TIMESTAMP) + INTERVAL 7 HOUR - {_edge} ELSE timezone('UTC', timezone('America/New_York', clock)) END AS utc FROM ({NY})",
+    )(lambda t, h=_how: clocks(t).select("o_orderkey", D.localize(F.col("clock"), "America/New_York", nonexistent=f"shift_{h}").alias("utc")))
+query("b_d9_second_of_both", "SELECT o_orderkey, CAST(clock AS TIMESTAMP) + INTERVAL 5 HOUR AS utc FROM (SELECT o_orderkey, o_orderdate + INTERVAL 90 MINUTE AS clock FROM orders) WHERE " + REPEATED)(
+    lambda t: t.orders.selectExpr("o_orderkey", "o_orderdate + INTERVAL '90' MINUTE AS clock").filter(D.is_repeated(F.col("clock"), "America/New_York"))
+    .select("o_orderkey", D.localize(F.col("clock"), "America/New_York", ambiguous="second").alias("utc"))
+)
+query(
+    "b_d10_signed_durations",
+    "SELECT event_id, CASE event_id % 5 WHEN 0 THEN user_id * 129600000000 WHEN 1 THEN -(user_id * 3600000000 + 60000000) WHEN 2 THEN user_id * 604800000000 WHEN 3 THEN -user_id * 86400000000 + 3600000000 END AS us FROM events",
+)(
+    lambda t: t.events.select(
+        "event_id",
+        D.duration_micros(F.expr("CASE event_id % 5 WHEN 0 THEN concat(user_id + user_id / 2.0, ' days') WHEN 1 THEN concat('-', user_id, ':01:00') WHEN 2 THEN concat(user_id, ' weeks') WHEN 3 THEN concat('-', user_id, ' days +01:00:00') ELSE '3 days or so' END")).alias("us"),
+    )
+)

@@ -65,6 +65,7 @@ query(
 _classes = {
     "is_alnum": "[\\p{L}\\p{N}]+", "is_alpha": "\\p{L}+", "is_decimal": "\\p{Nd}+", "is_digit": "[0-9]+", "is_numeric": "\\p{N}+", "is_space": "\\s+",
     "is_lower": "[^\\p{Lu}]*\\p{Ll}[^\\p{Lu}]*", "is_upper": "[^\\p{Ll}]*\\p{Lu}[^\\p{Ll}]*",
+    "is_title": "[^\\p{Lu}\\p{Ll}]*\\p{Lu}\\p{Ll}*([^\\p{Lu}\\p{Ll}]+\\p{Lu}\\p{Ll}*)*[^\\p{Lu}\\p{Ll}]*",
 }
 query("b_s6_class_tests", "SELECT word, count(*) AS n, " + ", ".join(f"regexp_full_match(word, '{p}') AS {n}" for n, p in _classes.items()) + ", CAST(length(word) AS INTEGER) AS length FROM (SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r]+')) AS word FROM documents) WHERE word <> '' GROUP BY 1")(
     lambda t: t.documents.select(F.explode(F.split("text", r"[ \t\n\r]+")).alias("word")).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
