@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from wardflow.operators.joins import hash_join
+from wardflow.operators.keys import join_null_safe
 from wardflow.operators.merge import last_by_key
 from wardflow.operators.ordered import Series, position
 from wardflow.operators.windows import decayed_sums
@@ -43,12 +45,17 @@ class Generations:
     """The state of a ``foreachBatch`` job as one folder per batch.
 
     A batch reads the folder of the batch before it and writes its own, over what a failed
-    attempt at the same batch left.  So a repeated batch gives the same state.
+    attempt at the same batch left.  So a repeated batch gives the same state.  The newest finished
+    folder is found at the start, so a job that is begun again goes on from there; older ones than
+    the batch before are removed.
     """
 
     def __init__(self, spark: SparkSession, folder: str, schema: T.StructType):
         self.spark, self.folder, self.schema = spark, folder, schema
-        self.last = -1
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/state")
+        self._files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = self._files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/state/*/_SUCCESS"))
+        self.last = max([int(x.getPath().getParent().getName()) for x in found or []], default=-1)
 
     def before(self, batch: int) -> DataFrame:
         if batch == 0:
@@ -58,6 +65,8 @@ class Generations:
     def put(self, df: DataFrame, batch: int) -> None:
         df.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.folder}/state/{batch}")
         self.last = batch
+        if batch >= 2:
+            self._files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/state/{batch - 2}"), True)
 
     def current(self) -> DataFrame:
         return self.before(self.last + 1)
@@ -80,7 +89,7 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: list[str], sequence
     values = [c for c in state.columns if c not in key]
     last = last_by_key(changes.select(*key, *values, "event", sequence), key, [sequence])
     last = last.select(*key, *[F.col(c).alias(f"_n_{c}") for c in values], "event")
-    joined = state.withColumn("_old", F.lit(True)).join(last, key, "full_outer")
+    joined = hash_join(state, last, key, "full")
     kept = joined.filter(F.coalesce(F.col("event") != "DELETE", F.lit(True)))
     changed = F.col("event").isNotNull()
     return kept.select(*[F.col(c) if c in key else F.when(changed, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) for c in state.columns])
@@ -153,18 +162,24 @@ def ewm_step(batch: DataFrame, state: DataFrame, series: Series, col: str, alpha
     The state is the sum of weights and of weighted values per key.  A batch's own sums come
     from the distributed scan; the state is added with the ageing of the rows since.
     """
-    by, rate = series.by, -math.log1p(-alpha)
+    by = series.by
+    if alpha == 1:  # only the last value counts
+        rows = settle(position(batch.filter(F.col(col).isNotNull()), series, "_n"))
+        means = rows.select(*batch.columns, F.col(col).cast("double").alias("mean"))
+        fresh = rows.groupBy(*by).agg(F.lit(1.0).alias("weight"), F.max_by(F.col(col).cast("double"), "_n").alias("weighted"))
+        return means, join_null_safe(state, fresh, by, "left_anti").unionByName(fresh.select(*state.columns))
+    rate = -math.log1p(-alpha)
     rows = settle(position(batch.filter(F.col(col).isNotNull()), series, "_n"))
     sums = decayed_sums(rows, series, F.col("_n") * F.lit(rate), {"_w": (F.lit(1.0), 1.0), "_x": (F.col(col), 1.0)})
     old = state.select(*by, F.col("weight").alias("_ow"), F.col("weighted").alias("_ox"))
     aged = F.exp(F.col("_n") * F.lit(-rate))
-    joined = sums.join(old, by, "left").withColumns(
+    joined = join_null_safe(sums, old, by, "left").withColumns(
         {"_w": F.col("_w") + F.coalesce(F.col("_ow") * aged, F.lit(0.0)), "_x": F.col("_x") + F.coalesce(F.col("_ox") * aged, F.lit(0.0))}
     )
     joined = settle(joined)
     means = joined.select(*batch.columns, (F.col("_x") / F.col("_w")).alias("mean"))
     fresh = joined.groupBy(*by).agg(F.max_by("_w", "_n").alias("weight"), F.max_by("_x", "_n").alias("weighted"))
-    kept = state.join(fresh, by, "left_anti")
+    kept = join_null_safe(state, fresh, by, "left_anti")
     return means, kept.unionByName(fresh.select(*state.columns))
 
 
