@@ -210,5 +210,5 @@ def test_buckets_are_narrowed_for_a_busy_key(rows):
 
 
 def test_many_value_buckets(rows, table):
-    got = R.quantiles(rows, ["k"], "v", {"a": 0.31}, parts=400).toPandas().sort_values("k", na_position="last")
+    got = R.quantiles(rows, ["k"], "v", {"a": 0.31}).toPandas().sort_values("k", na_position="last")
     same(got["a"], table.groupby("k")["v"].quantile(0.31))

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.operators.keys import join_null_safe, with_one_row
-from wardflow.operators.ordered import GROUP_LIMIT, Series, edges_below, first_rows, position, value_bucket
+from wardflow.operators.ordered import Series, dealt, edges_below, first_rows, position
 from wardflow.operators.ranks import quantiles, ranks
 from wardflow.session import settle
 
@@ -100,10 +102,7 @@ def nth(df: DataFrame, series: Series, n: int) -> DataFrame:
     """The n-th row of each group, from 0; negative counts from the end."""
     order = series if n >= 0 else series.reversed()
     want = n + 1 if n >= 0 else -n
-    if want <= GROUP_LIMIT and series.by:
-        found = first_rows(df, series.by, order.sort(), want, "_nth")
-    else:
-        found = position(df, order, "_nth")
+    found = first_rows(df, series.by, order.sort(), want, "_nth") if series.by else position(df, order, "_nth")
     return found.filter(F.col("_nth") == want).drop("_nth")
 
 
@@ -129,11 +128,12 @@ def keep_groups(df: DataFrame, by: list[str], condition: Column) -> DataFrame:
     return join_null_safe(df, kept, by, "left_semi")
 
 
-def group_numbers(df: DataFrame, key: str, name: str = "ngroup") -> DataFrame:
-    """0-based number of the group in key order."""
-    keys = df.select(key).distinct()
-    numbered = position(keys, Series([], [key], value_bucket(df, key)), name).withColumn(name, F.col(name) - 1)
-    return join_null_safe(df, numbered, [key])
+def group_numbers(df: DataFrame, keys: str | list[str], name: str = "ngroup") -> DataFrame:
+    """0-based number of the group in the order of one or several keys."""
+    keys = [keys] if isinstance(keys, str) else keys
+    rows, series = dealt(df.select(*keys).distinct(), [], keys)
+    numbered = position(rows, series, name).withColumn(name, F.col(name) - 1).drop("_vb")
+    return join_null_safe(df, numbered, keys)
 
 
 def apply_groups(
@@ -241,8 +241,27 @@ def bin_width(rule: str, s: dict) -> float:
     raise ValueError(rule)
 
 
-def bin_edges(df: DataFrame, col: str, rule: str | int) -> list[float]:
-    """Edges by a rule or a number of equal bins; one pass over the column."""
+@dataclass(frozen=True)
+class EqualBins:
+    """Bins of equal width; an edge follows from its number, so no list is needed however many there are."""
+
+    low: float
+    high: float
+    bins: int
+
+    def edge(self, number: Column) -> Column:
+        return F.when(number == self.bins, F.lit(self.high)).otherwise(F.lit(self.low) + number * F.lit((self.high - self.low) / self.bins))
+
+    def number(self, col: str) -> Column:
+        """The bin by arithmetic, moved by one where rounding put the value beyond the bin's own edges."""
+        x = F.col(col).cast("double")
+        guess = F.least(F.floor((x - self.low) / F.lit(self.high - self.low) * self.bins), F.lit(self.bins - 1))
+        moved = guess - F.when(x < self.edge(guess), 1).otherwise(0) + F.when((x >= self.edge(guess + 1)) & (guess < self.bins - 1), 1).otherwise(0)
+        return F.when(x.between(self.low, self.high), moved)
+
+
+def bin_edges(df: DataFrame, col: str, rule: str | int) -> EqualBins:
+    """Bins by a rule or of a given number; one pass over the column."""
     s = _stats(df, col, with_iqr=rule in ("fd", "auto"))
     if isinstance(rule, int):
         bins = rule
@@ -252,17 +271,19 @@ def bin_edges(df: DataFrame, col: str, rule: str | int) -> list[float]:
     low, high = s["low"], s["high"]
     if low == high:
         low, high = low - 0.5, high + 0.5
-    return [low + i * ((high - low) / bins) for i in range(bins)] + [high]
+    return EqualBins(float(low), float(high), bins)
 
 
-def bin_number(col: str, edges: list[float]) -> Column:
+def bin_number(col: str, edges: list[float] | EqualBins) -> Column:
     """0-based bin, closed on the left, the last one on both sides; NULL outside."""
+    if isinstance(edges, EqualBins):
+        return edges.number(col)
     edges = [float(e) for e in edges]
     inside = F.col(col).between(edges[0], edges[-1])
     return F.when(inside, edges_below(col, edges[1:-1]))
 
 
-def histogram(df: DataFrame, col: str, edges: list[float], *, by: list[str] = (), weight: str | None = None, density: bool = False) -> DataFrame:
+def histogram(df: DataFrame, col: str, edges: list[float] | EqualBins, *, by: list[str] = (), weight: str | None = None, density: bool = False) -> DataFrame:
     """One row per non-empty bin: number, edges, and count, weight or density."""
     w = F.col(weight) if weight else F.lit(1)
     counts = (
@@ -271,8 +292,11 @@ def histogram(df: DataFrame, col: str, edges: list[float], *, by: list[str] = ()
         .groupBy(*by, "bin")
         .agg(F.sum(w).alias("count"))
     )
-    array = F.expr("array(" + ", ".join(f"{float(e)!r}D" for e in edges) + ")")
-    out = counts.withColumns({"low": F.element_at(array, F.col("bin") + 1), "high": F.element_at(array, F.col("bin") + 2)})
+    if isinstance(edges, EqualBins):
+        out = counts.withColumns({"low": edges.edge(F.col("bin")), "high": edges.edge(F.col("bin") + 1)})
+    else:
+        array = F.lit(np.array(edges, float))
+        out = counts.withColumns({"low": F.element_at(array, F.col("bin") + 1), "high": F.element_at(array, F.col("bin") + 2)})
     if density:
         totals = counts.groupBy(*by).agg(F.sum("count").alias("_t"))
         out = join_null_safe(out, totals, by) if by else with_one_row(out, totals)

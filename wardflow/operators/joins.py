@@ -172,14 +172,20 @@ def compare(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return joined.select(*on, F.inline(F.array_compact(F.array(*diffs))))
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = 10_000) -> list:
-    """The distinct values of a category column, on the driver; refuses more than ``limit``."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values")
-    return sorted(r[0] for r in rows)
+def distinct_values(df: DataFrame, column: str) -> list:
+    """The distinct values of a category column, for results with one column for each of them.
+
+    Such a result is as wide as the list is long; where categories are many, use a long form (``pivot_long``, ``dummies_long``).
+    """
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
 
 
-def grid(keys: DataFrame, column: str, values: list) -> DataFrame:
-    """Every key with every value of a short list, without a cross join."""
-    return keys.distinct().withColumn(column, F.explode(F.array(*[F.lit(v) for v in values])))
+def grid(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every distinct row of one set with every one of another.
+
+    The right rows are dealt by a hash to as many numbers as there are shuffle partitions, and each left row is sent to every number:
+    an equal join, whose tasks hold a part of the right rows each.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = right.distinct().withColumn("_part", F.pmod(F.xxhash64(*right.columns), F.lit(parts)).cast("int"))
+    return left.distinct().withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(dealt, "_part").drop("_part")

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.operators.keys import join_null_safe, with_one_row
-from wardflow.operators.ordered import Series, position
+from wardflow.operators.ordered import dealt, position
 
 
 def last_by_key(source: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
@@ -85,13 +85,18 @@ def high_water_day(df: DataFrame, column: str) -> DataFrame:
 
 
 def hashed_key(cols: list[str]) -> Column:
-    """A surrogate key that stays the same on every run."""
-    return F.xxhash64(*[F.col(c) for c in cols])
+    """A surrogate key of 128 bits, as hex text, that stays the same on every run; NULLs count by place.
+
+    64 bits would be expected to repeat from about ten thousand million rows on.
+    """
+    parts = [F.concat(F.length(t), F.lit(":"), t) for t in (F.col(c).cast("string") for c in cols)]
+    return F.md5(F.concat_ws("|", *[F.coalesce(p, F.lit("-")) for p in parts]))
 
 
-def sequence_key(df: DataFrame, order: Series, name: str, after: DataFrame) -> DataFrame:
+def sequence_key(df: DataFrame, order: list[str], name: str, after: DataFrame) -> DataFrame:
     """Number rows in order after the largest key of ``after`` (one row, column ``top``)."""
-    numbered = position(df, order, "_n")
+    rows, series = dealt(df, [], order)
+    numbered = position(rows, series, "_n").drop("_vb")
     return with_one_row(numbered, after.select("top")).withColumn(name, F.coalesce("top", F.lit(0)) + F.col("_n")).drop("top", "_n")
 
 

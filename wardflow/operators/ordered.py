@@ -18,12 +18,14 @@ a series ordered by time.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field, replace
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
+from wardflow.session import settle
+
 MICROS = {"second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86400 * 10**6, "week": 7 * 86400 * 10**6}
 
 
@@ -50,44 +52,31 @@ def time_bucket(col: Column | str, width: str | int = "1 day") -> Column:
     return (m - F.pmod(m, F.lit(w))) / F.lit(w)
 
 
-TREE_LIMIT = 256
-
-
 def edges_below(col: str, edges: list[float], strict: bool = False) -> Column:
-    """How many of the sorted edges are <= the value (< with ``strict``).
+    """How many of the sorted edges are <= the value (< with ``strict``); NULL for NULL.
 
-    A decision tree over literals: it stays in generated code and takes log(n) comparisons.
-    Lists too long for generated code are searched by numpy, in batches.
+    Every so many edges, as the root of their number, the list has a mark.  The marks are counted first,
+    then the edges after the last one passed.
     """
-    if len(edges) > TREE_LIMIT:
-
-        @F.pandas_udf("int")
-        def search(values: pd.Series) -> pd.Series:
-            return pd.Series(np.searchsorted(edges, values.to_numpy(), side="left" if strict else "right"))
-
-        return search(F.col(col).cast("double"))
-    op = "<=" if strict else "<"
-
-    def tree(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        mid = (low + high) // 2
-        return f"CASE WHEN _x {op} {edges[mid]!r}D THEN {tree(low, mid)} ELSE {tree(mid + 1, high)} END"
-
-    return F.expr(tree(0, len(edges)).replace("_x", f"CAST(`{col}` AS DOUBLE)"))
-
-
-def value_bucket(df: DataFrame, col: str, parts: int | None = None) -> Column:
-    """Bucket of a numeric column by approximate quantiles, as many as there are shuffle partitions.
-
-    At most 4096 edges reach the driver; they become literals, so that every use
-    of the column sees the same buckets.
+    if not edges:
+        return F.when(F.col(col).isNotNull(), 0)
+    x = F.col(col).cast("double")
+    passed = (lambda e: e < x) if strict else (lambda e: e <= x)
+    step = math.ceil(math.sqrt(len(edges)))
+    marks = F.size(F.filter(F.lit(np.array(edges[::step], float)), passed))
+    block = F.slice(F.lit(np.array(edges, float)), (F.greatest(marks, F.lit(1)) - 1) * step + 1, step)
+    found = F.when(marks == 0, 0).otherwise((marks - 1) * step + F.size(F.filter(block, passed)))
+    return F.when(x.isNotNull(), found.cast("int"))
+
+
+def dealt(df: DataFrame, by: list[str], order: list[str], *, descending: bool = False) -> tuple[DataFrame, "Series"]:
+    """Rows dealt by ranges of key and order, and a series whose bucket is the range.
+
+    Any orderable types will do, and a value that most rows share is cut by the columns after it.  The ranges come from
+    a sample, so the rows are written once with their range: all later reads agree.  The column ``_vb`` is left to be dropped.
     """
-    if parts is None:
-        parts = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 64), 4096)
-    probs = [i / parts for i in range(1, parts)]
-    edges = sorted({float(e) for e in df.approxQuantile(col, probs, 0.5 / parts)})
-    return F.when(F.col(col).isNull(), F.lit(-1)).otherwise(edges_below(col, edges))
+    rows = settle(df.repartitionByRange(*by, *order).withColumn("_vb", F.spark_partition_id()))
+    return rows, Series(by, order, F.col("_vb"), descending)
 
 
 @dataclass(frozen=True)
@@ -220,16 +209,12 @@ def running(
 def first_rows(df: DataFrame, by: list[str], order: list[Column], n: int, name: str = "_p") -> DataFrame:
     """The first n rows of each key, with their 1-based number.
 
-    For a limit this small Spark cuts each task's rows to n per key before the shuffle.
+    Spark cuts each task's rows to n per key before the shuffle, for any n up to the limit in the session settings.
     """
     w = W.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n)
 
 
-# Spark's default for the largest limit it applies before the shuffle.
-GROUP_LIMIT = 1000
-
-
 def position(df: DataFrame, series: Series, name: str = "_pos") -> DataFrame:
     """Add the 1-based row number inside the key."""
     return running(df, series, {name: ("count", F.lit(1))})

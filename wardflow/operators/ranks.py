@@ -1,7 +1,7 @@
 """Ranks and quantiles inside groups of any size.
 
-Equal values are counted first (map-side combined).  The distinct values are then scanned
-in value buckets with ``running``, so no group is ever in one task.
+Equal values are counted first (map-side combined).  The distinct values are then dealt by ranges and
+scanned with ``running``, so no group is ever in one task.  Any orderable type will do.
 """
 
 from __future__ import annotations
@@ -9,15 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.operators.keys import join_null_safe, with_one_row
-from wardflow.operators.ordered import Series, position, running, value_bucket
+from wardflow.operators.ordered import Series, dealt, position, running
 
 
-def value_counts_running(df: DataFrame, by: list[str], col: str, *, ascending: bool = True, parts: int | None = None) -> DataFrame:
+def value_counts(df: DataFrame, by: list[str], col: str, *, ascending: bool = True) -> tuple[DataFrame, Series]:
+    """Distinct non-NULL values per group with ``_n`` copies, counted once and written, and their series."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
+    return dealt(counts, by, [col], descending=not ascending)
+
+
+def value_counts_running(df: DataFrame, by: list[str], col: str, *, ascending: bool = True) -> DataFrame:
     """Distinct non-NULL values per group: ``_n`` copies, ``_cum`` rows and ``_distinct`` values up to it."""
-    present = df.filter(F.col(col).isNotNull())
-    counts = present.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
-    series = Series(by, [col], value_bucket(present, col, parts), descending=not ascending)
-    return running(counts, series, {"_cum": ("sum", F.col("_n")), "_distinct": ("count", F.lit(1))})
+    counts, series = value_counts(df, by, col, ascending=ascending)
+    return running(counts, series, {"_cum": ("sum", F.col("_n")), "_distinct": ("count", F.lit(1))}).drop("_vb")
 
 
 def ranks(
@@ -30,8 +34,8 @@ def ranks(
     ``first`` breaks ties by the ``ties`` columns.
     """
     if method == "first":
-        bucket = value_bucket(df, col)
-        numbered = position(df.filter(F.col(col).isNotNull()), Series(by, [col, *ties], bucket, descending=not ascending), "_r")
+        rows, series = dealt(df.filter(F.col(col).isNotNull()), by, [col, *ties], descending=not ascending)
+        numbered = position(rows, series, "_r").drop("_vb")
         rest = df.filter(F.col(col).isNull()).withColumn("_r", F.lit(None).cast("long"))
         out = numbered.unionByName(rest).withColumn("_r", F.col("_r").cast("double"))
     else:
@@ -81,10 +85,11 @@ def _index_weights(interpolation: str, h: Column):
     raise ValueError(interpolation)
 
 
-def quantiles(df: DataFrame, by: list[str], col: str, qs: dict[str, float], *, interpolation: str = "linear", parts: int | None = None) -> DataFrame:
+def quantiles(df: DataFrame, by: list[str], col: str, qs: dict[str, float], *, interpolation: str = "linear") -> DataFrame:
     """Exact quantiles per group, ``{"p90": 0.9}``; NULLs are left out."""
-    scan = value_counts_running(df, by, col, parts=parts)
-    sizes = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    counts, series = value_counts(df, by, col)
+    scan = running(counts, series, {"_cum": ("sum", F.col("_n"))})
+    sizes = counts.groupBy(*by).agg(F.sum("_n").alias("_size"))
     rows = join_null_safe(scan, sizes, by) if by else with_one_row(scan, sizes)
     aggs, outs = [], []
     for name, q in qs.items():

@@ -39,6 +39,17 @@ def pivot_table(
     return out.fillna(fill, subset=names) if fill is not None else out
 
 
+def pivot_long(df: DataFrame, index: list[str], columns: str, agg: Column) -> DataFrame:
+    """The cells of a pivot table as rows: index, category and value, however many categories there are."""
+    return df.groupBy(*index, columns).agg(agg.alias("value"))
+
+
+def dummies_long(df: DataFrame, key: list[str], column: str, sep: str | None = None) -> DataFrame:
+    """The ones of dummy columns as rows: key and category; with ``sep`` the column holds a separated list."""
+    category = F.col(column) if sep is None else F.explode(F.split(column, re.escape(sep)))
+    return df.select(*key, category.alias("category")).filter("category IS NOT NULL AND category <> ''").distinct()
+
+
 def totals(df: DataFrame, by: list[str], agg: Column, kind: str = "cube") -> DataFrame:
     """Sub-totals over all (cube) or leading (rollup) key subsets, with ``grouping_id``."""
     grouped = df.cube(*by) if kind == "cube" else df.rollup(*by)

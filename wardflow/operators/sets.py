@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wardflow.operators.keys import join_null_safe, with_one_row
-from wardflow.operators.ordered import GROUP_LIMIT, Series, edges_below, first_rows, position, value_bucket
+from wardflow.operators.ordered import Series, dealt, edges_below, first_rows, position
 from wardflow.operators.ranks import value_counts_running
+from wardflow.session import settle
 
 
-def sort_rows(df: DataFrame, keys: list[tuple[str, bool]], ties: list[str], *, nulls_last: bool = True, key: dict[str, Column] | None = None) -> DataFrame:
-    """Sort by ``(column, ascending)`` pairs; ``ties`` make the order total, so it is stable."""
+def sort_order(keys: list[tuple[str, bool]], ties: list[str], *, nulls_last: bool = True, key: dict[str, Column] | None = None) -> list[Column]:
+    """Sort columns of ``(column, ascending)`` pairs; ``ties`` make the order total, so it is stable."""
     order = []
     for name, ascending in keys:
         col = (key or {}).get(name, F.col(name))
@@ -20,7 +21,24 @@ def sort_rows(df: DataFrame, keys: list[tuple[str, bool]], ties: list[str], *, n
             order.append(col.asc_nulls_last() if nulls_last else col.asc_nulls_first())
         else:
             order.append(col.desc_nulls_last() if nulls_last else col.desc_nulls_first())
-    return df.orderBy(*order, *ties)
+    return [*order, *[F.col(c) for c in ties]]
+
+
+def sort_rows(df: DataFrame, keys: list[tuple[str, bool]], ties: list[str], **options) -> DataFrame:
+    return df.orderBy(*sort_order(keys, ties, **options))
+
+
+def sorted_positions(df: DataFrame, keys: list[tuple[str, bool]], ties: list[str], name: str = "place", **options) -> DataFrame:
+    """Every row with its 1-based place in the whole sorted table.
+
+    The rows are dealt by ranges of the order; a range numbers its own rows and adds the sizes of the ranges before it.
+    """
+    order = sort_order(keys, ties, **options)
+    rows = settle(df.repartitionByRange(*order).withColumn("_vb", F.spark_partition_id()))
+    sizes = rows.groupBy("_vb").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_vb", F.coalesce(F.sum("_n").over(W.orderBy("_vb").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    numbered = rows.withColumn(name, F.row_number().over(W.partitionBy("_vb").orderBy(*order)))
+    return numbered.join(before, "_vb").withColumn(name, F.col(name) + F.col("_before")).drop("_vb", "_before")
 
 
 def n_largest(df: DataFrame, n: int, col: str, ties: list[str], *, keep: str = "first", smallest: bool = False) -> DataFrame:
@@ -62,18 +80,14 @@ def sample_n(df: DataFrame, n: int, keys: list[str], seed: str, weight: str | No
 
 
 def sample_by_group(df: DataFrame, by: list[str], n: int, keys: list[str], seed: str) -> DataFrame:
-    """n rows of each group.  Up to GROUP_LIMIT each task hands on n rows per group at most;
-    beyond, a group is scanned in slices of its random numbers."""
+    """n rows of each group; each task hands on n rows per group at most."""
     rows = df.withColumn("_u", uniform(keys, seed))
-    if n <= GROUP_LIMIT:
-        return first_rows(rows, by, [F.col(c) for c in ["_u", *keys]], n).drop("_u", "_p")
-    series = Series(by, ["_u", *keys], F.floor(F.col("_u") * 4096))
-    return position(rows, series, "_p").filter(F.col("_p") <= n).drop("_u", "_p")
+    return first_rows(rows, by, [F.col(c) for c in ["_u", *keys]], n).drop("_u", "_p")
 
 
-def sample_with_replacement(df: DataFrame, n: int, keys: list[str], bucket: Column, seed: str) -> DataFrame:
+def sample_with_replacement(df: DataFrame, n: int, keys: list[str], seed: str) -> DataFrame:
     """n draws; a row may come up several times.  Each draw picks a row number."""
-    numbered = position(df, Series([], keys, bucket), "_p")
+    numbered = numbered_by_value(df, keys[0], keys[1:], "_p")
     draws = df.sparkSession.range(n).withColumn("_u", uniform(["id"], seed))
     size = df.agg(F.count(F.lit(1)).alias("_n"))
     picks = with_one_row(draws, size).select(F.col("id").alias("draw"), (F.floor(F.col("_u") * F.col("_n")) + 1).alias("_p"))
@@ -166,4 +180,5 @@ def truncate(df: DataFrame, col: str, before=None, after=None) -> DataFrame:
 
 def numbered_by_value(df: DataFrame, col: str, ties: list[str], name: str) -> DataFrame:
     """Row number over the whole table in value order, without one task for all rows."""
-    return position(df, Series([], [col, *ties], value_bucket(df, col)), name)
+    rows, series = dealt(df, [], [col, *ties])
+    return position(rows, series, name).drop("_vb")

@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from wardflow.operators.aggregates import transform_groups, unbiased_kurtosis, unbiased_skew
-from wardflow.operators.ordered import GROUP_LIMIT, Series, first_rows, position, row_frame, running, span_micros, time_frame, with_heads
+from wardflow.operators.keys import join_null_safe
+from wardflow.operators.ordered import Series, first_rows, position, row_frame, running, span_micros, time_frame, with_heads
 from wardflow.session import settle
 
 Kernel = Callable[[str, WindowSpec], Column]
@@ -290,7 +291,7 @@ def percent_change(df: DataFrame, series: Series, col: str, n: int = 1, name: st
 
 def head(df: DataFrame, series: Series, n: int) -> DataFrame:
     """First ``n`` rows of each key; a negative n leaves out the last -n."""
-    if 0 <= n <= GROUP_LIMIT and series.by:
+    if n >= 0 and series.by:
         return first_rows(df, series.by, series.sort(), n).drop("_p")
     if n >= 0:
         return position(df, series, "_p").filter(F.col("_p") <= n).drop("_p")
@@ -333,7 +334,8 @@ def gradient(df: DataFrame, series: Series, x: str, y: str, name: str = "gradien
 
 # Exponentially weighted
 
-NATS = 40.0  # weights below exp(-40) vanish beside a weight of 1 in double precision
+NATS = 40.0  # decay within a block; its inverse weights stay within double precision
+BLOCKS = 18  # blocks after which a weight is below the smallest number of double precision
 
 
 def decay_rate(*, com: float | None = None, span: float | None = None, halflife: float | None = None, alpha: float | None = None) -> float:
@@ -341,37 +343,51 @@ def decay_rate(*, com: float | None = None, span: float | None = None, halflife:
     if sum(v is not None for v in (com, span, halflife, alpha)) != 1:
         raise ValueError("give exactly one of com, span, halflife, alpha")
     if com is not None:
+        if com < 0:
+            raise ValueError("com must be at least 0")
         return 1 / (1 + com)
     if span is not None:
+        if span < 1:
+            raise ValueError("span must be at least 1")
         return 2 / (span + 1)
     if halflife is not None:
+        if halflife <= 0:
+            raise ValueError("halflife must be above 0")
         return 1 - math.exp(-math.log(2) / halflife)
+    if not 0 < alpha <= 1:
+        raise ValueError("alpha must be above 0 and at most 1")
     return alpha
 
 
 def decayed_sums(df: DataFrame, series: Series, decay: Column, sums: dict[str, tuple[Column, float]]) -> DataFrame:
     """For each row the sum over earlier rows and itself of ``value * exp(-rate * (decay - decay_i))``.
 
-    ``decay`` grows along the series, in nats; ``sums`` gives value and rate.  Rows are cut where the
-    decay passes a multiple of NATS.  A row then needs its own block and the total of the one
-    before: anything older weighs less than the rounding error of the row itself.
+    ``decay`` grows along the series, in nats; ``sums`` gives value and rate.  Rows are cut where the decay passes a multiple of NATS,
+    and a block again by the series' bucket, however slow the decay.  A piece is handed, as its head row, the sums of the
+    pieces before it in its block, and of all earlier blocks, aged.
     """
-    keys = [*series.by, "_blk"]
-    rows = df.withColumn("_d", decay).withColumn("_blk", F.floor(F.col("_d") / NATS)).withColumn("_d", F.col("_d") - F.col("_blk") * NATS)
-    # The total of a block, aged to its end, is the head of the next one.
-    totals = (
-        rows.groupBy(*keys)
-        .agg(*[F.sum(v * F.exp(F.lit(r) * (F.col("_d") - NATS))).alias(f"_t_{n}") for n, (v, r) in sums.items()])
-        .withColumn("_blk", F.col("_blk") + 1)
+    block, keys = [*series.by, "_blk"], [*series.by, "_blk", "_b"]
+    rows = (
+        df.withColumn("_b", series.bucket).withColumn("_d", decay).withColumn("_blk", F.floor(F.col("_d") / NATS)).withColumn("_d", F.col("_d") - F.col("_blk") * NATS)
     )
-    both = with_heads(rows, totals)
+    pieces = rows.groupBy(*keys).agg(*[F.sum(v * F.exp(F.lit(r) * F.col("_d"))).alias(f"_s_{n}") for n, (v, r) in sums.items()])
+    earlier = W.partitionBy(*block).orderBy(series.bucket_sort()).rowsBetween(W.unboundedPreceding, -1)
+    inside = pieces.select(*keys, *[F.sum(f"_s_{n}").over(earlier).alias(f"_i_{n}") for n in sums])
+    later = (
+        pieces.groupBy(*block).agg(*[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums])
+        .withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(BLOCKS))))
+        .select(*series.by, (F.col("_blk") + F.col("_k")).alias("_blk"), *[(F.col(f"_s_{n}") * F.exp(F.lit(-r * NATS) * F.col("_k"))).alias(f"_s_{n}") for n, (_, r) in sums.items()])
+        .groupBy(*block).agg(*[F.sum(f"_s_{n}").alias(f"_e_{n}") for n in sums])
+    )
+    zero = F.lit(0.0)
+    heads = join_null_safe(inside, later, block, "left").select(*keys, *[(F.coalesce(f"_i_{n}", zero) + F.coalesce(f"_e_{n}", zero)).alias(f"_t_{n}") for n in sums])
+    both = with_heads(rows, heads)
     scan = W.partitionBy(*keys).orderBy("_head", *series.sort()).rowsBetween(W.unboundedPreceding, 0)
-    here = F.coalesce(F.col("_d"), F.lit(0.0))
+    here = F.coalesce(F.col("_d"), zero)
 
     def aged(name: str, value: Column, rate: float) -> Column:
         grown = F.sum(F.when(F.col("_head") == 1, value) * F.exp(F.lit(rate) * here)).over(scan)
-        carried = F.first(f"_t_{name}").over(scan)  # NULL where the block has no head
-        return (F.coalesce(grown, F.lit(0.0)) + F.coalesce(carried, F.lit(0.0))) * F.exp(F.lit(-rate) * here)
+        return (F.coalesce(grown, zero) + F.first(f"_t_{name}").over(scan)) * F.exp(F.lit(-rate) * here)
 
     out = both.select(*df.columns, *[aged(n, v, r).alias(n) for n, (v, r) in sums.items()], "_head")
     return out.filter(F.col("_head") == 1).drop("_head")
@@ -387,8 +403,14 @@ def ewm(
     NULL rows repeat the last result.  With ``ignore_na`` they do not age the weights.  With
     ``halflife_time`` weights age by time, not by row.
     """
+    if halflife_time is not None and not adjust:
+        raise ValueError("a half-life in time needs adjust=True")
+    if halflife_time is None and not 0 < alpha <= 1:
+        raise ValueError("alpha must be above 0 and at most 1")
     by = series.by
     both = F.col(col).isNotNull() if other is None else F.col(col).isNotNull() & F.col(other).isNotNull()
+    if alpha == 1 and halflife_time is None:
+        return _last_value_only(df, series, col, outputs, both, min_periods, bias)
     if set(outputs) <= {"mean", "sum"}:
         base = df.withColumn("_mx", F.lit(0.0))
     else:  # second moments are taken about the key's mean, for accuracy
@@ -453,3 +475,13 @@ def _gap_ageing(present: DataFrame, series: Series, alpha: float):
     rows = rows.withColumn("_share", F.coalesce(F.lit(alpha) / (old + alpha), F.lit(1.0)))
     rows = settle(running(settle(rows), series, {"_aged": ("sum", F.col("_age"))}))
     return rows, F.col("_aged"), F.col("_share")
+
+
+def _last_value_only(df: DataFrame, series: Series, col: str, outputs: list[str], both: Column, min_periods: int, bias: bool) -> DataFrame:
+    """Smoothing by a factor of one: a result is that of the last row alone."""
+    counted = settle(running(df, series, {"_ok": ("count", F.when(both, 1))}))
+    one = {"mean": F.col(col).cast("double"), "sum": F.col(col).cast("double"), "corr": F.lit(None).cast("double")}
+    none = F.lit(0.0) if bias else F.lit(None).cast("double")
+    ready = both & (F.col("_ok") >= min_periods)
+    rows = counted.withColumns({n: F.when(ready, one.get(n, none)) for n in outputs}).drop("_ok")
+    return running(settle(rows), series, {n: ("last", F.col(n)) for n in outputs})

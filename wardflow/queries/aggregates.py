@@ -187,3 +187,12 @@ query(
 query("b_a22_straight_line", f"SELECT {GSQL}, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, round(regr_r2(l_extendedprice, l_quantity), 8) AS r2 FROM lineitem GROUP BY ALL")(
     lambda t: t.lineitem.groupBy(*G).agg(*A.straight_line("l_extendedprice", "l_quantity")).select(*G, F.round("slope", 6).alias("slope"), F.round("intercept", 4).alias("intercept"), F.round("r2", 8).alias("r2"))
 )
+# One value far out makes very many bins, nearly all of them empty.
+query(
+    "b_a18_histogram_outlier",
+    "WITH d AS (SELECT CASE WHEN event_id = 1 THEN 1e7 ELSE value END AS x FROM events), s AS (SELECT min(x) AS lo, max(x) AS hi FROM d) "
+    "SELECT CAST(least(floor((x - lo) / ((hi - lo) / 12500000)), 12499999) AS BIGINT) AS bin, count(*) AS count FROM d, s GROUP BY 1",
+)(lambda t: A.histogram(d := t.events.selectExpr("CASE WHEN event_id = 1 THEN 1e7D ELSE value END AS x"), "x", A.bin_edges(d, "x", 12_500_000)).select("bin", "count"))
+query("b_a17_group_numbers_of_two_keys", "SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderstatus, o_orderpriority) - 1 AS ngroup FROM orders")(
+    lambda t: A.group_numbers(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"), ["o_orderstatus", "o_orderpriority"]).select("o_orderkey", "ngroup")
+)

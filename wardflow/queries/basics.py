@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from wardflow.operators import aggregates as A, windows as W
+from wardflow.operators import aggregates as A, sets as S, windows as W
 from wardflow.operators.ordered import Series, position
 from wardflow.queries import ctes as Q
 from wardflow.queries.registry import query
@@ -41,9 +41,8 @@ query("a_p18_one_decimal", "SELECT o_orderstatus, round(sum(CAST(o_totalprice AS
     lambda t: t.orders.groupBy("o_orderstatus").agg(F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)) / 1000, 1).alias("thousands"))
 )
 query("a_a5_distinct_keys", "SELECT DISTINCT o_custkey FROM orders")(lambda t: t.orders.select("o_custkey").distinct())
-query("a_o1_ordered_census", Q.using(Q.DAILY, "SELECT census_date, program_category, census, row_number() OVER (ORDER BY census_date, program_category) AS place FROM daily ORDER BY 4 LIMIT 20"))(
-    lambda t: position(daily(t), Series([], ["census_date", "program_category"], F.datediff("census_date", F.lit("2024-01-01").cast("date"))), "place")
-    .select("census_date", "program_category", "census", "place").orderBy("place").limit(20)
+query("a_o1_ordered_census", Q.using(Q.DAILY, "SELECT census_date, program_category, census, row_number() OVER (ORDER BY census_date, program_category) AS place FROM daily"))(
+    lambda t: S.sorted_positions(daily(t), [("census_date", True), ("program_category", True)], [], "place").select("census_date", "program_category", "census", "place")
 )
 query("a_u3_drop_duplicates", "SELECT DISTINCT l_returnflag, l_linestatus, l_quantity FROM lineitem")(
     lambda t: t.lineitem.select("l_returnflag", "l_linestatus", "l_quantity").dropDuplicates()

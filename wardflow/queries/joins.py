@@ -171,4 +171,4 @@ def _(t):
 
 @query("b_j13_key_grid", "SELECT user_id, event_type FROM (SELECT DISTINCT user_id FROM events), (SELECT DISTINCT event_type FROM events)")
 def _(t):
-    return J.grid(t.events.select("user_id"), "event_type", J.distinct_values(t.events, "event_type"))
+    return J.grid(t.events.select("user_id"), t.events.select("event_type"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F, types as T
 
 from wardflow.operators import reshape as S
+from wardflow.operators.reshape import pivot_long
 from wardflow.queries.registry import query
 
 ST = ["F", "O", "P"]
@@ -161,3 +162,6 @@ query(
     "b_r19_transpose",
     "SELECT 'n' AS key, " + cells("CAST(count(*) FILTER ({w}) AS DOUBLE)") + " FROM orders UNION ALL SELECT 'dearest', " + cells("max(o_totalprice) FILTER ({w})") + " FROM orders",
 )(lambda t: t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).cast("double").alias("n"), F.max("o_totalprice").alias("dearest")).transpose("o_orderstatus"))
+query("b_r1_pivot_long", "SELECT l_returnflag, l_partkey, round(sum(l_quantity), 4) AS value FROM lineitem GROUP BY 1, 2")(
+    lambda t: pivot_long(t.lineitem, ["l_returnflag"], "l_partkey", F.round(F.sum("l_quantity"), 4))
+)

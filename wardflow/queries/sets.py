@@ -5,15 +5,14 @@ from datetime import datetime
 from pyspark.sql import functions as F, types as T
 
 from wardflow.operators import sets as S
-from wardflow.operators.ordered import value_bucket
 from wardflow.queries.registry import query
 
 OR = ["o_orderkey", "o_custkey", "o_totalprice"]
-query("b_o1_sort_page", "SELECT o_orderkey, o_orderpriority, price FROM (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price FROM orders) ORDER BY lower(o_orderpriority) DESC, price ASC NULLS FIRST, o_orderkey LIMIT 500")(
-    lambda t: S.sort_rows(
+query("b_o1_sort_page", "SELECT o_orderkey, o_orderpriority, price, row_number() OVER (ORDER BY lower(o_orderpriority) DESC, price ASC NULLS FIRST, o_orderkey) AS place FROM (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price FROM orders)")(
+    lambda t: S.sorted_positions(
         t.orders.selectExpr("o_orderkey", "o_orderpriority", "CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price"),
-        [("o_orderpriority", False), ("price", True)], ["o_orderkey"], nulls_last=False, key={"o_orderpriority": F.lower("o_orderpriority")},
-    ).limit(500)
+        [("o_orderpriority", False), ("price", True)], ["o_orderkey"], nulls_last=False, key={"o_orderpriority": F.lower("o_orderpriority")}, name="place",
+    )
 )
 query("b_o1_order_positions", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS place FROM orders")(
     lambda t: S.numbered_by_value(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", ["o_orderkey"], "place").select("o_orderkey", "place")
@@ -47,7 +46,7 @@ query("b_o3_sample_by_group", f"SELECT o_orderkey, o_orderpriority FROM (SELECT
 query(
     "b_o3_sample_with_replacement",
     f"SELECT id AS draw, o_orderkey FROM (SELECT id, floor({u(['id'], 's5')} * (SELECT count(*) FROM orders)) + 1 AS p FROM range(1000) r(id)) JOIN (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS p FROM orders) USING (p)",
-)(lambda t: S.sample_with_replacement(t.orders.select("o_orderkey"), 1000, K, value_bucket(t.orders, "o_orderkey"), "s5"))
+)(lambda t: S.sample_with_replacement(t.orders.select("o_orderkey"), 1000, K, "s5"))
 query("b_o4_unique_values", "SELECT l_quantity, count(*) AS count, min(l_orderkey) AS first_place, dense_rank() OVER (ORDER BY l_quantity) - 1 AS code FROM lineitem GROUP BY 1")(
     lambda t: S.unique_values(t.lineitem.select("l_quantity", "l_orderkey"), "l_quantity", "l_orderkey")
 )
@@ -92,3 +91,6 @@ query("b_o10_head_tail", "(SELECT event_id, 'head' AS part FROM events ORDER BY
         t.events.select("event_id").orderBy(F.desc("event_id")).limit(5).withColumn("part", F.lit("tail"))
     )
 )
+query("b_o4_codes_of_text", "SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS code FROM orders")(
+    lambda t: S.inverse_codes(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority").select("o_orderkey", "code")
+)

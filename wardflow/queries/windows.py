@@ -240,3 +240,16 @@ query(
     f"""WITH {X}, d AS (SELECT event_id, value AS y, lag(value) OVER ({O}) AS a, lead(value) OVER ({O}) AS b, (epoch_us(ts) - epoch_us(lag(ts) OVER ({O}))) / 3.6e9 AS hs, (epoch_us(lead(ts) OVER ({O})) - epoch_us(ts)) / 3.6e9 AS hd FROM x)
 SELECT event_id, round(CASE WHEN hs IS NULL THEN (b - y) / hd WHEN hd IS NULL THEN (y - a) / hs ELSE (hd * ((y - a) / hs) + hs * ((b - y) / hd)) / (hs + hd) END, 5) AS gradient FROM d""",
 )(lambda t: W.gradient(timed(t), series(t), "us", "value").select("event_id", F.round(F.col("gradient") * 3.6e9, 5).alias("gradient")))
+# Text, dates, and a value that most rows share.
+for _name, _col in (("text", "o_orderpriority"), ("date", "CAST(o_orderdate AS DATE)"), ("shared_value", "CASE WHEN o_orderkey % 10 < 8 THEN 'common' ELSE o_orderpriority END")):
+    query(f"b_w14_rank_{_name}", f"SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY v, o_orderkey) AS DOUBLE) AS rank, CAST(dense_rank() OVER (PARTITION BY o_orderstatus ORDER BY v) AS DOUBLE) AS dense FROM (SELECT *, {_col} AS v FROM orders)")(
+        lambda t, c=_col: R.ranks(
+            R.ranks(t.orders.selectExpr("o_orderkey", "o_orderstatus", f"{c} AS v"), ["o_orderstatus"], "v", method="first", ties=["o_orderkey"]), ["o_orderstatus"], "v", "dense", method="dense"
+        ).select("o_orderkey", "rank", "dense")
+    )
+query("b_w10_ewm_alpha_one", "SELECT event_id, round(last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 6) AS mean FROM (SELECT *, CASE WHEN event_id % 4 <> 0 THEN value END AS v FROM events)")(
+    lambda t: out(W.ewm(t.events.selectExpr("event_id", "user_id", "ts", "CASE WHEN event_id % 4 <> 0 THEN value END AS v"), series(t), "v", ["mean"], alpha=1.0), "mean")
+)
+query("b_w10_ewm_mean_long_halflife", pairs(decay="pow(0.5, (epoch_us(c.ts) - epoch_us(p.ts)) / (86400000000.0 * 400))") + " SELECT event_id, round(s1 / s0, 6) AS mean" + ALL_ROWS)(
+    lambda t: out(W.ewm(rows(t), series(t), "v", ["mean"], halflife_time="400 days", ts="ts"), "mean")
+)

@@ -17,6 +17,8 @@ SESSION_SETTINGS = {
     # Split a skewed join even where a later step would have used its partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The first rows of a key are cut in each task before the shuffle, however many are asked for.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000000",
     # Sessions of a key are merged in each task before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
