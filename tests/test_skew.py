@@ -154,7 +154,7 @@ def test_asof_join(spark, table, direction, exact, tolerance):
     def to_spark(pdf):
         return spark.createDataFrame(pdf.astype({"ts": "datetime64[us]"})).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
-    got = J.asof_join(to_spark(left), to_spark(right), on="ts", by=["k"], columns=["w"], direction=direction, exact=exact, tolerance=tolerance, width="4 hours")
+    got = J.asof_join(to_spark(left), to_spark(right), on="ts", by=["k"], columns=["w"], direction=direction, exact=exact, tolerance=tolerance)
     same(values(got, "w")[0], want.sort_values("id")["w"])
 
 
@@ -174,7 +174,7 @@ def test_sample_is_the_same_in_any_partitioning(rows):
 
 
 def test_sessions(rows, table):
-    got = S.sessions(rows, ts="ts", by=["k"], gap="5 hours", width="6 hours").toPandas()
+    got = S.sessions(rows, ts="ts", by=["k"], gap="5 hours").toPandas()
     fresh = table.groupby("k")["ts"].diff().ge("5h") | table.groupby("k").cumcount().eq(0)
     want = table.assign(s=fresh.groupby(table["k"]).cumsum()).groupby(["k", "s"])["ts"].agg(["min", "max", "count"])
     assert sorted(got["n"]) == sorted(want["count"])

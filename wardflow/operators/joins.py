@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.operators.keys import join_null_safe
-from wardflow.operators.ordered import Series, micros, running, span_micros, time_bucket
+from wardflow.operators.ordered import dealt, micros, running, span_micros, steps
 from wardflow.session import settle
 
 
@@ -49,7 +49,7 @@ def join_cardinality(left: DataFrame, right: DataFrame, on: list[str]) -> DataFr
     ).withColumn("kind", kind)
 
 
-def _asof_one_way(left, right, on, by, ties, backward: bool, exact: bool, width, carry: list[str]) -> DataFrame:
+def _asof_one_way(left, right, on, by, ties, backward: bool, exact: bool, carry: list[str]) -> DataFrame:
     # Where times are equal, a right row must be scanned before the left row it may match.
     right_first = exact == backward
     l_side, r_side = (1, 0) if right_first else (0, 1)
@@ -59,24 +59,23 @@ def _asof_one_way(left, right, on, by, ties, backward: bool, exact: bool, width,
     struct_type = right.select(payload.alias("p")).schema["p"].dataType
     r = right.select(*by, F.col(on), F.lit(r_side).alias("_side"), *tie, payload.alias("_p"), F.lit(None).cast(left.select(F.struct("*").alias("x")).schema["x"].dataType).alias("_left"))
     l = left.select(*by, F.col(on), F.lit(l_side).alias("_side"), *none, F.lit(None).cast(struct_type).alias("_p"), F.struct("*").alias("_left"))
-    rows = r.unionByName(l)
-    series = Series(by, [on, "_side", *[f"_t{i}" for i in range(len(ties))]], time_bucket(on, width).cast("long"), descending=not backward)
-    out = running(rows, series, {"_match": ("last", F.col("_p"))})
+    rows, series = dealt(r.unionByName(l), by, [on, "_side", *[f"_t{i}" for i in range(len(ties))]], descending=not backward)
+    out = running(rows, series, {"_match": ("last", F.col("_p"))}).drop("_vb")
     return out.filter(F.col("_left").isNotNull())
 
 
 def asof_join(
     left: DataFrame, right: DataFrame, *, on: str, by: list[str], columns: list[str], direction: str = "backward",
-    tolerance: str | int | None = None, exact: bool = True, ties: list[str] = (), width: str = "1 day",
+    tolerance: str | int | None = None, exact: bool = True, ties: list[str] = (),
 ) -> DataFrame:
     """Each left row with the ``columns`` of the nearest right row in time, per key.
 
-    Both sides go through one ordered scan in time buckets; nothing is paired.  ``ties`` orders
+    Both sides go through one ordered scan, dealt by ranges of key and time; nothing is paired.  ``ties`` orders
     right rows of equal time: the last is taken backward, the first forward.  Nearest takes the
     smaller gap, and backward when both gaps are equal.  The match's time is ``<on>_right``.
     """
     right = right.filter(F.col(on).isNotNull())
-    args = dict(on=on, by=by, ties=list(ties), exact=exact, width=width, carry=list(columns))
+    args = dict(on=on, by=by, ties=list(ties), exact=exact, carry=list(columns))
     if direction == "nearest":
         # The left rows of the first scan, with their match, are the left side of the second.
         first = settle(_asof_one_way(left, right, backward=True, **args).select("_left.*", F.col("_match").alias("_before")))
@@ -100,12 +99,12 @@ def asof_last_complete(left: DataFrame, right: DataFrame, *, subset: list[str],
 
 
 def ordered_join(
-    left: DataFrame, right: DataFrame, *, on: str, by: list[str], fill: list[str], width: str = "1 day"
+    left: DataFrame, right: DataFrame, *, on: str, by: list[str], fill: list[str]
 ) -> DataFrame:
     """Full outer join on key and time, then ``fill`` columns carried forward per key."""
     joined = hash_join(left, right, [*by, on], "full")
-    series = Series(by, [on], time_bucket(on, width).cast("long"))
-    return running(joined, series, {c: ("last", F.col(c)) for c in fill})
+    rows, series = dealt(joined, by, [on])
+    return running(rows, series, {c: ("last", F.col(c)) for c in fill}).drop("_vb")
 
 
 def _inside(point: Column, low: Column, high: Column, closed: str) -> Column:
@@ -123,9 +122,7 @@ def interval_join(
     then meet by equal key and bucket, so no point is compared with all intervals.
     """
     w = span_micros(width)
-    spans = intervals.filter(F.col(low) <= F.col(high)).withColumn(
-        "_bk", F.explode(F.sequence(F.floor(micros(low) / w), F.floor(micros(high) / w)))
-    )
+    spans = steps(intervals.filter(F.col(low) <= F.col(high)), F.floor(micros(low) / w), F.floor(micros(high) / w), 1, "_bk")
     marked = points.withColumn("_bk", F.floor(micros(point) / w))
     keys = [*by, "_bk"]
     return (
@@ -135,10 +132,10 @@ def interval_join(
     )
 
 
-def overlaps_earlier(df: DataFrame, *, low: str, high: str, by: list[str], ties: list[str], width: str = "30 days", closed: bool = False) -> DataFrame:
+def overlaps_earlier(df: DataFrame, *, low: str, high: str, by: list[str], ties: list[str], closed: bool = False) -> DataFrame:
     """Flag intervals that begin before an earlier one of the same key has ended."""
-    series = Series(by, [low, *ties], time_bucket(low, width).cast("long"))
-    out = running(df, series, {"_reach": ("max", F.col(high))}, exclusive=True)
+    rows, series = dealt(df, by, [low, *ties])
+    out = running(rows, series, {"_reach": ("max", F.col(high))}, exclusive=True).drop("_vb")
     hit = F.col("_reach") >= F.col(low) if closed else F.col("_reach") > F.col(low)
     return out.withColumn("overlaps", F.coalesce(hit, F.lit(False))).drop("_reach")
 

@@ -79,6 +79,20 @@ def dealt(df: DataFrame, by: list[str], order: list[str], *, descending: bool =
     return rows, Series(by, order, F.col("_vb"), descending)
 
 
+CHUNK = 4096
+
+
+def steps(df: DataFrame, low: Column, high: Column, width: int, name: str) -> DataFrame:
+    """A row for each step from low to high, both included.
+
+    The steps are listed in chunks, so that no row holds a list as long as a whole interval.
+    """
+    wide = F.lit(width * CHUNK)
+    chunks = df.withColumns({"_high": high, "_chunk": F.explode(F.sequence(low, high, wide))})
+    last = F.least(F.col("_high"), F.col("_chunk") + wide - width)
+    return chunks.withColumn(name, F.explode(F.sequence(F.col("_chunk"), last, F.lit(width)))).drop("_chunk", "_high")
+
+
 @dataclass(frozen=True)
 class Series:
     """Key columns, order columns and the bucket that cuts long keys into pieces."""
@@ -98,12 +112,13 @@ class Series:
 
         One number per try reaches the driver: the size of the largest bucket, counted map-side.
         """
-        micros_wide = span_micros(width)
+        micros_wide, before = span_micros(width), None
         while micros_wide > MICROS["second"]:
-            sizes = df.groupBy(*by, time_bucket(ts, micros_wide).alias("_b")).agg(F.count(F.lit(1)).alias("n"))
+            sizes = df.filter(F.col(ts).isNotNull()).groupBy(*by, time_bucket(ts, micros_wide).alias("_b")).agg(F.count(F.lit(1)).alias("n"))
             peak = sizes.agg(F.max("n")).first()[0] or 0
-            if peak <= rows:
+            if peak <= rows or peak == before:  # rows of one time cannot be told apart by time
                 break
+            before = peak
             micros_wide = max(micros_wide // -(-peak // rows), MICROS["second"])
         return Series.by_time(by, ts, *ties, width=micros_wide)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.operators.keys import join_null_safe
-from wardflow.operators.ordered import Series, from_micros, micros, row_frame, running, span_micros
+from wardflow.operators.ordered import dealt, from_micros, micros, row_frame, running, span_micros, steps
 from wardflow.session import settle
 
 
@@ -29,7 +29,7 @@ def resample(
     rows = df.filter(F.col(ts).isNotNull()).groupBy(*by, bucket_start(ts, every, closed=closed, origin=origin).alias("_at")).agg(*[a.alias(n) for n, a in aggs.items()])
     if empty:
         spans = rows.groupBy(*by).agg(F.min("_at").alias("_a"), F.max("_at").alias("_z"))
-        grid = spans.select(*by, F.explode(F.sequence("_a", "_z", F.lit(w))).alias("_at"))
+        grid = steps(spans, F.col("_a"), F.col("_z"), w, "_at").select(*by, "_at")
         rows = join_null_safe(grid, rows, [*by, "_at"], "left")
         if fill:
             rows = rows.fillna(fill)
@@ -37,21 +37,20 @@ def resample(
     return rows.select(*by, from_micros(at).alias(ts), *aggs)
 
 
-def upsample(df: DataFrame, *, ts: str, every: str, by: list[str], columns: list[str], fill: str | None = None, width: str = "30 days") -> DataFrame:
+def upsample(df: DataFrame, *, ts: str, every: str, by: list[str], columns: list[str], fill: str | None = None) -> DataFrame:
     """A finer regular grid between a key's first and last time: values at equal times, gaps
     left NULL, or filled forward or backward from the series."""
     w = span_micros(every)
     spans = df.groupBy(*by).agg(F.min(micros(ts)).alias("_a"), F.max(micros(ts)).alias("_z"))
-    grid = spans.select(*by, F.explode(F.sequence("_a", "_z", F.lit(w))).alias("_us")).withColumn(ts, from_micros(F.col("_us"))).drop("_us")
+    grid = steps(spans, F.col("_a"), F.col("_z"), w, "_us").select(*by, from_micros(F.col("_us")).alias(ts))
     rows = join_null_safe(grid, df.select(*by, ts, *columns), [*by, ts], "left")
     if fill is None:
         return rows
-    series = Series.by_time(by, ts, width=width)
-    series = series.reversed() if fill == "backward" else series
-    return running(rows, series, {c: ("last", F.col(c)) for c in columns})
+    rows, series = dealt(rows, by, [ts], descending=fill == "backward")
+    return running(rows, series, {c: ("last", F.col(c)) for c in columns}).drop("_vb")
 
 
-def sessions(df: DataFrame, *, ts: str, by: list[str], gap: str, width: str = "1 day") -> DataFrame:
+def sessions(df: DataFrame, *, ts: str, by: list[str], gap: str) -> DataFrame:
     """Runs of rows with less than ``gap`` between them: start, end (last time plus gap), rows.
 
     The session of a row is its key and its latest start so far, from two ordered scans; a
@@ -59,8 +58,8 @@ def sessions(df: DataFrame, *, ts: str, by: list[str], gap: str, width: str = "1
     """
     g = span_micros(gap)
     at = micros(ts)  # rows without a time are in no session
-    series = Series.by_time(by, ts, width=width)
-    rows = settle(running(df.select(*by, ts).filter(F.col(ts).isNotNull()), series, {"_before": ("last", at)}, exclusive=True))
+    timed, series = dealt(df.select(*by, ts).filter(F.col(ts).isNotNull()), by, [ts])
+    rows = settle(running(timed, series, {"_before": ("last", at)}, exclusive=True))
     starts = F.when(F.col("_before").isNull() | (at - F.col("_before") >= g), at)
     marked = running(rows, series, {"_start": ("last", starts)})
     out = marked.groupBy(*by, "_start").agg(F.max(at).alias("_last"), F.count(F.lit(1)).alias("n"))
@@ -71,10 +70,10 @@ def sessions(df: DataFrame, *, ts: str, by: list[str], gap: str, width: str = "1
 STEPS = [("W", 7 * 86_400_000_000), ("D", 86_400_000_000), ("h", 3_600_000_000), ("min", 60_000_000), ("s", 1_000_000)]
 
 
-def infer_frequency(df: DataFrame, by: list[str], ts: str, width: str = "365 days") -> DataFrame:
+def infer_frequency(df: DataFrame, by: list[str], ts: str) -> DataFrame:
     """Name of the one step between the times of a key, such as D, 2h, MS or QS; NULL if there is none."""
-    times = df.select(*by, ts).distinct()
-    frame = row_frame(times, Series.by_time(by, ts, width=width), before=1)
+    times, series = dealt(df.select(*by, ts).distinct(), by, [ts])
+    frame = row_frame(times, series, before=1)
     before = F.lag(ts).over(frame.window())
     steps = frame.close(
         frame.rows.withColumn("_step", micros(ts) - micros(before)).withColumn(
