@@ -58,6 +58,23 @@ def form_pages(t, kind, before=None):
     )
 
 
+def landed_replies(t, replies):
+    """Replies written to a landing folder and read back from its files."""
+    return L.land(replies, f"{scratch_dir(t.spark)}/landing")
+
+
+PAGES = 40
+
+
+def full_pages(t, kind):
+    """Replies of many records each, a ninth of the pages left out."""
+    record = F.get_json_object("value", f"$.{kind}_evaluations[0]")
+    pages = form_pages(t, kind).select((F.col("form_id") % PAGES + 1).cast("int").alias("page"), record.alias("record")).filter("page % 9 <> 0")
+    listed = pages.groupBy("page").agg(F.concat_ws(",", F.collect_list("record")).alias("records"))
+    head = F.concat(F.lit('{"pagination": {"page": '), F.col("page"), F.lit(f', "total_pages": {PAGES}}}, "{kind}_evaluations": ['))
+    return landed_replies(t, listed.select(F.concat(head, F.col("records"), F.lit("]}")).alias("value")))
+
+
 STEP_RULE = (
     "CASE WHEN value < 10 THEN array(named_struct('name', 'Other', 'value', 'x')) "
     "WHEN value < 20 THEN array(named_struct('name', 'Step Down To', 'value', 'NA')) "
@@ -102,8 +119,8 @@ STATE = [Q.CASE_EVENTS, Q.LATEST, STAGED]
 query(
     "a_s2_incremental_pull",
     Q.using(STATE, "SELECT * FROM staged WHERE last_updated_at >= DATE '2024-01-10' AND last_updated_at < DATE '2024-01-21'"),
-)(lambda t: L.updated_between(L.patients(patient_replies(t)), "last_updated_at", date(2024, 1, 10), date(2024, 1, 20)))
-query("a_p1_normalised_patients", Q.using(STATE, "SELECT * FROM staged"))(lambda t: L.patients(patient_replies(t)))
+)(lambda t: L.updated_between(L.patients(landed_replies(t, patient_replies(t))), "last_updated_at", date(2024, 1, 10), date(2024, 1, 20)))
+query("a_p1_normalised_patients", Q.using(STATE, "SELECT * FROM staged"))(lambda t: L.patients(landed_replies(t, patient_replies(t))))
 
 
 @query(
@@ -161,6 +178,13 @@ query("a_s3_paged_pull", Q.using([Q.CASE_EVENTS, Q.forms("ama")], "SELECT *, 2 A
 )
 
 
+query("a_s3_pages_of_many_records", Q.using([Q.CASE_EVENTS, Q.forms("ama")], f"SELECT * FROM ama_forms WHERE (form_id % {PAGES} + 1) % 9 <> 0"))(lambda t: L.forms(full_pages(t, "ama")))
+query(
+    "a_s3_missing_pages",
+    Q.using([Q.CASE_EVENTS, Q.forms("ama")], f"SELECT CAST(p AS INTEGER) AS page FROM range(1, {PAGES + 1}) r(p) WHERE p NOT IN (SELECT form_id % {PAGES} + 1 FROM ama_forms WHERE (form_id % {PAGES} + 1) % 9 <> 0)"),
+)(lambda t: L.missing_pages(full_pages(t, "ama")))
+
+
 @query(
     "a_s4_case_replies",
     Q.using(
@@ -191,7 +215,7 @@ query(
         "SELECT casefile_id, patient_id, patient_master_id, coalesce(first_name, '') AS first_name, last_name, program_name, start_date, logged_by, logged_at "
         "FROM program_log JOIN events ON event_id = program_history_pk WHERE value >= 8",
     ),
-)(lambda t: L.program_history(history_replies(t))[0])
+)(lambda t: L.program_history(landed_replies(t, history_replies(t)))[0])
 
 
 @query("a_s5_stage_load", Q.using(STATE, "SELECT count(*) AS row_count, CAST(min(last_updated_at) AS DATE) AS first_day, CAST(max(last_updated_at) AS DATE) AS last_day FROM staged"))

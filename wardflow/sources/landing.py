@@ -21,6 +21,23 @@ def read_replies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
+def land(replies: DataFrame, path: str) -> DataFrame:
+    """Write replies below a folder, one to a line, and read them from there; a JSON reply has no line breaks of its own."""
+    replies.select("value").write.text(path)
+    return replies.sparkSession.read.text(path)
+
+
+def missing_pages(raw: DataFrame) -> DataFrame:
+    """Pages that a paged pull announced and that have not come.
+
+    A reply tells its page and how many there are; without a single reply nothing is known to be missing.
+    """
+    told = raw.select(F.get_json_object("value", "$.pagination.page").cast("int").alias("page"), page_total(raw).alias("total"))
+    total = told.agg(F.max("total").alias("total"))
+    due = total.filter("total IS NOT NULL").select(F.explode(F.sequence(F.lit(1), F.col("total"))).alias("page"))
+    return due.join(told.select("page").distinct(), "page", "left_anti")
+
+
 def _localise(df: DataFrame, names: list[str]) -> DataFrame:
     return df.withColumns({n: to_local(F.col(n)) for n in names})
 
