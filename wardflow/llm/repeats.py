@@ -209,41 +209,35 @@ def send_stretches(shard: Shard, flags: pa.Table, kind: Kind, parts: int) -> pa.
             into[s] = np.unpackbits(np.frombuffer(x, np.uint8), count=s.stop - s.start)
     wanted = np.flatnonzero(shared[place])
     single = hot[place[wanted]]
-    ids = np.where(shard.valid, shard.ids, NEVER).tolist()
+    part, code = (key >> np.uint64(32)).astype(np.int64), (key >> np.uint64(8)).astype(np.int64)
     cut = kind.cutter(texts)
-    held: dict[int, dict[bytes, int]] = {}
-    least: dict[int, list[int]] = {}
-    windows: dict[int, list[int]] = {}
-    subs: dict[int, list[int]] = {}
-    places: dict[int, list[tuple]] = {}
-
-    def add(part: int, sub: int, data: bytes, t: int, first: int, count: int) -> None:
-        own = held.setdefault(part, {})
-        n = own.setdefault(data, len(own))
-        low = least.setdefault(part, [])
-        if n == len(low):
-            low.append(ids[t])
-            windows.setdefault(part, []).append(count)
-            subs.setdefault(part, []).append(sub % kind.subs)
-        elif ids[t] < low[n]:
-            low[n] = ids[t]
-        places.setdefault(part, []).append((n, t, first))
-
-    for i, alone in zip(wanted.tolist(), single.tolist()):
-        t, first, n = int(text[i]), int(start[i]), int(count[i])
-        if alone:
-            for w in range(first, first + n):
-                data = cut(t, w, w + kind.k)
-                h = xxhash.xxh64_intdigest(data)
-                add(h % parts, h >> 40, data, t, w, 1)
-        else:
-            code = int(key[i])
-            add(code >> 32, code >> 8, cut(t, first, first + n + kind.k - 1), t, first, n)
-    rows = []
-    for part, own in held.items():
-        data, spots = b"".join(own), np.array(places.pop(part), "<i4").T
-        lens, low, count, sub = (np.array(x, t).tobytes() for x, t in (([len(x) for x in own], "<i4"), (least[part], "<i8"), (windows[part], "<i4"), (subs[part], "u1")))
-        rows.append((part, shard.number, sub, lens, shrink(low), shrink(data), len(data), count, shrink(spots.tobytes()), spots.shape[1]))
+    # (part, sub, text, first window, windows) of each stretch, and of each window of a crowded seed
+    whole = wanted[~single]
+    found = [np.stack([part[whole], code[whole] % kind.subs, text[whole], start[whole], count[whole]], 1)]
+    for i in wanted[single].tolist():
+        t, first = int(text[i]), int(start[i])
+        hashes = [xxhash.xxh64_intdigest(cut(t, w, w + kind.k)) for w in range(first, first + int(count[i]))]
+        found.append(np.array([(h % parts, (h >> 40) % kind.subs, t, first + w, 1) for w, h in enumerate(hashes)], np.int64))
+    todo = np.concatenate(found)
+    todo = todo[np.argsort(todo[:, 0], kind="stable")]
+    ids, rows = np.where(shard.valid, shard.ids, NEVER).tolist(), []
+    for mine in np.split(todo, np.flatnonzero(np.diff(todo[:, 0])) + 1) if len(todo) else []:
+        own: dict[bytes, int] = {}
+        least, windows, subs, numbers = [], [], [], []
+        for _, sub, t, first, n in mine.tolist():
+            data = cut(t, first, first + n + kind.k - 1)
+            number = own.get(data)
+            if number is None:
+                number = own[data] = len(own)
+                least.append(ids[t])
+                windows.append(n)
+                subs.append(sub)
+            elif ids[t] < least[number]:
+                least[number] = ids[t]
+            numbers.append(number)
+        data, spots = b"".join(own), np.stack([numbers, mine[:, 2], mine[:, 3]]).astype("<i4")
+        lens, low, count_, sub = (np.array(x, t).tobytes() for x, t in (([len(x) for x in own], "<i4"), (least, "<i8"), (windows, "<i4"), (subs, "u1")))
+        rows.append((int(mine[0, 0]), shard.number, sub, lens, shrink(low), shrink(data), len(data), count_, shrink(spots.tobytes()), spots.shape[1]))
     return pa.Table.from_batches([batch(SENT, *zip(*rows))] if rows else [], schema=SENT)
 
 
@@ -291,7 +285,6 @@ def covered(shard: Shard, told: pa.Table, kind: Kind, symbols: list[int]) -> lis
     ``told`` holds two rows for each part: the windows and places of the stretches that the shard sent, and what it was answered.
     """
     at = np.concatenate([[0], np.cumsum(symbols)]).astype(np.int64)
-    edges = np.zeros(at[-1] + 1, np.int64)
     own = np.where(shard.valid, shard.ids, np.iinfo(np.int64).min)
     parts: dict[int, dict] = {}
     for part, values, size, places in zip(*(told[c].to_pylist() for c in ("part", "least", "size", "places"))):
@@ -299,6 +292,7 @@ def covered(shard: Shard, told: pa.Table, kind: Kind, symbols: list[int]) -> lis
             parts.setdefault(part, {})["least"] = np.frombuffer(grow(values, 8 * size), "<i8")
         else:
             parts.setdefault(part, {}).update(windows=np.frombuffer(values, "<i4"), places=np.frombuffer(grow(places, 12 * size), "<i4").reshape(3, -1))
+    edges = np.zeros(at[-1] + 1, np.int32)
     for p in parts.values():
         upto = np.concatenate([[0], np.cumsum(p["windows"])]).astype(np.int64)
         which, text, first = p["places"].astype(np.int64)
@@ -306,7 +300,8 @@ def covered(shard: Shard, told: pa.Table, kind: Kind, symbols: list[int]) -> lis
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         hit = p["least"][np.repeat(upto[which], n) + step] < np.repeat(own[text], n)
         spot = (np.repeat(at[text] + first, n) + step)[hit]
-        edges += np.bincount(spot, minlength=len(edges)) - np.bincount(spot + kind.k, minlength=len(edges))
+        np.add.at(edges, spot, 1)
+        np.add.at(edges, spot + kind.k, -1)
     inside = np.cumsum(edges[:-1]) > 0
     return [inside[a:b] for a, b in zip(at, at[1:])]
 
