@@ -175,12 +175,16 @@ def text_figures(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
             found = F.when(c.contains(only_with), found).otherwise(0)
         return found.cast("bigint")
 
+    def left_by(removed: Column) -> Column:
+        """How many characters a removal takes."""
+        return (F.length(c) - F.length(removed)).cast("bigint")
+
     return df.select(
         *keep,
         F.length(c).cast("bigint").alias("chars"),
-        hits(r"[0-9]").alias("digits"),
-        hits(r"\p{Lu}").alias("uppers"),
-        hits(r"[ \t\n\r]").alias("spaces"),
+        left_by(F.translate(c, "0123456789", "")).alias("digits"),
+        left_by(F.regexp_replace(c, r"\p{Lu}+", "")).alias("uppers"),
+        left_by(F.translate(c, " \t\n\r", "")).alias("spaces"),
         hits(r"[^ \t\n\r]+").alias("tokens"),
         *[hits(p, NEEDS[n]).alias(n) for n, p in PATTERNS.items()],
     )

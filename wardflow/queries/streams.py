@@ -13,6 +13,18 @@ from wardflow.sources import landing
 from wardflow.streaming import feeds as S
 
 
+def in_pieces(t, table, order: str, parts: int = 4):
+    """A table as a stream of several files in the order of a column, one micro-batch each."""
+    folder = scratch_dir(t.spark)
+    source = getattr(t, table)
+    low, high = source.agg(F.min(order), F.max(order)).first()
+    for i in range(parts):
+        a, b = low + (high - low) * i / parts, low + (high - low) * (i + 1) / parts
+        inside = (F.col(order) >= F.lit(a).cast(source.schema[order].dataType)) & ((F.col(order) < F.lit(b).cast(source.schema[order].dataType)) | F.lit(i == parts - 1))
+        source.filter(inside).coalesce(1).write.parquet(f"{folder}/{i}")
+    return t.spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+
+
 def events(t):
     return S.stream_of(t.spark, t.folder, "events.parquet", schemas.SOURCE_TABLES["events"])
 
@@ -29,7 +41,7 @@ CHANGES = (
     "SELECT o_orderkey AS id, CASE WHEN o_totalprice > 200000 THEN 'U' ELSE o_orderstatus END AS status, CASE WHEN o_totalprice > 200000 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_totalprice <= 400000",
 )
 def _(t):
-    stream = S.stream_of(t.spark, t.folder, "orders.parquet", schemas.SOURCE_TABLES["orders"])
+    stream = in_pieces(t, "orders", "o_orderdate")
     changes = S.listen(stream.selectExpr("o_orderkey AS id", "'orders' AS table", CHANGES), table="orders")
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("status", T.StringType()), T.StructField("price", T.DoubleType())])
     return S.follow_changes(changes, schema, ["id"], "sequence", scratch_dir(t.spark))
@@ -90,7 +102,7 @@ def _(t):
 
 @query("b_t4_online_ewm", f"WITH {EWM}")
 def _(t):
-    means = S.online_ewm(values(events(t)), series(), "v", 0.2, scratch_dir(t.spark))
+    means = S.online_ewm(values(in_pieces(t, "events", "ts")), series(), "v", 0.2, scratch_dir(t.spark))
     return means.select("event_id", F.round("mean", 6).alias("mean"))
 
 
