@@ -102,12 +102,13 @@ def census_by_days(history: DataFrame, *, start: date, end: date) -> DataFrame:
 
 
 def distinct_census(history: DataFrame, *, start: date, end: date, approximate: bool = False) -> DataFrame:
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return (
-        census_by_days(history, start=start, end=end)
-        .groupBy("census_date", "program_category")
-        .agg(count("casefile_id").alias("census"))
-    )
+    """Different cases per day and program.
+
+    The ledger counts a case once, so its running total is the exact number, and no row per stay and day is made.
+    """
+    if not approximate:
+        return daily_census(history, start=start, end=end).select("census_date", "program_category", "census")
+    return census_by_days(history, start=start, end=end).groupBy("census_date", "program_category").agg(F.approx_count_distinct("casefile_id").alias("census"))
 
 
 def arrivals(history: DataFrame) -> DataFrame:
