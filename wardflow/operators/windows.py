@@ -274,11 +274,23 @@ def cumulative(df: DataFrame, series: Series, col: str, kinds: dict[str, str]) -
     return rows.withColumns({n: F.when(F.col(col).isNotNull(), F.col(n)) for n in kinds})
 
 
+def shifts(df: DataFrame, series: Series, moves: dict[str, tuple[str, int] | tuple[str, int, object]], *, block: int = 65536) -> DataFrame:
+    """Values some rows earlier (later when negative), several at once: ``{"back": ("value", 2)}``, with a fill as third item.
+
+    All share one numbering and one frame.
+    """
+    steps = [m[1] for m in moves.values()]
+    frame = row_frame(df, series, before=max(0, *steps), after=max(0, *[-n for n in steps]), block=block)
+
+    def moved(col: str, n: int, fill=None) -> Column:
+        return F.lag(col, n, fill).over(frame.window()) if n >= 0 else F.lead(col, -n, fill).over(frame.window())
+
+    return frame.close(frame.rows.select("*", *[moved(*m).alias(name) for name, m in moves.items()]))
+
+
 def shift(df: DataFrame, series: Series, col: str, n: int, name: str, fill=None, *, block: int = 65536) -> DataFrame:
     """The value ``n`` rows earlier (later when negative)."""
-    frame = row_frame(df, series, before=max(n, 0), after=max(-n, 0), block=block)
-    moved = F.lag(col, n, fill).over(frame.window()) if n >= 0 else F.lead(col, -n, fill).over(frame.window())
-    return frame.close(frame.rows.withColumn(name, moved))
+    return shifts(df, series, {name: (col, n, fill)}, block=block)
 
 
 def difference(df: DataFrame, series: Series, col: str, n: int = 1, name: str = "diff") -> DataFrame:

@@ -83,8 +83,8 @@ query(
     ).select("event_id", F.round("total", 4).alias("total"), F.round("growth", 8).alias("growth"), "low", "high")
 )
 query("b_w13_shift_diff_change", f"SELECT event_id, lag(value, 3) OVER ({O}) AS back, round(value - lag(value) OVER ({O}), 6) AS diff, round(sqrt(value) / lag(sqrt(value), 2) OVER ({O}) - 1, 5) AS change FROM events")(
-    lambda t: W.percent_change(W.difference(W.shift(t.events.selectExpr("event_id", "user_id", "ts", "value", "sqrt(value) AS r"), by_user(t), "value", 3, "back"), by_user(t), "value"), by_user(t), "r", 2, "change")
-    .select("event_id", "back", F.round("diff", 6).alias("diff"), F.round("change", 5).alias("change"))
+    lambda t: W.shifts(t.events.selectExpr("event_id", "user_id", "ts", "value", "sqrt(value) AS r"), by_user(t), {"back": ("value", 3), "_one": ("value", 1), "_two": ("r", 2)})
+    .select("event_id", "back", F.round(F.col("value") - F.col("_one"), 6).alias("diff"), F.round(F.try_divide("r", "_two") - 1, 5).alias("change"))
 )
 query("b_m1_fill_by_column", f"SELECT o_orderkey, coalesce({NULLED}, 'none') AS status, coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END, 0) AS price FROM orders")(
     lambda t: t.orders.selectExpr("o_orderkey", f"{NULLED} AS status", "CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price").fillna({"status": "none", "price": 0.0})

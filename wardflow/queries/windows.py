@@ -180,7 +180,7 @@ query("b_a23_cumcount", f"SELECT event_id, row_number() OVER ({O}) - 1 AS cumcou
     lambda t: position(rows(t), series(t), "p").select("event_id", (F.col("p") - 1).alias("cumcount"))
 )
 query("b_a23_shift", f"SELECT event_id, lag(value, 2, -1) OVER ({O}) AS back, lead(value, 1) OVER ({O}) AS ahead FROM (SELECT event_id, user_id, ts, value / 7.919 AS value FROM events)")(
-    lambda t: W.shift(W.shift(rows(t), series(t), "value", 2, "back", -1.0), series(t), "value", -1, "ahead").select("event_id", "back", "ahead")
+    lambda t: W.shifts(rows(t), series(t), {"back": ("value", 2, -1.0), "ahead": ("value", -1)}).select("event_id", "back", "ahead")
 )
 query("b_a23_diff", f"WITH {X} SELECT event_id, round(v - lag(v, 2) OVER ({O}), 6) AS diff FROM x")(lambda t: out(W.difference(rows(t), series(t), "v", 2), "diff"))
 query("b_a23_pct_change", f"SELECT event_id, round(value / lag(value) OVER ({O}) - 1, 6) AS pct_change FROM events")(
