@@ -124,8 +124,9 @@ def ask(docs: pa.Table, buckets: int) -> pa.Table:
     for b in docs.to_batches():
         for held, text in zip(column(b, "held_out").to_pylist(), text_bytes(column(b, "text"))):
             if held:
-                for w in set(words(text)).difference(counts):
-                    counts[w] = 0
+                for w in words(text):
+                    if w not in counts:
+                        counts[w] = 0
             else:
                 counts.update(words(text))
                 counts[END] += 1
