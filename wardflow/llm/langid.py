@@ -111,6 +111,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if not languages:
         return Model(languages, slices)
     share = spark.createDataFrame([(r["lang"], i, -(-(sample_docs << 20) // r["n"])) for i, r in enumerate(rows)], "lang string, place long, keep long")
+    # The list of languages is bounded by LEAST_LANG_SHARE.
+    share = F.broadcast(share)
     picked = known.join(share, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("keep")).select("lang", "text")
 
     def count(batches):
@@ -123,7 +125,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     found = picked.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = found.groupBy("lang").agg(F.sum("n").alias("total"))
-    learned = found.join(totals, "lang").filter(F.col("n") >= LEAST_SHARE * F.col("total")).join(share, "lang").select("place", "gram")
+    learned = found.join(F.broadcast(totals), "lang").filter(F.col("n") >= LEAST_SHARE * F.col("total")).join(share, "lang").select("place", "gram")
 
     def place(batches):
         for b in batches:
