@@ -65,3 +65,12 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
+
+
+def shrink(x: bytes) -> bytes:
+    """Compressed bytes, for rows that hold many values."""
+    return pa.compress(x, codec="zstd", asbytes=True)
+
+
+def grow(x: bytes, size: int) -> bytes:
+    return pa.decompress(x, size, codec="zstd", asbytes=True) if size else b""

@@ -1,9 +1,9 @@
 """Benchmark decontamination by a positional inverted index.
 
-Each shard of the training texts stores, for every term that the benchmark can ask for, the sorted
-positions of the term.  A benchmark window is looked up from its rarest term in that shard: the rarest term's positions, less the
-term's offset in the window, are the possible starts, and they are intersected with the equally adjusted positions of the next
-rarest term and so on.  What is left after all terms are the exact phrases; with a tolerance, the rarest terms alone give proximity matches.
+The training texts are indexed shard by shard: for every term the sorted positions where it stands.  The index is stored, and then read once for
+each block of the benchmark, without the texts.  A benchmark window is looked up from its rarest term in the shard: the rarest term's
+positions, less the term's offset in the window, are the possible starts, and they are intersected with the equally adjusted positions of the next rarest
+term and so on.  What is left after all terms are the exact phrases; with a tolerance, the rarest terms alone give proximity matches.
 
 The benchmark is read in blocks of bounded size, each sent to all tasks; more benchmark means more blocks, not larger ones.
 """
@@ -16,7 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wardflow.llm.common import batch, column, pieces, text_bytes, two
+from wardflow.llm.common import batch, column, grow, pieces, shrink, text_bytes, two
+from wardflow.session import settle
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -26,7 +27,10 @@ STARTS = 1 << 20
 RARE = 3
 #: Word characters are digits, a-z and all beyond ASCII; A-Z are lowered, the rest separates.
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-ROWS = "doc_id long, text string, spans binary, near binary, items array<string>"
+INDEX = pa.schema([("ids", pa.binary()), ("valid", pa.binary()), ("counts", pa.binary()), ("terms", pa.binary()), ("terms_size", pa.int64()), ("sizes", pa.binary()), ("places", pa.binary()), ("places_size", pa.int64())])
+INDEX_SQL = "ids binary, valid binary, counts binary, terms binary, terms_size long, sizes binary, places binary, places_size long"
+FOUND = pa.schema([("spans", pa.binary()), ("near", pa.binary()), ("items", pa.list_(pa.struct([("doc", pa.int32()), ("item", pa.string())])))])
+FOUND_SQL = "spans binary, near binary, items array<struct<doc: int, item: string>>"
 REPORT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("n_near", pa.int64())])
 
 
@@ -69,15 +73,43 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
 
 
 class Postings:
-    """Positions of the block's terms in the texts of one shard, as sorted (term, position) codes."""
-
-    def __init__(self, texts: list[bytes], terms: dict[bytes, int]):
-        found = [[terms.get(w, -1) for w in words(t)] for t in texts]
-        self.at = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
-        ids = np.fromiter((i for x in found for i in x), np.int64, self.at[-1])
-        self.n, self.doc = len(ids), np.repeat(np.arange(len(texts)), np.diff(self.at))
-        place = np.flatnonzero(ids >= 0)
-        self.codes = np.sort(ids[place] * self.n + place)
+    """The terms of one shard of texts, and for each the sorted positions where it stands; positions count through all texts."""
+
+    def __init__(self, counts: np.ndarray, terms: list[bytes], sizes: np.ndarray, places: np.ndarray):
+        self.counts, self.terms, self.sizes, self.places = counts, terms, sizes, places
+
+    @staticmethod
+    def of(texts: list[bytes]) -> "Postings":
+        number: dict[bytes, int] = {}
+        found = [[number.setdefault(w, len(number)) for w in words(t)] for t in texts]
+        counts = np.array([len(x) for x in found], np.int64)
+        ids = np.fromiter((i for x in found for i in x), np.int64, int(counts.sum()))
+        return Postings(counts, list(number), np.bincount(ids, minlength=len(number)), np.argsort(ids, kind="stable"))
+
+    def stored(self) -> tuple:
+        """Counts, terms, sizes and places; a term's places as steps from one to the next, which compress well."""
+        steps = np.diff(self.places, prepend=0).astype("<i4").tobytes()
+        terms = b"\n".join(self.terms)
+        return (self.counts.astype("<i4").tobytes(), shrink(terms), len(terms), self.sizes.astype("<i4").tobytes(), shrink(steps), len(steps))
+
+    @staticmethod
+    def read(counts: bytes, terms: bytes, terms_size: int, sizes: bytes, places: bytes, places_size: int) -> "Postings":
+        listed = grow(terms, terms_size).split(b"\n") if terms_size else []
+        steps = np.frombuffer(grow(places, places_size), "<i4") if places_size else np.zeros(0, "<i4")
+        return Postings(np.frombuffer(counts, "<i4").astype(np.int64), listed, np.frombuffer(sizes, "<i4").astype(np.int64), np.cumsum(steps, dtype=np.int64))
+
+
+class Lists:
+    """The postings of a block's terms in one shard, as sorted (term, position) codes."""
+
+    def __init__(self, shard: Postings, terms: dict[bytes, int]):
+        self.at = np.concatenate([[0], np.cumsum(shard.counts)]).astype(np.int64)
+        self.n, self.doc = int(self.at[-1]), np.repeat(np.arange(len(shard.counts)), shard.counts)
+        both = sorted((terms[w], i) for i, w in enumerate(shard.terms) if w in terms)
+        asked, own = (np.array(x, np.int64) for x in zip(*both)) if both else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        n, start = shard.sizes[own], (np.cumsum(shard.sizes) - shard.sizes)[own]
+        spot = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        self.codes = np.repeat(asked, n) * self.n + shard.places[spot]
         self.first = np.searchsorted(self.codes, np.arange(len(terms) + 1) * self.n)
 
     def holds(self, term: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -87,7 +119,7 @@ class Postings:
         return (i < len(self.codes)) & (found <= term * self.n + np.minimum(high, self.n - 1))
 
 
-def lookup(index: Postings, block: Block, slop: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def lookup(index: Lists, block: Block, slop: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(window, start) of exact phrases and, with a tolerance, of proximity matches that are not exact."""
     out = [[], [], [], []]
     if not index.n or not len(block.lengths):
@@ -131,29 +163,39 @@ def lookup(index: Postings, block: Block, slop: int | None) -> tuple[np.ndarray,
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
 
 
-def search(rows: DataFrame, block: Block, slop: int | None) -> DataFrame:
-    """Add one block's matches to each row: spans of words (start, end) and the items they are of."""
-    sent = rows.sparkSession.sparkContext.broadcast(vars(block))
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("spans", pa.binary()), ("near", pa.binary()), ("items", pa.list_(pa.string()))])
+def index_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The positional index, one row for each shard of at most PIECE_BYTES of text (or one text): its documents, terms and postings."""
 
     def run(batches):
-        block = Block(**sent.value)
         for b in pieces(batches):
-            index = Postings(text_bytes(column(b, "text")), block.terms)
-            win, start, near_win, near_start = lookup(index, block, slop)
-            spans, near, items = (column(b, c).to_pylist() for c in ("spans", "near", "items"))
-            for wins, starts, into, named in ((win, start, spans, True), (near_win, near_start, near, False)):
-                docs = index.doc[starts]
-                by = np.argsort(docs, kind="stable")
-                for run_ in np.split(by, np.flatnonzero(np.diff(docs[by])) + 1) if len(by) else []:
-                    d = docs[run_[0]]
-                    s = starts[run_] - index.at[d]
-                    into[d] = into[d] + np.stack([s, s + block.lengths[wins[run_]]], 1).astype("<i4").tobytes()
-                    if named:
-                        items[d] = sorted({*items[d], *(x for w in set(wins[run_]) for x in block.items[w])})
-            yield batch(schema, column(b, "doc_id"), column(b, "text"), spans, near, items)
-
-    return rows.mapInArrow(run, ROWS)
+            ids = column(b, "doc_id")
+            own = (ids.fill_null(0).to_numpy().astype("<i8").tobytes(), ids.is_valid().to_numpy(zero_copy_only=False).tobytes())
+            yield batch(INDEX, *zip((*own, *Postings.of(text_bytes(column(b, "text"))).stored())))
+
+    rows = two(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, INDEX_SQL)
+
+
+def search(index: DataFrame, block: Block, slop: int | None) -> DataFrame:
+    """Add one block's matches to each shard: (document, start, end) of exact phrases and of proximity matches, and (document, item)."""
+    sent = index.sparkSession.sparkContext.broadcast(vars(block))
+    schema = pa.schema([*INDEX, *FOUND])
+
+    def run(batches):
+        block = Block(**sent.value)
+        for b in batches:
+            for row in b.to_pylist():
+                lists = Lists(Postings.read(*(row[c] for c in INDEX.names[2:])), block.terms)
+                win, start, near_win, near_start = lookup(lists, block, slop)
+                for wins, starts, into in ((win, start, "spans"), (near_win, near_start, "near")):
+                    doc = lists.doc[starts]
+                    low = starts - lists.at[doc]
+                    row[into] += np.stack([doc, low, low + block.lengths[wins]], 1).astype("<i4").tobytes()
+                named = {(int(d), x) for d, w in set(zip(lists.doc[start].tolist(), win.tolist())) for x in block.items[w]}
+                row["items"] += [{"doc": d, "item": x} for d, x in sorted(named)]
+                yield pa.RecordBatch.from_pylist([row], schema=schema)
+
+    return index.mapInArrow(run, f"{INDEX_SQL}, {FOUND_SQL}")
 
 
 def contamination(docs: DataFrame, benchmark: list[Block], id_col: str = "doc_id", text_col: str = "text", slop: int | None = None) -> DataFrame:
@@ -162,39 +204,44 @@ def contamination(docs: DataFrame, benchmark: list[Block], id_col: str = "doc_id
     An item of fewer words than a window is one window; one without words is none.  A null or empty text has no words and no
     hits; without a benchmark nothing is hit.  Windows that several items share name them all; null item ids count as
     empty text.  ``n_near`` counts proximity matches: places where a window's rarest terms stand within ``slop`` words of their
-    place, but not the whole phrase.  There is no shuffle; repeated rows are answered each.
+    place, but not the whole phrase.  There is no shuffle; repeated rows are answered each.  The index is written to the shared folder.
     """
-    rows = two(docs, id_col, text_col).select(F.col("doc_id").cast("long"), "text", F.lit(b"").alias("spans"), F.lit(b"").alias("near"), F.array().cast("array<string>").alias("items"))
+    index = settle(index_postings(docs, id_col, text_col))
+    found = index.select("*", F.lit(b"").alias("spans"), F.lit(b"").alias("near"), F.array().cast("array<struct<doc: int, item: string>>").alias("items"))
     for block in benchmark:
-        rows = search(rows, block, slop)
+        found = search(found, block, slop)
 
     def report(batches):
-        for b in pieces(batches):
-            out = []
-            for doc_id, text, spans, near, items in zip(*(column(b, c) for c in ("doc_id", "text", "spans", "near", "items"))):
-                n = len(words(text.as_buffer().to_pybytes()))
-                inside = np.zeros(n + 1, np.int64)
-                s = np.frombuffer(spans.as_py(), "<i4").reshape(-1, 2)
-                np.add.at(inside, s[:, 0], 1)
-                np.add.at(inside, s[:, 1], -1)
-                hit = int((np.cumsum(inside) > 0).sum())
-                out.append((doc_id.as_py(), n, hit, items.as_py(), len(near.as_py()) // 8))
-            yield batch(REPORT, *zip(*out))
-
-    return rows.mapInArrow(report, "doc_id long, n_words long, n_hit long, items array<string>, n_near long")
+        for b in batches:
+            for row in b.to_pylist():
+                ids, valid, counts = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["valid"], bool), np.frombuffer(row["counts"], "<i4").astype(np.int64)
+                at = np.concatenate([[0], np.cumsum(counts)])
+                doc, low, high = np.frombuffer(row["spans"], "<i4").reshape(-1, 3).T
+                edges = np.bincount(at[doc] + low, minlength=at[-1] + 1) - np.bincount(at[doc] + high, minlength=at[-1] + 1)
+                hit = np.concatenate([[0], np.cumsum(np.cumsum(edges[:-1]) > 0)])
+                items: list[set] = [set() for _ in counts]
+                for x in row["items"]:
+                    items[x["doc"]].add(x["item"])
+                near = np.bincount(np.frombuffer(row["near"], "<i4").reshape(-1, 3)[:, 0], minlength=len(counts))
+                yield batch(REPORT, pa.array(ids, pa.int64(), mask=~valid), counts, hit[at[1:]] - hit[at[:-1]], [sorted(x) for x in items], near)
+
+    return found.drop("terms", "sizes", "places").mapInArrow(report, "doc_id long, n_words long, n_hit long, items array<string>, n_near long")
 
 
 def keep_clean(docs: DataFrame, benchmark: list[Block], text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, that hold no window of the benchmark."""
+    """The documents, with all their columns, that hold no window of the benchmark.
+
+    A shard's postings are asked for one block and let go, so they are not stored; the documents stay where they are.
+    """
     for block in benchmark:
         sent = docs.sparkSession.sparkContext.broadcast(vars(block))
 
         def run(batches, sent=sent):
             block = Block(**sent.value)
             for b in pieces(batches, text_col):
-                index = Postings(text_bytes(column(b, text_col)), block.terms)
+                lists = Lists(Postings.of(text_bytes(column(b, text_col))), block.terms)
                 hit = np.zeros(b.num_rows, bool)
-                hit[index.doc[lookup(index, block, None)[1]]] = True
+                hit[lists.doc[lookup(lists, block, None)[1]]] = True
                 yield b.filter(pa.array(~hit))
 
         docs = docs.mapInArrow(run, docs.schema)

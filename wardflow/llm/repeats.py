@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wardflow.llm.common import batch, column, pieces, text_bytes
+from wardflow.llm.common import batch, column, grow, pieces, shrink, text_bytes
 from wardflow.session import settle
 
 SHARD_BYTES = 6 << 20
@@ -63,14 +63,6 @@ class Kind:
     subs: int
 
 
-def shrink(x: bytes) -> bytes:
-    return pa.compress(x, codec="zstd", asbytes=True)
-
-
-def grow(x: bytes, size: int) -> bytes:
-    return pa.decompress(x, size, codec="zstd", asbytes=True) if size else b""
-
-
 def deal(docs: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> tuple[DataFrame, int]:
     """Documents packed by shard; the shard follows from a hash of the row's id and text."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
