@@ -133,3 +133,13 @@ def test_online_mean_keeps_the_state_of_a_null_key(spark, tmp_path, alpha, expec
         write(spark, f"{tmp_path}/in", f"d{n}", [(None, dt.datetime(2024, 1, 1 + n), v), (1, dt.datetime(2024, 1, 1 + n), v)], schema)
         means = run()
     assert [r["mean"] for r in means.orderBy(F.col("k").asc_nulls_first(), "ts").collect()] == pytest.approx(expected)
+
+
+def test_scratch_is_cleared_when_asked(spark, monkeypatch, tmp_path):
+    from wardflow import session
+
+    monkeypatch.setattr(session, "_own_folder", lambda spark, root: f"{tmp_path}/app")
+    assert session.settle(spark.range(5)).count() == 5
+    assert list(tmp_path.glob("app/*"))
+    session.clear_scratch(spark)
+    assert not list(tmp_path.glob("app/*"))

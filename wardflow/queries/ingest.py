@@ -15,7 +15,7 @@ from wardflow.operators import merge as M
 from wardflow.operators.quality import duplicate_keys, error_log, split_valid
 from wardflow.plans import nightly
 from wardflow.queries import ctes as Q
-from wardflow.queries.registry import query
+from wardflow.queries.registry import ORACLE, query
 from wardflow.queries.views import daily, ended, history
 from wardflow.session import scratch_dir
 from wardflow.sources import landing as L, tables as S
@@ -386,6 +386,10 @@ def _(t):
     Q.using([*Q.ENDED, Q.CENSUS], "SELECT 'history' AS view_name, 'ok' AS status, count(*) AS row_count FROM history UNION ALL SELECT 'census', 'ok', count(*) FROM daily UNION ALL SELECT 'broken', 'failed', NULL UNION ALL SELECT 'discharges', 'ok', count(*) FROM discharged_stays"),
 )
 def _(t):
+    return refreshed(t)[1].drop("error")
+
+
+def refreshed(t):
     from wardflow.plans.census import daily_census
     from wardflow.plans.discharges import discharges
 
@@ -395,7 +399,11 @@ def _(t):
         "broken": lambda v: v["no_such_view"],
         "discharges": lambda v: discharges(v["history"], t.case_state(), t.discharge_types(), t.forms("ama"), t.forms("admin")),
     }
-    return S.refresh_views(t.spark, steps, scratch_dir(t.spark))[1].drop("error")
+    return S.refresh_views(t.spark, steps, scratch_dir(t.spark))
+
+
+query("a_i8_refreshed_census", ORACLE["a_v2_daily_census"])(lambda t: refreshed(t)[0]["census"])
+query("a_i8_refreshed_discharges", ORACLE["a_v3_discharges"])(lambda t: refreshed(t)[0]["discharges"])
 
 
 def landed(t):
@@ -419,9 +427,16 @@ def empty_state(t):
     ),
 )
 def _(t):
+    return whole_run(t)[1].filter("rows_before IS NOT NULL")
+
+
+def whole_run(t):
     refs = {"program_types": t.program_types(), "discharge_types": t.discharge_types()}
-    _, steps = nightly.run(t.spark, landed(t), empty_state(t), refs, scratch_dir(t.spark), as_of=AS_OF, start=SPINE[0], end=SPINE[1])
-    return steps.filter("rows_before IS NOT NULL")
+    return nightly.run(t.spark, landed(t), empty_state(t), refs, scratch_dir(t.spark), as_of=AS_OF, start=SPINE[0], end=SPINE[1])
+
+
+query("a_i9_merged_log", ORACLE["a_s4_program_history_rows"])(lambda t: whole_run(t)[0]["program_history"])
+query("a_i9_merged_state", ORACLE["a_p1_normalised_patients"])(lambda t: whole_run(t)[0]["latest"])
 
 
 @query("a_i10_sequence_key", "SELECT event_id, (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY ts, event_id) AS log_pk FROM events")

@@ -56,7 +56,20 @@ def scratch_dir(spark: SparkSession) -> str:
         root = f"file://{_one_machine()}"
     if not root:
         raise RuntimeError("spark.checkpoint.dir is not set: it has to name a folder that the driver and all executors share")
-    return f"{root.rstrip('/')}/wardflow/{uuid.uuid4().hex}"
+    return f"{_own_folder(spark, root)}/{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession, root: str) -> str:
+    return f"{root.rstrip('/')}/wardflow/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has written to the shared scratch folder.
+
+    To be called when its results are written elsewhere: frames that were read from there can no longer be read.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark)).getParent()
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @cache
