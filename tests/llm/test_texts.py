@@ -158,6 +158,20 @@ def test_proximity_matches(spark):
     assert found == {0: (4, False), 1: (0, True), 2: (0, False), 3: (0, False)}
 
 
+def test_stored_postings(docs, rows):
+    texts = [(t or "").encode() for _, t in rows]
+    shard = decontam.Postings.of(texts)
+    again = decontam.Postings.read(*shard.stored())
+    assert again.terms == shard.terms and all((getattr(again, n) == getattr(shard, n)).all() for n in ("counts", "sizes", "places"))
+    flat, at = [w for t in texts for w in decontam.words(t)], 0
+    for term, n in zip(again.terms, again.sizes.tolist()):
+        places = again.places[at : at + n].tolist()
+        assert places == sorted(places) == [i for i, w in enumerate(flat) if w == term]
+        at += n
+    assert decontam.Postings.read(*decontam.Postings.of([b"", b"..."]).stored()).terms == []
+    assert sum(len(np.frombuffer(r["ids"], "<i8")) for r in decontam.index_postings(docs).collect()) == len(rows)
+
+
 def lm_tokens(text):
     return lowered(text).encode().split() + [b""]
 
