@@ -79,6 +79,21 @@ def dealt(df: DataFrame, by: list[str], order: list[str], *, descending: bool =
     return rows, Series(by, order, F.col("_vb"), descending)
 
 
+def fitted_width(df: DataFrame, by: list[str], ts: str, *, rows: int = 5_000_000, width: str | int = "1 day", least: int = MICROS["second"]) -> int:
+    """Microseconds of time buckets narrow enough that the busiest key and bucket hold about ``rows`` rows, but never below ``least``.
+
+    One number per try reaches the driver: the size of the largest bucket, counted map-side.
+    """
+    wide, before = max(span_micros(width), least), None
+    while wide > least:
+        sizes = df.filter(F.col(ts).isNotNull()).groupBy(*by, time_bucket(ts, wide).alias("_b")).agg(F.count(F.lit(1)).alias("n"))
+        peak = sizes.agg(F.max("n")).first()[0] or 0
+        if peak <= rows or peak == before:  # rows of one time cannot be told apart by time
+            break
+        before, wide = peak, max(wide // -(-peak // rows), least)
+    return wide
+
+
 CHUNK = 4096
 
 
@@ -108,18 +123,8 @@ class Series:
 
     @staticmethod
     def fitted(df: DataFrame, by: list[str], ts: str, *ties: str, rows: int = 5_000_000, width: str = "1 day") -> "Series":
-        """Buckets narrow enough that the busiest key and bucket hold about ``rows`` rows.
-
-        One number per try reaches the driver: the size of the largest bucket, counted map-side.
-        """
-        micros_wide, before = span_micros(width), None
-        while micros_wide > MICROS["second"]:
-            sizes = df.filter(F.col(ts).isNotNull()).groupBy(*by, time_bucket(ts, micros_wide).alias("_b")).agg(F.count(F.lit(1)).alias("n"))
-            peak = sizes.agg(F.max("n")).first()[0] or 0
-            if peak <= rows or peak == before:  # rows of one time cannot be told apart by time
-                break
-            before = peak
-            micros_wide = max(micros_wide // -(-peak // rows), MICROS["second"])
+        """Buckets narrow enough that the busiest key and bucket hold about ``rows`` rows."""
+        micros_wide = fitted_width(df, by, ts, rows=rows, width=width)
         return Series.by_time(by, ts, *ties, width=micros_wide)
 
     def reversed(self) -> "Series":
@@ -286,14 +291,15 @@ class TimeFrame:
 
 
 def time_frame(
-    df: DataFrame, by: list[str], ts: str, before: str | int = 0, after: str | int = 0, width: str | int = "1 day", ties: tuple[str, ...] = ()
+    df: DataFrame, by: list[str], ts: str, before: str | int = 0, after: str | int = 0, width: str | int | None = None, ties: tuple[str, ...] = ()
 ) -> TimeFrame:
-    """Cut each key into time blocks at least as wide as the frame reaches.
+    """Cut each key into time blocks at least as wide as the frame reaches, and otherwise narrow enough for the busiest key.
 
     Rows without a time stay, in a block of their own.
     """
     b, a = span_micros(before), span_micros(after)
-    w = max(span_micros(width), b, a, 1)
+    reach = max(b, a, 1)
+    w = fitted_width(df, by, ts, least=reach) if width is None else max(span_micros(width), reach)
     us = F.col("_us")
     rows = (
         df.withColumn("_us", micros(ts))

@@ -86,7 +86,7 @@ CLOSED = {"right": (1, 0), "both": (0, 0), "left": (0, -1), "neither": (1, -1)}
 
 def rolling_time(
     df: DataFrame, by: list[str], ts: str, col: str, span: str, kernels: dict[str, Kernel], *, closed: str = "right",
-    min_periods: int = 1, width: str = "1 day",
+    min_periods: int = 1, width: str | None = None,
 ) -> DataFrame:
     """Frames of a time span before the row.  ``closed`` says which ends belong to the frame.
 
