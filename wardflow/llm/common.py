@@ -7,7 +7,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-PIECE_BYTES = 2 << 20
+from wardflow.session import prepare
+
+PIECE_BYTES = 1 << 20
+ARROW_BYTES = 4 << 20
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """The library's settings, and small Arrow batches: a batch of long texts is held by the executor and by Python at once."""
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return spark
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

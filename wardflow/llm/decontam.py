@@ -21,6 +21,8 @@ from wardflow.session import settle
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
+#: Bytes of text of a shard of the index.
+SHARD_BYTES = 2 << 20
 #: Possible starts looked at in one go.
 STARTS = 1 << 20
 #: Rarest terms of a window that a proximity match needs.
@@ -164,10 +166,10 @@ def lookup(index: Lists, block: Block, slop: int | None) -> tuple[np.ndarray, np
 
 
 def index_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The positional index, one row for each shard of at most PIECE_BYTES of text (or one text): its documents, terms and postings."""
+    """The positional index, one row for each shard of at most SHARD_BYTES of text (or one text): its documents, terms and postings."""
 
     def run(batches):
-        for b in pieces(batches):
+        for b in pieces(batches, limit=SHARD_BYTES):
             ids = column(b, "doc_id")
             own = (ids.fill_null(0).to_numpy().astype("<i8").tobytes(), ids.is_valid().to_numpy(zero_copy_only=False).tobytes())
             yield batch(INDEX, *zip((*own, *Postings.of(text_bytes(column(b, "text"))).stored())))

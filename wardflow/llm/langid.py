@@ -27,6 +27,8 @@ LEAST_SHARE = 2e-5
 #: A language is learned if it has this share of the labelled documents, so at most 1 / LEAST_LANG_SHARE are.
 LEAST_LANG_SHARE = 1e-4
 UNKNOWN = "und"
+#: Bytes of text whose n-grams are held at once; each takes about a hundred times as much for a moment.
+PIECE = 1 << 19
 ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 GRAMS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
@@ -117,7 +119,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def count(batches):
         letter = letters()
-        for b in pieces(batches):
+        for b in pieces(batches, limit=PIECE):
             texts, langs = np.array(column(b, "text").to_pylist(), object), np.array(column(b, "lang").to_pylist(), object)
             for lang in sorted(set(langs)):
                 keys, n = np.unique(grams(list(texts[langs == lang]), letter)[0], return_counts=True)
@@ -151,7 +153,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(batches):
         model = Model(**sent.value)
         letter, chance = letters(), model.chance()
-        for b in pieces(batches):
+        for b in pieces(batches, limit=PIECE):
             names, scores = predict(model, column(b, "text").to_pylist(), letter, chance)
             yield batch(ARROW, column(b, "doc_id"), column(b, "held_out"), names, scores)
 
@@ -166,7 +168,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
     def run(batches):
         model = Model(**sent.value)
         letter, chance = letters(), model.chance()
-        for b in pieces(batches, text_col):
+        for b in pieces(batches, text_col, PIECE):
             texts = ["" if t is None else t for t in column(b, text_col).to_pylist()]
             yield b.filter(pa.array([x != UNKNOWN for x in predict(model, texts, letter, chance)[0]], pa.bool_()))
 

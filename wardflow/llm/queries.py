@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardflow.llm import decontam, langid, lm, packing, pii, secrets, simhash, spans, substring, suffix, topk
-from wardflow.llm.common import table
-from wardflow.session import prepare
+from wardflow.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -17,7 +16,7 @@ ORACLE: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(prepare(spark), folder)
+            return fn(ready(spark), folder)
 
         run.__name__ = name
         QUERIES[name] = run

@@ -29,6 +29,8 @@ from wardflow.llm.common import batch, column, grow, pieces, shrink, text_bytes
 from wardflow.session import settle
 
 SHARD_BYTES = 6 << 20
+#: Text that a task gathers before it packs it by shard.
+PACK_BYTES = 16 << 20
 #: Parts and buckets for each shard.
 PARTS = 2
 #: Shards that hold a seed beyond which its windows are sent one by one.
@@ -70,16 +72,27 @@ def deal(docs: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> tuple
     shards = max(1, -(-size // shard_bytes))
 
     def pack(batches):
-        for b in pieces(batches, limit=16 << 20):
-            texts, shard, ids = text_bytes(column(b, "text")), column(b, "shard").to_numpy(), column(b, "doc_id")
-            valid, own = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
-            order = np.argsort(shard, kind="stable")
+        held: dict[int, list[tuple]] = {}
+        held_bytes = 0
+
+        def packed():
             rows = []
-            for run in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                data = b"".join([texts[i] for i in run])
-                lens = np.array([len(texts[i]) for i in run], "<i8")
-                rows.append((int(shard[run[0]]), own[run].astype("<i8").tobytes(), valid[run].tobytes(), lens.tobytes(), shrink(data), len(data)))
-            yield batch(PACKED, *zip(*rows))
+            for shard, docs in held.items():
+                data = b"".join([t for *_, t in docs])
+                ids, valid, lens = np.array([i or 0 for i, _ in docs], "<i8"), np.array([i is not None for i, _ in docs], bool), np.array([len(t) for *_, t in docs], "<i8")
+                rows.append((shard, ids.tobytes(), valid.tobytes(), lens.tobytes(), shrink(data), len(data)))
+            held.clear()
+            return batch(PACKED, *zip(*rows))
+
+        for b in pieces(batches):
+            for shard, i, t in zip(column(b, "shard").to_pylist(), column(b, "doc_id").to_pylist(), text_bytes(column(b, "text"))):
+                held.setdefault(shard, []).append((i, t))
+                held_bytes += len(t)
+            if held_bytes > PACK_BYTES:  # long stretches of text compress better
+                yield packed()
+                held_bytes = 0
+        if held:
+            yield packed()
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
     return dealt.mapInArrow(pack, "shard long, ids binary, valid binary, lens binary, data binary, size long"), shards

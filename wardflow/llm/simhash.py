@@ -23,6 +23,8 @@ SEED = 42
 SPLIT = 4096
 #: Up to this many, all pairs of a key are compared at once.
 SMALL = 24
+#: Bytes of text whose shingles are held at once; each takes about sixty times as much for a moment.
+PIECE = 1 << 18
 PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 ENTRY = pa.schema([("key", pa.int64()), ("sub", pa.int64()), ("fp", pa.int64())])
 FOUND = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
@@ -57,7 +59,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, fp): the fingerprint of each row; 0 for a text without words."""
 
     def run(batches):
-        for b in pieces(batches):
+        for b in pieces(batches, limit=PIECE):
             found = [shingle_hashes(t, shingle) for t in text_bytes(column(b, "text"))]
             at = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
             flat = np.fromiter((h for x in found for h in x), np.uint64, at[-1])
