@@ -191,6 +191,28 @@ def test_lm_base_scores(docs, rows):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_lm_keeps_ngrams_by_count_at_every_size(spark, docs, monkeypatch):
+    """Scores, over one shard and over several, are those of the whole automaton of all n-grams that occur twice."""
+    rng = np.random.default_rng(3)
+    rows = [(i, t) for i, t in docs.select("doc_id", "text").collect()] + [(1000 + i, " ".join(f"w{x}" for x in rng.zipf(1.3, 1500) % 5000)) for i in range(60)]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    train = [[b"", *lm_tokens(t)] for i, t in rows if not held(i)]
+    count = Counter(w for t in train for w in t[1:])
+    n, v = sum(count.values()), len(count)
+    assert n > 80_000
+    frequent = {w: count[w] for w in sorted(count) if count[w] >= 2}
+    number = {w: i for i, w in enumerate(frequent)}
+    grams = [Counter(tuple(number[w] for w in t[i : i + k]) for t in train for i in range(len(t) - k + 1) if all(w in number for w in t[i : i + k])) for k in (2, 3)]
+    model = lm.build(frequent, [{g: c for g, c in level.items() if c >= 2} for level in grams], n, v)
+    root = lambda w: log10((count[w] + 0.5) / (n + 0.5 * (v + 1)))
+    expected = sorted((-1 if i is None else i, model.score([number.get(w, -1) for w in lm_tokens(t)], [root(w) for w in lm_tokens(t)])) for i, t in rows)
+    for size in (lm.SHARD_BYTES, 100_000):
+        monkeypatch.setattr(lm, "SHARD_BYTES", size)
+        found = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["score"]) for r in lm.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+        assert [i for i, _ in found] == [i for i, _ in expected]
+        assert np.allclose([x for _, x in found], [x for _, x in expected], rtol=1e-9, atol=1e-9)
+
+
 def test_automaton_is_a_distribution():
     """In every state the words, and the rest of the root, add up to one."""
     text = [[b"a", b"b", b"a", b"b", b"c", b""], [b"a", b"b", b"d", b""], [b"c", b"a", b"b", b"c", b""]]

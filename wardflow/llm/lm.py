@@ -2,36 +2,49 @@
 
 The states of the automaton are the contexts of the kept n-grams; the root is the empty context.  An arc reads a word, adds
 its log-probability and leads to the longest suffix that is a state.  Where a state has no arc for a word, its failure arc adds the
-backoff weight and leads to the context without its first word.  A text is read once from left to right.
-
-All training documents are counted.  An n-gram is kept if its count is at least ``LEAST_SHARE`` of all training tokens, at every
-size of the corpus, so there are at most 1 / LEAST_SHARE of each order, which is what tasks are sent.  A frequent n-gram has only frequent parts, so each
-order is counted among extensions of the last.  The root's distribution needs the counts of all words, frequent or not.
-These never meet in one place: documents are dealt to shards of bounded text, a shard asks for the counts of its own words, and gets the totals back.
+backoff weight and leads to the context without its first word.
+
+All training documents are counted.  An n-gram is kept if it occurs ``LEAST_COUNT`` times, whatever the size of the corpus, so the model
+grows with the input.  It never stands in one place.  Documents are taken where they are read, in shards of bounded text.  A shard asks for the
+n-grams of its own texts, order by order: those whose two parts of one word less are kept.  They are totalled in buckets by hash, and the shard gets
+back the total and a number of each.  Two numbers of one order name an n-gram of the next, so names stay short and exact.  A number
+is the bucket and the rank there, so within a shard numbers ascend, and their steps are what is sent.
+What a context's backoff weight needs are two sums over its followers, which are added up by context and told to the shards that hold it.
+A shard so has just the arcs that its texts ask for, and follows them for all positions at once, one order after the other.
+``build`` makes the same automaton whole, for a corpus that fits one process.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from array import array
+from collections import defaultdict
 from dataclasses import dataclass
+from functools import reduce
 from math import log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from wardflow.llm.common import batch, column, pieces, remainder, text_bytes
+from wardflow.llm.common import batch, column, grow, remainder, shrink, text_bytes
 from wardflow.session import settle
 
 ORDER = 3
-LEAST_SHARE = 5e-5
+#: An n-gram is kept if it occurs so often.
+LEAST_COUNT = 2
 DISCOUNT = 0.75
 SHARD_BYTES = 12 << 20
+#: Bits of a number that hold the rank in its bucket.
+RANK_BITS = 40
 #: The end of a text, which is also what stands before its first word.
 END = b""
-ASKED = pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())])
-TOLD = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("words", pa.binary()), ("counts", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
+PACKED = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("words", pa.binary()), ("n", pa.int64()), ("data", pa.binary()), ("ids", pa.binary()), ("flags", pa.binary())])
+ASKED = pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
+TOLD = pa.schema([("level", pa.int64()), ("shard", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64()), ("data", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
+SUMS = pa.schema([("level", pa.int64()), ("shard", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64()), ("sums", pa.binary())])
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
@@ -116,131 +129,283 @@ def grouped(found: list[bytes], buckets: int) -> dict[int, list[bytes]]:
     return out
 
 
-def ask(docs: pa.Table, buckets: int) -> pa.Table:
-    """A shard's words and their counts in its training documents, in rows by bucket."""
-    counts: Counter = Counter()
-    counts[END] = 0
-    shard = docs["shard"][0].as_py() if docs.num_rows else 0
-    for b in docs.to_batches():
-        for held, text in zip(column(b, "held_out").to_pylist(), text_bytes(column(b, "text"))):
-            if held:
-                for w in words(text):
-                    if w not in counts:
-                        counts[w] = 0
-            else:
-                counts.update(words(text))
-                counts[END] += 1
-    rows = [(k, shard, b"\n".join(ws), np.array([counts[w] for w in ws], "<i8").tobytes()) for k, ws in grouped(list(counts), buckets).items()]
-    return pa.Table.from_batches([batch(ASKED, *zip(*rows))])
-
-
-def tell(asked: pa.Table, least: float) -> pa.Table:
-    """Totals of a bucket's words for each shard that asked, and the bucket's totals with its more frequent words."""
-    total: dict[bytes, int] = {}
-    for ws, n in zip(asked["words"].to_pylist(), asked["counts"].to_pylist()):
-        for w, c in zip(ws.split(b"\n"), np.frombuffer(n, "<i8").tolist()):
-            total[w] = total.get(w, 0) + c
-    bucket = asked["bucket"][0].as_py()
-    tokens = sum(total.values())
-    often = sorted(w for w, c in total.items() if c and c >= least * tokens)
-    rows = [(None, bucket, b"\n".join(often), np.array([total[w] for w in often], "<i8").tobytes(), tokens, sum(c > 0 for c in total.values()))]
-    for shard, ws in zip(asked["shard"].to_pylist(), asked["words"].to_pylist()):
-        rows.append((shard, bucket, None, np.array([total[w] for w in ws.split(b"\n")], "<i8").tobytes(), None, None))
-    return pa.Table.from_batches([batch(TOLD, *zip(*rows))])
+def ddl(schema: pa.Schema) -> str:
+    names = {pa.int64(): "long", pa.binary(): "binary", pa.bool_(): "boolean", pa.float64(): "double"}
+    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
+
+
+def tabled(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([batch(schema, *zip(*rows))] if rows else [], schema=schema)
+
+
+def put(*columns: np.ndarray) -> bytes:
+    """Columns of 64 bits and of one length, byte by byte, since the high bytes are mostly alike."""
+    return shrink(np.stack([c.view(np.int64) for c in columns]).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def got(rows: pa.Table, name: str, width: int) -> list[np.ndarray]:
+    """The columns of each row, by ``put``."""
+    sizes = rows["n"].to_pylist()
+    return [np.frombuffer(grow(x, 8 * width * n), np.uint8).reshape(8, -1).T.copy().view(np.int64).reshape(width, n) for x, n in zip(rows[name].to_pylist(), sizes)]
+
+
+def steps(number: np.ndarray) -> np.ndarray:
+    """Differences of ascending numbers; one that is -1 adds nothing."""
+    return np.diff(np.maximum.accumulate(number), prepend=-1)
+
+
+def numbers(step: np.ndarray, total: np.ndarray, least: int) -> np.ndarray:
+    """Numbers by their steps, -1 where the total is too small."""
+    return np.where(total >= least, np.cumsum(step) - 1, -1)
+
+
+def discounted(n: np.ndarray) -> np.ndarray:
+    return n - np.minimum(DISCOUNT, n / 2)
 
 
-def listed(batches):
+def packs(batches, buckets: int):
+    """Rows of ``Pack`` for every ``SHARD_BYTES`` of texts."""
+    shard, pack, size = TaskContext.get().partitionId() << 32, Pack(), 0
     for b in batches:
-        for ws, n, tokens in zip(column(b, "words").to_pylist(), column(b, "counts").to_pylist(), column(b, "tokens").to_pylist()):
-            if n:
-                yield pa.record_batch({"word": pa.array(ws.split(b"\n"), pa.binary()), "n": np.frombuffer(n, "<i8")})
+        for i, held, text in zip(column(b, "doc_id").to_pylist(), column(b, "held_out").to_pylist(), text_bytes(column(b, "text"))):
+            if size and size + len(text) > SHARD_BYTES:
+                yield pack.rows(shard, buckets)
+                shard, pack, size = shard + 1, Pack(), 0
+            pack.add(i, held, text)
+            size += len(text) + 1
+    if size:
+        yield pack.rows(shard, buckets)
+
+
+class Pack:
+    """A shard's texts as places of words: -1, the end, the words, the end."""
+
+    def __init__(self):
+        self.place: defaultdict[bytes, int] = defaultdict()
+        self.place.default_factory = self.place.__len__
+        self.end = self.place[END]
+        self.tokens, self.ids, self.flags = array("i"), [], []
+
+    def add(self, doc_id: int | None, held: bool, text: bytes) -> None:
+        self.tokens.extend((-1, self.end))
+        self.tokens.extend(map(self.place.__getitem__, words(text)))
+        self.tokens.append(self.end)
+        self.ids.append(doc_id or 0)
+        self.flags.append(held + 2 * (doc_id is None))
+
+    def rows(self, shard: int, buckets: int) -> pa.RecordBatch:
+        """The texts in one row, and the words with their counts in training documents in rows by bucket; places follow these rows."""
+        at = np.frombuffer(self.tokens, np.int32)
+        first = np.flatnonzero(at < 0)
+        counted = np.repeat(np.array(self.flags) & 1 == 0, np.diff(np.append(first, len(at))))
+        counted[first] = counted[first + 1] = False
+        counts = np.bincount(at[counted], minlength=len(self.place))
+        by = grouped(list(self.place), buckets)
+        order = np.array([self.place[w] for k in sorted(by) for w in by[k]])
+        moved = np.empty(len(order) + 1, np.int32)
+        moved[order], moved[-1] = np.arange(len(order)), -1
+        planes = moved[at].view(np.uint8).reshape(-1, 4).T.tobytes()
+        rows = [(shard, None, None, len(at), shrink(planes), np.array(self.ids, np.int64).tobytes(), np.array(self.flags, np.uint8).tobytes())]
+        for k in sorted(by):
+            rows.append((shard, k, b"\n".join(by[k]), len(by[k]), put(counts[[self.place[w] for w in by[k]]]), None, None))
+        return batch(PACKED, *zip(*rows))
+
+
+def tell(asked: pa.Table, least: int) -> pa.Table:
+    """Numbers (-1: not kept) and totals of a bucket's words for each shard that asked, and the bucket's tokens and types."""
+    total: defaultdict[bytes, int] = defaultdict(int)
+    for ws, (n,) in zip(asked["words"].to_pylist(), got(asked, "data", 1)):
+        for w, c in zip(ws.split(b"\n"), n.tolist()):
+            total[w] += c
+    bucket = asked["bucket"][0].as_py()
+    number = {w: (bucket << RANK_BITS) + i for i, w in enumerate(sorted(w for w, c in total.items() if c >= least))}
+    rows = [(1, None, bucket, 0, None, sum(total.values()), sum(c > 0 for c in total.values()))]
+    for shard, ws in zip(asked["shard"].to_pylist(), asked["words"].to_pylist()):
+        found = ws.split(b"\n")
+        rows.append((1, shard, bucket, len(found), put(steps(np.array([number.get(w, -1) for w in found])), np.array([total[w] for w in found])), None, None))
+    return tabled(TOLD, rows)
 
 
-def extensions(train: DataFrame, frequent: dict[bytes, int], last: dict[tuple, int] | None, order: int, least: float) -> dict[tuple, int]:
-    """Counts of the n-grams of an order that reach ``least``, among those whose two parts of one word less are kept."""
-    numbers = {w: i for i, w in enumerate(frequent)}
-    size = len(numbers)
-    code = lambda g: sum(x * size ** (len(g) - 1 - i) for i, x in enumerate(g))
-    parts = None if last is None else np.array(sorted(code(g) for g in last), np.int64)
-    sent = train.sparkSession.sparkContext.broadcast((numbers, parts))
-
-    def count(batches):
-        numbers, parts = sent.value
-        size, end = len(numbers), numbers.get(END, -1)
-        for b in pieces(batches, limit=8 << 20):
-            ids: list[int] = []
-            for text in text_bytes(column(b, "text")):
-                ids += [-1, end, *[numbers.get(w, -1) for w in words(text)], end]
-            a = np.array(ids, np.int64)
-            n = max(0, len(a) - order + 1)
-            keys, ok = np.zeros(n, np.int64), np.ones(n, bool)
-            for i in range(order):
-                ok &= a[i : i + n] >= 0
-                keys = keys * size + a[i : i + n]
-            keys = keys[ok]
-            if parts is not None:
-                for x in (keys // size, keys % size ** (order - 1)):
-                    at = np.searchsorted(parts, x)
-                    ok = (at < len(parts)) & (parts[np.minimum(at, max(0, len(parts) - 1))] == x) if len(parts) else np.zeros(len(x), bool)
-                    keys = np.where(ok, keys, -1)
-                keys = keys[keys >= 0]
-            keys, times = np.unique(keys, return_counts=True)
-            yield pa.record_batch({"gram": keys, "n": times.astype(np.int64)})
-
-    found = train.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).orderBy("gram").toArrow()
-    out = {}
-    for key, n in zip(found["gram"].to_pylist(), found["n"].to_pylist()):
-        out[tuple(key // size**i % size for i in reversed(range(order)))] = n
+@dataclass
+class Level:
+    """A shard's n-grams of one order: the place at each start (-1: none), and by place the two parts, the bucket, number and total."""
+
+    at: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    bucket: np.ndarray
+    number: np.ndarray
+    total: np.ndarray
+
+    def above(self, buckets: int) -> Level:
+        """The n-grams of the next order whose parts are kept, still without number and total."""
+        size = len(self.number)
+        kept = np.append(self.number, -1)[self.at] >= 0
+        ok = kept[:-1] & kept[1:]
+        keys, place = np.unique(self.at[:-1][ok] * size + self.at[1:][ok], return_inverse=True)
+        left, right = keys // size, keys % size
+        mixed = self.number[left].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + self.number[right].astype(np.uint64)
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        bucket = ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+        moved = np.empty(len(order), np.int64)
+        moved[order] = np.arange(len(order))
+        at = np.full(len(self.at), -1, np.int64)
+        at[:-1][ok] = moved[place]
+        return Level(at, left[order], right[order], bucket[order], np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def levels(packed: pa.Table, told: pa.Table, buckets: int, orders: int, least: int) -> list[Level]:
+    """A shard's n-grams up to an order, of which the last has no answers yet if there are none."""
+    planes = np.frombuffer(grow(packed["data"][0].as_py(), 4 * packed["n"][0].as_py()), np.uint8)
+    tokens = planes.reshape(4, -1).T.copy().view(np.int32).ravel().astype(np.int64)
+    none = np.zeros(0, np.int64)
+    out = [Level(tokens, none, none, none, none, none)]
+    told = told.sort_by("bucket")
+    for k in range(1, orders + 1):
+        if k > 1:
+            out.append(out[-1].above(buckets))
+        answers = got(told.filter(pc.and_(pc.equal(told["level"], k), pc.is_valid(told["data"]))), "data", 2)
+        if answers:
+            out[-1].number = np.concatenate([numbers(step, total, least) for step, total in answers])
+            out[-1].total = np.concatenate([total for _, total in answers])
     return out
 
 
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, least_share: float = LEAST_SHARE) -> DataFrame:
+def training(packed: pa.Table, at: np.ndarray) -> np.ndarray:
+    """Whether each position belongs to a training document."""
+    flags = np.frombuffer(packed["flags"][0].as_py(), np.uint8)
+    return np.repeat(flags & 1 == 0, np.diff(np.append(np.flatnonzero(at < 0), len(at))))
+
+
+def ask_above(packed: pa.Table, told: pa.Table, buckets: int, order: int, least: int) -> pa.Table:
+    """A shard's n-grams of an order, in rows by bucket: numbers of both parts, count in its training documents, total of the right part."""
+    own = levels(packed, told, buckets, order, least)
+    last, new = own[-2:]
+    shard = packed["shard"][0].as_py()
+    counts = np.bincount(new.at[training(packed, own[0].at) & (new.at >= 0)], minlength=len(new.left))
+    cuts = np.searchsorted(new.bucket, np.arange(buckets + 1))
+    rows = []
+    for k in np.unique(new.bucket).tolist():
+        own = slice(cuts[k], cuts[k + 1])
+        left, right = new.left[own], new.right[own]
+        rows.append((k, shard, len(left), put(steps(last.number[left]), last.number[right], counts[own], last.total[right])))
+    return tabled(ASKED, rows)
+
+
+def tell_above(asked: pa.Table, least: int, level: int) -> pa.Table:
+    """Numbers and totals of a bucket's n-grams for each shard that asked, and two sums over the followers of each context, by its bucket.
+
+    The sums are of the discounted counts of the kept n-grams and of their right parts'; words count without discount, as at the root.
+    """
+    data = got(asked, "data", 4)
+    _, right, n, below = np.concatenate(data, axis=1)
+    left = np.concatenate([np.cumsum(x[0]) - 1 for x in data])
+    bucket = asked["bucket"][0].as_py()
+    order = np.lexsort((right, left))
+    new = np.append(True, (np.diff(left[order]) != 0) | (np.diff(right[order]) != 0))
+    first = np.flatnonzero(new)
+    total = np.add.reduceat(n[order], first)
+    kept = total >= least
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    number = np.where(kept, (bucket << RANK_BITS) + np.cumsum(kept) - 1, -1)
+    total[~kept] = 0
+    rows, i = [], 0
+    for shard, size in zip(asked["shard"].to_pylist(), asked["n"].to_pylist()):
+        own = place[i : i + size]
+        rows.append((level, shard, bucket, size, put(steps(number[own]), total[own]), None, None))
+        i += size
+    context, below = left[order][first][kept], below[order][first][kept]
+    if len(context):
+        start = np.flatnonzero(np.append(True, np.diff(context) != 0))
+        sums = [np.add.reduceat(x, start) for x in (discounted(total[kept]), below + 0.5 if level == 2 else discounted(below))]
+        context = context[start]
+        home, cuts = np.unique(context >> RANK_BITS, return_index=True)
+        for k, a, b in zip(home.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(context)]):
+            rows.append((level, None, k, b - a, put(context[a:b], *[x[a:b] for x in sums]), None, None))
+    return tabled(TOLD, rows)
+
+
+def tell_sums(asked: pa.Table, found: pa.Table, level: int, least: int) -> pa.Table:
+    """For each shard that asked a bucket, both sums of its n-grams as contexts; 0 where nothing follows."""
+    data = got(found, "data", 3)
+    context, *sums = np.concatenate(data, axis=1) if data else np.zeros((3, 0), np.int64)
+    context, place = np.unique(context, return_inverse=True)
+    sums = [np.append(np.bincount(place, x.view(np.float64), len(context)), 0.0) for x in sums]
+    rows = []
+    for shard, bucket, (step, total) in zip(asked["shard"].to_pylist(), asked["bucket"].to_pylist(), got(asked, "data", 2)):
+        number = numbers(step, total, least)
+        at = np.searchsorted(context, number)
+        at[np.append(context, -2)[at] != number] = len(context)
+        rows.append((level, shard, bucket, len(number), put(*[x[at] for x in sums])))
+    return tabled(SUMS, rows)
+
+
+def backoff(level: Level, below: Level | None, sums: np.ndarray, tokens: int, types: int) -> np.ndarray:
+    """Log10 backoff weight of each n-gram as a context; 0 where nothing follows."""
+    kept, lower = sums.view(np.float64)
+    size = tokens + 0.5 * (types + 1) if below is None else below.total[level.right]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        weight = np.log10(np.maximum(1 - kept / level.total, 1e-12) / np.maximum(1 - lower / size, 1e-12))
+    return np.where(kept > 0, weight, 0.0)
+
+
+def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, least_count: int = LEAST_COUNT) -> DataFrame:
     """Scores of every row under a model of the training rows, those whose remainder modulo 5 is not 1.
 
     A null or empty text is the end alone.  Without training rows every count is 0 and the model is the root.  Repeated rows are
     counted and answered each; a null id counts as empty text for the remainder.  An empty table gives no rows.  What comes to the driver
-    is bounded: token and type totals, and the kept n-grams.
+    are token and type totals.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (remainder(id_col, 5) == 1).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
-    asked = dealt.groupBy("shard").applyInArrow(lambda t: ask(t, shards), "bucket long, shard long, words binary, counts binary")
-    told = settle(asked.groupBy("bucket").applyInArrow(lambda t: tell(t, least_share), "shard long, bucket long, words binary, counts binary, tokens long, types long"))
-    totals = told.agg(F.sum("tokens"), F.sum("types")).first()
+    buckets = max(1, -(-size // SHARD_BYTES))
+    stored = settle(rows.mapInArrow(lambda b: packs(b, buckets), ddl(PACKED)))
+    packed = stored.filter("bucket IS NULL").select("shard", "n", "data", "ids", "flags")
+    asked = stored.filter("bucket IS NOT NULL").select("bucket", "shard", "words", "n", "data")
+    told = [settle(asked.groupBy("bucket").applyInArrow(lambda t: tell(t, least_count), ddl(TOLD)))]
+    totals = told[0].agg(F.sum("tokens"), F.sum("types")).first()
     tokens, types = totals[0] or 0, totals[1] or 0
-    least = least_share * tokens
-    often = told.filter("shard IS NULL").mapInArrow(listed, "word binary, n long").filter(F.col("n") >= least).orderBy("word").toArrow()
-    frequent = dict(zip(often["word"].to_pylist(), often["n"].to_pylist()))
-    train, grams = rows.filter("NOT held_out").select("text"), []
+
+    def answers(frame: DataFrame) -> DataFrame:
+        return frame.filter("shard IS NOT NULL").select("level", "shard", "bucket", "n", "data", F.lit(None).cast("binary").alias("sums"))
+
+    def next_order(k: int) -> DataFrame:
+        known = reduce(DataFrame.unionAll, map(answers, told))
+        asked = packed.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(lambda p, t: ask_above(p, t, buckets, k, least_count), ddl(ASKED))
+        return settle(asked.groupBy("bucket").applyInArrow(lambda t: tell_above(t, least_count, k), ddl(TOLD)))
+
+    def context_sums(k: int) -> DataFrame:
+        own = told[k - 1].filter("shard IS NOT NULL").select("shard", "bucket", "n", "data")
+        found = told[k].filter("shard IS NULL").select("bucket", "n", "data")
+        out = own.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(lambda a, f: tell_sums(a, f, k, least_count), ddl(SUMS))
+        return out.select("level", "shard", "bucket", "n", F.lit(None).cast("binary").alias("data"), "sums")
+
     for k in range(2, order + 1):
-        if not frequent or (grams and not grams[-1]):
-            break
-        grams.append(extensions(train, frequent, grams[-1] if grams else None, k, least))
-    sent = rows.sparkSession.sparkContext.broadcast(vars(build(frequent, grams, tokens, types)))
-
-    def score(own: pa.Table, told: pa.Table) -> pa.Table:
-        model, place, counts = Automaton(**sent.value), {END: 0}, [0]
-        texts = [(i, h, text_bytes(pa.array([t]))[0]) for b in own.to_batches() for i, h, t in zip(column(b, "doc_id").to_pylist(), column(b, "held_out").to_pylist(), column(b, "text").to_pylist())]
-        seen: set[bytes] = {END}
-        for *_, t in texts:
-            seen.update(words(t))
-        by = dict(zip(told["bucket"].to_pylist(), told["counts"].to_pylist()))
-        flat, counts = [], []
-        for k, ws in grouped(list(seen), shards).items():
-            flat += ws
-            counts.append(np.frombuffer(by[k], "<i8"))
-        place = dict(zip(flat, range(len(flat))))
-        count = np.concatenate(counts)
-        root = np.log10((count + 0.5) / (tokens + 0.5 * (types + 1)))
-        number = np.array([model.numbers.get(w, -1) for w in flat])
-        out = []
-        for doc_id, held, text in texts:
-            at = np.array([place[w] for w in words(text)] + [place[END]])
-            p = root[at]
-            out.append((doc_id, held, len(at), int((count[at] > 0).sum()), tokens, float(p.sum()), model.score(number[at].tolist(), p.tolist())))
-        return pa.Table.from_batches([batch(SCORES, *zip(*out))] if out else [], schema=SCORES)
-
-    answers = told.filter("shard IS NOT NULL").select("shard", "bucket", "counts")
-    both = dealt.groupBy("shard").cogroup(answers.groupBy("shard"))
-    return both.applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        told.append(next_order(k))
+
+    def score(packed: pa.Table, told: pa.Table) -> pa.Table:
+        own = levels(packed, told, buckets, order, least_count)
+        at, total = own[0].at, own[0].total
+        root = np.log10((total + 0.5) / (tokens + 0.5 * (types + 1)))
+        base = np.append(root, 0.0)[at]
+        p, told = base.copy(), told.sort_by("bucket")
+        for k in range(2, order + 1):
+            last, new = own[k - 2], own[k - 1]
+            held = told.filter(pc.and_(pc.equal(told["level"], k - 1), pc.is_valid(told["sums"])))
+            back = backoff(last, own[k - 3] if k > 2 else None, np.concatenate(got(held, "sums", 2), axis=1) if held.num_rows else np.zeros((2, 0), np.int64), tokens, types)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                arc = np.append(np.where(new.total > 0, np.log10(discounted(new.total) / last.total[new.left]), np.nan), np.nan)
+            n = max(0, len(at) - k + 1)
+            taken = arc[new.at[:n]]
+            p[k - 1 :] = np.where(np.isnan(taken), p[k - 1 :] + np.append(back, 0.0)[last.at[:n]], taken)
+        known, out = np.append(total, 0)[at] > 0, []
+        first = np.flatnonzero(at < 0)
+        ids, flags = np.frombuffer(packed["ids"][0].as_py(), np.int64).tolist(), np.frombuffer(packed["flags"][0].as_py(), np.uint8).tolist()
+        for i, flag, a, b in zip(ids, flags, (first + 2).tolist(), np.append(first[1:], len(at)).tolist()):
+            out.append((None if flag & 2 else i, bool(flag & 1), b - a, int(known[a:b].sum()), tokens, float(base[a:b].sum()), float(p[a:b].sum())))
+        return tabled(SCORES, out)
+
+    known = reduce(DataFrame.unionAll, [*map(answers, told), *map(context_sums, range(1, order))])
+    return packed.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(score, ddl(SCORES))
