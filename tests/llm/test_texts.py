@@ -353,6 +353,31 @@ def test_more_than_64_languages(spark):
     assert all(r["lang_pred"] == f"l{r['doc_id'] % 70:02d}" for r in found)
 
 
+def test_rare_languages_are_learned(spark):
+    """One document among 12000 teaches a language."""
+    train = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 3 != 1][:12_000]
+    rows = [(i, "the river and the stone", "en") for i in train[1:]] + [(train[0], "żółta łódź płynie", "pl"), (30_000, "żółta łódź", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.identify(docs, langid.fit(docs)).filter(F.col("doc_id").isin(train[0], train[1], 30_000)).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {train[0]: "pl", train[1]: "en", 30_000: "pl"}
+
+
+def test_blocks_of_languages(spark, monkeypatch):
+    """Several blocks give what one gives, for rows that repeat and rows without id as well."""
+    rng = np.random.default_rng(9)
+    own = [" ".join("".join(chr(0x4E00 + 40 * k + x) for x in rng.integers(0, 40, 5)) for _ in range(30)).split() for k in range(150)]
+    rows = [(i, " ".join([*rng.choice(own[i % 150], 8), *rng.choice(own[(i + 1) % 150], 3)]), f"l{i % 150:03d}") for i in range(900)]
+    docs = spark.createDataFrame([*rows, rows[0], (None, rows[5][1], None), (2000, "", "l000"), (2001, "abcdef", None)], "doc_id long, text string, lang string")
+    answers = []
+    for size in (langid.BLOCK, 64):
+        monkeypatch.setattr(langid, "BLOCK", size)
+        model = langid.fit(docs)
+        assert len(model.languages) == 150 and model.blocks() == (1 if size > 64 else 3)
+        answers.append(Counter((r["doc_id"], r["held_out"], r["lang_pred"], round(r["score"], 12)) for r in langid.identify(docs, model).collect()))
+        assert langid.keep_identified(docs, model).count() == docs.count() - 1
+    assert answers[0] == answers[1] and sum(answers[0].values()) == 904
+
+
 TOKENS = ["", "Plain words, here.", "ÉCOLE Straße ŒUVRE ﬁne İstanbul ΣΑΣ", "it's we'll 'd x's", "<|endoftext|>a <|STARTOFTEXT|>b", "á     x​y", "3.14 1,000 ... ?! (so) [it]", "\x1f\x00 tab\tnew\r\nline", "日本語 한국어 🙂🙂", "word" * 300]
 
 

@@ -4,6 +4,9 @@ A table of ``SLOTS`` rows holds one bit for each language: column l is the Bloom
 language l's n-grams.  The conjunction of the rows that an n-gram hashes to is the set of all
 languages that contain it, found at once.  A text's count for a language is the number of its n-grams whose
 set holds the language, less what the filter's fill lets through by chance.
+
+Every language is learned, however rare.  The table is held and sent in blocks of ``BLOCK`` languages; over several blocks a document carries its
+best language, that one's count and the sum of counts from block to block.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wardflow.llm.common import batch, column, pieces, remainder
+from wardflow.session import settle
 
 GRAM = 4
 SLOT_BITS = 18
@@ -24,17 +28,18 @@ HASHES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 SAMPLE_DOCS = 2000
 #: An n-gram is learned if it has this share of the language's n-grams, so at most 1 / LEAST_SHARE are.
 LEAST_SHARE = 2e-5
-#: A language is learned if it has this share of the labelled documents, so at most 1 / LEAST_LANG_SHARE are.
-LEAST_LANG_SHARE = 1e-4
+#: Languages sent to the documents at once, a multiple of 64; each 64 take 2 MB.
+BLOCK = 1024
 UNKNOWN = "und"
 #: Bytes of text whose n-grams are held at once; each takes about a hundred times as much for a moment.
 PIECE = 1 << 19
 ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
+TALLY = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.string()), ("best", pa.int64()), ("count", pa.float64()), ("total", pa.float64())])
 GRAMS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
 
 @dataclass
-class Model:
+class Block:
     """Languages, most documents first, and the bit slices: one row of slots for each 64 languages."""
 
     languages: list[str]
@@ -46,6 +51,26 @@ class Model:
         return np.array(fill) ** len(HASHES)
 
 
+@dataclass
+class Model:
+    """All languages, most documents first, and the stored bits of the slices."""
+
+    languages: list[str]
+    bits: DataFrame | None
+
+    def block(self, i: int) -> Block:
+        names = self.languages[i * BLOCK : (i + 1) * BLOCK]
+        slices = np.zeros((-(-len(names) // 64), 1 << SLOT_BITS), np.uint64)
+        if names:
+            first = i * BLOCK // 64
+            out = self.bits.filter(F.col("word").between(first, first + len(slices) - 1)).toArrow()
+            slices[out["word"].to_numpy() - first, out["slot"].to_numpy()] = out["bits"].to_numpy().view(np.uint64)
+        return Block(names, slices)
+
+    def blocks(self) -> int:
+        return max(1, -(-len(self.languages) // BLOCK))
+
+
 def letters() -> np.ndarray:
     """For each code point, whether it is a letter."""
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
@@ -76,44 +101,41 @@ def slots(keys: np.ndarray) -> list[np.ndarray]:
     return [((keys ^ (keys >> np.uint64(29))) * np.uint64(m) >> np.uint64(64 - SLOT_BITS)).astype(np.int64) for m in HASHES]
 
 
-def predict(model: Model, texts: list[str], letter: np.ndarray, chance: np.ndarray) -> tuple[list[str], list[float]]:
-    """Language and its share of the corrected counts; ties go to the language with more training documents."""
+def tally(block: Block, texts: list[str], letter: np.ndarray, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's best language of a block, its corrected count, the sum of counts, and whether the text has a letter; ties go to the language with more training documents."""
     keys, at, has = grams(texts, letter)
     places = slots(keys)
     n = np.diff(at)
-    counts = np.zeros((len(texts), len(model.languages)))
-    for word, table in enumerate(model.slices):
+    best, count, total = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
+    for word, table in enumerate(block.slices):
         held = np.bitwise_and.reduce([table[p] for p in places])
-        for bit in range(min(64, len(model.languages) - 64 * word)):
+        counts = np.zeros((len(texts), min(64, len(block.languages) - 64 * word)))
+        for bit in range(counts.shape[1]):
             hits = np.diff(np.concatenate([[0], np.cumsum((held >> np.uint64(bit)) & np.uint64(1))])[at].astype(np.int64))
             free = chance[64 * word + bit]
-            counts[:, 64 * word + bit] = np.maximum(0, (hits - n * free) / (1 - free)) if free < 1 else 0
-    if not model.languages:
-        return [UNKNOWN] * len(texts), [0.0] * len(texts)
-    best, total = counts.argmax(1), counts.sum(1)
-    names = [model.languages[b] if h else UNKNOWN for b, h in zip(best, has)]
-    return names, [float(c[b] / t) if h and t > 0 else 0.0 for c, b, t, h in zip(counts, best, total, has)]
+            counts[:, bit] = np.maximum(0, (hits - n * free) / (1 - free)) if free < 1 else 0
+        first, most = counts.argmax(1), counts.max(1)
+        best, count, total = np.where(most > count, 64 * word + first, best), np.maximum(count, most), total + counts.sum(1)
+    return best, count, total, has
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
     """Learn from about ``sample_docs`` documents of each language, picked by a hash of the id.
 
     Only documents whose remainder modulo 3 is not 1 and whose text and language are not null are learned from.  What comes to
-    the driver is bounded: the languages, and one row for each slot and 64 languages.
+    the driver are the names of the languages; the slices come by block.
     """
     spark = docs.sparkSession
     known = docs.filter((remainder(id_col, 3) != 1) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    rows = counts.filter(F.col("n") >= LEAST_LANG_SHARE * total).orderBy(F.desc("n"), "lang").collect()
+    rows = counts.orderBy(F.desc("n"), "lang").collect()
     languages = [r["lang"] for r in rows]
-    slices = np.zeros((-(-len(languages) // 64), 1 << SLOT_BITS), np.uint64)
     if not languages:
-        return Model(languages, slices)
+        return Model(languages, None)
     share = spark.createDataFrame([(r["lang"], i, -(-(sample_docs << 20) // r["n"])) for i, r in enumerate(rows)], "lang string, place long, keep long")
-    # The list of languages is bounded by LEAST_LANG_SHARE.
+    # One short row for each language.
     share = F.broadcast(share)
     picked = known.join(share, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("keep")).select("lang", "text")
 
@@ -136,9 +158,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             yield pa.record_batch({"word": np.tile(lang // 64, len(HASHES)), "slot": at, "bit": np.tile(np.left_shift(np.int64(1), lang % 64), len(HASHES))})
 
     bits = learned.mapInArrow(place, "word long, slot long, bit long").groupBy("word", "slot").agg(F.bit_or("bit").alias("bits"))
-    out = bits.toArrow()
-    slices[out["word"].to_numpy(), out["slot"].to_numpy()] = out["bits"].to_numpy().view(np.uint64)
-    return Model(languages, slices)
+    return Model(languages, settle(bits))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,30 +166,48 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     A null or empty text, and one without a letter, is ``und`` with score 0; so is every text if no language was
     learned.  A text with letters but without a known n-gram gets the language with most training documents, with score 0.
-    Repeated rows and null ids are answered row by row; there is no shuffle.
+    Repeated rows and null ids are answered row by row; there is no shuffle.  Over several blocks of languages the documents are written between them.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
-
-    def run(batches):
-        model = Model(**sent.value)
-        letter, chance = letters(), model.chance()
-        for b in pieces(batches, limit=PIECE):
-            names, scores = predict(model, column(b, "text").to_pylist(), letter, chance)
-            yield batch(ARROW, column(b, "doc_id"), column(b, "held_out"), names, scores)
-
+    spark, blocks = docs.sparkSession, model.blocks()
+    languages = spark.sparkContext.broadcast(model.languages)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (remainder(id_col, 3) == 1).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    rows = rows.withColumns({"best": F.lit(0).cast("long"), "count": F.lit(0.0), "total": F.lit(0.0)})
+
+    def after(i: int, sent, last: bool):
+        def run(batches):
+            block = Block(**sent.value)
+            letter, chance = letters(), block.chance()
+            for b in pieces(batches, limit=PIECE):
+                texts = column(b, "text").to_pylist()
+                best, count, total, has = tally(block, texts, letter, chance)
+                before, so_far, sum_so_far = (column(b, n).to_numpy() for n in ("best", "count", "total"))
+                best, count, total = np.where(count > so_far, BLOCK * i + best, before), np.maximum(count, so_far), sum_so_far + total
+                if last:
+                    known = has & bool(languages.value)
+                    names = [languages.value[k] if x else UNKNOWN for k, x in zip(best.tolist(), known)]
+                    yield batch(ARROW, column(b, "doc_id"), column(b, "held_out"), names, np.divide(count, total, out=np.zeros(len(count)), where=known & (total > 0)))
+                else:
+                    yield batch(TALLY, column(b, "doc_id"), column(b, "held_out"), texts, best, count, total)
+
+        return run
+
+    for i in range(blocks - 1):
+        sent = spark.sparkContext.broadcast(vars(model.block(i)))
+        rows = settle(rows.mapInArrow(after(i, sent, False), "doc_id long, held_out boolean, text string, best long, count double, total double"))
+        sent.destroy()
+    sent = spark.sparkContext.broadcast(vars(model.block(blocks - 1)))
+    return rows.mapInArrow(after(blocks - 1, sent, True), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, whose language is not ``und``."""
-    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
+    """The documents, with all their columns, whose language is not ``und``; the first block of languages tells as much as all."""
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model.block(0)))
 
     def run(batches):
-        model = Model(**sent.value)
-        letter, chance = letters(), model.chance()
+        block = Block(**sent.value)
+        letter, chance = letters(), block.chance()
         for b in pieces(batches, text_col, PIECE):
             texts = ["" if t is None else t for t in column(b, text_col).to_pylist()]
-            yield b.filter(pa.array([x != UNKNOWN for x in predict(model, texts, letter, chance)[0]], pa.bool_()))
+            yield b.filter(pa.array(tally(block, texts, letter, chance)[3] & bool(block.languages), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
