@@ -70,6 +70,23 @@ def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch, shard_rows, block):
     assert found == expected
 
 
+def test_top_k_of_large_components(spark):
+    """Components past 2 ** 21 count in full, also where partial sums do not fit a long; scores that do not fit are an error."""
+    rows = [(0, [2.2e6, -1.0, 2.5]), (1, [2.15e6, 7.0, 0.0]), (2, [2.1e6, -2.0, 1.0]), (3, [1e9, 1e9, 1.0]), (20, [1e9, -1e9, 2.0]), (5, [0.5, 0.25, -3e6])]
+    query = F.col("vec_id").isin(0, 20)
+    expected = []
+    for q in (0, 20):
+        own = [(i, sum(int(64 * a // 1) * int(64 * b // 1) for a, b in zip(dict(rows)[q], v))) for i, v in rows if i != q]
+        expected += [(q, r + 1, i, s) for r, (i, s) in enumerate(sorted(own, key=lambda x: (-x[1], x[0])))]
+    assert all(abs(s) < 1 << 63 for *_, s in expected) and any(s > 1 << 54 for *_, s in expected)
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), query).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found) == sorted(expected)
+    for odd in ([1e9, -1e9, 0.0], [1e18, 0.0, 0.0]):
+        wide = spark.createDataFrame([*rows, (6, odd)], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="does not fit a long"):
+            topk.top_k(wide, query).collect()
+
+
 def test_fewer_rows_than_k(spark):
     vectors = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [3.0])], "vec_id long, embedding array<double>")
     found = [(r["query_id"], r["rank"], r["vec_id"]) for r in topk.top_k(vectors, F.col("vec_id") == 0).orderBy("rank").collect()]

@@ -19,15 +19,17 @@ SCALE = 64
 BLOCK = 256
 SHARD_ROWS = 1 << 14
 QUERIES = 1024
-#: Scaled components are clamped to this, so that scores of up to 512 dimensions fit a long.
-MOST = 1 << 27
+#: A scaled component below this is held as a long.
+MOST = 1 << 62
 NONE = np.iinfo(np.int64).min
+HIGHEST = np.iinfo(np.int64).max
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 def scaled(vector: Column) -> Column:
-    """floor(64 x) of each component."""
-    return F.transform(vector, lambda x: F.least(F.greatest(F.floor(x.cast("double") * SCALE), F.lit(-MOST)), F.lit(MOST)).cast("long"))
+    """floor(64 x) of each component; an error if that does not fit a long."""
+    wide = F.raise_error(F.lit("a component times 64 does not fit a long")).cast("long")
+    return F.transform(vector, lambda x: F.when(F.abs(x.cast("double") * SCALE) < float(MOST), F.floor(x.cast("double") * SCALE).cast("long")).otherwise(wide))
 
 
 def whole(vector: Column) -> Column:
@@ -54,7 +56,14 @@ class Shard:
         self.blocks = [slice(a, a + BLOCK) for a in first]
         self.high = np.maximum.reduceat(self.vectors, first, axis=0)
         self.low = np.minimum.reduceat(self.vectors, first, axis=0)
-        self.top = int(np.abs(self.vectors).max(initial=0))
+        self.tops = np.abs(self.vectors).max(1, initial=0)
+        self.top = int(self.tops.max(initial=0))
+        self.block_tops = np.maximum.reduceat(self.tops, first)
+
+    def wide(self, queries: np.ndarray, tops: np.ndarray) -> np.ndarray:
+        """For each query and each largest component, whether a sum of products might not fit a long; never missed, if rounded."""
+        size = np.abs(queries).max(1, initial=0).astype(np.float64) * max(1, queries.shape[1])
+        return size[:, None] * tops.astype(np.float64) >= MOST
 
     def best(self, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of each query's best, highest first, ties to the smaller id; NONE where there are fewer."""
@@ -63,6 +72,9 @@ class Shard:
         q, v = queries.astype(kind), self.vectors.astype(kind)
         bound = np.maximum(q, 0) @ self.high.astype(kind).T + np.minimum(q, 0) @ self.low.astype(kind).T
         bound = bound.astype(np.int64)
+        large = self.top * int(np.abs(queries).max(initial=0)) * max(1, queries.shape[1]) >= MOST
+        if large:
+            bound[self.wide(queries, self.block_tops)] = HIGHEST
         visits = np.argsort(-bound, 1, kind="stable")
         found = np.full((len(q), k), NONE)
         scores = np.full((len(q), k), NONE)
@@ -75,7 +87,14 @@ class Shard:
                 rows = open_[block[open_] == b]
                 s = (q[rows] @ v[self.blocks[b]].T).astype(np.int64)
                 others = self.ids[self.blocks[b]]
-                s[ids[rows, None] == others] = NONE
+                same = ids[rows, None] == others
+                if large:
+                    for i, j in np.argwhere(self.wide(queries[rows], self.tops[self.blocks[b]]) & ~same):
+                        x = sum(a * c for a, c in zip(queries[rows[i]].tolist(), self.vectors[self.blocks[b]][j].tolist()))
+                        if x > HIGHEST:
+                            raise OverflowError("a score does not fit a long")
+                        s[i, j] = max(x, NONE + 1)
+                s[same] = NONE
                 passed = ((s >= scores[rows, -1:]) & (s > NONE)).sum(1)
                 rows, s, most = rows[passed > 0], s[passed > 0], int(passed.max(initial=0))
                 if not most:
@@ -123,7 +142,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     """(query_id, rank, vec_id, score): the k best rows of each query, ties to the smaller id; all, if there are fewer.
 
     A row's own id is never among its results.  Vectors that are null or hold a null or a component that is not finite take no
-    part, nor do rows without an id.  Shorter vectors count as ending in zeros.  Repeated rows are results each; a repeated query id has the results of its rows together. An
+    part, nor do rows without an id.  Scores are exact; sums that may not fit a long are taken in Python's integers, and a result that
+    does not fit, or a component that does not times 64, is an error.  Shorter vectors count as ending in zeros.  Repeated rows are results each; a repeated query id has the results of its rows together. An
     empty table gives no rows.
     """
     own = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"), is_query.alias("q")).filter(F.col("vec_id").isNotNull() & whole(F.col("v")))
@@ -134,4 +154,5 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     met = dealt.union(asked).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
     found = met.mapInArrow(lambda batches: search(batches, k), "query_id long, vec_id long, score long")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    score = F.when(F.col("score") > NONE + 1, F.col("score")).otherwise(F.raise_error(F.lit("a score does not fit a long")).cast("long"))
+    return found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))
