@@ -303,6 +303,18 @@ def test_simhash_components(docs, rows):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter({i for i, t in rows if least.get(label[prints[t]]) == i})
 
 
+def test_one_document_of_each_component_stays(spark):
+    """Also where ids are null or shared: each component keeps one row, repeated rows and texts that share an id among them."""
+    line = [" ".join(f"{a}{i}" for i in range(300)) for a in "abcde"]
+    near = [x + " more" for x in line]
+    rows = [(None, line[0]), (None, near[0]), (None, line[1]), (1, near[1]), (2, line[2]), (2, near[2]), (2, line[3]), (2, line[3]), (3, line[3]), (None, line[4]), (None, line[4]), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    label = {r["fingerprint"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert len(label) > 6
+    kept = [(r["doc_id"], (r["text"] or "")[:1]) for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept, key=lambda r: r[1]) == [(None, ""), (None, "a"), (1, "b"), (2, "c"), (2, "d"), (None, "e")]
+
+
 @pytest.mark.parametrize("split, small", [(4096, 24), (40, 24), (20, 2)])
 def test_crowded_fingerprints(spark, monkeypatch, split, small):
     rng = np.random.default_rng(3)

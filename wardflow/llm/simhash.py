@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.llm.common import batch, column, pieces, text_bytes, two
 from wardflow.llm.components import components
@@ -26,6 +26,7 @@ SMALL = 24
 #: Bytes of text whose shingles are held at once; each takes about sixty times as much for a moment.
 PIECE = 1 << 18
 PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+MARKED = pa.schema([*PRINTS, ("mark", pa.binary())])
 ENTRY = pa.schema([("key", pa.int64()), ("sub", pa.int64()), ("fp", pa.int64())])
 FOUND = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
@@ -55,16 +56,25 @@ def majority(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row; 0 for a text without words."""
+def marked(text: Column) -> Column:
+    """SHA-256 of a text; null for none."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, marks: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint of each row; 0 for a text without words.  With ``marks``, also the text's own mark."""
 
     def run(batches):
         for b in pieces(batches, limit=PIECE):
             found = [shingle_hashes(t, shingle) for t in text_bytes(column(b, "text"))]
             at = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
             flat = np.fromiter((h for x in found for h in x), np.uint64, at[-1])
-            yield batch(PRINTS, column(b, "doc_id"), majority(flat, at).view(np.int64))
+            found = [column(b, "doc_id"), majority(flat, at).view(np.int64)]
+            yield batch(MARKED, *found, column(b, "mark")) if marks else batch(PRINTS, *found)
 
+    if marks:
+        own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), marked(F.col(text_col)).alias("mark"))
+        return own.mapInArrow(run, "doc_id long, fp long, mark binary")
     return two(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
 
@@ -198,6 +208,13 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return first.filter("key IS NULL").union(second).select("a", "b")
 
 
+def labelled(prints: DataFrame, distance: int, least: Column) -> DataFrame:
+    """(fp, least, root): the root of each fingerprint's component, and the least value of the fingerprint's rows."""
+    own = prints.groupBy("fp").agg(F.min(least).alias("least"))
+    sets = components(links(prints, distance)).select(F.col("node").alias("fp"), "root")
+    return settle(own.join(sets, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """Fingerprint and component of every row; ``component_id`` is the smallest id reachable over links, itself included.
 
@@ -205,21 +222,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a component, repeated rows are answered each.  A null id takes part and is never the smallest.  An empty table gives no rows.
     """
     prints = settle(fingerprints(docs, id_col, text_col, shingle))
-    own = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    sets = components(links(prints, distance)).select(F.col("node").alias("fp"), "root")
-    labelled = settle(own.join(sets, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    roots = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = labelled.join(roots, "root").select("fp", "component_id")
+    found = labelled(prints, distance, F.col("doc_id"))
+    roots = found.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = found.join(roots, "root").select("fp", "component_id")
     return prints.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The documents, with all their columns, that are the first of their component; repeated rows stay once.
 
-    A document without an id stays only if no document of its component has one.
+    One document of each component stays: that of the smallest id, where ids are equal that of the smallest mark of its text.  A document
+    without an id stays only if no document of its component has one.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    first = found.select("component_id").distinct()
-    kept = docs.join(first, docs[id_col].eqNullSafe(first["component_id"]), "left_semi")
+    prints = settle(fingerprints(docs, id_col, text_col, shingle, marks=True))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    first = labelled(prints, distance, order).groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.mark")
+    own = docs[id_col].eqNullSafe(first["doc_id"]) & marked(docs[text_col]).eqNullSafe(first["mark"])
+    kept = docs.join(first, own, "left_semi")
     repeated = docs.groupBy(id_col).count().filter("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates([id_col, text_col])
