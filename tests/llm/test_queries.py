@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontam, langid, lm, packing, pii, queries, secrets, simhash, substring, suffix, topk
+from wardflow.llm import decontam, filters, langid, lm, packing, pii, prefixes, queries, repair, secrets, simhash, substring, suffix, topk
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -25,8 +25,8 @@ def test_query_has_every_document(spark, name):
     assert queries.QUERIES[name](spark, FOLDER).select("doc_id").distinct().count() == documents.distinct().count()
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_empty_tables(spark, none):
@@ -43,6 +43,13 @@ def test_empty_tables(spark, none):
     assert topk.top_k(vectors, F.col("vec_id") % 20 == 0).isEmpty()
     assert simhash.near_duplicates(empty).isEmpty()
     assert packing.pack(empty, queries.tokenizer_path()).isEmpty()
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert filters.audit(filters.failures(empty, labels)).isEmpty()
+    turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert repair.repair(repair.damaged(turns), copies_col="copies").isEmpty()
+    stored = prefixes.prefix_counts(empty, queries.tokenizer_path("piece_bpe_32k.model"))
+    assert stored.isEmpty()
+    assert prefixes.longest_prefixes(stored, [4]).isEmpty()
 
 
 def test_without_a_benchmark_nothing_is_hit(spark, docs, rows):
