@@ -88,10 +88,11 @@ def failures(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """Each document's part, mask of failed filters (bit i for ``FILTERS[i]``), and whether it is labelled good or toxic.
 
     A copy fails E if a smaller id has the same text; a null id has no order, so it neither fails E nor makes others fail. A document is good or toxic if any of
-    its labels says so.  Only digests are compared across documents: the first id of each digest is an aggregate, joined back.
+    its labels says so.  Only digests are compared across documents: the first id of each digest is an aggregate, joined back by id and
+    digest, so that a text that many documents share is no hot key.
     """
     rows = settle(measured(docs, id_col, text_col, part_col))
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    first = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("is_first", F.lit(True))
     labelled = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.coalesce(F.bool_or(F.col("quality") == 1), F.lit(False)).alias("good"), F.coalesce(F.bool_or(F.col("toxic") == 1), F.lit(False)).alias("toxic")
     )
@@ -100,11 +101,11 @@ def failures(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         100 * F.col("n_distinct") < LEAST_DISTINCT * F.col("n_words"),
         100 * F.col("n_capitals") > MOST_CAPITALS * F.col("n_chars"),
         F.col("n_symbols") > 0,
-        F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)),
+        F.col("doc_id").isNotNull() & F.col("is_first").isNull(),
     ]
     mask = sum((F.when(f, 1 << i).otherwise(0) for i, f in enumerate(fails)), F.lit(0))
     no = F.lit(False)
-    return rows.join(first, "digest").join(labelled, "doc_id", "left").select("doc_id", "part", mask.alias("mask"), F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic"))
+    return rows.join(first, ["doc_id", "digest"], "left").join(labelled, "doc_id", "left").select("doc_id", "part", mask.alias("mask"), F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic"))
 
 
 def effects(filters: str = FILTERS) -> list[tuple]:
