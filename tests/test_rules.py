@@ -121,7 +121,7 @@ def test_change_feed_goes_on_after_a_restart(spark, tmp_path):
         write(spark, f"{tmp_path}/in", f"b{n}", [(None, 5.0 + n, "UPDATE", 10 + n), (3, None, "DELETE", 20 + n)], schema)
         state = {r["id"]: r["v"] for r in follow().collect()}
         assert state == {1: 1.0, None: 5.0 + n}
-    assert len([p for p in (tmp_path / "job/state").iterdir() if p.is_dir()]) == 2
+    assert len([p for p in (tmp_path / "job/state/list").iterdir() if p.is_dir()]) == 2
 
 
 @pytest.mark.parametrize("alpha, expected", [(0.5, [1.0, 7 / 3, 1.0, 7 / 3]), (1.0, [1.0, 3.0, 1.0, 3.0])])

@@ -3,9 +3,10 @@
 from datetime import datetime, timedelta
 
 import pandas as pd
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from wardflow.operators.ordered import Series
+from wardflow.sources.buckets import BucketTable
 from wardflow.streaming import feeds as S
 
 EVENTS = "id long, k long, ts timestamp_ntz, v double"
@@ -70,3 +71,92 @@ def test_presence_reports_joins_and_leaves(spark, tmp_path):
     diff = S.presence(read(spark, tmp_path, EVENTS), "ts", "k", "30 minutes", "1 hour")
     got = sorted((r["k"], r["at"].hour, r["change"]) for r in S.run_to_files(diff, str(tmp_path / "w")).collect())
     assert got == [(1, 0, "join"), (1, 0, "leave"), (1, 9, "join"), (1, 9, "leave"), (2, 5, "join"), (2, 5, "leave")]
+
+
+CHANGE = "id long, v string, event string, seq long"
+STATE = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
+
+
+def test_changes_out_of_order(spark, tmp_path):
+    batches = [
+        [(1, "new", "UPDATE", 5), (2, None, "DELETE", 6), (3, "c", "INSERT", 1), (4, "d2", "UPDATE", 2)],
+        [(1, "old", "UPDATE", 3), (2, "late", "INSERT", 4), (3, None, "DELETE", 2), (4, "d1", "INSERT", 1), (None, "n", "INSERT", 1)],
+        [(2, "back", "INSERT", 7), (3, "late", "UPDATE", 1), (1, "new", "UPDATE", 5), (1, "other", "UPDATE", 5), (None, "none", "UPDATE", None)],
+    ]
+    for n, rows in enumerate(batches):
+        write(spark, rows, CHANGE, tmp_path, f"{n}")
+        got = S.follow_changes(spark.readStream.schema(CHANGE).parquet(f"{tmp_path}/in/*"), STATE, ["id"], "seq", f"{tmp_path}/w", buckets=4)
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "new"), (2, "back"), (4, "d2"), (None, "n")]
+
+
+def test_a_batch_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
+    write(spark, [(i, str(i), "INSERT", 1) for i in range(2000)], CHANGE, tmp_path, "a")
+    job = lambda: S.follow_changes(spark.readStream.schema(CHANGE).parquet(f"{tmp_path}/in/*"), STATE, ["id"], "seq", f"{tmp_path}/w", buckets=64)
+    assert job().count() == 2000
+    write(spark, [(i, "x", "UPDATE", 2) for i in range(10)], CHANGE, tmp_path, "b")
+    assert job().filter("v = 'x'").count() == 10
+    listed = {r["bucket"]: r["version"] for r in spark.read.parquet(f"{tmp_path}/w/state/list/1").collect() if r["bucket"] >= 0}
+    assert len(listed) == 64
+    assert 0 < sum(v == 1 for v in listed.values()) <= 10
+    # What no list names any more is removed, one batch later.
+    write(spark, [(0, "y", "UPDATE", 3)], CHANGE, tmp_path, "c")
+    assert job().count() == 2000
+    kept = list((tmp_path / "w/state/data").glob("*/_bucket=*"))
+    assert len(kept) == 64 + 1
+
+
+def test_online_mean_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    series = Series.by_time(["k"], "ts", "id")
+    t0 = datetime(2024, 1, 1)
+    write(spark, [(i, i, t0, 1.0) for i in range(500)], EVENTS, tmp_path, "a")
+    job = lambda: S.online_ewm(spark.readStream.schema(EVENTS).parquet(f"{tmp_path}/in/*"), series, "v", 0.5, f"{tmp_path}/w", buckets=32)
+    job()
+    write(spark, [(500, 3, t0 + timedelta(hours=1), 4.0)], EVENTS, tmp_path, "b")
+    assert job().filter("id = 500").first()["mean"] == (0.5 * 1 + 4) / 1.5
+    listed = {r["bucket"]: r["version"] for r in spark.read.parquet(f"{tmp_path}/w/state/list/1").collect() if r["bucket"] >= 0}
+    assert sum(v == 1 for v in listed.values()) == 1
+
+
+def test_a_bucket_table_survives_a_failed_and_a_repeated_change(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.LongType())])
+    table = BucketTable(spark, f"{tmp_path}/t", schema, ["id"], buckets=8)
+    put = lambda t, rows, version=None: t.change(spark.createDataFrame(rows, schema), lambda old, new: old.join(new, "id", "left_anti").unionByName(new), version)
+    put(table, [(i, 0) for i in range(50)])
+    # A change that wrote its rows and died before its list.
+    spark.createDataFrame([(1, 99, 0)], "id long, v long, _bucket int").write.partitionBy("_bucket").parquet(f"{tmp_path}/t/data/1")
+    again = BucketTable(spark, f"{tmp_path}/t", schema, ["id"], buckets=3)
+    assert (again.version, again.buckets) == (0, 8)
+    assert again.read().agg({"v": "sum"}).first()[0] == 0
+    for _ in range(2):
+        assert put(again, [(1, 7), (100, 8)], version=1) == 1
+        assert again.read().count() == 51
+        assert {r["id"]: r["v"] for r in again.read(again.hit(spark.createDataFrame([(1,), (100,)], "id int"))).filter("v > 0").collect()} == {1: 7, 100: 8}
+    assert put(again, []) == 2
+    assert again.read().count() == 51
+
+
+SIGNS = "k long, ref string, ts timestamp_ntz, gone boolean"
+
+
+def test_presence_of_a_key_with_two_references(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    at = lambda minutes: t0 + timedelta(minutes=minutes)
+    batches = [
+        [(1, "phone", at(0), False), (1, "desk", at(10), False), (2, "x", at(0), False)],
+        # Late by less than the watermark's delay; the leave of a reference that is not there; a row without a time.
+        [(1, "phone", at(15), True), (1, "desk", at(25), False), (3, "z", at(40), True), (1, "desk", None, False)],
+        [(1, "phone", at(20), False), (1, "phone", at(20), True), (2, "x", at(200), False), (1, "phone", at(130), False)],
+        [(9, "end", at(1000), False)],
+    ]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, SIGNS).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        stream = spark.readStream.schema(SIGNS).parquet(f"{tmp_path}/in/*")
+        changes = S.run_to_files(S.reference_presence(stream, "ts", "k", "ref", F.col("gone"), "30 minutes", "1 hour"), f"{tmp_path}/w")
+    got = sorted((r["k"], r["ref"], (r["at"] - t0).seconds // 60, r["change"]) for r in changes.collect())
+    assert got == [
+        (1, "desk", 10, "join"), (1, "desk", 55, "leave"),
+        (1, "phone", 0, "join"), (1, "phone", 15, "leave"), (1, "phone", 20, "join"), (1, "phone", 20, "leave"), (1, "phone", 130, "join"), (1, "phone", 160, "leave"),
+        (2, "x", 0, "join"), (2, "x", 30, "leave"), (2, "x", 200, "join"), (2, "x", 230, "leave"),
+    ]
+    keys = sorted((r["k"], (r["at"] - t0).seconds // 60, r["change"]) for r in S.key_presence(changes, "k", "ref").collect())
+    assert keys == [(1, 0, "join"), (1, 55, "leave"), (1, 130, "join"), (1, 160, "leave"), (2, 0, "join"), (2, 30, "leave"), (2, 200, "join"), (2, 230, "leave")]

@@ -13,16 +13,23 @@ from wardflow.sources import landing
 from wardflow.streaming import feeds as S
 
 
-def in_pieces(t, table, order: str, parts: int = 4):
-    """A table as a stream of several files in the order of a column, one micro-batch each."""
-    folder = scratch_dir(t.spark)
-    source = getattr(t, table)
-    low, high = source.agg(F.min(order), F.max(order)).first()
+def in_slices(t, rows, number, job, parts: int = 4):
+    """Land rows slice by slice, those without a number last, and run a job after each slice; gives what the last run does.
+
+    Each run takes all files that are new as one batch and ends, so every run but the first begins from a stored state.
+    """
+    folder, out = scratch_dir(t.spark), None
+    numbered = rows.withColumn("_slice", F.least(F.greatest(F.coalesce(number, F.lit(parts - 1)), F.lit(0)), F.lit(parts - 1)).cast("int"))
     for i in range(parts):
-        a, b = low + (high - low) * i / parts, low + (high - low) * (i + 1) / parts
-        inside = (F.col(order) >= F.lit(a).cast(source.schema[order].dataType)) & ((F.col(order) < F.lit(b).cast(source.schema[order].dataType)) | F.lit(i == parts - 1))
-        source.filter(inside).coalesce(1).write.parquet(f"{folder}/{i}")
-    return t.spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+        numbered.filter(F.col("_slice") == i).drop("_slice").write.parquet(f"{folder}/{i}")
+        out = job(t.spark.readStream.schema(rows.schema).parquet(f"{folder}/*"))
+    return out
+
+
+def in_order(rows, order: str, parts: int = 4):
+    """The number of a row's slice, by equal spans of a time column."""
+    low, high = rows.agg(F.unix_micros(F.min(order).cast("timestamp")), F.unix_micros(F.max(order).cast("timestamp"))).first()
+    return F.try_divide(F.unix_micros(F.col(order).cast("timestamp")) - F.lit(low), F.lit(high) - F.lit(low)) * parts
 
 
 def events(t):
@@ -36,15 +43,28 @@ CHANGES = (
 )
 
 
-@query(
-    "b_t1_change_feed",
-    "SELECT o_orderkey AS id, CASE WHEN o_totalprice > 200000 THEN 'U' ELSE o_orderstatus END AS status, CASE WHEN o_totalprice > 200000 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_totalprice <= 400000",
-)
+FED = "SELECT o_orderkey AS id, CASE WHEN o_totalprice > 200000 THEN 'U' ELSE o_orderstatus END AS status, CASE WHEN o_totalprice > 200000 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_totalprice <= 400000"
+FED_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("status", T.StringType()), T.StructField("price", T.DoubleType())])
+
+
+@query("b_t1_change_feed", FED)
+def _(t):
+    folder = scratch_dir(t.spark)
+
+    def follow(stream):
+        changes = S.listen(stream.selectExpr("o_orderkey AS id", "'orders' AS table", CHANGES), table="orders")
+        return S.follow_changes(changes, FED_SCHEMA, ["id"], "sequence", folder, buckets=16)
+
+    return in_slices(t, t.orders, in_order(t.orders, "o_orderdate"), follow)
+
+
+@query("b_t1_change_feed_out_of_order", FED)
 def _(t):
-    stream = in_pieces(t, "orders", "o_orderdate")
-    changes = S.listen(stream.selectExpr("o_orderkey AS id", "'orders' AS table", CHANGES), table="orders")
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("status", T.StringType()), T.StructField("price", T.DoubleType())])
-    return S.follow_changes(changes, schema, ["id"], "sequence", scratch_dir(t.spark))
+    """The changes of a key come in any order: an update before its insert, a deletion before both."""
+    folder = scratch_dir(t.spark)
+    changes = t.orders.selectExpr("o_orderkey AS id", CHANGES)
+    late = F.pmod(F.xxhash64("id", "sequence"), F.lit(3))
+    return in_slices(t, changes, late, lambda stream: S.follow_changes(stream, FED_SCHEMA, ["id"], "sequence", folder, buckets=16), parts=3)
 
 
 @query("b_t1_listen_updates", "SELECT o_orderkey AS id, o_totalprice + 1 AS price FROM orders WHERE o_totalprice > 200000 AND o_totalprice < 300000")
@@ -68,6 +88,29 @@ query("b_t2_presence_batch", ISLANDS + " SELECT user_id, 'join' AS change, \"sta
 )
 
 
+# Signs of life and leaves of a user's references, one for each type of event; a fourth of the events are leaves.
+REFERENCES = """WITH e AS (SELECT user_id, event_type AS ref, ts, event_id % 4 = 0 AS leaves FROM events WHERE ts <= {mark}),
+n AS (SELECT *, lag(ts) OVER w AS before, lag(leaves) OVER w AS left_before, lead(ts) OVER w AS after, lead(leaves) OVER w AS leaves_after FROM e WINDOW w AS (PARTITION BY user_id, ref ORDER BY ts, leaves)),
+d AS (SELECT user_id, ref, 'join' AS change, ts AS "at" FROM n WHERE NOT leaves AND (before IS NULL OR left_before OR ts > before + INTERVAL 3 DAY)
+UNION ALL SELECT user_id, ref, 'leave', CASE WHEN leaves_after AND after <= ts + INTERVAL 3 DAY THEN after ELSE ts + INTERVAL 3 DAY END FROM n
+WHERE NOT leaves AND (after IS NULL OR leaves_after OR after > ts + INTERVAL 3 DAY) AND (ts + INTERVAL 3 DAY <= {mark} OR after <= {mark}))""".format(mark=MARK)
+
+
+def references(t):
+    """Changes over four runs, each from the state of the one before."""
+    folder = scratch_dir(t.spark)
+    job = lambda stream: S.run_to_files(S.reference_presence(stream.withColumn("ref", F.col("event_type")), "ts", "user_id", "ref", F.col("event_id") % 4 == 0, "3 days"), folder)
+    return in_slices(t, t.events, in_order(t.events, "ts"), job)
+
+
+query("b_t2_presence_by_reference", REFERENCES + " SELECT * FROM d")(references)
+query(
+    "b_t2_presence_of_keys",
+    REFERENCES + """, s AS (SELECT *, sum(CASE change WHEN 'join' THEN 1 ELSE -1 END) OVER (PARTITION BY user_id ORDER BY "at", change, ref) AS here FROM d)
+SELECT user_id, change, "at" FROM s WHERE (change = 'join' AND here = 1) OR (change = 'leave' AND here = 0)""",
+)(lambda t: S.key_presence(references(t), "user_id", "ref"))
+
+
 @query("b_t3_continuous_ingest", Q.using([Q.CASE_EVENTS], "SELECT event_id AS form_id, casefile_id, ts + INTERVAL 1 HOUR AS updated_at FROM case_events WHERE event_type = 'signup'"))
 def _(t):
     case = "concat(user_id, ':', CAST(floor((day(ts) - 1) / 10) AS STRING))"
@@ -102,7 +145,8 @@ def _(t):
 
 @query("b_t4_online_ewm", f"WITH {EWM}")
 def _(t):
-    means = S.online_ewm(values(in_pieces(t, "events", "ts")), series(), "v", 0.2, scratch_dir(t.spark))
+    folder = scratch_dir(t.spark)
+    means = in_slices(t, t.events, in_order(t.events, "ts"), lambda stream: S.online_ewm(values(stream), series(), "v", 0.2, folder, buckets=16))
     return means.select("event_id", F.round("mean", 6).alias("mean"))
 
 

@@ -9,15 +9,16 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
-from wardflow.operators.joins import hash_join
 from wardflow.operators.keys import join_null_safe
-from wardflow.operators.merge import last_by_key
-from wardflow.operators.ordered import Series, position
+from wardflow.operators.ordered import Series, from_micros, micros, position, running, span_micros, time_bucket
 from wardflow.operators.windows import decayed_sums
 from wardflow.session import settle
+from wardflow.sources.buckets import BUCKETS, BucketTable
 
 
 def stream_of(spark: SparkSession, folder: str, name: str, schema: str | T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -41,37 +42,6 @@ def run_batches(df: DataFrame, each: Callable[[DataFrame, int], None], folder: s
     q.awaitTermination()
 
 
-class Generations:
-    """The state of a ``foreachBatch`` job as one folder per batch.
-
-    A batch reads the folder of the batch before it and writes its own, over what a failed
-    attempt at the same batch left.  So a repeated batch gives the same state.  The newest finished
-    folder is found at the start, so a job that is begun again goes on from there; older ones than
-    the batch before are removed.
-    """
-
-    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType):
-        self.spark, self.folder, self.schema = spark, folder, schema
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/state")
-        self._files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        found = self._files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/state/*/_SUCCESS"))
-        self.last = max([int(x.getPath().getParent().getName()) for x in found or []], default=-1)
-
-    def before(self, batch: int) -> DataFrame:
-        if batch == 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/state/{batch - 1}")
-
-    def put(self, df: DataFrame, batch: int) -> None:
-        df.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.folder}/state/{batch}")
-        self.last = batch
-        if batch >= 2:
-            self._files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/state/{batch - 2}"), True)
-
-    def current(self) -> DataFrame:
-        return self.before(self.last + 1)
-
-
 # Change feed
 
 EVENTS = ("INSERT", "UPDATE", "DELETE")
@@ -84,22 +54,42 @@ def listen(changes: DataFrame, *, event: str = "*", table: str | None = None, wh
     return out if where is None else out.filter(where)
 
 
+DELETED = "_deleted"
+
+
+def versioned(schema: T.StructType, sequence: str) -> T.StructType:
+    """The state of a followed table: its columns, the sequence of the change that wrote a row, and whether that was a deletion."""
+    fields = [f for f in schema.fields if f.name not in (sequence, DELETED)]
+    return T.StructType([*fields, T.StructField(sequence, T.LongType()), T.StructField(DELETED, T.BooleanType())])
+
+
 def apply_changes(state: DataFrame, changes: DataFrame, key: list[str], sequence: str) -> DataFrame:
-    """The table after the last change of each key."""
-    values = [c for c in state.columns if c not in key]
-    last = last_by_key(changes.select(*key, *values, "event", sequence), key, [sequence])
-    last = last.select(*key, *[F.col(c).alias(f"_n_{c}") for c in values], "event")
-    joined = hash_join(state, last, key, "full")
-    kept = joined.filter(F.coalesce(F.col("event") != "DELETE", F.lit(True)))
-    changed = F.col("event").isNotNull()
-    return kept.select(*[F.col(c) if c in key else F.when(changed, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) for c in state.columns])
+    """The state after the change of highest sequence of each key, whatever order changes come in.
+
+    A deletion stays as a row without values, so that an earlier change that comes later does not bring the key back.  Of a change that comes again, the first stays; of two different
+    changes of one key and sequence in one batch, the one of the greater row hash.
+    """
+    rest = [c for c in state.columns if c not in key]
+    fresh = changes.select(
+        *key, *[F.col(c) if c != DELETED else (F.col("event") == "DELETE").alias(DELETED) for c in rest], F.lit(False).alias("_kept"), F.xxhash64(*rest[:-2], "event").alias("_hash")
+    )
+    both = state.withColumns({"_kept": F.lit(True), "_hash": F.lit(0).cast("long")}).unionByName(fresh)
+    picked = both.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(sequence, "_kept", "_hash")).alias("_row"))
+    values = [F.when(~F.col(f"_row.{DELETED}"), F.col(f"_row.{c}")).alias(c) for c in rest[:-2]]
+    return picked.select(*key, *values, f"_row.{sequence}", f"_row.{DELETED}").select(*state.columns)
 
 
-def follow_changes(changes: DataFrame, schema: T.StructType, key: list[str], sequence: str, folder: str) -> DataFrame:
-    """Keep a table in step with a change stream."""
-    states = Generations(changes.sparkSession, folder, schema)
-    run_batches(changes, lambda df, n: states.put(apply_changes(states.before(n), df, key, sequence), n), folder)
-    return states.current()
+def follow_changes(changes: DataFrame, schema: T.StructType, key: list[str], sequence: str, folder: str, buckets: int = BUCKETS) -> DataFrame:
+    """Keep a table in step with a change stream; gives its rows at the end of what is there.
+
+    A batch reads and writes only the buckets that its keys hit.  A job that is begun again goes on from the newest state.
+    """
+    states = BucketTable(changes.sparkSession, f"{folder}/state", versioned(schema, sequence), key, buckets)
+    wanted = [*key, *[c for c in states.schema.names if c not in (*key, DELETED)], "event"]
+    run_batches(
+        changes, lambda df, n: states.change(df.select(*dict.fromkeys(wanted)).withColumn(sequence, F.col(sequence).cast("long")), lambda old, new: apply_changes(old, new, key, sequence), n), folder
+    )
+    return states.read().filter(~F.col(DELETED)).select(*schema.names)
 
 
 def with_event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -149,6 +139,97 @@ def joins_and_leaves(sessions: DataFrame, key: str) -> DataFrame:
     return sessions.select(key, F.inline(diff))
 
 
+class _Reference(StatefulProcessor):
+    """One reference of one key: whether it is here, since its last sign of life, and the events whose turn has not come.
+
+    Events wait until the watermark has passed them and are then taken in order of time, so it does not matter which batch brings them.
+    """
+
+    def __init__(self, timeout: int):
+        self.timeout = timeout
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.here = handle.getValueState("here", "last long")
+        self.waiting = handle.getListState("waiting", "at long, leaves boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        for pdf in rows:
+            events = [(int(at), bool(leaves)) for at, leaves in zip(pdf["at_us"], pdf["leaves"])]
+            self.waiting.appendList(events)
+            self._wake(min(at for at, _ in events))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        mark, out = 1000 * timerValues.getCurrentWatermarkInMs(), []
+        last = self.here.get()[0] if self.here.exists() else None
+        waiting = sorted(tuple(e) for e in self.waiting.get()) if self.waiting.exists() else []
+        later = [e for e in waiting if e[0] > mark]
+        for at, leaves in waiting[: len(waiting) - len(later)]:
+            if last is not None and at > last + self.timeout:
+                out.append(("leave", last + self.timeout))
+                last = None
+            if leaves and last is not None:
+                out.append(("leave", at))
+                last = None
+            elif not leaves:
+                if last is None:
+                    out.append(("join", at))
+                last = at
+        if last is not None and last + self.timeout <= mark:
+            out.append(("leave", last + self.timeout))
+            last = None
+        if last is None:
+            self.here.clear()
+        else:
+            self.here.update((last,))
+            self._wake(last + self.timeout)
+        if later:
+            self.waiting.put(later)
+            self._wake(later[0][0])
+        else:
+            self.waiting.clear()
+        if out:
+            yield pd.DataFrame({"presence_key": [key[0]] * len(out), "presence_ref": [key[1]] * len(out), "change": [c for c, _ in out], "at_us": [at for _, at in out]})
+
+    def _wake(self, at: int) -> None:
+        """Timers count in milliseconds and go off once the watermark has passed them."""
+        self.handle.registerTimer(-(-at // 1000))
+
+    def close(self) -> None:
+        pass
+
+
+def reference_presence(stream: DataFrame, ts: str, key: str, ref: str, leaves: Column, timeout: str, delay: str = "1 hour") -> DataFrame:
+    """Joins and leaves of each reference of a key: (key, ref, change, at).
+
+    A reference joins with its first sign of life and leaves with a row for which ``leaves`` holds, or when no sign has come for longer than ``timeout``.  At equal times a leave comes
+    last; leaves of references that are not here say nothing, and rows without a time are left out.  The state is one row for each reference of a key, so that the references of a busy key spread over
+    tasks, and is kept, with its timers, in Spark's own state store, which a job that is begun again reads.
+    """
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # Names that begin with an underscore are lost on the way to Python.
+    rows = stream.filter(F.col(ts).isNotNull()).select(F.col(key).alias("presence_key"), F.col(ref).alias("presence_ref"), F.col(ts), micros(ts).alias("at_us"), F.coalesce(leaves, F.lit(False)).alias("leaves"))
+    types = {n: stream.schema[c].dataType.simpleString() for n, c in (("presence_key", key), ("presence_ref", ref))}
+    schema = f"presence_key {types['presence_key']}, presence_ref {types['presence_ref']}, change string, at_us long"
+    changes = with_event_time(rows, ts, delay).groupBy("presence_key", "presence_ref").transformWithStateInPandas(_Reference(span_micros(timeout)), schema, "Append", "EventTime")
+    return changes.select(F.col("presence_key").alias(key), F.col("presence_ref").alias(ref), "change", from_micros(F.col("at_us")).alias("at"))
+
+
+def key_presence(changes: DataFrame, key: str, ref: str) -> DataFrame:
+    """Joins and leaves of whole keys, from those of their references: a key is here while any reference is.
+
+    At equal times joins are counted first.  The count of references is a prefix sum over the buckets of a key, so a busy key is no burden.
+    """
+    order = Series([key], ["at", "_o", ref], time_bucket("at").cast("long"))
+    step = F.when(F.col("change") == "join", 1).otherwise(-1)
+    rows = running(changes.withColumn("_o", F.when(F.col("change") == "join", 0).otherwise(1)), order, {"_before": ("sum", step)}, exclusive=True)
+    before = F.coalesce("_before", F.lit(0))
+    turns = ((F.col("change") == "join") & (before == 0)) | ((F.col("change") == "leave") & (before == 1))
+    return rows.filter(turns).select(key, "change", "at")
+
+
 # Online exponentially weighted mean
 
 
@@ -183,15 +264,20 @@ def ewm_step(batch: DataFrame, state: DataFrame, series: Series, col: str, alpha
     return means, kept.unionByName(fresh.select(*state.columns))
 
 
-def online_ewm(stream: DataFrame, series: Series, col: str, alpha: float, folder: str) -> DataFrame:
-    """Means for every row of a stream whose batches follow each other in time."""
+def online_ewm(stream: DataFrame, series: Series, col: str, alpha: float, folder: str, buckets: int = BUCKETS) -> DataFrame:
+    """Means for every row of a stream whose batches follow each other in time.
+
+    A batch reads and writes the state of only those buckets that its keys hit.
+    """
     types = [(c, stream.schema[c].dataType) for c in series.by]
-    states = Generations(stream.sparkSession, folder, ewm_state_schema(types))
+    states = BucketTable(stream.sparkSession, f"{folder}/state", ewm_state_schema(types), series.by, buckets)
 
     def each(df: DataFrame, n: int) -> None:
-        means, state = ewm_step(df, states.before(n), series, col, alpha)
+        rows = settle(df)
+        hit = states.hit(rows)
+        means, state = ewm_step(rows, states.read(hit, min(states.version, n - 1)), series, col, alpha)
         means.write.mode("overwrite").parquet(f"{folder}/means/batch={n}")
-        states.put(state, n)
+        states.write(state, hit, n)
 
     run_batches(stream, each, folder)
     return stream.sparkSession.read.parquet(f"{folder}/means")
