@@ -291,21 +291,21 @@ class TimeFrame:
 
 
 def time_frame(
-    df: DataFrame, by: list[str], ts: str, before: str | int = 0, after: str | int = 0, width: str | int | None = None, ties: tuple[str, ...] = ()
+    df: DataFrame, by: list[str], ts: str, before: str | int = 0, after: str | int = 0, width: str | int | None = None, ties: tuple[str, ...] = (), rows: int | None = None
 ) -> TimeFrame:
-    """Cut each key into time blocks at least as wide as the frame reaches, and otherwise narrow enough for the busiest key.
+    """Cut each key into time blocks at least as wide as the frame reaches, and otherwise narrow enough for the busiest key to have about ``rows`` in one.
 
     Rows without a time stay, in a block of their own.
     """
     b, a = span_micros(before), span_micros(after)
     reach = max(b, a, 1)
-    w = fitted_width(df, by, ts, least=reach) if width is None else max(span_micros(width), reach)
+    w = fitted_width(df, by, ts, rows=rows or 5_000_000, least=reach) if width is None else max(span_micros(width), reach)
     us = F.col("_us")
-    rows = (
+    cut = (
         df.withColumn("_us", micros(ts))
         .withColumn("_home", F.floor(us / w))
         .withColumn("_blk", F.explode_outer(F.sequence(F.floor((us - a) / w), F.floor((us + b) / w))))
         .withColumn("_own", F.col("_blk").eqNullSafe(F.col("_home")))
         .drop("_home")
     )
-    return TimeFrame(rows, list(by), [ts, *ties])
+    return TimeFrame(cut, list(by), [ts, *ties])

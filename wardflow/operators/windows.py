@@ -8,40 +8,60 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wardflow.operators.aggregates import transform_groups, unbiased_kurtosis, unbiased_skew
 from wardflow.operators.keys import join_null_safe
+from wardflow.operators.frames import ORDERED, PLAIN, block_statistics
 from wardflow.operators.ordered import Series, first_rows, position, row_frame, running, span_micros, time_frame, with_heads
+from wardflow.operators.ranks import ranks
 from wardflow.session import settle
 
 Kernel = Callable[[str, WindowSpec], Column]
 
 
+@dataclass(frozen=True)
+class Statistic:
+    """A kernel that ``frames`` knows as well, by its name and, for a quantile, its share."""
+
+    name: str
+    over: Kernel
+    q: float | None = None
+
+    def __call__(self, col: str, w: WindowSpec) -> Column:
+        return self.over(col, w)
+
+
 def _moment(make, correct) -> Kernel:
     return lambda c, w: correct(make(F.col(c)).over(w), F.count(c).over(w))
 
 
-def quantile_kernel(q: float) -> Kernel:
-    return lambda c, w: F.percentile(c, F.lit(q)).over(w)
+def quantile_kernel(q: float) -> Statistic:
+    return Statistic("quantile", lambda c, w: F.percentile(c, F.lit(q)).over(w), q)
 
 
-def rank_kernel(c: str, w: WindowSpec) -> Column:
-    """Average rank of the row's value in its frame."""
+def _rank(c: str, w: WindowSpec) -> Column:
     seen = F.collect_list(c).over(w)
     below = F.size(F.filter(seen, lambda e: e < F.col(c)))
     equal = F.size(F.filter(seen, lambda e: e == F.col(c)))
     return F.when(F.col(c).isNotNull(), below + (equal + 1) / 2)
 
 
+#: Average rank of the row's value in its frame.
+rank_kernel = Statistic("rank", _rank)
+
+
 def window_sem(std: Column, n: Column) -> Column:
     """Standard error in a frame.  The divisor is n - 1, unlike that of the grouped form."""
     return F.when(n > 1, std / F.sqrt(n - 1))
 
 
-KERNELS: dict[str, Kernel] = {
+_OVER: dict[str, Kernel] = {
     "sum": lambda c, w: F.sum(c).over(w),
     "mean": lambda c, w: F.avg(c).over(w),
     "var": lambda c, w: F.var_samp(c).over(w),
@@ -50,35 +70,65 @@ KERNELS: dict[str, Kernel] = {
     "min": lambda c, w: F.min(c).over(w),
     "max": lambda c, w: F.max(c).over(w),
     "count": lambda c, w: F.count(c).over(w),
-    "median": quantile_kernel(0.5),
     "skew": _moment(F.skewness, unbiased_skew),
     "kurt": _moment(F.kurtosis, unbiased_kurtosis),
-    "rank": rank_kernel,
 }
+KERNELS: dict[str, Statistic] = {n: Statistic(n, k) for n, k in _OVER.items()} | {"median": quantile_kernel(0.5), "rank": rank_kernel}
 
 
 def _enough(value: Column, col: str, w: WindowSpec, min_periods: int) -> Column:
     return F.when(F.count(col).over(w) >= min_periods, value)
 
 
+#: Frames of more rows than this are put together from pieces; a plain window goes through the whole frame for each row.
+SHORT = 64
+#: Rows of a time block that goes to Python, unless one frame holds more.
+BLOCK_ROWS = 500_000
+
+
+def _by_pieces(df: DataFrame, col: str, kernels: dict[str, Kernel], always: bool) -> dict[str, Statistic]:
+    """The kernels that ``frames`` computes: quantiles and ranks of any frame, the others of long ones, on numbers."""
+    kind = df.schema[col].dataType
+    if not isinstance(kind, (T.IntegralType, T.FloatType, T.DoubleType)):
+        return {}
+    return {n: k for n, k in kernels.items() if isinstance(k, Statistic) and (always or k.name in ORDERED)}
+
+
+def _add_statistics(rows: DataFrame, groups: list[str], at: str, col: str, kernels: dict[str, Statistic], low: int, high: int, by_rows: bool, least: int) -> DataFrame:
+    kind = rows.schema[col].dataType
+    whole = isinstance(kind, T.IntegralType)
+    types = []
+    for k in kernels.values():
+        types.append(T.LongType() if k.name == "count" or (k.name == "sum" and whole) else kind if k.name in PLAIN[1:] else T.DoubleType())
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(n, t) for n, t in zip(kernels, types)]])
+    run = block_statistics(col, at, "_nr", [(n, k.name, k.q) for n, k in kernels.items()], low, high, by_rows, least, to_arrow_schema(schema))
+    # The window brings the rows of a block together and in order, and its number tells where a block begins.
+    numbered = rows.withColumn("_nr", F.row_number().over(W.partitionBy(*groups).orderBy(at)))
+    return numbered.mapInArrow(run, schema)
+
+
 def rolling(
     df: DataFrame, series: Series, col: str, n: int, kernels: dict[str, Kernel], *, min_periods: int | None = None,
     center: bool = False, forward: bool = False, step: int = 1, block: int = 65536,
 ) -> DataFrame:
     """Frames of ``n`` rows ending at the row, around it (center) or starting at it (forward).
 
-    ``step`` keeps every step-th row of a key.
+    ``step`` keeps every step-th row of a key.  Quantiles, ranks and everything over more than ``SHORT`` rows take time that grows with the logarithm of ``n``;
+    a task then holds a block of rows and the frames that reach into it.
     """
     m = n if min_periods is None else min_periods
     ahead = n - 1 if forward else ((n - 1) // 2 if center else 0)
     behind = n - 1 - ahead
     frame = row_frame(df, series, before=behind, after=ahead, block=block)
     w = frame.window(-behind, ahead)
-    out = frame.rows.select("*", *[_enough(k(col, w), col, w, m).alias(name) for name, k in kernels.items()])
+    pieces = _by_pieces(df, col, kernels, n > SHORT)
+    out = frame.rows.select("*", *[_enough(k(col, w), col, w, m).alias(name) for name, k in kernels.items() if name not in pieces])
+    if pieces:
+        out = _add_statistics(out, [*series.by, "_blk"], "_pos", col, pieces, -behind, ahead, True, m)
     kept = frame.close(out, keep_position=True)
     if step > 1:
         kept = kept.filter((F.col("_pos") - 1) % step == 0)
-    return kept.drop("_pos")
+    return kept.select(*df.columns, *kernels)
 
 
 CLOSED = {"right": (1, 0), "both": (0, 0), "left": (0, -1), "neither": (1, -1)}
@@ -90,48 +140,54 @@ def rolling_time(
 ) -> DataFrame:
     """Frames of a time span before the row.  ``closed`` says which ends belong to the frame.
 
-    Rows of equal time see each other.
+    Rows of equal time see each other.  A task holds a block of rows at least as wide as a frame; where one frame holds more than fits a task,
+    ``rolling_time_sums`` has no such bound.
     """
     us = span_micros(span)
     open_low, high = CLOSED[closed]
-    frame = time_frame(df, by, ts, before=us, width=width)
+    pieces = _by_pieces(df, col, kernels, True)
+    frame = time_frame(df, by, ts, before=us, width=width, rows=BLOCK_ROWS if pieces else None)
     w = frame.window(-us + open_low, high)
-    return frame.close(frame.rows.select("*", *[_enough(k(col, w), col, w, min_periods).alias(n) for n, k in kernels.items()]))
+    out = frame.rows.select("*", *[_enough(k(col, w), col, w, min_periods).alias(n) for n, k in kernels.items() if n not in pieces])
+    if pieces:
+        out = _add_statistics(out, [*by, "_blk"], "_us", col, pieces, -us + open_low, high, False, min_periods)
+    return frame.close(out).select(*df.columns, *kernels)
 
 
 def rolling_time_sums(df: DataFrame, series: Series, ts: str, col: str, span: str, *, closed: str = "right") -> DataFrame:
-    """Count, sum and mean over a time span, in linear time however many rows a frame holds.
+    """Count, sum, mean, least and greatest value over a time span, however many rows a frame holds.
 
-    ``rolling_time`` goes through a row's whole frame; here a frame is the difference of two
-    prefix results.  Each row sends a probe to the time where its frame begins; one ordered scan
-    gives rows and probes their prefix, and both meet again by the row's key.
+    Time is cut into stretches exactly as long as a frame, so a frame is a suffix of one stretch and a prefix of the next, or one whole stretch. Each row sends a
+    probe to either end of its frame; one scan forwards and one backwards give the probes what lies between them and the border, and both meet again by the row's
+    key.  Nothing is subtracted: a huge value or a NaN is felt by the frames that hold it alone.
     """
     by, us = series.by, span_micros(span)
     open_low, high = CLOSED[closed]
     row_id = F.struct(*[F.col(c).alias(c) for c in [*by, *series.order]])
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    # A frame over [a, b] in microseconds: everything up to b, less everything before a.
-    kinds = [("_hi", at + high), ("_lo", at - us + open_low - 1)]
-    probes = df.select(
-        *by, row_id.alias("_id"),
-        F.inline(F.array(*[F.struct(F.lit(n).alias("_kind"), moment.alias("_us")) for n, moment in kinds])),
-    )
-    facts = df.select(*by, at.alias("_us"), F.col(col).alias("_v"))
-    # At equal times facts are scanned before probes, so that a probe sees them.
-    both = facts.withColumn("_probe", F.lit(0)).unionByName(probes.withColumn("_probe", F.lit(1)), allowMissingColumns=True)
-    clock = F.timestamp_micros(F.col("_us")).cast("timestamp_ntz")
-    shaped = both.withColumn(ts, clock)
-    prefix = running(
-        shaped, Series(by, ["_us", "_probe", "_kind", "_id"], series.bucket), {"_n": ("count", F.col("_v")), "_s": ("sum", F.col("_v"))}
-    ).filter(F.col("_probe") == 1)
-
-    def pick(kind: str, name: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("_kind") == kind, F.col(name))), F.lit(0))
-
-    frames = prefix.groupBy("_id").agg((pick("_hi", "_n") - pick("_lo", "_n")).alias("count"), (pick("_hi", "_s") - pick("_lo", "_s")).alias("_sum"))
+    first, last, width = at - us + open_low, at + high, us - open_low + high + 1
+
+    def stretch(moment: Column) -> Column:
+        return F.floor(moment / F.lit(width)).cast("long")
+
+    what = {"_n": ("count", F.col("_v")), "_s": ("sum", F.col("_v")), "_l": ("min", F.col("_v")), "_g": ("max", F.col("_v"))}
+    facts = df.select(*by, at.alias("_us"), stretch(at).alias("_st"), F.col(col).alias("_v"), F.lit(0).alias("_probe"))
+
+    def scanned(moment: Column, probed: DataFrame, descending: bool) -> DataFrame:
+        # At equal times a scan meets facts before probes, so that a probe sees them.
+        probe = F.lit(-1 if descending else 1)
+        probes = probed.select(*by, row_id.alias("_id"), moment.alias("_us"), stretch(moment).alias("_st"), probe.alias("_probe"))
+        both = facts.unionByName(probes, allowMissingColumns=True).withColumn(ts, F.timestamp_micros("_us").cast("timestamp_ntz"))
+        along = Series([*by, "_st"], ["_us", "_probe", "_id"], series.bucket, descending)
+        return running(both, along, what).filter(F.col("_probe") != 0).select("_id", *what)
+
+    ends = scanned(last, df, False)
+    # A frame that is one whole stretch is all prefix.
+    starts = scanned(first, df.filter(stretch(first) < stretch(last)), True)
+    frames = ends.unionByName(starts).groupBy("_id").agg(F.sum("_n").alias("count"), F.sum("_s").alias("sum"), F.min("_l").alias("min"), F.max("_g").alias("max"))
     some = F.col("count") > 0
     return frames.select(
-        "_id.*", F.when(some, F.col("count")).alias("count"), F.when(some, F.col("_sum")).alias("sum"), F.when(some, F.col("_sum") / F.col("count")).alias("mean")
+        "_id.*", F.when(some, F.col("count")).alias("count"), F.when(some, F.col("sum")).alias("sum"), F.when(some, F.col("sum") / F.col("count")).alias("mean"), "min", "max"
     )
 
 
@@ -258,13 +314,87 @@ def expanding_pair(df: DataFrame, series: Series, x: str, y: str) -> DataFrame:
 def expanding_order_statistics(df: DataFrame, by: list[str], period: str, col: str, kernels: dict[str, Kernel]) -> DataFrame:
     """Median, quantile and rank so far, over a series with one row per key and period.
 
-    These need all earlier values at hand, so the input is a resampled series, whose length
-    per key is the number of periods in the calendar, not the number of events.
+    A resampled series is short: its length per key is the number of periods in the calendar.  ``expanding_quantiles`` takes raw rows of any number.
     """
     w = W.partitionBy(*by).orderBy(period).rowsBetween(W.unboundedPreceding, 0)
     return df.select("*", *[k(col, w).alias(n) for n, k in kernels.items()])
 
 
+FAN = 16
+
+
+def expanding_quantiles(
+    df: DataFrame, series: Series, col: str, quantiles: dict[str, float], *, rank: str | None = None, min_periods: int = 1, block: int = 65536
+) -> DataFrame:
+    """Quantiles of all values of the key so far, and the average rank of the row's value among them, over raw rows.
+
+    The values' dense ranks are read as digits of ``FAN``, the highest first, which makes a tree of ranges of values. A row asks for its k-th smallest value so far at the root; for all rows at once a prefix
+    scan over the rows of each node counts the earlier values in each of its children, which tells the child where the k-th lies and how many are
+    below.  A rank adds up the counts below on the way to the row's own value.  Every node is cut into blocks of ``block`` positions (see ``running``), so a key may hold any share of the rows; there are as many scans as
+    digits.  A NULL value takes no part, and gets quantiles but no rank.
+    """
+    by = series.by
+    rows = settle(running(df, series, {"_pos": ("count", F.lit(1)), "_n": ("count", F.col(col))}))
+    values = rows.filter(F.col(col).isNotNull()).select(*by, "_pos", F.col(col).alias("_v"))
+    work = ranks(values, by, "_v", "_code", method="dense").withColumn("_code", (F.col("_code") - 1).cast("long"))
+    work = settle(work.select(*by, "_pos", "_v", "_code", F.lit(-1).alias("_q"), F.lit(None).cast("long").alias("_k"), F.lit(0).cast("long").alias("_less"), F.lit(None).cast("double").alias("_found")))
+    top = work.agg(F.max("_code")).first()[0]
+    if top is None:
+        return df.withColumns({n: F.lit(None).cast("double") for n in [*quantiles, *([rank] if rank else [])]})
+    digits = next(i for i in range(1, 64) if FAN**i > top)
+    asked = []
+    for i, q in enumerate(quantiles.values()):
+        spot = (F.col("_n") - 1) * F.lit(q)
+        asked += [F.struct(F.lit(2 * i + up).alias("_q"), F.least(F.floor(spot) + up, F.col("_n") - 1).cast("long").alias("_k")) for up in (0, 1)]
+    nothing = {"_v": F.lit(None).cast(df.schema[col].dataType), "_less": F.lit(0).cast("long"), "_found": F.lit(None).cast("double")}
+    probes = rows.filter(F.col("_n") > 0).select(*by, "_pos", F.inline(F.array(*asked))) if asked else None
+    # A probe's code is that of the range it has come to, its lower digits zero.
+    work = work if probes is None else work.unionByName(probes.withColumns(nothing | {"_code": F.lit(0).cast("long")}))
+    here, is_value = [f"_c{d}" for d in range(FAN)], F.col("_q") < 0
+    for level in reversed(range(digits)):
+        unit = FAN**level
+        digit = F.floor(F.col("_code") / F.lit(unit)).cast("long") % FAN
+        what = {c: ("count", F.when(is_value & (F.col("_d") == d), 1)) for d, c in enumerate(here)}
+        if level == 0:
+            what |= {f"_v{d}": ("max", F.when(is_value & (F.col("_d") == d), F.col("_v"))) for d in range(FAN)}
+        # Values come before the probes of their row, so a row sees its own value.
+        along = Series([*by, "_node"], ["_pos", "_q"], F.floor((F.col("_pos") - 1) / F.lit(block)).cast("long"))
+        shaped = work.withColumns({"_node": F.floor(F.col("_code") / F.lit(unit * FAN)).cast("long"), "_d": digit})
+        counted = running(shaped, along, what)
+        counts = F.array(*here)
+
+        def below(d: Column) -> Column:
+            return F.aggregate(F.slice(counts, 1, d.cast("int")), F.lit(0).cast("long"), lambda a, x: a + x)
+
+        passed = F.aggregate(counts, F.struct(F.lit(0).cast("long").alias("s"), F.lit(0).alias("d")), lambda a, x: F.struct((a.s + x).alias("s"), F.when(a.s + x <= F.col("_k"), a.d + 1).otherwise(a.d).alias("d")))
+        moved = counted.withColumn("_to", F.when(is_value, F.col("_d")).otherwise(passed.d))
+        under = below(F.col("_to"))
+        found = F.element_at(F.array(*[F.col(f"_v{d}").cast("double") for d in range(FAN)]), F.col("_to").cast("int") + 1) if level == 0 else F.col("_found")
+        same = F.element_at(counts, F.col("_to").cast("int") + 1)
+        work = settle(
+            moved.select(
+                *by, "_pos", "_v", "_q",
+                F.when(is_value, F.col("_code")).otherwise(F.col("_code") + F.col("_to") * F.lit(unit)).alias("_code"),
+                (F.col("_k") - under).alias("_k"),
+                (F.col("_less") + under).alias("_less"),
+                F.when(is_value, same.cast("double") if level == 0 else F.lit(None).cast("double")).otherwise(found).alias("_found"),
+            )
+        )
+    results = [F.max(F.when(F.col("_q") == i, F.col("_found"))).alias(f"_r{i}") for i in range(2 * len(quantiles))]
+    results.append(F.max(F.when(is_value, F.col("_less") + (F.col("_found") + 1) / 2)).alias("_rank"))
+    answers = work.groupBy(*by, "_pos").agg(*results)
+    joined = join_null_safe(rows, answers, [*by, "_pos"], "left")
+    enough = F.col("_n") >= min_periods
+    out = []
+    for i, (name, q) in enumerate(quantiles.items()):
+        spot = (F.col("_n") - 1) * F.lit(q)
+        share, low, up = spot - F.floor(spot), F.col(f"_r{2 * i}"), F.col(f"_r{2 * i + 1}")
+        out.append(F.when(enough, F.when((share == 0) | (low == up), low).otherwise(low * (1 - share) + up * share)).alias(name))
+    if rank:
+        out.append(F.when(enough, F.col("_rank")).alias(rank))
+    return joined.select(*df.columns, *out)
+
+
 # Cumulative and neighbours
 
 
@@ -481,9 +611,10 @@ def ewm(
 def _gap_ageing(present: DataFrame, series: Series, alpha: float):
     moved = shift(present, series, "_all", 1, "_before")
     k = F.col("_all") - F.col("_before")
-    old = F.pow(F.lit(1 - alpha), k)
-    # ln((old + alpha) / old) is what this row adds to the age of all earlier ones.
-    rows = moved.withColumn("_age", F.coalesce(F.log((old + alpha) / old), F.lit(0.0)))
+    log_old = k * F.lit(math.log1p(-alpha))
+    old = F.exp(log_old)
+    # ln((old + alpha) / old) is what this row adds to the age of all earlier ones; old itself may be below the least double.
+    rows = moved.withColumn("_age", F.coalesce(F.log(old + alpha) - log_old, F.lit(0.0)))
     rows = rows.withColumn("_share", F.coalesce(F.lit(alpha) / (old + alpha), F.lit(1.0)))
     rows = settle(running(settle(rows), series, {"_aged": ("sum", F.col("_age"))}))
     return rows, F.col("_aged"), F.col("_share")

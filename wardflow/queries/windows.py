@@ -74,6 +74,27 @@ query("b_w4_rolling_median_quantile", sql(body({"median": "quantile_cont(v, 0.5)
 )
 RANK = "CASE WHEN v IS NOT NULL THEN len(list_filter(list(v) OVER w, lambda e: e < v)) + (len(list_filter(list(v) OVER w, lambda e: e = v)) + 1) / 2.0 END"
 query("b_w4_rolling_rank", sql(f"{least(3, RANK)} AS rank"))(lambda t: out(W.rolling(rows(t), series(t), "v", 5, {"rank": W.KERNELS["rank"]}, min_periods=3), "rank"))
+LONG = "PARTITION BY event_type ORDER BY ts, event_id"
+LONG_FRAME = f"({LONG} ROWS BETWEEN 499 PRECEDING AND CURRENT ROW)"
+LONG_STATISTICS = {
+    **BASIC, "skew": "skewness(v) OVER w", "kurt": "kurtosis(v) OVER w", "median": "quantile_cont(v, 0.5) OVER w", "q90": "quantile_cont(v, 0.9) OVER w", "rank": RANK,
+}
+
+
+def by_type(t):
+    return Series.fitted(t.events, ["event_type"], "ts", "event_id")
+
+
+def long_kernels():
+    return {k: W.KERNELS[k] for k in (*BASIC, "skew", "kurt", "median", "rank")} | {"q90": W.quantile_kernel(0.9)}
+
+
+query("b_w4_rolling_long_frames", sql(body(LONG_STATISTICS, 20), LONG_FRAME))(
+    lambda t: out(W.rolling(rows(t), by_type(t), "v", 500, long_kernels(), min_periods=20), *LONG_STATISTICS)
+)
+query("b_w4_rolling_time_quantile_rank", sql(body({k: LONG_STATISTICS[k] for k in ("median", "q90", "rank", "min", "max", "std")}, 2), f"(PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 86400000000 MICROSECOND PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)"))(
+    lambda t: out(W.rolling_time(rows(t), ["event_type"], "ts", "v", "1 day", {k: f for k, f in long_kernels().items() if k in ("median", "q90", "rank", "min", "max", "std")}, closed="left", min_periods=2), "median", "q90", "rank", "min", "max", "std")
+)
 ROLL8 = f"({O} ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)"
 query("b_w5_rolling_skew_kurt", sql(body({"skew": "skewness(v) OVER w", "kurt": "kurtosis(v) OVER w"}, 4), ROLL8))(
     lambda t: out(W.rolling(rows(t), series(t), "v", 8, {k: W.KERNELS[k] for k in ("skew", "kurt")}, min_periods=4), "skew", "kurt")
@@ -116,6 +137,11 @@ query(
         ["user_id"], "day", "total", {"median": W.KERNELS["median"], "q90": W.quantile_kernel(0.9), "rank": W.KERNELS["rank"]},
     ).select("user_id", "day", F.round("median", 6).alias("median"), F.round("q90", 6).alias("q90"), "rank")
 )
+SO_FAR = {"median": "quantile_cont(v, 0.5) OVER w", "q90": "quantile_cont(v, 0.9) OVER w", "rank": RANK}
+for _key in ("user_id", "event_type"):
+    query(f"b_w9_expanding_quantiles_of_rows_by_{_key.split('_')[0]}", sql(body(SO_FAR, 2), f"(PARTITION BY {_key} ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"))(
+        lambda t, k=_key: out(W.expanding_quantiles(rows(t), Series.fitted(t.events, [k], "ts", "event_id"), "v", {"median": 0.5, "q90": 0.9}, rank="rank", min_periods=2), *SO_FAR)
+    )
 
 # Exponentially weighted.  The SQL sums the weights of all earlier rows directly.
 
@@ -253,3 +279,14 @@ query("b_w10_ewm_alpha_one", "SELECT event_id, round(last_value(v IGNORE NULLS)
 query("b_w10_ewm_mean_long_halflife", pairs(decay="pow(0.5, (epoch_us(c.ts) - epoch_us(p.ts)) / (86400000000.0 * 400))") + " SELECT event_id, round(s1 / s0, 6) AS mean" + ALL_ROWS)(
     lambda t: out(W.ewm(rows(t), series(t), "v", ["mean"], halflife_time="400 days", ts="ts"), "mean")
 )
+query(
+    "b_w10_ewm_recursive_long_gaps",
+    f"""WITH RECURSIVE q AS (SELECT event_id, CASE WHEN event_id % 1201 < 2 THEN value / 7.919 END AS v, row_number() OVER (ORDER BY ts, event_id) AS n FROM events),
+n AS (SELECT *, n - lag(n) OVER (ORDER BY n) AS k, row_number() OVER (ORDER BY n) AS i FROM q WHERE v IS NOT NULL),
+r AS (SELECT event_id, n, i, v AS m FROM n WHERE i = 1 UNION ALL SELECT n.event_id, n.n, n.i, (pow(0.5, n.k) * r.m + 0.5 * n.v) / (pow(0.5, n.k) + 0.5) FROM r JOIN n ON n.i = r.i + 1)
+SELECT q.event_id, round(last_value(r.m IGNORE NULLS) OVER (ORDER BY q.n ROWS UNBOUNDED PRECEDING), 6) AS mean FROM q LEFT JOIN r USING (event_id)""",
+)(
+    lambda t: out(
+        W.ewm(t.events.selectExpr("event_id", "0 AS k", "ts", "CASE WHEN event_id % 1201 < 2 THEN value / 7.919 END AS v"), Series.fitted(t.events.selectExpr("0 AS k", "ts"), ["k"], "ts", "event_id"), "v", ["mean"], alpha=0.5, adjust=False), "mean"
+    )
+)
