@@ -3,17 +3,19 @@
 import json
 from datetime import date, datetime
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from wardflow import schemas
 from wardflow.functions.dates import duration_micros, localize, parse_time, to_local
 from wardflow.functions.records import clean_text, first_item, flatten, split_key
 from wardflow.operators import merge as M
+from wardflow.operators.merge import delete_from, ignore_into, merge_into, upsert
 from wardflow.operators.quality import error_log, split_valid
 from wardflow.plans import nightly
 from wardflow.queries import ingest as I
 from wardflow.sources import landing as L, tables as S
 from wardflow.sources.adapter import AS_OF, SPINE, Tables
+from wardflow.sources.buckets import BucketTable
 
 
 def texts(spark, *docs):
@@ -161,3 +163,37 @@ def test_second_run_changes_nothing(spark, tmp_path):
 def test_pull_keeps_whole_days(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 9, 23, 59),), (datetime(2024, 1, 10),), (datetime(2024, 1, 20, 23, 59, 59),), (datetime(2024, 1, 21),)], "at timestamp_ntz")
     assert L.updated_between(df, "at", date(2024, 1, 10), date(2024, 1, 20)).count() == 2
+
+
+def test_a_merge_of_one_key_touches_one_bucket(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType()), T.StructField("at", T.LongType())])
+    table = BucketTable(spark, f"{tmp_path}/t", schema, ["id"], buckets=64)
+    table.change(spark.range(5000).selectExpr("id", "'old' AS v", "0L AS at"), lambda _, rows: rows)
+    listed = lambda v: {r["bucket"]: r["version"] for r in spark.read.parquet(f"{tmp_path}/t/list/{v}").collect()}
+    assert len(listed(0)) == 65
+    source = spark.createDataFrame([(7, "new", 1), (7, "newer", 2), (7, "older", 0), (None, "lost", 9)], schema)
+    reads = []
+    plain = BucketTable.read
+    watch = lambda self, buckets=None, version=None: reads.append(buckets) or plain(self, buckets, version)
+    BucketTable.read = watch
+    try:
+        assert merge_into(table, source, version=["at"]) == 1
+    finally:
+        BucketTable.read = plain
+    assert [len(r) for r in reads] == [1]
+    assert [b for b, v in listed(1).items() if b >= 0 and v == 1] == reads[0]
+    assert merge_into(table, source, version=["at"]) == 2
+    rows = {r["id"]: r["v"] for r in table.read().collect()}
+    assert len(rows) == 5000 and rows[7] == "newer" and set(rows.values()) == {"old", "newer"}
+    delete_from(table, spark.createDataFrame([(7,), (8,)], "id int"))
+    ignore_into(table, spark.createDataFrame([(8, "again", 5), (9, "known", 5)], schema), version=["at"])
+    rows = {r["id"]: r["v"] for r in table.read().collect()}
+    assert len(rows) == 4999 and rows[8] == "again" and rows[9] == "old" and 7 not in rows
+
+
+def test_equal_versions_pick_the_same_row(spark):
+    rows = [(1, f"v{i}", 3) for i in range(40)]
+    target = spark.createDataFrame([], "id long, v string")
+    picked = {upsert(target, spark.createDataFrame(rows[::step], "id long, v string, at long").repartition(n), keys=["id"], version=["at"]).first()["v"] for n, step in ((1, 1), (7, 1), (3, -1))}
+    picked |= {upsert(target, spark.createDataFrame(rows[::step], "id long, v string, at long").repartition(n), keys=["id"]).first()["v"] for n, step in ((5, 1), (2, -1))}
+    assert len(picked) == 1

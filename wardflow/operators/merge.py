@@ -1,7 +1,8 @@
 """Upserts, change detection and table mutations without a MERGE-capable format.
 
-Each function returns the new state of the table; a run writes it to a new
-folder and never over the one it reads.
+Each function on frames returns the new state of the table; a run writes it to a new
+folder and never over the one it reads.  ``merge_into`` and its like change a stored table of key buckets and touch
+only the buckets that a source key hits.
 """
 
 from __future__ import annotations
@@ -12,17 +13,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardflow.operators.keys import join_null_safe, with_one_row
 from wardflow.operators.ordered import dealt, position
+from wardflow.sources.buckets import BucketTable
 
 
 def last_by_key(source: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
-    """One row per key, the one with the highest version.
+    """One row per key, the one with the highest version; of several, the one of the greatest row hash, so that a task that runs again picks the same.
 
     An aggregate, not a window: copies of a key combine before the shuffle.
     """
     rest = [c for c in source.columns if c not in keys]
     if not rest:
         return source.dropDuplicates(keys)
-    picked = source.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("_row"))
+    picked = source.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version, F.xxhash64(*rest))).alias("_row"))
     return picked.select(*keys, "_row.*").select(*source.columns)
 
 
@@ -37,7 +39,7 @@ def upsert(
     """
     cols = [c for c in (cols or source.columns) if c not in keys and c in target.columns]
     given = source.dropna(subset=keys)
-    given = last_by_key(given, keys, version) if version else given.dropDuplicates(keys)
+    given = last_by_key(given, keys, version or [])
     given = given.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_given"))
     joined = target.join(given, keys, "full_outer")
     return joined.select(
@@ -48,6 +50,26 @@ def upsert(
     )
 
 
+def merge_into(table: BucketTable, source: DataFrame, *, cols: list[str] | None = None, version: list[str] | None = None) -> int:
+    """``upsert`` on a stored table; gives its new version.
+
+    Buckets without a key of the source are neither read nor written, so the cost is that of the rows that may change.  A merge that is run twice
+    gives the same rows.
+    """
+    given = source.dropna(subset=table.key)
+    return table.change(given, lambda rows, new: upsert(rows, new, keys=table.key, cols=cols, version=version))
+
+
+def ignore_into(table: BucketTable, source: DataFrame, *, version: list[str]) -> int:
+    """``insert_ignore`` on a stored table; gives its new version."""
+    return table.change(source, lambda rows, new: insert_ignore(rows, new, keys=table.key, version=version))
+
+
+def delete_from(table: BucketTable, keys: DataFrame) -> int:
+    """Remove the rows of some keys from a stored table; gives its new version."""
+    return table.change(keys.select(*table.key), lambda rows, gone: join_null_safe(rows, gone.distinct(), table.key, "left_anti"))
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, *, keys: list[str], version: list[str]) -> DataFrame:
     """Add rows whose key is not there yet."""
     fresh = last_by_key(source, keys, version).join(target.select(*keys), keys, "left_anti")

@@ -11,12 +11,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardflow import schemas
-from wardflow.operators.merge import changed_keys, hashed_key, new_rows, upsert
+from wardflow.operators.merge import changed_keys, hashed_key, merge_into, new_rows, upsert
 from wardflow.operators.quality import error_log, split_valid
 from wardflow.plans.census import daily_census
 from wardflow.plans.discharges import discharges
 from wardflow.plans.history import build_history
 from wardflow.sources import landing
+from wardflow.sources.buckets import BUCKETS, BucketTable
 from wardflow.sources.tables import load_staging, refresh_views, report, write_counted
 
 FORM_TABLES = ["ama_forms", "admin_discharge", "detox_forms"]
@@ -41,10 +42,23 @@ def merge_table(name: str, current: DataFrame, staged: DataFrame, as_of: datetim
     )
 
 
+def merge_stored(name: str, table: BucketTable, staged: DataFrame, as_of: datetime) -> tuple[DataFrame, DataFrame]:
+    """The same on a stored table, of which only the buckets of the staged keys are read and written."""
+    key = KEYS[name]
+    good, bad = split_valid(staged, [(f"{key} is missing", F.col(key).isNull())])
+    merge_into(table, good, version=[VERSION[name]])
+    return table.read(), error_log(bad, key, f"upsert_{name}", as_of)
+
+
+def stored_tables(spark: SparkSession, folder: str, buckets: int = BUCKETS) -> dict[str, BucketTable]:
+    """The keyed tables of a run as stored tables below a folder."""
+    return {n: BucketTable(spark, f"{folder}/{n}", TABLE_SCHEMAS[n], [k], buckets) for n, k in KEYS.items()}
+
+
 def run(
     spark: SparkSession,
     landed: dict[str, DataFrame],
-    current: dict[str, DataFrame],
+    current: dict[str, DataFrame | BucketTable],
     references: dict[str, DataFrame],
     folder: str,
     *,
@@ -52,7 +66,12 @@ def run(
     start,
     end,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Returns the next generation of tables and views, and a summary by step."""
+    """Returns the next generation of tables and views, and a summary by step.
+
+    A keyed table given as a stored table is merged where it is, by the buckets of the keys that came; one given as a frame is written anew.
+    """
+    stored = {n: t for n, t in current.items() if isinstance(t, BucketTable)}
+    current = {n: t.read() if n in stored else t for n, t in current.items()}
     staged = {"latest": landing.patients(landed["patients"])}
     for name in FORM_TABLES:
         rows = landing.forms(landed[name])
@@ -76,7 +95,12 @@ def run(
     ]
     plans = {"program_history": current["program_history"].unionByName(fresh)}
     for name in ["latest", *FORM_TABLES]:
-        plans[name], bad = merge_table(name, current[name], staged[name], as_of)
+        if name in stored:
+            before = current[name].count()
+            tables[name], bad = merge_stored(name, stored[name], staged[name], as_of)
+            summary.append((name, "ok", before, tables[name].count()))
+        else:
+            plans[name], bad = merge_table(name, current[name], staged[name], as_of)
         errors.append(bad)
     for name, df in plans.items():
         after = write_counted(df, f"{folder}/{name}")

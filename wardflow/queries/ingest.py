@@ -12,6 +12,7 @@ from wardflow import schemas
 from wardflow.functions import records as X
 from wardflow.functions.dates import to_local
 from wardflow.operators import merge as M
+from wardflow.operators.ordered import dealt, position
 from wardflow.operators.quality import duplicate_keys, error_log, split_valid
 from wardflow.plans import nightly
 from wardflow.queries import ctes as Q
@@ -20,6 +21,7 @@ from wardflow.queries.views import daily, ended, history
 from wardflow.session import scratch_dir
 from wardflow.sources import landing as L, tables as S
 from wardflow.sources.adapter import AS_OF, SPINE
+from wardflow.sources.buckets import BucketTable
 
 CUT = datetime(2024, 1, 20)
 UTC_TEXT = "date_format({c} + INTERVAL '7' HOUR, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
@@ -63,16 +65,18 @@ def landed_replies(t, replies):
     return L.land(replies, f"{scratch_dir(t.spark)}/landing")
 
 
-PAGES = 40
+PAGE_SIZE = 4
 
 
 def full_pages(t, kind):
-    """Replies of many records each, a ninth of the pages left out."""
+    """Replies of ``PAGE_SIZE`` records each, in the order of their ids; there are as many pages as that takes."""
     record = F.get_json_object("value", f"$.{kind}_evaluations[0]")
-    pages = form_pages(t, kind).select((F.col("form_id") % PAGES + 1).cast("int").alias("page"), record.alias("record")).filter("page % 9 <> 0")
-    listed = pages.groupBy("page").agg(F.concat_ws(",", F.collect_list("record")).alias("records"))
-    head = F.concat(F.lit('{"pagination": {"page": '), F.col("page"), F.lit(f', "total_pages": {PAGES}}}, "{kind}_evaluations": ['))
-    return landed_replies(t, listed.select(F.concat(head, F.col("records"), F.lit("]}")).alias("value")))
+    rows, series = dealt(form_pages(t, kind).select("form_id", record.alias("record")), [], ["form_id"])
+    numbered = position(rows, series, "n")
+    pages = -(-rows.count() // PAGE_SIZE)
+    listed = numbered.groupBy((F.floor((F.col("n") - 1) / PAGE_SIZE) + 1).cast("int").alias("page")).agg(F.concat_ws(",", F.collect_list("record")).alias("records"))
+    head = F.concat(F.lit('{"pagination": {"page": '), F.col("page"), F.lit(f', "total_pages": {pages}}}, "{kind}_evaluations": ['))
+    return listed.select("page", F.concat(head, F.col("records"), F.lit("]}")).alias("value"))
 
 
 STEP_RULE = (
@@ -178,11 +182,11 @@ query("a_s3_paged_pull", Q.using([Q.CASE_EVENTS, Q.forms("ama")], "SELECT *, 2 A
 )
 
 
-query("a_s3_pages_of_many_records", Q.using([Q.CASE_EVENTS, Q.forms("ama")], f"SELECT * FROM ama_forms WHERE (form_id % {PAGES} + 1) % 9 <> 0"))(lambda t: L.forms(full_pages(t, "ama")))
+query("a_s3_pages_of_many_records", Q.using([Q.CASE_EVENTS, Q.forms("ama")], "SELECT * FROM ama_forms"))(lambda t: L.forms(landed_replies(t, full_pages(t, "ama").drop("page"))))
 query(
     "a_s3_missing_pages",
-    Q.using([Q.CASE_EVENTS, Q.forms("ama")], f"SELECT CAST(p AS INTEGER) AS page FROM range(1, {PAGES + 1}) r(p) WHERE p NOT IN (SELECT form_id % {PAGES} + 1 FROM ama_forms WHERE (form_id % {PAGES} + 1) % 9 <> 0)"),
-)(lambda t: L.missing_pages(full_pages(t, "ama")))
+    Q.using([Q.CASE_EVENTS, Q.forms("ama")], f"SELECT CAST(p AS INTEGER) AS page FROM (SELECT unnest(range(1, CAST(ceil(count(*) / {PAGE_SIZE}.0) AS BIGINT) + 1)) AS p FROM ama_forms) WHERE p % 3 = 0"),
+)(lambda t: L.missing_pages(landed_replies(t, full_pages(t, "ama").filter("page % 3 <> 0").drop("page"))))
 
 
 @query(
@@ -365,6 +369,50 @@ def _(t):
     return M.upsert(target, order_changes(t), keys=["o_orderkey"], version=["version"])
 
 
+def stored(t, target, key):
+    """A target as a stored table of key buckets."""
+    table = BucketTable(t.spark, scratch_dir(t.spark), target.schema, [key], 32)
+    table.change(target, lambda _, rows: rows)
+    return table
+
+
+@query("a_i1_merge_stored_latest", ORACLE["a_i1_upsert_latest"])
+def _(t):
+    table = stored(t, t.latest(CUT), "casefile_id")
+    fresh = t.latest().filter(F.col("last_updated_at") >= F.lit(CUT).cast("timestamp_ntz"))
+    for _ in range(2):  # twice is as good as once
+        M.merge_into(table, fresh, version=["last_updated_at"])
+    return table.read()
+
+
+for _name, _kind in [("a_i2_merge_stored_admin_forms", "admin"), ("a_i3_merge_stored_ama_forms", "ama"), ("a_i4_merge_stored_detox_forms", "detox")]:
+
+    def _stored_forms(t, kind=_kind):
+        all_forms = t.forms(kind)
+        edge = F.lit(datetime(2024, 1, 10)).cast("timestamp_ntz")
+        table = stored(t, all_forms.filter(F.col("created_at") < F.lit(CUT).cast("timestamp_ntz")), "form_id")
+        M.merge_into(table, all_forms.filter(F.col("created_at") >= edge).withColumn("status", F.lit("revised")), version=["updated_at"])
+        return table.read()
+
+    query(_name, ORACLE[_name.replace("merge_stored", "upsert")])(_stored_forms)
+
+
+@query("a_i5_merge_stored_generic", ORACLE["a_i5_upsert_generic"])
+def _(t):
+    table = stored(t, t.orders.filter("o_orderstatus <> 'P'").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey"), "o_orderkey")
+    M.merge_into(table, order_changes(t), version=["version"])
+    return table.read()
+
+
+@query("a_i5_stored_insert_and_delete", "SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN o_orderstatus ELSE 'new' END AS o_orderstatus FROM orders WHERE o_totalprice <= 300000")
+def _(t):
+    """Orders over 100000 are there; the others are inserted, those over 300000 deleted."""
+    table = stored(t, t.orders.filter("o_totalprice > 100000").select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    M.ignore_into(table, t.orders.selectExpr("o_orderkey", "'new' AS o_orderstatus", "1 AS version"), version=["version"])
+    M.delete_from(table, t.orders.filter("o_totalprice > 300000"))
+    return table.read()
+
+
 query("a_i6_duplicate_keys", "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")(
     lambda t: duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"])
 )
@@ -430,6 +478,17 @@ def _(t):
     return whole_run(t)[1].filter("rows_before IS NOT NULL")
 
 
+@query("a_i9_stored_state", ORACLE["a_p1_normalised_patients"])
+def _(t):
+    """Two runs on stored tables, the second with nothing new."""
+    refs = {"program_types": t.program_types(), "discharge_types": t.discharge_types()}
+    folder = scratch_dir(t.spark)
+    for night in range(2):
+        state = empty_state(t) | nightly.stored_tables(t.spark, f"{folder}/tables", 16)
+        tables, _ = nightly.run(t.spark, landed(t), state, refs, f"{folder}/{night}", as_of=AS_OF, start=SPINE[0], end=SPINE[1])
+    return tables["latest"]
+
+
 def whole_run(t):
     refs = {"program_types": t.program_types(), "discharge_types": t.discharge_types()}
     return nightly.run(t.spark, landed(t), empty_state(t), refs, scratch_dir(t.spark), as_of=AS_OF, start=SPINE[0], end=SPINE[1])
