@@ -58,11 +58,14 @@ def daily_census(history: DataFrame, *, start: date, end: date, keep_flow_only_d
     A flow on a day without census for that program is left out unless
     ``keep_flow_only_days``.
     """
+    return census_of_ledger(census_ledger(history, start=start, end=end), end=end, keep_flow_only_days=keep_flow_only_days)
+
+
+def census_of_ledger(ledger: DataFrame, *, end: date, keep_flow_only_days: bool = False) -> DataFrame:
     days = W.partitionBy("program_category").orderBy("day")
     stop = F.lit(end + timedelta(days=1))
     spans = (
-        census_ledger(history, start=start, end=end)
-        .withColumn("census", F.sum("present").over(days.rowsBetween(W.unboundedPreceding, 0)))
+        ledger.withColumn("census", F.sum("present").over(days.rowsBetween(W.unboundedPreceding, 0)))
         .withColumn("_next", F.coalesce(F.lead("day").over(days), stop))
         .filter(F.col("day") < stop)
     )

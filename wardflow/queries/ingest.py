@@ -454,6 +454,24 @@ query("a_i8_refreshed_census", ORACLE["a_v2_daily_census"])(lambda t: refreshed(
 query("a_i8_refreshed_discharges", ORACLE["a_v3_discharges"])(lambda t: refreshed(t)[0]["discharges"])
 
 
+def pulled(t):
+    """Views after three pulls, each with what was logged or updated since the one before, and with a clock of its own."""
+    from wardflow.plans.incremental import StoredViews
+
+    views = StoredViews(t.spark, scratch_dir(t.spark), t.program_types(), *SPINE, buckets=16)
+    log, since = t.program_log(), datetime(2000, 1, 1)
+    for until in (datetime(2024, 1, 10), datetime(2024, 1, 20), datetime(2024, 3, 1)):
+        new = log.filter((F.col("logged_at") >= F.lit(since).cast("timestamp_ntz")) & (F.col("logged_at") < F.lit(until).cast("timestamp_ntz")))
+        state = t.latest(until) if until < AS_OF else t.latest()
+        views.refresh(new, state.filter(F.col("last_updated_at") >= F.lit(since).cast("timestamp_ntz")), min(until, AS_OF))
+        since = until
+    return views
+
+
+query("a_i8_incremental_history", ORACLE["a_v1_program_history"])(lambda t: pulled(t).history())
+query("a_i8_incremental_census", ORACLE["a_v2_daily_census"])(lambda t: pulled(t).census())
+
+
 def landed(t):
     return {
         "patients": patient_replies(t), "ama_forms": form_pages(t, "ama"), "admin_discharge": form_pages(t, "admin"),
