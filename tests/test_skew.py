@@ -212,3 +212,15 @@ def test_buckets_are_narrowed_for_a_busy_key(rows):
 def test_many_value_buckets(rows, table):
     got = R.quantiles(rows, ["k"], "v", {"a": 0.31}).toPandas().sort_values("k", na_position="last")
     same(got["a"], table.groupby("k")["v"].quantile(0.31))
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+@pytest.mark.parametrize("n", [0, 1, 700, 2999, 3000, 5000])
+def test_sample_size_is_cut_in_cells(spark, monkeypatch, weight, n):
+    monkeypatch.setattr(X, "CELLS", 4)
+    monkeypatch.setattr(X, "LAST_ROWS", 5)
+    df = spark.range(3000).selectExpr("id", "CAST(1 + id % 1000 AS DOUBLE) AS w")
+    got = {r["id"] for r in X.sample_n(df, n, ["id"], "s", weight=weight).collect()}
+    u = X.uniform(["id"], "s")
+    score = u if weight is None else -F.log1p(-u) / F.col("w")
+    assert got == {r["id"] for r in df.orderBy(score, "id").limit(n).collect()}

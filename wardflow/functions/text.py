@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 import re
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from wardflow.functions.html_tables import grid_rows
 
 # Case
 
@@ -252,3 +258,25 @@ def html_cells(df: DataFrame, html: str, keep: list[str], *, table: str = "table
     rows_df = tables.select(*keep, "table_no", F.posexplode(rows).alias("row_no", "_r"))
     cells = rows_df.select(*keep, "table_no", "row_no", F.posexplode(inner(F.col("_r"), cell)).alias("column_no", "_c"))
     return cells.select(*keep, "table_no", "row_no", "column_no", plain_text(F.col("_c")).alias("text"))
+
+
+GRID = "table_no int, inside int, section string, row_no int, column_no int, header boolean, text string"
+
+
+def html_grid(df: DataFrame, html: str, keep: list[str]) -> DataFrame:
+    """Places of all tables as a browser lays them out: row and column spans repeated, omitted end tags closed, nested tables apart.
+
+    ``inside`` is the table that a nested one stands in; ``section`` is head, body or foot.  Only pages with a table go to Python.
+    """
+    schema = T.StructType([*[df.schema[c] for c in keep], *T.StructType.fromDDL(GRID).fields])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            rows = grid_rows(batch.column(len(keep)).to_pylist())
+            while part := list(islice(rows, 10_000)):
+                at, *cells = zip(*part)
+                kept = [batch.column(i).take(pa.array(at)) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*kept, *[pa.array(v, arrow.field(len(keep) + i).type) for i, v in enumerate(cells)]], schema=arrow)
+
+    return df.filter(F.col(html).rlike("(?i)<table")).select(*keep, html).mapInArrow(run, schema)

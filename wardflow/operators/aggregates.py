@@ -9,8 +9,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from wardflow.operators.group_streams import GroupFunction, over_groups
 from wardflow.operators.keys import join_null_safe, with_one_row
 from wardflow.operators.ordered import Series, dealt, edges_below, first_rows, position
 from wardflow.operators.ranks import quantiles, ranks
@@ -156,6 +159,18 @@ def apply_groups(
     return df.mapInPandas(run, ", ".join([*fields, partial_schema])).groupBy(*by).agg(*combine)
 
 
+def apply_whole_groups(df: DataFrame, by: list[str], order: list[str], fn: GroupFunction, schema: str) -> DataFrame:
+    """An own function of each whole group, in order.
+
+    ``fn`` gets the group's key and its rows as an iterator of pandas batches, ordered by ``order``, and returns a frame or yields frames of the columns of ``schema``, to which the key
+    is added.  A group is never held as a whole: one batch at a time is in memory, so a function that keeps little needs little, however large the group.
+    It is read by one task, as its order demands; ``apply_groups`` spreads a group over tasks where partial results will do.
+    """
+    out = T.StructType([*[df.schema[c] for c in by], *T.StructType.fromDDL(schema).fields])
+    numbered = df.withColumn("_nr", F.row_number().over(W.partitionBy(*by).orderBy(*order)))
+    return numbered.mapInArrow(over_groups(fn, by, "_nr", to_arrow_schema(out)), out)
+
+
 def spearman(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     """Correlation of average ranks over rows that have both values."""
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())

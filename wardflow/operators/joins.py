@@ -113,23 +113,29 @@ def _inside(point: Column, low: Column, high: Column, closed: str) -> Column:
     return lower & upper
 
 
-def interval_join(
-    points: DataFrame, intervals: DataFrame, *, point: str, low: str, high: str, by: list[str] = (), closed: str = "left", width: str = "1 day"
-) -> DataFrame:
-    """Points with the intervals they lie in.
+#: Cells of a level are this many bits wider than those of the next finer one.
+LEVEL_BITS = 2
+
 
-    An interval is listed once per time bucket it touches; points and intervals
-    then meet by equal key and bucket, so no point is compared with all intervals.
+def interval_join(points: DataFrame, intervals: DataFrame, *, point: str, low: str, high: str, by: list[str] = (), closed: str = "left") -> DataFrame:
+    """Points with the intervals they lie in, whatever the intervals' lengths.
+
+    Time is cut into cells at several levels, each ``2 ** LEVEL_BITS`` times as wide as the one below.  An interval goes to the level whose cells are about as long as
+    itself and touches at most three of them; a point is in one cell of each level that some interval is at.  They meet by equal key, level and cell, so
+    neither is an interval listed by day nor a point compared with all intervals.  The levels, at most 32 numbers, come to the driver.
     """
-    w = span_micros(width)
-    spans = steps(intervals.filter(F.col(low) <= F.col(high)), F.floor(micros(low) / w), F.floor(micros(high) / w), 1, "_bk")
-    marked = points.withColumn("_bk", F.floor(micros(point) / w))
-    keys = [*by, "_bk"]
-    return (
-        join_null_safe(marked, spans, keys)
-        .filter(_inside(F.col(point), F.col(low), F.col(high), closed))
-        .drop("_bk")
-    )
+    spans = intervals.filter(F.col(low) <= F.col(high)).withColumns({"_lo": micros(low), "_hi": micros(high)})
+    bits = F.ceil(F.log2(F.greatest(F.col("_hi") - F.col("_lo"), F.lit(2)) / 2) / LEVEL_BITS) * LEVEL_BITS
+    spans = spans.withColumn("_level", bits.cast("int"))
+    levels = sorted(r[0] for r in spans.select("_level").distinct().collect())
+
+    def cell(moment: str, level: Column) -> Column:
+        return F.call_function("shiftright", F.col(moment), level)
+
+    cells = spans.withColumn("_cell", F.explode(F.sequence(cell("_lo", F.col("_level")), cell("_hi", F.col("_level"))))).drop("_lo", "_hi")
+    probes = points.withColumn("_us", micros(point)).withColumn("_level", F.explode(F.lit(levels).cast("array<int>"))).withColumn("_cell", cell("_us", F.col("_level"))).drop("_us")
+    met = join_null_safe(probes, cells, [*by, "_level", "_cell"])
+    return met.filter(_inside(F.col(point), F.col(low), F.col(high), closed)).drop("_level", "_cell")
 
 
 def overlaps_earlier(df: DataFrame, *, low: str, high: str, by: list[str], ties: list[str], closed: bool = False) -> DataFrame:

@@ -104,6 +104,114 @@ def search_web(c, required: list[str] = (), excluded: list[str] = (), any_group:
     return out & any_of([_has(c, p) for p in any_group]) if any_group else out
 
 
+RAW = re.compile(r"\s*(<->|<(\d+)>|[&|!()]|([^\W_]+)(:\*)?)", re.UNICODE)
+
+
+def _raw_tree(text: str) -> tuple:
+    """The tree of a raw search text: ("word", w, is_prefix), ("not", x), ("near", x, n, y), ("and", x, y), ("or", x, y)."""
+    parts, at = [], 0
+    while at < len(text.rstrip()):
+        m = RAW.match(text, at)
+        if not m:
+            raise ValueError(f"search text: {text[at:].strip()!r} is not understood")
+        parts.append(m)
+        at = m.end()
+
+    def ahead() -> str:
+        return parts[0][1] if parts else ""
+
+    def single() -> tuple:
+        m = parts.pop(0) if parts else None
+        if m and m[1] == "!":
+            return ("not", single())
+        if m and m[1] == "(":
+            tree = either()
+            if ahead() != ")":
+                raise ValueError("search text: a bracket is not closed")
+            parts.pop(0)
+            return tree
+        if not m or not m[3]:
+            raise ValueError(f"search text: a word is missing {'before ' + m[1] if m else 'at the end'}")
+        return ("word", m[3].lower(), bool(m[4]))
+
+    def near() -> tuple:
+        tree = single()
+        while ahead().startswith("<"):
+            step = parts.pop(0)[2]
+            tree = ("near", tree, 1 if step is None else int(step), single())
+        return tree
+
+    def both() -> tuple:
+        tree = near()
+        while ahead() == "&":
+            parts.pop(0)
+            tree = ("and", tree, near())
+        return tree
+
+    def either() -> tuple:
+        tree = both()
+        while ahead() == "|":
+            parts.pop(0)
+            tree = ("or", tree, both())
+        return tree
+
+    tree = either()
+    if parts:
+        raise ValueError(f"search text: an operator is missing before {ahead()!r}")
+    return tree
+
+
+def _places(tree: tuple, words: Column) -> Column:
+    """Where a part matches, as (first, last) places of words."""
+    kind = tree[0]
+    if kind == "word":
+        _, word, is_prefix = tree
+        hit = (lambda w: F.startswith(w, F.lit(word))) if is_prefix else (lambda w: w == word)
+        found = F.transform(words, lambda w, i: F.when(hit(w), F.struct(i.alias("a"), i.alias("b"))))
+        return F.array_compact(found)
+    if kind == "or":
+        return F.array_union(_places(tree[1], words), _places(tree[2], words))
+    if kind == "and":
+        return F.array_intersect(_places(tree[1], words), _places(tree[2], words))
+    if kind == "near":
+        _, x, n, y = tree
+        if x[0] == y[0] == "not":
+            raise ValueError("search text: of two neighbours only one may be negated")
+        if x[0] == "not":
+            bad = F.transform(_places(x[1], words), lambda p: p["b"] + n)
+            return F.filter(_places(y, words), lambda q: ~F.array_contains(bad, q["a"]))
+        if y[0] == "not":
+            bad = F.transform(_places(y[1], words), lambda q: q["a"] - n)
+            return F.filter(_places(x, words), lambda p: ~F.array_contains(bad, p["b"]))
+        after = _places(y, words)
+        pairs = F.transform(_places(x, words), lambda p: F.transform(F.filter(after, lambda q: q["a"] == p["b"] + n), lambda q: F.struct(p["a"].alias("a"), q["b"].alias("b"))))
+        return F.flatten(pairs)
+    raise ValueError("search text: a negated part stands alone beside a distance")
+
+
+def _holds(tree: tuple, words: Column) -> Column:
+    kind = tree[0]
+    if kind == "word":
+        return F.exists(words, lambda w: F.startswith(w, F.lit(tree[1]))) if tree[2] else F.array_contains(words, tree[1])
+    if kind == "not":
+        return ~_holds(tree[1], words)
+    if kind == "near":
+        return F.size(_places(tree, words)) > 0
+    x, y = _holds(tree[1], words), _holds(tree[2], words)
+    return x & y if kind == "and" else x | y
+
+
+def search_raw(c, text: str) -> Column:
+    """A search text with operators: ``!`` not, ``<->`` directly followed by, ``<n>`` followed n words later, ``&`` and, ``|`` or, in falling order of strength, and brackets; ``word:*`` is a beginning.
+
+    Around a distance may stand words, brackets of words and further distances; ``!x <-> y`` is a y without an x before it.  NULL for a NULL text; a text that is not understood is an error.
+    """
+    tree = _raw_tree(text)
+    words = F.regexp_extract_all(F.lower(_col(c)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    # The words are found once, however often the search names them.
+    return F.get(F.transform(F.array(words), lambda w: _holds(tree, w)), F.lit(0))
+
+
 class TableQuery:
     """A chain of filters, order and paging over a table; ``df`` is the result.
 

@@ -71,12 +71,40 @@ def sample_fraction(df: DataFrame, fraction: float, keys: list[str], seed: str)
     return df.filter(uniform(keys, seed) < fraction)
 
 
+CELLS = 4096
+#: Rows that may be sorted by one task to cut the sample to its size.
+LAST_ROWS = 100_000
+
+
 def sample_n(df: DataFrame, n: int, keys: list[str], seed: str, weight: str | None = None) -> DataFrame:
-    """n rows without replacement; with ``weight``, heavier rows are likelier (exponential keys)."""
+    """n rows without replacement; with ``weight``, heavier rows are likelier (exponential keys).
+
+    They are the rows with the smallest scores.  Counts by cells of the score tell in which cell the n-th lies, and that cell is cut again until few rows are left to be
+    sorted; all rows below are taken where they are.  A round gives the driver ``CELLS`` counts.
+    """
     u = uniform(keys, seed)
     score = u if weight is None else -F.log1p(-u) / F.col(weight)
     rows = df if weight is None else df.filter(F.col(weight) > 0)
-    return rows.withColumn("_u", score).orderBy("_u", *keys).limit(n).drop("_u")
+    scored = rows.withColumn("_u", score).withColumn("_x", F.least(F.col("_u") / (1 + F.col("_u")), F.lit(1 - 2.0**-52)))
+    low, width, taken = 0.0, 1.0, 0
+    while True:
+        inside = (F.col("_x") >= low) & (F.col("_x") < low + width)
+        counted = scored.filter(inside).groupBy(F.floor((F.col("_x") - low) * (CELLS / width)).alias("c")).count().collect()
+        cells = sorted((r["c"], r["count"]) for r in counted)
+        crossed = None
+        for cell, rows_in in cells:
+            if taken + rows_in > n:
+                crossed = (cell, rows_in)
+                break
+            taken += rows_in
+        if crossed is None:
+            return scored.filter(F.col("_x") < low + width).drop("_u", "_x")
+        low, width = low + crossed[0] * width / CELLS, width / CELLS
+        if crossed[1] <= LAST_ROWS or width < 2.0**-50:
+            break
+    sure = scored.filter(F.col("_x") < low)
+    cut = scored.filter((F.col("_x") >= low) & (F.col("_x") < low + width)).orderBy("_u", *keys).limit(n - taken)
+    return sure.unionByName(cut).drop("_u", "_x")
 
 
 def sample_by_group(df: DataFrame, by: list[str], n: int, keys: list[str], seed: str) -> DataFrame:

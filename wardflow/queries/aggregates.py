@@ -1,6 +1,7 @@
 """Grouped aggregation."""
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from wardflow.operators import aggregates as A, ranks as R
@@ -134,6 +135,24 @@ def _(t):
     )
 
 
+def falls(key, batches):
+    """How often a value is below the one before it, and the deepest fall from the highest so far."""
+    before, top, count, deepest = None, float("-inf"), 0, 0.0
+    for pdf in batches:
+        for v in pdf["value"]:
+            count += before is not None and v < before
+            before, top = v, max(top, v)
+            deepest = max(deepest, top - v)
+    return pd.DataFrame({"falls": [count], "deepest": [deepest]})
+
+
+for _key in ("user_id", "event_type"):
+    query(
+        f"b_a15_whole_group_function_by_{_key.split('_')[0]}",
+        f"SELECT {_key}, count(*) FILTER (value < before) AS falls, round(max(top - value), 6) AS deepest FROM (SELECT {_key}, value, lag(value) OVER w AS before, max(value) OVER w AS top FROM events WINDOW w AS (PARTITION BY {_key} ORDER BY ts, event_id)) GROUP BY 1",
+    )(
+        lambda t, k=_key: A.apply_whole_groups(t.events.select(k, "ts", "event_id", "value"), [k], ["ts", "event_id"], falls, "falls long, deepest double").withColumn("deepest", F.round("deepest", 6))
+    )
 query("b_a16_time_bucket_groups", "SELECT time_bucket(INTERVAL 6 HOUR, ts) AS bucket, event_type, count(*) AS n FROM events GROUP BY 1, 2")(
     lambda t: t.events.groupBy(F.window("ts", "6 hours").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("bucket"), "event_type", "n")
 )

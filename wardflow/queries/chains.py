@@ -63,6 +63,20 @@ query("b_q6_search_phrase", f"SELECT doc_id FROM {TOKENS} WHERE contains(w, ' de
 query("b_q6_search_web", f"SELECT doc_id FROM {TOKENS} WHERE NOT contains(w, ' the ') AND (contains(w, ' la ') OR contains(w, ' der ')) AND contains(w, ' en ')")(
     lambda t: t.documents.filter(Q.search_web("text", required=["en"], excluded=["the"], any_group=["la", "der"])).select("doc_id")
 )
+LISTED = "(SELECT doc_id, string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS t FROM documents)"
+NEXT = "len(list_filter(range(1, len(t) + 1), lambda i: {0})) > 0"
+RAW_SEARCHES = {
+    "or_of_ands": ("the & !in | der & die", "(list_contains(t, 'the') AND NOT list_contains(t, 'in')) OR (list_contains(t, 'der') AND list_contains(t, 'die'))"),
+    "brackets": ("(the | la) & !(in | que)", "(list_contains(t, 'the') OR list_contains(t, 'la')) AND NOT (list_contains(t, 'in') OR list_contains(t, 'que'))"),
+    "phrase": ("de <-> la & !en", NEXT.format("t[i] = 'de' AND t[i + 1] = 'la'") + " AND NOT list_contains(t, 'en')"),
+    "distance": ("la <3> de", NEXT.format("t[i] = 'la' AND t[i + 3] = 'de'")),
+    "chain": ("(de | la) <-> que <2> en", NEXT.format("t[i] IN ('de', 'la') AND t[i + 1] = 'que' AND t[i + 3] = 'en'")),
+    "not_before": ("!de <-> la", NEXT.format("t[i] = 'la' AND (i = 1 OR t[i - 1] <> 'de')")),
+    "not_after": ("the <-> !(in | of)", NEXT.format("t[i] = 'the' AND coalesce(t[i + 1] NOT IN ('in', 'of'), true)")),
+    "beginning": ("unge:* & !un:* <-> un:*", "len(list_filter(t, lambda w: starts_with(w, 'unge'))) > 0 AND " + NEXT.format("starts_with(t[i], 'un') AND (i = 1 OR NOT starts_with(t[i - 1], 'un'))")),
+}
+for _name, (_text, _where) in RAW_SEARCHES.items():
+    query(f"b_q6_search_raw_{_name}", f"SELECT doc_id FROM {LISTED} WHERE {_where}")(lambda t, s=_text: t.documents.filter(Q.search_raw("text", s)).select("doc_id"))
 query("b_q7_order_range", f"SELECT o_orderkey, status FROM (SELECT *, {STATUS} FROM orders) ORDER BY status DESC NULLS FIRST, o_orderkey DESC NULLS FIRST LIMIT 41 OFFSET 20")(
     lambda t: orders(t).select("o_orderkey", "status").order("status", "o_orderkey", desc=True).range(20, 60).df
 )

@@ -132,6 +132,19 @@ for _closed, _lo, _hi in [("left", ">=", "<"), ("right", ">", "<="), ("both", ">
     )(_inside)
 
 
+MIXED_END = "CASE o_orderkey % 4 WHEN 0 THEN ts + INTERVAL '40' SECOND WHEN 1 THEN ts + INTERVAL '3' HOUR WHEN 2 THEN ts + INTERVAL '9' DAY ELSE ts + INTERVAL '20' YEAR END"
+
+
+@query(
+    "b_j9_interval_mixed_lengths",
+    f"WITH {RIGHT}, s AS (SELECT user_id, o_orderkey, ts AS low, {MIXED_END} AS high FROM r) SELECT event_id, o_orderkey FROM events e JOIN s ON s.user_id = e.user_id AND e.ts >= low AND e.ts < high",
+)
+def _(t):
+    """Intervals of seconds and of decades in one table."""
+    spans = moved_orders(t).select("user_id", "o_orderkey", F.col("ts").alias("low"), F.expr(MIXED_END).alias("high"))
+    return J.interval_join(t.events.select("event_id", "user_id", "ts"), spans, point="ts", low="low", high="high", by=["user_id"]).select("event_id", "o_orderkey")
+
+
 @query(
     "b_j10_interval_overlap",
     "SELECT o_orderkey, coalesce(max(o_orderdate + INTERVAL 60 DAY) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > o_orderdate, FALSE) AS overlaps FROM orders",

@@ -113,3 +113,17 @@ query(
     "b_s9_list_cells",
     "SELECT page_id, 0 AS table_no, 0 AS row_no, CAST(i - 1 AS INTEGER) AS column_no, regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g') AS text FROM (SELECT page_id, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?is)<li(?:\\s[^>]*)?>(.*?)</li>', 1) AS l FROM pages))",
 )(lambda t: X.html_cells(t.pages, "html", ["page_id"], table="ul", row="", cell="li"))
+
+# A name over two rows, a size over two columns, a table inside a cell, and no end tags but those of tables.
+GRID_PAGE = (
+    "concat('<p>x</p><table><thead><tr><th>name<th colspan=2>size &amp; type</thead><tr><td rowspan=\"2\">', p_name, '<td>', p_size, '<td>', p_type, "
+    "'<tr><td colspan=2>', p_brand, '<table><tr><td>inner ', p_partkey, '</table>tail<!-- <td>no --><script>\"<td>\"</script></table>')"
+)
+query(
+    "b_s9_table_grid",
+    """SELECT p_partkey, c.* FROM part, LATERAL (VALUES
+(0, NULL::INTEGER, 'head', 0, 0, true, 'name'), (0, NULL, 'head', 0, 1, true, 'size & type'), (0, NULL, 'head', 0, 2, true, 'size & type'),
+(0, NULL, 'body', 1, 0, false, p_name), (0, NULL, 'body', 1, 1, false, p_size::VARCHAR), (0, NULL, 'body', 1, 2, false, p_type),
+(0, NULL, 'body', 2, 0, false, p_name), (0, NULL, 'body', 2, 1, false, p_brand || 'tail'), (0, NULL, 'body', 2, 2, false, p_brand || 'tail'),
+(1, 0, 'body', 0, 0, false, 'inner ' || p_partkey)) c(table_no, inside, section, row_no, column_no, header, text)""",
+)(lambda t: X.html_grid(t.part.selectExpr("p_partkey", f"{GRID_PAGE} AS html"), "html", ["p_partkey"]))
