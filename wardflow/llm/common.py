@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wardflow.session import prepare
+from wardflow.session import prepare, scratch_dir
 
 PIECE_BYTES = 1 << 20
 ARROW_BYTES = 4 << 20
@@ -23,6 +25,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Spark's own limit for the buckets of a table.
+MOST_BUCKETS = 100_000
+
+
+def settle_by(df: DataFrame, key: str, least: int) -> DataFrame:
+    """As ``settle``, in buckets by the hash of a key, so that what is later joined or grouped by that key leaves these rows where they are.
+
+    There are at least as many buckets as shuffle partitions, or Spark would deal the rows anew.  The table's name is dropped at once; its files stay.
+    """
+    spark = df.sparkSession
+    parts = min(MOST_BUCKETS, max(least, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    name = f"settled_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(parts, key).option("path", scratch_dir(spark)).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 def two(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator reads, under names of its own, so that no other column can clash; a null text is empty."""
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

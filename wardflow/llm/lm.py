@@ -10,7 +10,10 @@ n-grams of its own texts, order by order: those whose two parts of one word less
 back the total and a number of each.  Two numbers of one order name an n-gram of the next, so names stay short and exact.  A number
 is the bucket and the rank there, so within a shard numbers ascend, and their steps are what is sent.
 What a context's backoff weight needs are two sums over its followers, which are added up by context and told to the shards that hold it.
-A shard so has just the arcs that its texts ask for, and follows them for all positions at once, one order after the other.
+The texts themselves are stored by shard and stay where they are; only what is asked and told moves.
+
+A shard so has just the states and arcs that its texts meet, and reads them from left to right once, carrying a state.  Since a state is known from the last
+``ORDER - 1`` words, texts are cut into lanes that begin with as many words of the lane before, unscored, and all lanes take a step at a time.
 ``build`` makes the same automaton whole, for a corpus that fits one process.
 """
 
@@ -29,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from wardflow.llm.common import batch, column, grow, remainder, shrink, text_bytes
+from wardflow.llm.common import batch, column, grow, remainder, settle_by, shrink, text_bytes
 from wardflow.session import settle
 
 ORDER = 3
@@ -351,6 +354,60 @@ def backoff(level: Level, below: Level | None, sums: np.ndarray, tokens: int, ty
     return np.where(kept > 0, weight, 0.0)
 
 
+LANE = 256
+
+
+def traverse(own: list[Level], base: np.ndarray, arcs: list[np.ndarray], backs: list[np.ndarray]) -> np.ndarray:
+    """Log10 probability of the word at each place, by one pass over all lanes from left to right.
+
+    A lane's state is the longest kept n-gram that ends before its place, given by its order, 0 for the root.  ``arcs`` hold by order (2 and up) the arc of the
+    n-gram that begins at each place, NaN for none; ``backs`` by order (1 and up) the weight of the failure arc of the state that begins there.  A failure
+    arc leads to the state without its first word, and where an arc is taken the next state is the n-gram it spells, or its longest end that is one.
+    """
+    at = own[0].at
+    size, orders = len(at), len(own)
+    first = np.flatnonzero(at < 0)
+    lengths = np.diff(np.append(first, size)) - 2
+    # Scored places of each text, in lanes.
+    cuts = [np.arange(a + 2, a + 2 + n, LANE) for a, n in zip(first.tolist(), lengths.tolist())]
+    begin = np.concatenate(cuts) if cuts else np.zeros(0, np.int64)
+    end = np.repeat(first + 2 + lengths, [len(c) for c in cuts])
+    end = np.minimum(end, begin + LANE)
+    held = [np.append(level.number, -1)[level.at] >= 0 for level in own[:-1]]
+    out = np.zeros(size)
+    state = np.zeros(len(begin), np.int64)
+    for step in range(1 - orders, LANE):
+        place = begin + step
+        on = np.flatnonzero(place < end)
+        if not len(on):
+            break
+        # What stands before a text's first end is no word, and leads to the root.
+        here, now = np.maximum(place[on], 0), state[on]
+        told = np.zeros(len(on))
+        for order in range(orders - 1, 0, -1):
+            reading = np.flatnonzero(now == order)
+            spot = here[reading] - order
+            arc = arcs[order - 1][spot]
+            fails = np.isnan(arc)
+            taken = reading[~fails]
+            told[taken] += arc[~fails]
+            now[taken] = -min(order + 1, orders - 1)
+            back = reading[fails]
+            told[back] += backs[order - 1][spot[fails]]
+            now[back] = order - 1
+        root = now == 0
+        told[root] += base[here[root]]
+        now = np.where(root, 1, -now)
+        # The longest end that is a state.
+        for order in range(orders - 1, 0, -1):
+            shorter = (now == order) & ~held[order - 1][np.maximum(here - order + 1, 0)]
+            now[shorter] = order - 1
+        state[on] = now
+        if step >= 0:
+            out[here] = told
+    return out
+
+
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, least_count: int = LEAST_COUNT) -> DataFrame:
     """Scores of every row under a model of the training rows, those whose remainder modulo 5 is not 1.
 
@@ -361,7 +418,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (remainder(id_col, 5) == 1).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // SHARD_BYTES))
-    stored = settle(rows.mapInArrow(lambda b: packs(b, buckets), ddl(PACKED)))
+    stored = settle_by(rows.mapInArrow(lambda b: packs(b, buckets), ddl(PACKED)), "shard", buckets)
     packed = stored.filter("bucket IS NULL").select("shard", "n", "data", "ids", "flags")
     asked = stored.filter("bucket IS NOT NULL").select("bucket", "shard", "words", "n", "data")
     told = [settle(asked.groupBy("bucket").applyInArrow(lambda t: tell(t, least_count), ddl(TOLD)))]
@@ -390,16 +447,16 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
         at, total = own[0].at, own[0].total
         root = np.log10((total + 0.5) / (tokens + 0.5 * (types + 1)))
         base = np.append(root, 0.0)[at]
-        p, told = base.copy(), told.sort_by("bucket")
+        told, arcs, backs = told.sort_by("bucket"), [], []
         for k in range(2, order + 1):
             last, new = own[k - 2], own[k - 1]
             held = told.filter(pc.and_(pc.equal(told["level"], k - 1), pc.is_valid(told["sums"])))
             back = backoff(last, own[k - 3] if k > 2 else None, np.concatenate(got(held, "sums", 2), axis=1) if held.num_rows else np.zeros((2, 0), np.int64), tokens, types)
             with np.errstate(divide="ignore", invalid="ignore"):
                 arc = np.append(np.where(new.total > 0, np.log10(discounted(new.total) / last.total[new.left]), np.nan), np.nan)
-            n = max(0, len(at) - k + 1)
-            taken = arc[new.at[:n]]
-            p[k - 1 :] = np.where(np.isnan(taken), p[k - 1 :] + np.append(back, 0.0)[last.at[:n]], taken)
+            arcs.append(arc[new.at])
+            backs.append(np.append(back, 0.0)[last.at])
+        p = traverse(own, base, arcs, backs)
         known, out = np.append(total, 0)[at] > 0, []
         first = np.flatnonzero(at < 0)
         ids, flags = np.frombuffer(packed["ids"][0].as_py(), np.int64).tolist(), np.frombuffer(packed["flags"][0].as_py(), np.uint8).tolist()
