@@ -353,6 +353,48 @@ def test_language_of_held_out_texts(spark):
     assert langid.keep_identified(docs, model).count() == len(rows) + 1
 
 
+def test_language_counts_are_those_of_plain_sets(spark):
+    """Filters this empty let next to nothing through by chance."""
+    rng = np.random.default_rng(8)
+
+    def grams(text):
+        own = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+        return [own[i : i + 4] for i in range(len(own) - 3) if own[i + 1].isalpha() and own[i + 2].isalpha()]
+
+    rows = []
+    for i in range(300):
+        lang = list(LANGUAGES)[i % len(LANGUAGES)]
+        words = list(rng.choice(LANGUAGES[lang].split(), 12))
+        if i % 7 == 0:  # a quotation
+            words += list(rng.choice(LANGUAGES[list(LANGUAGES)[(i + 1) % len(LANGUAGES)]].split(), 1))
+        rows.append((i, ", ".join(words).title(), lang if i % 5 else None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    shares = {}
+    for lang in LANGUAGES:
+        n = Counter(g for i, t, x in rows if x == lang and zlib.crc32(str(i).encode()) % 3 != 1 for g in grams(t))
+        shares[lang] = {g: c / n.total() for g, c in n.items()}
+    most = {g: max(s.get(g, 0) for s in shares.values()) for s in shares.values() for g in s}
+    sets = {lang: {g for g, x in s.items() if x * langid.QUOTED >= most[g]} for lang, s in shares.items()}
+    assert any(len(sets[x]) < len(shares[x]) for x in sets)
+    for r in langid.identify(docs, langid.fit(docs)).collect():
+        counts = {lang: sum(g in held for g in grams(rows[r["doc_id"]][1])) for lang, held in sets.items()}
+        best = max(counts, key=counts.get)
+        assert counts[r["lang_pred"]] == counts[best] and r["score"] == pytest.approx(counts[best] / sum(counts.values()), abs=1e-3)
+
+
+def test_what_the_filters_hold_decides_what_is_kept(spark):
+    rows = [(i, " ".join(np.random.default_rng(i).choice(LANGUAGES[lang].split(), 12)), lang) for i, lang in enumerate(list(LANGUAGES) * 20)]
+    odd = [(900, "Ελληνικά γράμματα παντού", None), (901, None, None), (902, "12 34", None), (903, "a b c", None)]
+    docs = spark.createDataFrame([*rows, *odd], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    empty = langid.Model(model.languages, model.bits.limit(0), model.slot_bits)
+    kept = lambda m, **more: {r["doc_id"] for r in langid.keep_identified(docs, m, **more).collect()}
+    assert kept(model) == {i for i, *_ in rows} | {903}
+    assert kept(empty) == {903}
+    lang = list(LANGUAGES)[0]
+    assert kept(model, languages=[lang]) == {i for i, _, x in rows if x == lang}
+
+
 def test_no_language_to_learn(docs, rows):
     found = langid.identify(docs, langid.fit(docs.withColumn("lang", F.lit(None).cast("string")))).collect()
     assert {(r["lang_pred"], r["score"]) for r in found} == {("und", 0.0)} and len(found) == len(rows)
@@ -380,13 +422,16 @@ def test_blocks_of_languages(spark, monkeypatch):
     own = [" ".join("".join(chr(0x4E00 + 40 * k + x) for x in rng.integers(0, 40, 5)) for _ in range(30)).split() for k in range(150)]
     rows = [(i, " ".join([*rng.choice(own[i % 150], 8), *rng.choice(own[(i + 1) % 150], 3)]), f"l{i % 150:03d}") for i in range(900)]
     docs = spark.createDataFrame([*rows, rows[0], (None, rows[5][1], None), (2000, "", "l000"), (2001, "abcdef", None)], "doc_id long, text string, lang string")
-    answers = []
+    answers, kept = [], []
     for size in (langid.BLOCK, 64):
         monkeypatch.setattr(langid, "BLOCK", size)
         model = langid.fit(docs)
         assert len(model.languages) == 150 and model.blocks() == (1 if size > 64 else 3)
         answers.append(Counter((r["doc_id"], r["held_out"], r["lang_pred"], round(r["score"], 12)) for r in langid.identify(docs, model).collect()))
-        assert langid.keep_identified(docs, model).count() == docs.count() - 1
+        kept.append({r["doc_id"] for r in langid.keep_identified(docs, model).collect()})
+        assert langid.keep_identified(docs, model, least_known=0).count() == docs.count() - 1
+    # The text without an n-gram of any language goes as well.
+    assert kept[0] == kept[1] and len(kept[0]) > 880 and not kept[0] & {2000, 2001}
     assert answers[0] == answers[1] and sum(answers[0].values()) == 904
 
 
