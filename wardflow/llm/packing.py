@@ -1,18 +1,19 @@
 """Harmonic packing of token sequences.
 
-A document's tokens are cut into full sequences, then into halves, quarters and so on
-of a sequence, and one tail shorter than ``TAIL``.  Every piece of one length belongs to
-one reciprocal class: pieces of length ``m`` lie ``capacity // m`` to a sequence.  A task
-fills the bins of each class by itself, without knowing of other tasks; classes whose
-length is a power of two leave no padding.  What a task has left over in open bins
-at its end is laid end to end, cut where a sequence is full, and the last sequence of
-a task alone is short.
+A document that fits a sequence stays whole.  Its length puts it into a reciprocal class: lengths over a (k+1)-th and up to a k-th of a
+sequence are class k, and k documents of one class make a bin.  A task fills the bins of each class by itself, without knowing of
+other tasks.  Longer documents are cut into full sequences; their rests are filler.
+
+What a full bin leaves free is filled by filler, cut where the sequence is full.  Where filler is short, the emptiest bins that wait are
+taken apart to fill the others; where it is plenty, it is laid end to end.  So only the last sequence of a task is short, and only filler is cut.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from bisect import insort
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,8 @@ from pyspark.sql import DataFrame
 from wardflow.llm.common import batch, column, pieces, two
 
 CAPACITY = 2048
-TAIL = 32
+#: Bins that may wait for filler, and sequences of filler that may wait for bins, in one task.
+WAITING = 256
 END_ID = 1
 CACHED_WORDS = 400_000
 SEGMENT = 1 << 20
@@ -105,61 +107,90 @@ class WordIds:
         return b"".join(out)
 
 
-def cuts(n: int, capacity: int, tail: int) -> Iterator[int]:
-    """Lengths of the pieces of n tokens: full sequences, then each half of the one before if it fits, then the rest."""
-    yield from [capacity] * (n // capacity)
-    n, size = n % capacity, capacity
-    while n >= tail and size % 2 == 0:
-        size //= 2
-        if n >= size:
-            yield size
-            n -= size
-    if n:
-        yield n
-
-
 class Bins:
-    """The open bin of each class of one task; finished pieces come out as rows."""
-
-    def __init__(self, capacity: int, first: int):
-        self.capacity, self.next, self.open = capacity, first, {}
+    """The open bins of one task; finished sequences come out as rows (doc_id, start, length, ids, doc_tokens, sequence_id, offset)."""
+
+    def __init__(self, capacity: int, first: int, waiting: int = WAITING):
+        self.capacity, self.next, self.most = capacity, first, waiting
+        #: Pieces (doc_id, start, ids, doc_tokens), by class; full bins with room, emptiest last; filler and its tokens.
+        self.open: dict[int, list[tuple]] = {}
+        self.waiting: list[tuple[int, list[tuple]]] = []
+        self.filler: deque[tuple] = deque()
+        self.free = 0
+
+    def add(self, doc_id, ids: bytes) -> list[tuple]:
+        """A whole document; rows of what is finished by it."""
+        total, rows, start = len(ids) // 4, [], 0
+        if total > self.capacity:
+            while total - start >= self.capacity:
+                rows += self.laid([(doc_id, start, ids[4 * start : 4 * (start + self.capacity)], total)])
+                start += self.capacity
+            if start < total:
+                self.fill_with((doc_id, start, ids[4 * start :], total))
+        else:
+            size = self.capacity // total
+            bin_ = self.open.setdefault(size, [])
+            bin_.append((doc_id, 0, ids, total))
+            if len(bin_) == size:
+                del self.open[size]
+                insort(self.waiting, (self.room(bin_), bin_), key=lambda w: w[0])
+        return rows + self.settled()
+
+    def room(self, bin_: list[tuple]) -> int:
+        return self.capacity - sum(len(p[2]) for p in bin_) // 4
+
+    def fill_with(self, piece: tuple) -> None:
+        self.filler.append(piece)
+        self.free += len(piece[2]) // 4
+
+    def settled(self) -> list[tuple]:
+        rows = []
+        # The fullest bins first, which need least.
+        while self.waiting and (self.waiting[0][0] <= self.free or len(self.waiting) > self.most):
+            if self.waiting[0][0] > self.free:
+                for piece in self.waiting.pop()[1]:
+                    self.fill_with(piece)
+            else:
+                room, bin_ = self.waiting.pop(0)
+                rows += self.laid(bin_ + self.taken(room))
+        while self.most and self.free >= self.most * self.capacity:
+            rows += self.laid(self.taken(self.capacity))
+        return rows
 
-    def new(self) -> int:
+    def taken(self, room: int) -> list[tuple]:
+        """So many tokens of filler, or all there are."""
+        out = []
+        while room and self.filler:
+            doc_id, start, ids, total = self.filler.popleft()
+            n = min(room, len(ids) // 4)
+            out.append((doc_id, start, ids[: 4 * n], total))
+            if 4 * n < len(ids):
+                self.filler.appendleft((doc_id, start + n, ids[4 * n :], total))
+            room, self.free = room - n, self.free - n
+        return out
+
+    def laid(self, pieces_: list[tuple]) -> list[tuple]:
+        at, rows = 0, []
+        for doc_id, start, ids, total in pieces_:
+            rows.append((doc_id, start, len(ids) // 4, ids, total, self.next, at))
+            at += len(ids) // 4
         self.next += 1
-        return self.next - 1
-
-    def add(self, piece: tuple) -> list[tuple]:
-        length = piece[2]
-        bin_ = self.open.setdefault(length, [])
-        bin_.append(piece)
-        if len(bin_) < self.capacity // length:
-            return []
-        del self.open[length]
-        return self.laid(bin_)
-
-    def laid(self, bin_: list[tuple]) -> list[tuple]:
-        sequence, at, rows = self.new(), 0, []
-        for doc_id, start, length, ids, total in bin_:
-            rows.append((doc_id, start, length, ids, total, sequence, at))
-            at += length
         return rows
 
     def rest(self) -> list[tuple]:
-        """Pieces of open bins end to end, longest first, cut where a sequence is full."""
-        rows, bin_, free = [], [], self.capacity
-        for length in sorted(self.open, reverse=True):
-            for doc_id, start, size, ids, total in self.open[length]:
-                while size:
-                    take = min(size, free)
-                    bin_.append((doc_id, start, take, ids[: 4 * take], total))
-                    start, size, ids, free = start + take, size - take, ids[4 * take :], free - take
-                    if not free:
-                        rows += self.laid(bin_)
-                        bin_, free = [], self.capacity
-        return rows + (self.laid(bin_) if bin_ else [])
-
-
-def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, tail: int = TAIL) -> DataFrame:
+        """All that is left: bins of too few documents become filler, longest pieces first, and then the emptiest bins that wait."""
+        for size in sorted(self.open):
+            for piece in self.open[size]:
+                self.fill_with(piece)
+        self.open.clear()
+        self.most = 0
+        rows = self.settled()
+        while self.filler:
+            rows += self.laid(self.taken(self.capacity))
+        return rows
+
+
+def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents, each with its ids (little-endian, 32 bits), its sequence and its place there.
 
     ``tokenizer`` is the path of a word-end BPE file.  A null or empty text has the end id alone.  Rows of equal id or text
@@ -172,14 +203,10 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         bins, rows = Bins(capacity, TaskContext.get().partitionId() << 40), []
         for b in pieces(batches):
             for doc_id, text in zip(column(b, "doc_id").to_pylist(), column(b, "text").to_pylist()):
-                ids = ids_of(text) + end
-                start, total = 0, len(ids) // 4
-                for length in cuts(total, capacity, tail):
-                    rows += bins.add((doc_id, start, length, ids[4 * start : 4 * (start + length)], total))
-                    start += length
-            if len(rows) > 4_000:
-                yield batch(ARROW, *zip(*rows))
-                rows = []
+                rows += bins.add(doc_id, ids_of(text) + end)
+                if len(rows) > 4_000:
+                    yield batch(ARROW, *zip(*rows))
+                    rows = []
         if rows := rows + bins.rest():
             yield batch(ARROW, *zip(*rows))
 
