@@ -9,16 +9,15 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
 
 from wardflow.operators.keys import join_null_safe
 from wardflow.operators.ordered import Series, from_micros, micros, position, running, span_micros, time_bucket
 from wardflow.operators.windows import decayed_sums
 from wardflow.session import settle
 from wardflow.sources.buckets import BUCKETS, BucketTable
+from wardflow.streaming.references import Reference
 
 
 def stream_of(spark: SparkSession, folder: str, name: str, schema: str | T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -139,67 +138,6 @@ def joins_and_leaves(sessions: DataFrame, key: str) -> DataFrame:
     return sessions.select(key, F.inline(diff))
 
 
-class _Reference(StatefulProcessor):
-    """One reference of one key: whether it is here, since its last sign of life, and the events whose turn has not come.
-
-    Events wait until the watermark has passed them and are then taken in order of time, so it does not matter which batch brings them.
-    """
-
-    def __init__(self, timeout: int):
-        self.timeout = timeout
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.here = handle.getValueState("here", "last long")
-        self.waiting = handle.getListState("waiting", "at long, leaves boolean")
-
-    def handleInputRows(self, key, rows, timerValues):
-        for pdf in rows:
-            events = [(int(at), bool(leaves)) for at, leaves in zip(pdf["at_us"], pdf["leaves"])]
-            self.waiting.appendList(events)
-            self._wake(min(at for at, _ in events))
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        mark, out = 1000 * timerValues.getCurrentWatermarkInMs(), []
-        last = self.here.get()[0] if self.here.exists() else None
-        waiting = sorted(tuple(e) for e in self.waiting.get()) if self.waiting.exists() else []
-        later = [e for e in waiting if e[0] > mark]
-        for at, leaves in waiting[: len(waiting) - len(later)]:
-            if last is not None and at > last + self.timeout:
-                out.append(("leave", last + self.timeout))
-                last = None
-            if leaves and last is not None:
-                out.append(("leave", at))
-                last = None
-            elif not leaves:
-                if last is None:
-                    out.append(("join", at))
-                last = at
-        if last is not None and last + self.timeout <= mark:
-            out.append(("leave", last + self.timeout))
-            last = None
-        if last is None:
-            self.here.clear()
-        else:
-            self.here.update((last,))
-            self._wake(last + self.timeout)
-        if later:
-            self.waiting.put(later)
-            self._wake(later[0][0])
-        else:
-            self.waiting.clear()
-        if out:
-            yield pd.DataFrame({"presence_key": [key[0]] * len(out), "presence_ref": [key[1]] * len(out), "change": [c for c, _ in out], "at_us": [at for _, at in out]})
-
-    def _wake(self, at: int) -> None:
-        """Timers count in milliseconds and go off once the watermark has passed them."""
-        self.handle.registerTimer(-(-at // 1000))
-
-    def close(self) -> None:
-        pass
-
-
 def reference_presence(stream: DataFrame, ts: str, key: str, ref: str, leaves: Column, timeout: str, delay: str = "1 hour") -> DataFrame:
     """Joins and leaves of each reference of a key: (key, ref, change, at).
 
@@ -213,7 +151,7 @@ def reference_presence(stream: DataFrame, ts: str, key: str, ref: str, leaves: C
     rows = stream.filter(F.col(ts).isNotNull()).select(F.col(key).alias("presence_key"), F.col(ref).alias("presence_ref"), F.col(ts), micros(ts).alias("at_us"), F.coalesce(leaves, F.lit(False)).alias("leaves"))
     types = {n: stream.schema[c].dataType.simpleString() for n, c in (("presence_key", key), ("presence_ref", ref))}
     schema = f"presence_key {types['presence_key']}, presence_ref {types['presence_ref']}, change string, at_us long"
-    changes = with_event_time(rows, ts, delay).groupBy("presence_key", "presence_ref").transformWithStateInPandas(_Reference(span_micros(timeout)), schema, "Append", "EventTime")
+    changes = with_event_time(rows, ts, delay).groupBy("presence_key", "presence_ref").transformWithStateInPandas(Reference(span_micros(timeout)), schema, "Append", "EventTime")
     return changes.select(F.col("presence_key").alias(key), F.col("presence_ref").alias(ref), "change", from_micros(F.col("at_us")).alias("at"))
 
 
