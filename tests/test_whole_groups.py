@@ -62,6 +62,19 @@ def test_searches_with_operators(spark, text, hits):
     assert [r["id"] for r in df.filter(Q.search_raw("text", text)).orderBy("id").collect()] == hits
 
 
+@pytest.mark.parametrize(
+    "text, hits",
+    [
+        ("cat dog", [0]), ("cat -dog", [1, 2]), ('"fat cat"', [1]), ('"fat cat', [1]), ("cat -fat or bird", [0, 3]), ('-"old cat" cat', [0, 1]), ("Or bird", [3]), ("bird or", [3]),
+        ("-- !! cat", [0, 1, 2]), ("", []), ("or", []), ("-bird", [0, 1, 2, 4]), ("cat,dog", [0]),
+    ],
+)
+def test_searches_as_typed(spark, text, hits):
+    texts = ["A big cat, dog!", "fat CAT", "fat old cat", "bird; catalogue?"[:5], "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    assert [r["id"] for r in Q.TableQuery(df).wfts("text", text).df.orderBy("id").collect()] == hits
+
+
 @pytest.mark.parametrize("text", ["", "a b", "a &", "(a", "a)", "| a", "a <x> b", "!a <-> !b", "a <-> !"])
 def test_searches_that_are_not_understood(text):
     with pytest.raises(ValueError):

@@ -104,6 +104,24 @@ def search_web(c, required: list[str] = (), excluded: list[str] = (), any_group:
     return out & any_of([_has(c, p) for p in any_group]) if any_group else out
 
 
+WEB = re.compile(r'\s*(-?)(?:"([^"]*)"?|([^\s"]+))')
+
+
+def search_web_text(c, text: str) -> Column:
+    """A search as typed into a web page: words and "quoted phrases" that must be there, ``-`` before what must not, and ``or`` between alternatives, which binds least.
+
+    Anything is understood: a quotation mark may be missing, and what has no letter or digit asks for nothing. A text that asks for nothing finds nothing.
+    """
+    groups: list[list[Column]] = [[]]
+    for minus, phrase, word in WEB.findall(text):
+        if word.lower() == "or" and not minus:
+            groups.append([])
+        elif re.search(r"[^\W_]", phrase or word):
+            found = _has(c, phrase or word)
+            groups[-1].append(~found if minus else found)
+    return any_of([all_of(g) for g in groups if g])
+
+
 RAW = re.compile(r"\s*(<->|<(\d+)>|[&|!()]|([^\W_]+)(:\*)?)", re.UNICODE)
 
 
@@ -278,6 +296,18 @@ class TableQuery:
     def or_(self, *conditions: Column):
         return self.where(any_of(list(conditions)))
 
+    def plfts(self, c, text):
+        return self.where(search_plain(c, text))
+
+    def phfts(self, c, text):
+        return self.where(search_phrase(c, text))
+
+    def wfts(self, c, text):
+        return self.where(search_web_text(c, text))
+
+    def fts(self, c, text):
+        return self.where(search_raw(c, text))
+
     def match(self, values: dict):
         return self.where(all_of([_col(k) == F.lit(v) for k, v in values.items()]))
 

@@ -65,6 +65,12 @@ query("b_q6_search_web", f"SELECT doc_id FROM {TOKENS} WHERE NOT contains(w, ' t
 )
 LISTED = "(SELECT doc_id, string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS t FROM documents)"
 NEXT = "len(list_filter(range(1, len(t) + 1), lambda i: {0})) > 0"
+query("b_q6_search_web_text", f"SELECT doc_id FROM {TOKENS} WHERE (contains(w, ' de la ') AND NOT contains(w, ' en ')) OR (contains(w, ' der ') AND contains(w, ' die ') AND NOT contains(w, ' in der ')) ")(
+    lambda t: TableQuery(t.documents).wfts("text", '"de la" -en OR der die -"in der"').select("doc_id").df
+)
+query("b_q6_search_in_a_chain", f"SELECT doc_id FROM {TOKENS} WHERE contains(w, ' the ') AND NOT (contains(w, ' in ') OR contains(w, ' of ')) AND contains(w, ' and ')")(
+    lambda t: TableQuery(t.documents).fts("text", "the").not_.fts("text", "in | of").plfts("text", "and").select("doc_id").df
+)
 RAW_SEARCHES = {
     "or_of_ands": ("the & !in | der & die", "(list_contains(t, 'the') AND NOT list_contains(t, 'in')) OR (list_contains(t, 'der') AND list_contains(t, 'die'))"),
     "brackets": ("(the | la) & !(in | que)", "(list_contains(t, 'the') OR list_contains(t, 'la')) AND NOT (list_contains(t, 'in') OR list_contains(t, 'que'))"),
