@@ -18,9 +18,9 @@ BUCKETS = 256
 
 
 class BucketTable:
-    """A table of one row a key below a folder.
+    """Rows with a key below a folder; all rows of a key lie in one bucket.
 
-    What reaches the driver are lists of at most as many entries as there are buckets.  Keys spread by their hash, null keys included, so no bucket outgrows the others.
+    A bucket is written by one task: ``buckets`` should be so many that one of them fits a task.  What reaches the driver are lists of at most as many entries as there are buckets.  Keys spread by their hash, null keys included, so no bucket outgrows the others.
     """
 
     def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, key: list[str], buckets: int = BUCKETS):
