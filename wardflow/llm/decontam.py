@@ -5,7 +5,8 @@ each block of the benchmark, without the texts.  A benchmark window is looked up
 positions, less the term's offset in the window, are the possible starts, and they are intersected with the equally adjusted positions of the next rarest
 term and so on.  What is left after all terms are the exact phrases; with a tolerance, the rarest terms alone give proximity matches.
 
-The benchmark is read in blocks of bounded size, each sent to all tasks; more benchmark means more blocks, not larger ones.
+The benchmark is cut into parts of bounded length that share no window, which are written once and dealt to blocks of bounded size, so a long item lies in
+many.  One block at a time comes to the driver and goes to all tasks; its matches are written and it is let go before the next.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from wardflow.llm.common import batch, column, grow, pieces, shrink, text_bytes, two
@@ -21,6 +23,8 @@ from wardflow.session import settle
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
+#: Windows of a part of a benchmark item.
+PART_WINDOWS = 4096
 #: Bytes of text of a shard of the index.
 SHARD_BYTES = 2 << 20
 #: Possible starts looked at in one go.
@@ -29,10 +33,11 @@ STARTS = 1 << 20
 RARE = 3
 #: Word characters are digits, a-z and all beyond ASCII; A-Z are lowered, the rest separates.
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-INDEX = pa.schema([("ids", pa.binary()), ("valid", pa.binary()), ("counts", pa.binary()), ("terms", pa.binary()), ("terms_size", pa.int64()), ("sizes", pa.binary()), ("places", pa.binary()), ("places_size", pa.int64())])
-INDEX_SQL = "ids binary, valid binary, counts binary, terms binary, terms_size long, sizes binary, places binary, places_size long"
-FOUND = pa.schema([("spans", pa.binary()), ("near", pa.binary()), ("items", pa.list_(pa.struct([("doc", pa.int32()), ("item", pa.string())])))])
-FOUND_SQL = "spans binary, near binary, items array<struct<doc: int, item: string>>"
+PARTS = pa.schema([("item", pa.string()), ("data", pa.binary())])
+INDEX = pa.schema([("shard", pa.int64()), ("ids", pa.binary()), ("valid", pa.binary()), ("counts", pa.binary()), ("terms", pa.binary()), ("terms_size", pa.int64()), ("sizes", pa.binary()), ("places", pa.binary()), ("places_size", pa.int64())])
+INDEX_SQL = "shard long, ids binary, valid binary, counts binary, terms binary, terms_size long, sizes binary, places binary, places_size long"
+FOUND = pa.schema([("shard", pa.int64()), ("spans", pa.binary()), ("near", pa.binary()), ("items", pa.list_(pa.struct([("doc", pa.int32()), ("item", pa.string())])))])
+FOUND_SQL = "shard long, spans binary, near binary, items array<struct<doc: int, item: string>>"
 REPORT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("n_near", pa.int64())])
 
 
@@ -51,11 +56,11 @@ class Block:
     items: list[list[str]]
 
 
-def build_block(items: list[tuple[str, str]], window: int) -> Block:
+def build_block(items: list[tuple[str, bytes]], window: int) -> Block:
     terms: dict[bytes, int] = {}
     holders: dict[tuple, set[str]] = {}
     for item, text in items:
-        ids = [terms.setdefault(w, len(terms)) for w in words((text or "").encode())]
+        ids = [terms.setdefault(w, len(terms)) for w in text.split(b" ")]
         for i in range(max(1, len(ids) - window + 1) if ids else 0):
             holders.setdefault(tuple(ids[i : i + window]), set()).add(item)
     lengths = np.array([len(w) for w in holders], np.int64)
@@ -65,13 +70,37 @@ def build_block(items: list[tuple[str, str]], window: int) -> Block:
     return Block(terms, table, lengths, [sorted(x) for x in holders.values()])
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list[Block]:
-    """The benchmark in blocks of about ``block_bytes`` of text, dealt by a hash of the item."""
+@dataclass
+class Benchmark:
+    """Parts of benchmark items, as rows of the item and its words, dealt to ``n`` blocks."""
+
+    parts: DataFrame
+    n: int
+    window: int
+
+    def block(self, i: int) -> Block:
+        """One block; only its parts are read."""
+        part = F.pmod(F.xxhash64("item", "data"), F.lit(self.n))
+        return build_block([(r["item"], bytes(r["data"])) for r in self.parts.filter(part == i).collect()], self.window)
+
+
+def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Benchmark:
+    """The benchmark in blocks of about ``block_bytes`` of words; an item's parts are dealt each by itself, and no two of them hold one window of it."""
     rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // block_bytes)
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(max(1, n)))
-    return [build_block([tuple(r) for r in rows.filter(part == i).collect()], window) for i in range(n)]
+
+    def cut(batches):
+        for b in pieces(batches):
+            out = []
+            for item, text in zip(column(b, "item").to_pylist(), text_bytes(column(b, "text"))):
+                own = words(text)
+                for i in range(0, max(1, len(own) - window + 1) if own else 0, PART_WINDOWS):
+                    out.append((item, b" ".join(own[i : i + PART_WINDOWS + window - 1])))
+            if out:
+                yield batch(PARTS, *zip(*out))
+
+    parts = settle(rows.mapInArrow(cut, "item string, data binary"))
+    size = parts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    return Benchmark(parts, -(-size // block_bytes), window)
 
 
 class Postings:
@@ -169,74 +198,78 @@ def index_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The positional index, one row for each shard of at most SHARD_BYTES of text (or one text): its documents, terms and postings."""
 
     def run(batches):
-        for b in pieces(batches, limit=SHARD_BYTES):
+        shard = TaskContext.get().partitionId() << 32
+        for i, b in enumerate(pieces(batches, limit=SHARD_BYTES)):
             ids = column(b, "doc_id")
-            own = (ids.fill_null(0).to_numpy().astype("<i8").tobytes(), ids.is_valid().to_numpy(zero_copy_only=False).tobytes())
+            own = (shard + i, ids.fill_null(0).to_numpy().astype("<i8").tobytes(), ids.is_valid().to_numpy(zero_copy_only=False).tobytes())
             yield batch(INDEX, *zip((*own, *Postings.of(text_bytes(column(b, "text"))).stored())))
 
     rows = two(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, INDEX_SQL)
 
 
-def search(index: DataFrame, block: Block, slop: int | None) -> DataFrame:
-    """Add one block's matches to each shard: (document, start, end) of exact phrases and of proximity matches, and (document, item)."""
+def search(index: DataFrame, block: Block, slop: int | None):
+    """One block's matches in each shard that has some: (document, start, end) of exact phrases and of proximity matches, and (document, item); and what was sent."""
     sent = index.sparkSession.sparkContext.broadcast(vars(block))
-    schema = pa.schema([*INDEX, *FOUND])
 
     def run(batches):
         block = Block(**sent.value)
         for b in batches:
             for row in b.to_pylist():
-                lists = Lists(Postings.read(*(row[c] for c in INDEX.names[2:])), block.terms)
+                lists = Lists(Postings.read(*(row[c] for c in INDEX.names[3:])), block.terms)
                 win, start, near_win, near_start = lookup(lists, block, slop)
-                for wins, starts, into in ((win, start, "spans"), (near_win, near_start, "near")):
+                places = []
+                for wins, starts in ((win, start), (near_win, near_start)):
                     doc = lists.doc[starts]
                     low = starts - lists.at[doc]
-                    row[into] += np.stack([doc, low, low + block.lengths[wins]], 1).astype("<i4").tobytes()
+                    places.append(np.stack([doc, low, low + block.lengths[wins]], 1).astype("<i4").tobytes())
                 named = {(int(d), x) for d, w in set(zip(lists.doc[start].tolist(), win.tolist())) for x in block.items[w]}
-                row["items"] += [{"doc": d, "item": x} for d, x in sorted(named)]
-                yield pa.RecordBatch.from_pylist([row], schema=schema)
+                if any(places):
+                    yield batch(FOUND, [row["shard"]], [places[0]], [places[1]], [[{"doc": d, "item": x} for d, x in sorted(named)]])
 
-    return index.mapInArrow(run, f"{INDEX_SQL}, {FOUND_SQL}")
+    return index.mapInArrow(run, FOUND_SQL), sent
 
 
-def contamination(docs: DataFrame, benchmark: list[Block], id_col: str = "doc_id", text_col: str = "text", slop: int | None = None) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: Benchmark, id_col: str = "doc_id", text_col: str = "text", slop: int | None = None) -> DataFrame:
     """Words of every row that lie inside any occurrence of a benchmark window, and the items these are of.
 
     An item of fewer words than a window is one window; one without words is none.  A null or empty text has no words and no
     hits; without a benchmark nothing is hit.  Windows that several items share name them all; null item ids count as
     empty text.  ``n_near`` counts proximity matches: places where a window's rarest terms stand within ``slop`` words of their
-    place, but not the whole phrase.  There is no shuffle; repeated rows are answered each.  The index is written to the shared folder.
+    place, but not the whole phrase.  Repeated rows are answered each.  The index is written to the shared folder, and so are each block's
+    matches; texts are not shuffled, only matches by shard.
     """
     index = settle(index_postings(docs, id_col, text_col))
-    found = index.select("*", F.lit(b"").alias("spans"), F.lit(b"").alias("near"), F.array().cast("array<struct<doc: int, item: string>>").alias("items"))
-    for block in benchmark:
-        found = search(found, block, slop)
-
-    def report(batches):
-        for b in batches:
-            for row in b.to_pylist():
-                ids, valid, counts = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["valid"], bool), np.frombuffer(row["counts"], "<i4").astype(np.int64)
-                at = np.concatenate([[0], np.cumsum(counts)])
-                doc, low, high = np.frombuffer(row["spans"], "<i4").reshape(-1, 3).T
-                edges = np.bincount(at[doc] + low, minlength=at[-1] + 1) - np.bincount(at[doc] + high, minlength=at[-1] + 1)
-                hit = np.concatenate([[0], np.cumsum(np.cumsum(edges[:-1]) > 0)])
-                items: list[set] = [set() for _ in counts]
-                for x in row["items"]:
-                    items[x["doc"]].add(x["item"])
-                near = np.bincount(np.frombuffer(row["near"], "<i4").reshape(-1, 3)[:, 0], minlength=len(counts))
-                yield batch(REPORT, pa.array(ids, pa.int64(), mask=~valid), counts, hit[at[1:]] - hit[at[:-1]], [sorted(x) for x in items], near)
-
-    return found.drop("terms", "sizes", "places").mapInArrow(report, "doc_id long, n_words long, n_hit long, items array<string>, n_near long")
-
-
-def keep_clean(docs: DataFrame, benchmark: list[Block], text_col: str = "text") -> DataFrame:
+    rows = index.select("shard", "ids", "valid", "counts", F.lit(None).cast("binary").alias("spans"), F.lit(None).cast("binary").alias("near"), F.lit(None).cast("array<struct<doc: int, item: string>>").alias("items"))
+    for i in range(benchmark.n):
+        matches, sent = search(index, benchmark.block(i), slop)
+        rows = rows.unionByName(settle(matches), allowMissingColumns=True)
+        sent.destroy()
+
+    def report(table: pa.Table) -> pa.Table:
+        own = [r for r in table.to_pylist() if r["ids"] is not None][0]
+        found = [r for r in table.to_pylist() if r["ids"] is None]
+        ids, valid, counts = np.frombuffer(own["ids"], "<i8"), np.frombuffer(own["valid"], bool), np.frombuffer(own["counts"], "<i4").astype(np.int64)
+        at = np.concatenate([[0], np.cumsum(counts)])
+        doc, low, high = np.frombuffer(b"".join(r["spans"] for r in found), "<i4").reshape(-1, 3).T
+        edges = np.bincount(at[doc] + low, minlength=at[-1] + 1) - np.bincount(at[doc] + high, minlength=at[-1] + 1)
+        hit = np.concatenate([[0], np.cumsum(np.cumsum(edges[:-1]) > 0)])
+        items: list[set] = [set() for _ in counts]
+        for x in (x for r in found for x in r["items"]):
+            items[x["doc"]].add(x["item"])
+        near = np.bincount(np.frombuffer(b"".join(r["near"] for r in found), "<i4").reshape(-1, 3)[:, 0], minlength=len(counts))
+        return pa.Table.from_batches([batch(REPORT, pa.array(ids, pa.int64(), mask=~valid), counts, hit[at[1:]] - hit[at[:-1]], [sorted(x) for x in items], near)])
+
+    return rows.groupBy("shard").applyInArrow(report, "doc_id long, n_words long, n_hit long, items array<string>, n_near long")
+
+
+def keep_clean(docs: DataFrame, benchmark: Benchmark, text_col: str = "text") -> DataFrame:
     """The documents, with all their columns, that hold no window of the benchmark.
 
-    A shard's postings are asked for one block and let go, so they are not stored; the documents stay where they are.
+    A shard's postings are asked for one block and let go, so they are not stored; the documents stay where they are, and are written between blocks.
     """
-    for block in benchmark:
-        sent = docs.sparkSession.sparkContext.broadcast(vars(block))
+    for i in range(benchmark.n):
+        sent = docs.sparkSession.sparkContext.broadcast(vars(benchmark.block(i)))
 
         def run(batches, sent=sent):
             block = Block(**sent.value)
@@ -247,4 +280,7 @@ def keep_clean(docs: DataFrame, benchmark: list[Block], text_col: str = "text")
                 yield b.filter(pa.array(~hit))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if i + 1 < benchmark.n:
+            docs = settle(docs)
+            sent.destroy()
     return docs
