@@ -3,7 +3,7 @@
 Vectors are dealt to shards of bounded size.  A shard's vectors, in order of their ids, are cut into blocks;
 each block keeps, for each dimension, its largest and smallest component, and its vectors as a forward index.  The sum of a query's
 components times these extremes bounds every score of a block.  A query visits blocks from the highest bound down, and stops when the
-next bound is below its k-th best score.  Queries are sent to all shards in batches; a shard's best are merged by rank.
+next bound is below its k-th best score.  Queries are sent to all shards in batches, so shards are as large as memory allows; a shard's best are merged by rank.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from wardflow.llm.common import batch, column
 K = 20
 SCALE = 64
 BLOCK = 256
-SHARD_ROWS = 1 << 14
+#: Components of a shard: as many as a task may hold, since every query goes to every shard, but fewer where tasks would stand idle.
+SHARD_VALUES, LEAST_VALUES = 1 << 23, 1 << 20
 QUERIES = 1024
 #: A scaled component below this is held as a long.
 MOST = 1 << 62
@@ -148,7 +149,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     """
     own = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"), is_query.alias("q")).filter(F.col("vec_id").isNotNull() & whole(F.col("v")))
     rows = own.select("vec_id", scaled(F.col("v")).alias("vector"), F.coalesce("q", F.lit(False)).alias("q"))
-    shards = max(1, -(-own.count() // SHARD_ROWS))
+    n, width = own.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    values = n * (width or 0)
+    idle = min(-(-values // LEAST_VALUES), 2 * vectors.sparkSession.sparkContext.defaultParallelism)
+    shards = max(1, -(-values // SHARD_VALUES), idle)
     dealt = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.lit(0).alias("kind"), "vec_id", "vector")
     asked = rows.filter("q").select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("kind"), "vec_id", "vector")
     met = dealt.union(asked).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
