@@ -59,7 +59,7 @@ def test_without_a_benchmark_nothing_is_hit(spark, docs, rows):
 
 @pytest.mark.parametrize("shard_rows, block", [(1 << 14, 256), (40, 8)])
 def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch, shard_rows, block):
-    monkeypatch.setattr(topk, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(topk, "SHARD_VALUES", 6 * shard_rows)
     monkeypatch.setattr(topk, "BLOCK", block)
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=6).round(1)]) for i in range(150)]

@@ -9,12 +9,13 @@ from math import fsum, log10
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wardflow.llm import decontam, langid, lm, packing, pii, secrets, simhash, spans, substring, suffix
+from wardflow.llm import decontam, langid, lm, packing, pii, queries, repeats, secrets, simhash, spans, substring, suffix
 from wardflow.llm.components import components
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -71,11 +72,53 @@ def test_private_data_field_adds_what_the_patterns_miss(spark):
 
 def test_viterbi_finds_the_best_labelling():
     rng = np.random.default_rng(1)
-    emit, pairs = rng.normal(size=(3, 4, 3)), rng.normal(size=(3, 3))
-    for one, best in zip(emit, pii.viterbi(emit, pairs)):
-        ways = list(np.ndindex(3, 3, 3, 3))
+    sizes = np.array([4, 1, 3, 4, 2, 1])
+    emit, pairs = rng.normal(size=(sizes.sum(), 3)), rng.normal(size=(3, 3))
+    found = np.split(pii.viterbi(emit, pairs, sizes), np.cumsum(sizes)[:-1])
+    for one, best in zip(np.split(emit, np.cumsum(sizes)[:-1]), found):
         score = lambda w: sum(one[t, y] for t, y in enumerate(w)) + sum(pairs[a, b] for a, b in zip(w, w[1:]))
-        assert tuple(best) == max(ways, key=score)
+        assert tuple(best) == max(np.ndindex(*[3] * len(one)), key=score)
+
+
+def test_private_data_beside_base_spans_and_in_long_lines(spark):
+    """A field trained on the patterns' own labels and damaged copies finds addresses without a domain, also in a line of 900 words and beside base spans."""
+    rng = np.random.default_rng(2)
+    plain = lambda n: " ".join(rng.choice(["river", "stone", "walked", "light,", "often", "paper.", "12", "3.5", "2024"], n))
+    rows = []
+    for i in range(400):
+        rows.append((i, f"{plain(8)} write to ann{i}.b@mail{i % 7}.example.com now {plain(6)}\n{plain(10)} call +49 (30) {100 + i} 44-{1000 + i} or {plain(5)}\n{plain(20)}"))
+    rows += [(1000, plain(600) + " please ask eve@localhost today " + plain(300)), (1001, "a@b.com eve@localhost x"), (1002, None), (None, "eve@localhost"), (1003, plain(900))]
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string")
+    field = pii.fit(docs)
+    assert field.margin in pii.MARGINS
+    texts = dict(rows)
+    found = {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for s in r["spans"]] for r in pii.personal_data(docs, field).collect()}
+    assert ("email", "eve@localhost") in found[1000] and ("email", "eve@localhost") in found[1001] and ("email", "a@b.com") in found[1001]
+    assert found[None] == [("email", "eve@localhost")] and found[1002] == [] == [x for x in found[1003] if x[0] != "card"]
+    # Among the plain words nothing is marked but what the patterns mark.
+    assert all(f"{s['kind']}:{s['start']}:{s['end']}" in base_private(texts[r["doc_id"]]) for r in pii.personal_data(docs.filter("doc_id < 400"), field).collect() for s in r["spans"])
+
+
+def test_labelled_rows_are_bounded_for_null_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(None, f"text {i % 50} of a@b{i % 50}.com") for i in range(4000)], "doc_id long, text string")
+    lines = pii.labelled_lines(docs, sample_docs=100)
+    assert sum(n for *_, n in lines) <= 100
+
+
+def test_private_data_query_is_that_of_the_patterns(spark):
+    """The digest columns of the query against plain regular expressions, for every document."""
+    folder = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    for r in queries.QUERIES["op1_personal_data"](spark, folder).collect():
+        base = base_private(docs[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(x.startswith(k) for x in base) for k in pii.KINDS]
+        assert set(base) <= set(r["spans"].split(",")) if base else True
+    for r in queries.QUERIES["op2_secrets"](spark, folder).collect():
+        base = base_secrets(docs[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in secrets.BASE] == [sum(x.startswith(k) for x in base) for k in secrets.BASE]
+        assert set(base) <= set(r["spans"].split(",")) if base else True
 
 
 def test_masking_keeps_other_columns(spark, docs, rows):
@@ -143,13 +186,28 @@ def test_contamination_with_several_blocks(spark, docs, rows):
         expected[(i, len(w), len(hit), tuple(sorted(names)))] += 1
     for size in (1 << 20, 60):
         blocks = decontam.blocks(bench, block_bytes=size)
-        assert (len(blocks) > 1) == (size == 60)
+        assert (blocks.n > 1) == (size == 60)
         found = Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in decontam.contamination(docs, blocks).collect())
         assert found == expected
         kept = decontam.keep_clean(docs, blocks)
         assert kept.columns == docs.columns and kept.count() == sum(n for (*_, names), n in expected.items() if not names)
 
 
+def test_blocks_stay_small_however_long_an_item(spark, monkeypatch):
+    """An item of 30,000 words lies in many blocks, none of which is much larger than asked for; its windows are all found."""
+    monkeypatch.setattr(decontam, "PART_WINDOWS", 500)
+    long = " ".join(f"w{i}" for i in range(30_000))
+    bench = spark.createDataFrame([("long", long), *((f"i{k}", f"short item {k} of few words") for k in range(50))], "item_id string, text string")
+    own = long.split()
+    texts = [" ".join(own[a : a + 12]) for a in range(480, 30_000, 490)] + ["nothing of it", " ".join(own[5:14])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    blocks, sizes, plain = decontam.blocks(bench, block_bytes=20_000), [], decontam.Benchmark.block
+    monkeypatch.setattr(decontam.Benchmark, "block", lambda self, i: sizes.append(len((b := plain(self, i)).lengths)) or b)
+    found = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontam.contamination(docs, blocks).collect()}
+    assert blocks.n > 8 and max(sizes) < 10_000 and sum(sizes) == 30_000 - 9 + 50
+    assert found == {i: (len(t.split()), ["long"]) if i < len(texts) - 2 else (0, []) for i, t in enumerate(texts)}
+
+
 def test_proximity_matches(spark):
     bench = spark.createDataFrame([("q", "alpha beta gamma delta")], "item_id string, text string")
     texts = ["alpha beta gamma delta", "alpha so beta gamma delta", "alpha a b c d e f beta gamma delta", "beta"]
@@ -248,7 +306,34 @@ def removed(rows, k, symbols):
         yield i, s, out
 
 
-@pytest.mark.parametrize("shard_bytes, hot", [(1 << 20, 512), (4000, 512), (4000, 2)])
+def test_a_gram_in_very_many_surroundings_is_split():
+    """One 4-gram of words stands in a different passage of each of 600 documents, the least hash of all windows around it."""
+    rng = np.random.default_rng(3)
+    kind, parts, hot = substring.word_kind(13), 8, 500
+    body = lambda: " ".join(f"w{x}" for x in rng.integers(0, 1 << 30, 12))
+    candidates = [f"g{i} x y z" for i in range(4000)]
+    gram = min(candidates, key=lambda c: int(kind.grams([kind.clean(c.encode())])[0][0]))
+    texts = [f"{body()} {gram} {body()}".encode() for _ in range(600)]
+    copies = [f"{body()} some passage that many hold {body()}".encode()] * 200
+    shards = [repeats.Shard(n, np.arange(200) + 200 * n, np.ones(200, bool), (texts + copies)[200 * n : 200 * n + 200]) for n in range(4)]
+
+    def largest(hot):
+        seeds = pa.concat_tables([repeats.send_seeds(s, kind, parts) for s in shards])
+        told = pa.concat_tables([repeats.share_seeds(seeds.filter(pc.equal(seeds["bucket"], b)), hot) for b in set(seeds["bucket"].to_pylist())])
+        sent = pa.concat_tables([repeats.send_stretches(s, told.filter(pc.equal(told["shard"], s.number)), kind, parts) for s in shards])
+        windows = Counter()
+        for part, w in zip(sent["part"].to_pylist(), sent["windows"].to_pylist()):
+            windows[part] += int(np.frombuffer(w, "<i4").sum())
+        return max(windows.values()), windows.total()
+
+    whole, total = largest(1 << 30)
+    split, same = largest(hot)
+    # The copies are one stretch a shard, and are not split.
+    assert same == total > 3000
+    assert whole > 0.8 * total and split < 2 * total / parts
+
+
+@pytest.mark.parametrize("shard_bytes, hot", [(1 << 20, repeats.HOT), (4000, repeats.HOT), (4000, 100), (4000, 2)])
 def test_repeated_words_and_bytes(docs, rows, shard_bytes, hot):
     words = Counter((i, len(s), sum(x), " ".join(w for w, y in zip(s, x) if not y)) for i, s, x in removed(rows, 13, lambda t: re.findall(r"[^\x20\x09-\x0D]+", t)))
     found = substring.remove_repeats(docs, shard_bytes=shard_bytes, hot=hot).collect()
@@ -469,10 +554,29 @@ def test_packing_round_trip(docs, rows):
     assert used == sum(len(ids) * c for (_, ids), c in wanted.items()) and padding < 5 * packing.CAPACITY
 
 
-def test_piece_lengths():
-    for n in (1, 31, 32, 33, 2047, 2048, 2049, 5000):
-        cut = list(packing.cuts(n, 2048, 32))
-        assert sum(cut) == n and all(c < 32 or 2048 % c == 0 for c in cut)
+@pytest.mark.parametrize("most", [1, 7, 256])
+@pytest.mark.parametrize("longest", [40, 700, 2048, 9000])
+def test_bins_of_whole_documents(most, longest):
+    rng = np.random.default_rng(longest)
+    lengths = [*rng.integers(1, longest, 600).tolist(), 2048, 4096, 1, 2049, 1024, 1024]
+    bins, rows = packing.Bins(2048, 5, most), []
+    for i, n in enumerate(lengths):
+        rows += bins.add(i, np.full(n, i, "<u4").tobytes())
+        assert len(bins.waiting) <= most and bins.free < (most + 2) * 2048 + 9000
+    rows += bins.rest()
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for doc, start, n, ids, total, sequence, at in rows:
+        assert total == lengths[doc] and n == len(ids) // 4 > 0 and set(np.frombuffer(ids, "<u4").tolist()) == {doc}
+        pieces[doc].append((start, n))
+        sequences[sequence].append((at, n))
+    for doc, n in enumerate(lengths):
+        ends = [0, *np.cumsum([x for _, x in sorted(pieces[doc])]).tolist()]
+        assert [a for a, _ in sorted(pieces[doc])] == ends[:-1] and ends[-1] == n
+    sizes = {k: sum(n for _, n in v) for k, v in sequences.items()}
+    assert sum(x < 2048 for x in sizes.values()) <= 1 and sorted(sizes) == list(range(5, 5 + len(sizes)))
+    fits = [d for d, n in enumerate(lengths) if n <= 2048]
+    if longest != 2048 or most > 1:
+        assert sum(len(pieces[d]) == 1 for d in fits) > 0.6 * len(fits)
 
 
 def test_digest_of_no_spans(spark):

@@ -9,8 +9,9 @@ with the same seed form a stretch.  Equal windows have equal seeds, so:
 4. the shard compares these with the ids of its documents.
 
 Seeds and stretches are only the way to a part.  Whether windows are equal is decided there, symbol by symbol.  A stretch is sent once for a
-shard however many documents hold it.  A seed that a great many shards hold, as in a passage that stands in very many documents, is
-split: its windows are sent one by one, to the part of the window's own hash.
+shard however many documents hold it.  A seed of a great many windows, as of an m-gram that stands in very many surroundings, is
+split: its windows are sent one by one, to the part of the window's own hash.  What counts is the number of its different windows, which the shards send with their seeds, at
+every size of corpus.
 
 Blobs of many small values in one row are compressed, so that few rows move.
 """
@@ -33,15 +34,17 @@ SHARD_BYTES = 6 << 20
 PACK_BYTES = 16 << 20
 #: Parts and buckets for each shard.
 PARTS = 2
-#: Shards that hold a seed beyond which its windows are sent one by one.
-HOT = 512
+#: Different windows of a seed, added up over shards, from which on they are sent one by one.
+HOT = 1 << 18
 #: Windows of a stretch at most.
 MOST = 32
+#: A seed whose number of windows is not sent counts as two to this power of them in a shard, which it does not exceed.
+FEW = 6
 CHUNK = 1 << 19
 NEVER = np.iinfo(np.int64).max
 ODD = np.uint64(0xD6E8FEB86659FD93)
 PACKED = pa.schema([("shard", pa.int64()), ("ids", pa.binary()), ("valid", pa.binary()), ("lens", pa.binary()), ("data", pa.binary()), ("size", pa.int64())])
-SEEDS = pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("codes", pa.binary()), ("many", pa.binary())])
+SEEDS = pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("codes", pa.binary()), ("many", pa.binary()), ("sizes", pa.binary())])
 FLAGS = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("shared", pa.binary()), ("hot", pa.binary())])
 SENT = pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("subs", pa.binary()), ("lens", pa.binary()), ("least", pa.binary()), ("data", pa.binary()), ("size", pa.int64()), ("windows", pa.binary()), ("places", pa.binary()), ("n_places", pa.int64())])
 ANSWER = pa.schema([("shard", pa.int64()), ("part", pa.int64()), ("least", pa.binary()), ("size", pa.int64()), ("places", pa.binary())])
@@ -128,9 +131,9 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:n], x[width - step : width - step + n]) if step < width else x[:n]
 
 
-def stretches(texts: list[bytes], kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first window, windows, seed) of all stretches of cleaned texts."""
-    out = [[], [], [], []]
+def stretches(texts: list[bytes], kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first window, windows, seed, mark) of all stretches of cleaned texts; equal stretches have equal marks, others mostly not."""
+    out = [[], [], [], [], []]
     i = 0
     while i < len(texts):
         j, size = i, 0
@@ -153,10 +156,12 @@ def stretches(texts: list[bytes], kind: Kind) -> tuple[np.ndarray, np.ndarray, n
             start = np.repeat(first, parts) + MOST * step
             out[0].append(text[start] + i)
             out[1].append(start - at[text[start]])
-            out[2].append(np.minimum(MOST, np.repeat(first + count, parts) - start))
+            size = np.minimum(MOST, np.repeat(first + count, parts) - start)
+            out[2].append(size)
             out[3].append(seed[start])
+            out[4].append(grams[start] * ODD + grams[start + size - 1 + kind.k - kind.m] + size.astype(np.uint64))
         i = j
-    kinds = (np.int64, np.int64, np.int64, np.uint64)
+    kinds = (np.int64, np.int64, np.int64, np.uint64, np.uint64)
     return tuple(np.concatenate(x).astype(t) if x else np.zeros(0, t) for x, t in zip(out, kinds))
 
 
@@ -175,36 +180,58 @@ def by_bucket(found: np.ndarray) -> list[slice]:
 
 
 def send_seeds(shard: Shard, kind: Kind, parts: int) -> pa.Table:
-    """The shard's different seeds by bucket, and whether several of its documents have them."""
-    text, _, _, seed = stretches([kind.clean(t) for t in shard.texts], kind)
+    """The shard's different seeds by bucket, whether several of its documents have them, and for those of more than a few the number of their different windows, as a power of two."""
+    text, _, count, seed, mark = stretches([kind.clean(t) for t in shard.texts], kind)
     key = keys(seed, parts)
-    order = np.argsort(key, kind="stable")
-    key, text = key[order], text[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    many = np.minimum.reduceat(text, first) != np.maximum.reduceat(text, first) if len(key) else np.zeros(0, bool)
+    order = np.lexsort((mark, key))
+    key, text, count, mark = key[order], text[order], count[order], mark[order]
+    if not len(key):
+        return tabled(SEEDS, [])
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    first = np.flatnonzero(new)
+    many = np.minimum.reduceat(text, first) != np.maximum.reduceat(text, first)
+    other = new | np.concatenate([[True], mark[1:] != mark[:-1]])
+    size = np.ceil(np.log2(np.add.reduceat(np.where(other, count, 0), first))).astype(np.uint8)
     found = key[first]
-    rows = [(int(found[s.start] >> np.uint64(32)), shard.number, (found[s] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), np.packbits(many[s]).tobytes()) for s in by_bucket(found)]
-    return pa.Table.from_batches([batch(SEEDS, *zip(*rows))] if rows else [], schema=SEEDS)
+    rows = []
+    for s in by_bucket(found):
+        large = np.flatnonzero(size[s] > FEW)
+        sizes = large.astype("<u4").tobytes() + size[s][large].tobytes()
+        rows.append((int(found[s.start] >> np.uint64(32)), shard.number, (found[s] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), np.packbits(many[s]).tobytes(), sizes))
+    return tabled(SEEDS, rows)
+
+
+def sizes_of(data: bytes, n: int) -> np.ndarray:
+    """The numbers of windows of n seeds, as powers of two."""
+    out, k = np.full(n, FEW, np.uint8), len(data) // 5
+    out[np.frombuffer(data, "<u4", k)] = np.frombuffer(data, np.uint8, k, 4 * k)
+    return out
+
+
+def tabled(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([batch(schema, *zip(*rows))] if rows else [], schema=schema)
 
 
 def share_seeds(table: pa.Table, hot: int) -> pa.Table:
-    """For each shard that sent seeds of this bucket: which of them another document has, and which very many shards have."""
+    """For each shard that sent seeds of this bucket: which of them another document has, and which have too many windows for one part."""
     codes = [np.frombuffer(x, "<u4") for x in table["codes"].to_pylist()]
     many = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(c)) for x, c in zip(table["many"].to_pylist(), codes)])
+    sizes = np.concatenate([sizes_of(x, len(c)) for x, c in zip(table["sizes"].to_pylist(), codes)])
     _, place, count = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
     several = np.bincount(place, many) > 0
-    shared, crowded, at = (several | (count > 1))[place], (count >= hot)[place], 0
+    crowded = np.bincount(place, 2.0**sizes) >= hot
+    shared, crowded, at = (several | (count > 1))[place], crowded[place], 0
     rows = []
     for shard, bucket, c in zip(table["shard"].to_pylist(), table["bucket"].to_pylist(), codes):
         rows.append((shard, bucket, *(np.packbits(x[at : at + len(c)]).tobytes() for x in (shared, crowded))))
         at += len(c)
-    return pa.Table.from_batches([batch(FLAGS, *zip(*rows))])
+    return tabled(FLAGS, rows)
 
 
 def send_stretches(shard: Shard, flags: pa.Table, kind: Kind, parts: int) -> pa.Table:
     """The different stretches with a shared seed, by part, the least id of each, and where they stand: (stretch, text, first window)."""
     texts = [kind.clean(t) for t in shard.texts]
-    text, start, count, seed = stretches(texts, kind)
+    text, start, count, seed, _ = stretches(texts, kind)
     key = keys(seed, parts)
     found, place = np.unique(key, return_inverse=True)
     told = {b: (s, h) for b, s, h in zip(*(flags[c].to_pylist() for c in ("bucket", "shared", "hot")))}
@@ -219,9 +246,13 @@ def send_stretches(shard: Shard, flags: pa.Table, kind: Kind, parts: int) -> pa.
     # (part, sub, text, first window, windows) of each stretch, and of each window of a crowded seed
     whole = wanted[~single]
     found = [np.stack([part[whole], code[whole] % kind.subs, text[whole], start[whole], count[whole]], 1)]
+    hashed: dict[bytes, list[int]] = {}
     for i in wanted[single].tolist():
-        t, first = int(text[i]), int(start[i])
-        hashes = [xxhash.xxh64_intdigest(cut(t, w, w + kind.k)) for w in range(first, first + int(count[i]))]
+        t, first, n = int(text[i]), int(start[i]), int(count[i])
+        data = cut(t, first, first + n + kind.k - 1)
+        if data not in hashed:
+            hashed[data] = [xxhash.xxh64_intdigest(cut(t, w, w + kind.k)) for w in range(first, first + n)]
+        hashes = hashed[data]
         found.append(np.array([(h % parts, (h >> 40) % kind.subs, t, first + w, 1) for w, h in enumerate(hashes)], np.int64))
     todo = np.concatenate(found)
     todo = todo[np.argsort(todo[:, 0], kind="stable")]
@@ -243,7 +274,7 @@ def send_stretches(shard: Shard, flags: pa.Table, kind: Kind, parts: int) -> pa.
         data, spots = b"".join(own), np.stack([numbers, mine[:, 2], mine[:, 3]]).astype("<i4")
         lens, low, count_, sub = (np.array(x, t).tobytes() for x, t in (([len(x) for x in own], "<i4"), (least, "<i8"), (windows, "<i4"), (subs, "u1")))
         rows.append((int(mine[0, 0]), shard.number, sub, lens, shrink(low), shrink(data), len(data), count_, shrink(spots.tobytes()), spots.shape[1]))
-    return pa.Table.from_batches([batch(SENT, *zip(*rows))] if rows else [], schema=SENT)
+    return tabled(SENT, rows)
 
 
 def answer(table: pa.Table, kind: Kind) -> pa.Table:
@@ -322,7 +353,7 @@ def repeated(docs: DataFrame, kind: Kind, finish: Callable, schema: str, id_col:
     dealt, shards = deal(docs, id_col, text_col, shard_bytes)
     parts = PARTS * shards
     by_shard = dealt.groupBy("shard")
-    seeds = by_shard.applyInArrow(lambda t: send_seeds(unpack(t), kind, parts), "bucket long, shard long, codes binary, many binary")
+    seeds = by_shard.applyInArrow(lambda t: send_seeds(unpack(t), kind, parts), "bucket long, shard long, codes binary, many binary, sizes binary")
     flags = settle(seeds.groupBy("bucket").applyInArrow(lambda t: share_seeds(t, hot), "shard long, bucket long, shared binary, hot binary"))
     sent = settle(
         by_shard.cogroup(flags.groupBy("shard")).applyInArrow(
