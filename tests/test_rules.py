@@ -1,12 +1,14 @@
 """Rules taken from the reference's own tests, beyond what the registered queries reach."""
 
 import datetime as dt
+import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from wardflow.functions import dates as D, text as X
-from wardflow.operators import joins as J, query as Q, reshape as R, sets as S, windows as W
+from wardflow.operators import aggregates as A, joins as J, query as Q, reshape as R, sets as S, windows as W
 from wardflow.operators.ordered import Series, edges_below
 from wardflow.streaming import feeds
 
@@ -143,3 +145,17 @@ def test_scratch_is_cleared_when_asked(spark, monkeypatch, tmp_path):
     assert list(tmp_path.glob("app/*"))
     session.clear_scratch(spark)
     assert not list(tmp_path.glob("app/*"))
+
+
+def test_correlation_of_values_that_stay_the_same(spark):
+    rows = [(i, i % 2, 5.0 if i < 8 else float(i), float(i * i)) for i in range(20)] + [(20, 0, None, 1.0), (21, 2, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "id long, k int, x double, y double").withColumn("ts", F.timestamp_seconds("id").cast("timestamp_ntz"))
+    along = Series.by_time(["k"], "ts", "id")
+    got = {r["id"]: r for r in W.rolling_pair(df, along, "x", "y", 3).collect()}
+    assert got[2]["corr"] is None and got[20]["corr"] is None and got[21]["corr"] is None
+    assert math.isnan(got[4]["corr"]) and got[4]["cov"] == 0.0 and math.isnan(got[7]["corr"])
+    assert got[19]["corr"] == pytest.approx(np.corrcoef([15, 17, 19], [225, 289, 361])[0, 1])
+    grouped = {r["k"]: r for r in df.filter("id < 8 OR k = 2").groupBy("k").agg(A.correlation("x", "y").alias("c"), A.correlation("y", "id").alias("d")).collect()}
+    assert math.isnan(grouped[0]["c"]) and grouped[2]["c"] is None and grouped[1]["d"] == pytest.approx(np.corrcoef([1, 9, 25, 49], [1, 3, 5, 7])[0, 1])
+    still = W.autocorrelation(df.filter("id < 8"), along, "x", 1).collect()
+    assert all(math.isnan(r["autocorr"]) for r in still) and len(still) == 2

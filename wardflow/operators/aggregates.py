@@ -97,6 +97,14 @@ def weighted_mean(col: str, weight: str) -> Column:
     return F.sum(F.col(col) * F.col(weight)) / F.sum(used)
 
 
+def correlation(x: str, y: str, over: Callable[[Column], Column] = lambda c: c) -> Column:
+    """Correlation over rows that have both values: NaN where one of them does not vary, NULL for fewer than two rows.  ``over`` puts each aggregate over a window."""
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    both = a.isNotNull() & b.isNotNull()
+    spread = over(F.stddev_pop(F.when(both, a))) * over(F.stddev_pop(F.when(both, b)))
+    return F.when(over(F.count(F.when(both, 1))) > 1, F.coalesce(F.try_divide(over(F.covar_pop(a, b)), spread), F.lit(float("nan"))))
+
+
 def straight_line(y: str, x: str) -> list[Column]:
     return [F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2")]
 
@@ -175,7 +183,7 @@ def spearman(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     """Correlation of average ranks over rows that have both values."""
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     ranked = ranks(settle(ranks(both, by, x, "_rx")), by, y, "_ry")
-    return ranked.groupBy(*by).agg(F.corr("_rx", "_ry").alias("spearman"))
+    return ranked.groupBy(*by).agg(correlation("_rx", "_ry").alias("spearman"))
 
 
 def describe_numbers(df: DataFrame, col: str) -> DataFrame:

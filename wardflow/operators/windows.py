@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from wardflow.operators.aggregates import transform_groups, unbiased_kurtosis, unbiased_skew
+from wardflow.operators.aggregates import correlation, transform_groups, unbiased_kurtosis, unbiased_skew
 from wardflow.operators.keys import join_null_safe
 from wardflow.operators.frames import ORDERED, PLAIN, block_statistics
 from wardflow.operators.ordered import Series, first_rows, position, row_frame, running, span_micros, time_frame, with_heads
@@ -192,13 +192,13 @@ def rolling_time_sums(df: DataFrame, series: Series, ts: str, col: str, span: st
 
 
 def rolling_pair(df: DataFrame, series: Series, x: str, y: str, n: int, *, block: int = 65536) -> DataFrame:
-    """Covariance and correlation over frames of ``n`` rows with both values."""
+    """Covariance and correlation over frames of ``n`` rows with both values.  The correlation is NaN where a value stays the same throughout the frame."""
     frame = row_frame(df, series, before=n - 1, block=block)
     w = frame.window(-n + 1, 0)
     both = F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), 1)
     ok = F.count(both).over(w) >= n
     out = frame.rows.select(
-        "*", F.when(ok, F.covar_samp(x, y).over(w)).alias("cov"), F.when(ok, F.corr(x, y).over(w)).alias("corr")
+        "*", F.when(ok, F.covar_samp(x, y).over(w)).alias("cov"), F.when(ok, correlation(x, y, lambda c: c.over(w))).alias("corr")
     )
     return frame.close(out)
 
@@ -451,7 +451,7 @@ def rows_between(df: DataFrame, series: Series, start: int, stop: int, step: int
 
 
 def autocorrelation(df: DataFrame, series: Series, col: str, lag: int) -> DataFrame:
-    return shift(df, series, col, lag, "_s").groupBy(*series.by).agg(F.corr(col, "_s").alias("autocorr"))
+    return shift(df, series, col, lag, "_s").groupBy(*series.by).agg(correlation(col, "_s").alias("autocorr"))
 
 
 def trapezoid(df: DataFrame, series: Series, x: str, y: str) -> DataFrame:

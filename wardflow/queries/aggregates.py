@@ -47,11 +47,11 @@ _agg("b_a23_last", f"arg_max({GAP}, CASE WHEN event_type <> 'error' THEN {EV_SQL
 _agg("b_a23_idxmin", "arg_min(event_id, (value, event_id))", lambda: A.label_of_min("event_id", "value", ["event_id"]), "events", ["user_id"])
 _agg("b_a23_idxmax", "arg_min(event_id, (-value, event_id))", lambda: A.label_of_max("event_id", "value", ["event_id"]), "events", ["user_id"])
 _agg("b_a10_cov", "round(covar_samp(l_quantity, l_extendedprice), 4)", lambda: F.round(F.covar_samp("l_quantity", "l_extendedprice"), 4))
-_agg("b_a10_corr", "round(corr(l_quantity, l_extendedprice), 8)", lambda: F.round(F.corr("l_quantity", "l_extendedprice"), 8))
+_agg("b_a10_corr", "round(corr(l_quantity, l_extendedprice), 8)", lambda: F.round(A.correlation("l_quantity", "l_extendedprice"), 8))
 _agg("b_a21_weighted_mean", "round(sum(l_discount * l_quantity) / sum(l_quantity), 10)", lambda: F.round(A.weighted_mean("l_discount", "l_quantity"), 10))
 
 query("b_a23_corrwith", f"SELECT {GSQL}, round(corr(l_extendedprice, l_quantity), 8) AS l_quantity, round(corr(l_extendedprice, l_discount), 8) AS l_discount, round(corr(l_extendedprice, l_tax), 8) AS l_tax FROM lineitem GROUP BY ALL")(
-    lambda t: t.lineitem.groupBy(*G).agg(*[F.round(F.corr("l_extendedprice", c), 8).alias(c) for c in ["l_quantity", "l_discount", "l_tax"]])
+    lambda t: t.lineitem.groupBy(*G).agg(*[F.round(A.correlation("l_extendedprice", c), 8).alias(c) for c in ["l_quantity", "l_discount", "l_tax"]])
 )
 query("b_a23_median", f"SELECT {GSQL}, median(l_extendedprice) AS r FROM lineitem GROUP BY ALL")(
     lambda t: R.median(t.lineitem, G, "l_extendedprice", "r")
