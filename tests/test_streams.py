@@ -2,12 +2,14 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 from wardflow.operators.ordered import Series
 from wardflow.sources.buckets import BucketTable
 from wardflow.streaming import feeds as S
+from wardflow.streaming.references import References
 
 EVENTS = "id long, k long, ts timestamp_ntz, v double"
 
@@ -160,3 +162,77 @@ def test_presence_of_a_key_with_two_references(spark, tmp_path):
     ]
     keys = sorted((r["k"], (r["at"] - t0).seconds // 60, r["change"]) for r in S.key_presence(changes, "k", "ref").collect())
     assert keys == [(1, 0, "join"), (1, 55, "leave"), (1, 130, "join"), (1, 160, "leave"), (2, 0, "join"), (2, 30, "leave"), (2, 200, "join"), (2, 230, "leave")]
+
+
+class Kept:
+    """State and timers in memory; every call is counted."""
+
+    def __init__(self):
+        self.values, self.timers, self.calls = {}, set(), 0
+
+    def getValueState(self, name, schema):
+        return KeptState(self, name)
+
+    getListState = getValueState
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.discard(at)
+
+
+class KeptState:
+    def __init__(self, kept, name):
+        self.kept, self.name = kept, name
+
+    def __getattr__(self, method):
+        self.kept.calls += 1
+        values, name = self.kept.values, self.name
+        return {
+            "exists": lambda: name in values, "get": lambda: values[name], "update": lambda v: values.update({name: v}), "put": lambda v: values.update({name: v}),
+            "appendValue": lambda v: values.setdefault(name, []).append(v), "clear": lambda: values.pop(name, None),
+        }[method]
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_references_of_a_bucket_are_worked_on_together():
+    rng, timeout = np.random.default_rng(5), 30_000_000
+    names = [(k, r) for k in ["9007199254740993", "9007199254740992", None] for r in ["", None, *map(str, range(100))]]
+    kept, job, got, events = Kept(), References(timeout), [], []
+    job.init(kept)
+    for batch in range(6):
+        fresh = [(*names[i], int(at), bool(gone)) for i, at, gone in zip(rng.integers(0, len(names), 900), rng.integers(batch * 10**8 + 1, (batch + 1) * 10**8, 900), rng.random(900) < 0.25)]
+        events += fresh
+        list(job.handleInputRows((0,), iter([pd.DataFrame(fresh[i : i + 400], columns=["presence_key", "presence_ref", "at_us", "leaves"]) for i in (0, 400, 800)]), None))
+        mark = (batch + 1) * 100_000 - 20_000
+        assert len(kept.timers) == 1
+        if min(kept.timers) <= mark:
+            kept.timers.clear()
+            got += [tuple(r) for out in job.handleExpiredTimer((0,), Clock(mark), None) for r in out.itertuples(index=False)]
+    want = []
+    for name in names:
+        last = None
+        for *_, at, gone in sorted((e for e in events if e[:2] == name and e[2] <= mark * 1000), key=lambda e: e[2:]):
+            if last is not None and at > last + timeout:
+                want.append((*name, "leave", last + timeout))
+                last = None
+            if gone and last is not None:
+                want.append((*name, "leave", at))
+            elif not gone and last is None:
+                want.append((*name, "join", at))
+            last = None if gone else at
+        if last is not None and last + timeout <= mark * 1000:
+            want.append((*name, "leave", last + timeout))
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len(want) > 3000
+    # Some calls for each batch, whatever the number of references.
+    assert kept.calls < 6 * 20

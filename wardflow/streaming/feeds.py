@@ -17,7 +17,7 @@ from wardflow.operators.ordered import Series, from_micros, micros, position, ru
 from wardflow.operators.windows import decayed_sums
 from wardflow.session import settle
 from wardflow.sources.buckets import BUCKETS, BucketTable
-from wardflow.streaming.references import Reference
+from wardflow.streaming.references import References
 
 
 def stream_of(spark: SparkSession, folder: str, name: str, schema: str | T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -138,21 +138,34 @@ def joins_and_leaves(sessions: DataFrame, key: str) -> DataFrame:
     return sessions.select(key, F.inline(diff))
 
 
-def reference_presence(stream: DataFrame, ts: str, key: str, ref: str, leaves: Column, timeout: str, delay: str = "1 hour") -> DataFrame:
+def as_text(col: str, kind: T.DataType) -> Column:
+    """A key as text, so that null keys come through Python as they are; ``from_text`` gives it back."""
+    return F.hex(col) if isinstance(kind, T.BinaryType) else F.col(col).cast("string")
+
+
+def from_text(col: str, kind: T.DataType) -> Column:
+    return F.unhex(col) if isinstance(kind, T.BinaryType) else F.col(col).cast(kind)
+
+
+def reference_presence(stream: DataFrame, ts: str, key: str, ref: str, leaves: Column, timeout: str, delay: str = "1 hour", buckets: int = 1024) -> DataFrame:
     """Joins and leaves of each reference of a key: (key, ref, change, at).
 
     A reference joins with its first sign of life and leaves with a row for which ``leaves`` holds, or when no sign has come for longer than ``timeout``.  At equal times a leave comes
-    last; leaves of references that are not here say nothing, and rows without a time are left out.  The state is one row for each reference of a key, so that the references of a busy key spread over
-    tasks, and is kept, with its timers, in Spark's own state store, which a job that is begun again reads.
+    last; leaves of references that are not here say nothing, and rows without a time are left out.  References, not keys, are dealt to ``buckets`` by their hash, so that those of a busy
+    key spread over tasks; a bucket's references are worked on together, and its state is kept, with a timer, in Spark's own state store, which a job that is begun again reads.
+    There should be so many buckets that one of them, with its events that wait for the watermark, fits a task; a job keeps the number it began with.
     """
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    types = {c: stream.schema[c].dataType for c in (key, ref)}
     # Names that begin with an underscore are lost on the way to Python.
-    rows = stream.filter(F.col(ts).isNotNull()).select(F.col(key).alias("presence_key"), F.col(ref).alias("presence_ref"), F.col(ts), micros(ts).alias("at_us"), F.coalesce(leaves, F.lit(False)).alias("leaves"))
-    types = {n: stream.schema[c].dataType.simpleString() for n, c in (("presence_key", key), ("presence_ref", ref))}
-    schema = f"presence_key {types['presence_key']}, presence_ref {types['presence_ref']}, change string, at_us long"
-    changes = with_event_time(rows, ts, delay).groupBy("presence_key", "presence_ref").transformWithStateInPandas(Reference(span_micros(timeout)), schema, "Append", "EventTime")
-    return changes.select(F.col("presence_key").alias(key), F.col("presence_ref").alias(ref), "change", from_micros(F.col("at_us")).alias("at"))
+    rows = stream.filter(F.col(ts).isNotNull()).select(
+        as_text(key, types[key]).alias("presence_key"), as_text(ref, types[ref]).alias("presence_ref"), F.col(ts), micros(ts).alias("at_us"), F.coalesce(leaves, F.lit(False)).alias("leaves")
+    )
+    dealt = rows.withColumn("presence_bucket", F.pmod(F.xxhash64("presence_key", "presence_ref"), F.lit(buckets)))
+    schema = "presence_key string, presence_ref string, change string, at_us long"
+    changes = with_event_time(dealt, ts, delay).groupBy("presence_bucket").transformWithStateInPandas(References(span_micros(timeout)), schema, "Append", "EventTime")
+    return changes.select(from_text("presence_key", types[key]).alias(key), from_text("presence_ref", types[ref]).alias(ref), "change", from_micros(F.col("at_us")).alias("at"))
 
 
 def key_presence(changes: DataFrame, key: str, ref: str) -> DataFrame:
