@@ -1,6 +1,7 @@
 """Functions of whole groups, searches with operators, tables of pages, intervals of all lengths."""
 
 import datetime as dt
+import time
 import tracemalloc
 
 import pandas as pd
@@ -62,6 +63,15 @@ def test_searches_with_operators(spark, text, hits):
     assert [r["id"] for r in df.filter(Q.search_raw("text", text)).orderBy("id").collect()] == hits
 
 
+def test_a_search_by_distance_takes_a_step_for_each_word(spark):
+    often = "the in the of in of " * 700
+    df = spark.createDataFrame([(0, often), (1, often + "the end"), (2, often + "the")], "id long, text string").coalesce(1)
+    begun = time.monotonic()
+    for text, hits in [("the <-> !(in | of)", [1, 2]), ("!(in | of) <-> the", [0, 1, 2]), ("(the <-> in | of) <3> (in | of) <-> end", []), ("(of | the) <-> !(in | the | of | en:*)", [0, 2])]:
+        assert [r["id"] for r in df.filter(Q.search_raw("text", text)).orderBy("id").collect()] == hits
+    assert time.monotonic() - begun < 30
+
+
 @pytest.mark.parametrize(
     "text, hits",
     [

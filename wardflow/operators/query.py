@@ -179,34 +179,47 @@ def _raw_tree(text: str) -> tuple:
     return tree
 
 
-def _places(tree: tuple, words: Column) -> Column:
-    """Where a part matches, as (first, last) places of words."""
+def _hit(tree: tuple, word: Column) -> Column:
+    """Whether a word is the one of a leaf; False beyond the ends of a text."""
+    return F.coalesce(F.startswith(word, F.lit(tree[1])) if tree[2] else word == tree[1], F.lit(False))
+
+
+def _spans(tree: tuple, words: Column, at: Column, onward: bool) -> Column:
+    """The other ends of a part's matches that begin at a place (``onward``) or end there.
+
+    Only the words around the place are looked at, so that a text costs a step for each word, however often the parts occur in it.
+    """
     kind = tree[0]
+    nothing = F.array().cast("array<int>")
     if kind == "word":
-        _, word, is_prefix = tree
-        hit = (lambda w: F.startswith(w, F.lit(word))) if is_prefix else (lambda w: w == word)
-        found = F.transform(words, lambda w, i: F.when(hit(w), F.struct(i.alias("a"), i.alias("b"))))
-        return F.array_compact(found)
+        return F.when(_hit(tree, F.get(words, at)), F.array(at)).otherwise(nothing)
     if kind == "or":
-        return F.array_union(_places(tree[1], words), _places(tree[2], words))
+        return F.array_union(_spans(tree[1], words, at, onward), _spans(tree[2], words, at, onward))
     if kind == "and":
-        return F.array_intersect(_places(tree[1], words), _places(tree[2], words))
+        return F.array_intersect(_spans(tree[1], words, at, onward), _spans(tree[2], words, at, onward))
     if kind == "near":
         _, x, n, y = tree
         if x[0] == y[0] == "not":
             raise ValueError("search text: of two neighbours only one may be negated")
-        if x[0] == "not":
-            bad = F.transform(_places(x[1], words), lambda p: p["b"] + n)
-            return F.filter(_places(y, words), lambda q: ~F.array_contains(bad, q["a"]))
-        if y[0] == "not":
-            bad = F.transform(_places(y[1], words), lambda q: q["a"] - n)
-            return F.filter(_places(x, words), lambda p: ~F.array_contains(bad, p["b"]))
-        after = _places(y, words)
-        pairs = F.transform(_places(x, words), lambda p: F.transform(F.filter(after, lambda q: q["a"] == p["b"] + n), lambda q: F.struct(p["a"].alias("a"), q["b"].alias("b"))))
-        return F.flatten(pairs)
+        near, far, step = (x, y, n) if onward else (y, x, -n)
+        if near[0] == "not":  # the match is the other part's alone
+            clear = ~_touches(near[1], words, at - step, not onward)
+            return F.when(clear, _spans(far, words, at, onward)).otherwise(nothing)
+        if far[0] == "not":
+            return F.filter(_spans(near, words, at, onward), lambda end: ~_touches(far[1], words, end + step, onward))
+        return F.array_distinct(F.flatten(F.transform(_spans(near, words, at, onward), lambda end: _spans(far, words, end + step, onward))))
     raise ValueError("search text: a negated part stands alone beside a distance")
 
 
+def _touches(tree: tuple, words: Column, at: Column, onward: bool) -> Column:
+    """Whether any match of a part begins (``onward``) or ends at a place."""
+    if tree[0] == "word":
+        return _hit(tree, F.get(words, at))
+    if tree[0] == "or":
+        return _touches(tree[1], words, at, onward) | _touches(tree[2], words, at, onward)
+    return F.size(_spans(tree, words, at, onward)) > 0
+
+
 def _holds(tree: tuple, words: Column) -> Column:
     kind = tree[0]
     if kind == "word":
@@ -214,7 +227,7 @@ def _holds(tree: tuple, words: Column) -> Column:
     if kind == "not":
         return ~_holds(tree[1], words)
     if kind == "near":
-        return F.size(_places(tree, words)) > 0
+        return F.size(F.filter(words, lambda w, i: _touches(tree, words, i, True))) > 0
     x, y = _holds(tree[1], words), _holds(tree[2], words)
     return x & y if kind == "and" else x | y
 
