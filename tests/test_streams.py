@@ -236,3 +236,17 @@ def test_references_of_a_bucket_are_worked_on_together():
     assert sorted(got, key=repr) == sorted(want, key=repr) and len(want) > 3000
     # Some calls for each batch, whatever the number of references.
     assert kept.calls < 6 * 20
+
+
+def test_presence_of_a_null_key_leaves_other_keys_alone(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    keys, far = [None, 1, 2, 2**53, 2**53 + 1], t0 + timedelta(days=1)
+    for n in range(2):
+        rows = [(k, ref, t0 + timedelta(minutes=40 * n + i), False) for i, k in enumerate(keys) for ref in ("a", None)] + [(9, "end", far, False)] * n
+        spark.createDataFrame(rows, SIGNS).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        stream = spark.readStream.schema(SIGNS).parquet(f"{tmp_path}/in/*")
+        changes = S.run_to_files(S.reference_presence(stream, "ts", "k", "ref", F.col("gone"), "30 minutes", "1 hour", buckets=2), f"{tmp_path}/w")
+    got = {(r["k"], r["ref"], r["change"], r["at"]) for r in changes.collect()}
+    begun = [(k, ref, t0 + timedelta(minutes=40 * n + i)) for n in range(2) for i, k in enumerate(keys) for ref in ("a", None)]
+    assert got == {(k, ref, "join", at) for k, ref, at in begun} | {(k, ref, "leave", at + timedelta(minutes=30)) for k, ref, at in begun}
+    assert changes.schema["k"].dataType == T.LongType()
