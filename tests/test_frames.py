@@ -1,6 +1,7 @@
 """Frames put together from pieces, against the plain frame; raw expanding quantiles against numpy."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
@@ -132,6 +133,37 @@ def test_expanding_quantiles_of_raw_rows(spark, monkeypatch):
     assert np.allclose(have["rank"], want["rank"].where(frame["v"].notna()).sort_index(), equal_nan=True)
 
 
+@pytest.mark.parametrize("kind", ["double", "long", "decimal(12,2)"])
+def test_expanding_quantiles_write_a_row_once(spark, monkeypatch, kind):
+    """Long keys, a value that most rows of one share, NaN and NULL keys; what is written on the way does not grow with the number of quantiles."""
+    rng = np.random.default_rng(6)
+    rows = [(None if i % 3 == 0 else 1 if i % 3 == 1 else int(rng.integers(2, 40)), i, T0 + dt.timedelta(minutes=int(rng.integers(0, 3000))), None if i % 11 == 0 else 7.0 if i % 3 == 0 and i % 4 else float(rng.integers(-90, 90)), "") for i in range(3000)]
+    rows = [(*r[:3], float("nan") if kind == "double" and r[1] % 97 == 5 and r[3] is not None else r[3], r[4]) for r in rows]
+    df = spark.createDataFrame(rows, ROWS).withColumn("v", F.col("v").cast(kind))
+    written, plain = [], W.settle
+    monkeypatch.setattr(W, "settle", lambda frame: written.append((out := plain(frame)).count()) or out)
+    got = W.expanding_quantiles(df, series(), "v", {"median": 0.5, "q95": 0.95, "least": 0.0}, rank="rank", min_periods=2, block=700).orderBy("id").collect()
+    assert sum(written) < 1.5 * len(rows)
+    seen = {}
+    want = {}
+    for k, i, _, v, _ in sorted(rows, key=lambda r: (r[2], r[1])):
+        own = seen.setdefault(k, [])
+        own += [] if v is None else [math.inf if math.isnan(v) else v]
+        if len(own) < 2:
+            want[i] = (None,) * 4
+            continue
+        x = math.inf if v is not None and math.isnan(v) else v
+        order, found = sorted(own), []
+        for q in (0.5, 0.95, 0.0):
+            spot = (len(order) - 1) * q
+            low, up = order[math.floor(spot)], order[math.ceil(spot)]
+            found.append(low if low == up else low + (up - low) * (spot - math.floor(spot)))
+        want[i] = (*found, None if v is None else sum(o < x for o in own) + (own.count(x) + 1) / 2)
+    for r in got:
+        have = [math.inf if c is not None and math.isnan(c) else c for c in (r["median"], r["q95"], r["least"], r["rank"])]
+        assert have == pytest.approx(list(want[r["id"]]), nan_ok=True), r
+
+
 def test_expanding_quantiles_without_values(spark):
     df = table(spark, [None, None])
     assert [tuple(r) for r in W.expanding_quantiles(df, series(), "v", {"median": 0.5}, rank="rank").select("median", "rank").collect()] == [(None, None)] * 2

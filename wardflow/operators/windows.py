@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -18,8 +19,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from wardflow.operators.aggregates import correlation, transform_groups, unbiased_kurtosis, unbiased_skew
 from wardflow.operators.keys import join_null_safe
 from wardflow.operators.frames import ORDERED, PLAIN, block_statistics
+from wardflow.operators.order_statistics import block_answers, within_range
 from wardflow.operators.ordered import Series, first_rows, position, row_frame, running, span_micros, time_frame, with_heads
-from wardflow.operators.ranks import ranks
 from wardflow.session import settle
 
 Kernel = Callable[[str, WindowSpec], Column]
@@ -320,79 +321,100 @@ def expanding_order_statistics(df: DataFrame, by: list[str], period: str, col: s
     return df.select("*", *[k(col, w).alias(n) for n, k in kernels.items()])
 
 
-FAN = 16
+PIECES = 8  # parts of a block of positions of which each tells the ranges that quantiles can lie in
+RANGES = 4  # ranges of values per block of positions
+BLOCKS_A_KEY = 1024
+
+
+def _code(col: str, kind: T.DataType) -> tuple[Column, float]:
+    """A whole or double number in the order of the values, and how many make one."""
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (F.col(col) * F.lit(10**kind.scale).cast("decimal(19,0)")).cast("long"), float(10**kind.scale)
+    whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    return F.col(col).cast("long" if whole else "double"), 1.0
+
+
+def _range_of(code: Column) -> Column:
+    """The range of a value among the sorted ``_edges``: even between two edges, odd for a value that is an edge itself."""
+    edges, marks, step = F.col("_edges"), F.col("_marks"), F.col("_step")
+    passed = F.size(F.filter(marks, lambda e: e < code))
+    near = F.slice(edges, (F.greatest(passed, F.lit(1)) - 1) * step + 1, step)
+    below = F.when(passed == 0, 0).otherwise((passed - 1) * step + F.size(F.filter(near, lambda e: e < code)))
+    return 2 * below + F.coalesce(F.get(edges, below) == code, F.lit(False)).cast("int")
 
 
 def expanding_quantiles(
-    df: DataFrame, series: Series, col: str, quantiles: dict[str, float], *, rank: str | None = None, min_periods: int = 1, block: int = 65536
+    df: DataFrame, series: Series, col: str, quantiles: dict[str, float], *, rank: str | None = None, min_periods: int = 1, block: int = 1 << 18
 ) -> DataFrame:
     """Quantiles of all values of the key so far, and the average rank of the row's value among them, over raw rows.
 
-    The values' dense ranks are read as digits of ``FAN``, the highest first, which makes a tree of ranges of values. A row asks for its k-th smallest value so far at the root; for all rows at once a prefix
-    scan over the rows of each node counts the earlier values in each of its children, which tells the child where the k-th lies and how many are
-    below.  A rank adds up the counts below on the way to the row's own value.  Every node is cut into blocks of ``block`` positions (see ``running``), so a key may hold any share of the rows; there are as many scans as
-    digits.  A NULL value takes no part, and gets quantiles but no rank.
+    Keys of up to ``block`` rows are answered whole, several at a time.  A longer key is cut into blocks of positions and into ranges of values.  The counts by block and range, added up
+    over the blocks and over the ranges, tell where the quantiles of a block can lie; of these ranges alone the block gets the earlier values, of all others their number.
+    The rank within a range is counted in the range and handed to the row's block.  Cuts between ranges come from approximate quantiles and change no result; a value
+    that is a cut has a range of its own, which may hold any number of rows, since equal values need no order.  A key has at most ``BLOCKS_A_KEY`` blocks, so the number of counts is bounded; its
+    blocks and ranges grow beyond that.  A NULL value takes no part, and gets quantiles but no rank.  Decimals of more than 18 digits are compared as doubles.
     """
-    by = series.by
-    rows = settle(running(df, series, {"_pos": ("count", F.lit(1)), "_n": ("count", F.col(col))}))
-    values = rows.filter(F.col(col).isNotNull()).select(*by, "_pos", F.col(col).alias("_v"))
-    work = ranks(values, by, "_v", "_code", method="dense").withColumn("_code", (F.col("_code") - 1).cast("long"))
-    work = settle(work.select(*by, "_pos", "_v", "_code", F.lit(-1).alias("_q"), F.lit(None).cast("long").alias("_k"), F.lit(0).cast("long").alias("_less"), F.lit(None).cast("double").alias("_found")))
-    top = work.agg(F.max("_code")).first()[0]
-    if top is None:
-        return df.withColumns({n: F.lit(None).cast("double") for n in [*quantiles, *([rank] if rank else [])]})
-    digits = next(i for i in range(1, 64) if FAN**i > top)
-    asked = []
-    for i, q in enumerate(quantiles.values()):
-        spot = (F.col("_n") - 1) * F.lit(q)
-        asked += [F.struct(F.lit(2 * i + up).alias("_q"), F.least(F.floor(spot) + up, F.col("_n") - 1).cast("long").alias("_k")) for up in (0, 1)]
-    nothing = {"_v": F.lit(None).cast(df.schema[col].dataType), "_less": F.lit(0).cast("long"), "_found": F.lit(None).cast("double")}
-    probes = rows.filter(F.col("_n") > 0).select(*by, "_pos", F.inline(F.array(*asked))) if asked else None
-    # A probe's code is that of the range it has come to, its lower digits zero.
-    work = work if probes is None else work.unionByName(probes.withColumns(nothing | {"_code": F.lit(0).cast("long")}))
-    here, is_value = [f"_c{d}" for d in range(FAN)], F.col("_q") < 0
-    for level in reversed(range(digits)):
-        unit = FAN**level
-        digit = F.floor(F.col("_code") / F.lit(unit)).cast("long") % FAN
-        what = {c: ("count", F.when(is_value & (F.col("_d") == d), 1)) for d, c in enumerate(here)}
-        if level == 0:
-            what |= {f"_v{d}": ("max", F.when(is_value & (F.col("_d") == d), F.col("_v"))) for d in range(FAN)}
-        # Values come before the probes of their row, so a row sees its own value.
-        along = Series([*by, "_node"], ["_pos", "_q"], F.floor((F.col("_pos") - 1) / F.lit(block)).cast("long"))
-        shaped = work.withColumns({"_node": F.floor(F.col("_code") / F.lit(unit * FAN)).cast("long"), "_d": digit})
-        counted = running(shaped, along, what)
-        counts = F.array(*here)
-
-        def below(d: Column) -> Column:
-            return F.aggregate(F.slice(counts, 1, d.cast("int")), F.lit(0).cast("long"), lambda a, x: a + x)
-
-        passed = F.aggregate(counts, F.struct(F.lit(0).cast("long").alias("s"), F.lit(0).alias("d")), lambda a, x: F.struct((a.s + x).alias("s"), F.when(a.s + x <= F.col("_k"), a.d + 1).otherwise(a.d).alias("d")))
-        moved = counted.withColumn("_to", F.when(is_value, F.col("_d")).otherwise(passed.d))
-        under = below(F.col("_to"))
-        found = F.element_at(F.array(*[F.col(f"_v{d}").cast("double") for d in range(FAN)]), F.col("_to").cast("int") + 1) if level == 0 else F.col("_found")
-        same = F.element_at(counts, F.col("_to").cast("int") + 1)
-        work = settle(
-            moved.select(
-                *by, "_pos", "_v", "_q",
-                F.when(is_value, F.col("_code")).otherwise(F.col("_code") + F.col("_to") * F.lit(unit)).alias("_code"),
-                (F.col("_k") - under).alias("_k"),
-                (F.col("_less") + under).alias("_less"),
-                F.when(is_value, same.cast("double") if level == 0 else F.lit(None).cast("double")).otherwise(found).alias("_found"),
-            )
-        )
-    results = [F.max(F.when(F.col("_q") == i, F.col("_found"))).alias(f"_r{i}") for i in range(2 * len(quantiles))]
-    results.append(F.max(F.when(is_value, F.col("_less") + (F.col("_found") + 1) / 2)).alias("_rank"))
-    answers = work.groupBy(*by, "_pos").agg(*results)
-    joined = join_null_safe(rows, answers, [*by, "_pos"], "left")
-    enough = F.col("_n") >= min_periods
-    out = []
-    for i, (name, q) in enumerate(quantiles.items()):
-        spot = (F.col("_n") - 1) * F.lit(q)
-        share, low, up = spot - F.floor(spot), F.col(f"_r{2 * i}"), F.col(f"_r{2 * i + 1}")
-        out.append(F.when(enough, F.when((share == 0) | (low == up), low).otherwise(low * (1 - share) + up * share)).alias(name))
-    if rank:
-        out.append(F.when(enough, F.col("_rank")).alias(rank))
-    return joined.select(*df.columns, *out)
+    given, by = df.columns, series.by or ["_all"]
+    df = df if series.by else df.withColumn("_all", F.lit(0))
+    code, unit = _code(col, df.schema[col].dataType)
+    sizes = settle(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")))
+    total, most = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
+    wide = max(block, -(-(most or 0) // BLOCKS_A_KEY))
+    long = sizes.filter(F.col("_rows") > wide).select(*by)
+    cuts = -(-RANGES * (most or 0) // wide)
+    shares = [(i + 1) / (cuts + 1) for i in range(cuts)]
+    ends = F.coalesce(F.percentile_approx(code, shares, 8 * max(cuts, 128)), F.array().cast(f"array<{'long' if df.select(code).dtypes[0][1] == 'bigint' else 'double'}>"))
+    edges = join_null_safe(df, long, by).groupBy(*by).agg(F.array_sort(F.array_distinct(ends)).alias("_edges"))
+    edges = edges.withColumn("_step", F.greatest(F.ceil(F.sqrt(F.size("_edges"))), F.lit(1)).cast("int"))
+    edges = settle(edges.withColumn("_marks", F.filter("_edges", lambda e, i: i % F.col("_step") == 0)))
+    numbered = running(df, replace(series, by=by), {"_pos": ("count", F.lit(1)), "_n": ("count", F.col(col))})
+    cut = join_null_safe(numbered.withColumn("_code", code), edges, by, "left")
+    is_long = F.col("_edges").isNotNull()
+    group = F.when(is_long, F.xxhash64(*by, "_block")).otherwise(F.pmod(F.xxhash64(*by), F.lit(max(1, -(-(total or 0) // wide)))))
+    cut = cut.withColumns({"_block": F.when(is_long, F.floor((F.col("_pos") - 1) / wide)).otherwise(-1).cast("long"), "_range": F.when(is_long & F.col("_code").isNotNull(), _range_of(F.col("_code"))).otherwise(0)})
+    rows = settle(cut.select(*df.columns, "_pos", "_n", "_code", "_block", "_range", (is_long & F.col("_code").isNotNull() & (F.col("_range") % 2 == 0)).alias("_inside"), group.alias("_group")))
+
+    names, shape = [*given, "_group", "_block", "_n", "_code", "_range", "_inside"], rows.select(*given).schema
+    made = T.StructType([*shape.fields, *[T.StructField(f"_a{i}", T.DoubleType()) for i in range(len(quantiles) + 1)]])
+    args = (by, given, list(quantiles.values()), min_periods, unit)
+    taken = rows.select(*names, *[c for c in by if c not in names]).groupBy("_group")
+    if (most or 0) > wide:
+        more = _before_blocks(rows.filter(F.col("_block") >= 0), edges, by, list(quantiles.values()), wide)
+        answers = taken.cogroup(more.groupBy("_group")).applyInArrow(lambda r, m: block_answers(r, m, *args), made)
+    else:
+        kinds = {"_code": rows.schema["_code"].dataType, "_range": T.IntegerType()} | dict.fromkeys(["_block", "_weight", "_n", "_less", "_same"], T.LongType())
+        none = to_arrow_schema(T.StructType([*[rows.schema[c] for c in by], *[T.StructField(n, k) for n, k in kinds.items()]])).empty_table()
+        answers = taken.applyInArrow(lambda r: block_answers(r, none.cast(pa.schema([r.schema.field(f.name) if f.name in by else f for f in none.schema])), *args), made)
+    new = [F.col(f"_a{i}").alias(n) for i, n in enumerate([*quantiles, *([rank] if rank else [])])]
+    return answers.select(*given, *new)
+
+
+def _before_blocks(rows: DataFrame, edges: DataFrame, by: list[str], quantiles: list[float], wide: int) -> DataFrame:
+    """What each block of a long key has to know of the rows before it."""
+    piece = F.floor((F.col("_pos") - 1) * PIECES / wide).cast("long")
+    parts = rows.groupBy(*by, "_block", piece.alias("_piece")).agg(F.min("_n").alias("_from"), F.max("_n").alias("_to"))
+    there = rows.filter(F.col("_code").isNotNull()).groupBy(*by, piece.alias("_piece"), "_range").agg(F.count(F.lit(1)).alias("_here"))
+    every = join_null_safe(parts, edges.select(*by, F.explode(F.sequence(F.lit(0), 2 * F.size("_edges"))).alias("_range")), by)
+    cells = settle(join_null_safe(every, there, [*by, "_piece", "_range"], "left").withColumn("_here", F.coalesce("_here", F.lit(0))))
+    # Counts added up over the pieces before, for each range, and then over the ranges, for each piece.
+    whole = F.lit(0).cast("long")
+    before = running(cells.withColumn("_node", F.col("_range")), Series([*by, "_node"], ["_piece"], whole), {"_before": ("sum", F.col("_here"))}).withColumn("_before", F.col("_before") - F.col("_here"))
+    before = settle(before.withColumn("_node", F.col("_piece")))
+    upto = running(before, Series([*by, "_node"], ["_range"], whole), {"_start": ("sum", F.col("_before")), "_end": ("sum", F.col("_before") + F.col("_here"))})
+    first, last = F.greatest("_from", F.lit(1)) - 1, F.col("_to") - 1
+    met = F.lit(False)
+    for q in quantiles:
+        met |= (F.col("_end") > F.floor(first * F.lit(q))) & (F.col("_start") - F.col("_before") <= F.least(F.floor(last * F.lit(q)) + 1, last))
+    states = upto.groupBy(*by, "_block", "_range").agg(F.min("_before").alias("_weight"), (F.max(met) & (F.col("_range") % 2 == 0)).alias("_wanted"))
+    states = settle(states.filter(F.col("_weight") > 0))
+    own = F.get("_edges", ((F.col("_range") - 1) / 2).cast("int"))
+    counts = join_null_safe(states.filter("NOT _wanted"), edges, by).select(*by, "_block", "_range", F.when(F.col("_range") % 2 == 1, own).alias("_code"), "_weight")
+    wanted = states.filter("_wanted").select(*by, "_range", F.col("_block").alias("_for"))
+    inside = rows.filter("_inside").select(*by, "_block", "_range", "_n", "_code")
+    values = join_null_safe(inside, wanted, [*by, "_range"]).filter(F.col("_block") < F.col("_for")).select(*by, F.col("_for").alias("_block"), "_range", "_code", F.lit(1).cast("long").alias("_weight"))
+    kinds = T.StructType([*[rows.schema[c] for c in [*by, "_block", "_n"]], T.StructField("_less", T.LongType()), T.StructField("_same", T.LongType())])
+    ranked = inside.select(*kinds.names[:-2], "_range", "_code").groupBy(*by, "_range").applyInArrow(within_range, kinds)
+    return counts.unionByName(values).unionByName(ranked, allowMissingColumns=True).withColumn("_group", F.xxhash64(*by, "_block"))
 
 
 # Cumulative and neighbours
