@@ -147,6 +147,31 @@ def test_failed_view_does_not_stop_the_next(spark, tmp_path):
     assert set(views) == {"a", "c"}
 
 
+def test_a_run_reads_history_replies_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(value):
+        seen.add(1)
+        return value
+
+    patients = [('{"patients": [{"casefile_id": "%d:0", "program": "view"}]}' % i,) for i in range(3)]
+    entry = '{"program": "view", "start_date": "2024-01-03T10:00:00Z", "logged_by": "x", "logged_at": "2024-01-03 10:05:00"}'
+    replies = [("0:0", '{"patient": {"casefile_id": "0:0", "first_name": "A", "last_name": "B", "program_history": [%s, %s]}}' % (entry, entry.replace("03T", "04T"))), ("1:0", '{"error": "none"}')]
+    none = spark.createDataFrame([], "value string")
+    landed = {n: none for n in ("ama_forms", "admin_discharge", "detox_forms", "detox_details")} | {
+        "patients": spark.createDataFrame(patients, "value string"),
+        "program_history": spark.createDataFrame(replies, "casefile_id string, value string").withColumn("value", told.asNondeterministic()("value")),
+    }
+    t = Tables(spark, "")
+    refs = {"program_types": t.program_types(), "discharge_types": t.discharge_types()}
+    tables, steps = nightly.run(spark, landed, I.empty_state(t), refs, str(tmp_path), as_of=AS_OF, start=SPINE[0], end=SPINE[1])
+    assert seen.value == len(replies)
+    assert {r["step"]: r["rows_after"] for r in steps.collect() if r["step"] in ("program_history", "error_log", "latest")} == {"program_history": 2, "error_log": 2, "latest": 3}
+    assert sorted(r["error_message"] for r in spark.read.parquet(f"{tmp_path}/error_log").collect()) == ["missing patient", "no reply"]
+    assert tables["history"].count() == 1
+
+
 def test_second_run_changes_nothing(spark, tmp_path):
     t = Tables(spark, "/root/testdata/sf0.001")
     refs = {"program_types": t.program_types(), "discharge_types": t.discharge_types()}

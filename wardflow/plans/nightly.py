@@ -84,8 +84,12 @@ def run(
     work = changed_keys(
         staged["latest"], current["latest"], key="casefile_id", compare="program", columns=["casefile_id"]
     )
-    found, unanswered = landing.replies_for(work, landed["program_history"], "casefile_id")
-    log_rows, bad_replies = landing.program_history(found.select("casefile_id", "value"))
+    # The log and two parts of the error log read the matched replies; staged, they are matched and parsed once.
+    found, unanswered = landing.replies_for(
+        work, landed["program_history"], "casefile_id",
+        lambda df: load_staging(landing.history_patients(df).select("casefile_id", "patient", "_found"), f"{folder}/staging/replies"),
+    )
+    log_rows, bad_replies = landing.program_history(found)
     fresh = new_rows(log_rows, current["program_history"])
 
     tables: dict[str, DataFrame] = {}

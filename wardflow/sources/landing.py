@@ -6,6 +6,7 @@ A landing folder holds one reply per file.  Readers take a frame with the reply
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -115,9 +116,14 @@ def history_rules() -> list[tuple[str, Column]]:
     ]
 
 
+def history_patients(raw: DataFrame) -> DataFrame:
+    """History replies with the patient they tell of."""
+    return raw.withColumn("patient", F.from_json("value", schemas.HISTORY_REPLY)["patient"])
+
+
 def program_history(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """History replies to log rows, and the replies set aside with their reason."""
-    parsed = raw.withColumn("patient", F.from_json("value", schemas.HISTORY_REPLY)["patient"])
+    """History replies to log rows, and the replies set aside with their reason; replies that have been read (``history_patients``) are not read again."""
+    parsed = raw if "patient" in raw.columns else history_patients(raw)
     good, bad = split_valid(parsed, history_rules())
     rows = good.select(
         F.col("patient.casefile_id").alias("casefile_id"),
@@ -130,9 +136,9 @@ def program_history(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _localise(rows, ["start_date", "logged_at"]).select(*schemas.PROGRAM_HISTORY.names), bad
 
 
-def replies_for(work: DataFrame, replies: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Match a work list with its replies; work without a reply is set aside."""
-    matched = work.join(replies, key, "left").withColumn("_found", F.col("value").isNotNull())
+def replies_for(work: DataFrame, replies: DataFrame, key: str, stage: Callable[[DataFrame], DataFrame] = lambda matched: matched) -> tuple[DataFrame, DataFrame]:
+    """Match a work list with its replies; work without a reply is set aside.  ``stage`` may write the matches, since both results read them."""
+    matched = stage(work.join(replies, key, "left").withColumn("_found", F.col("value").isNotNull()))
     return (
         matched.filter("_found").drop("_found"),
         matched.filter("NOT _found").select(key, F.lit("no reply").alias("reason")),
