@@ -5,11 +5,13 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from wardflow import schemas
 from wardflow.plans import incremental
 from wardflow.plans.census import daily_census
 from wardflow.plans.history import build_history
 from wardflow.plans.incremental import StoredViews
 from wardflow.session import settle
+from wardflow.sources import buckets
 from wardflow.sources.adapter import AS_OF, SPINE, Tables
 from wardflow.sources.buckets import BucketTable
 
@@ -72,3 +74,36 @@ def test_a_pull_of_one_case_reads_its_bucket_alone(spark, tables, tmp_path, monk
     whole = build_history(tables["log"], tables["types"], state, as_of=AS_OF)
     assert rows(views.history()) == rows(whole)
     assert rows(views.census()) == rows(daily_census(whole, start=SPINE[0], end=SPINE[1]))
+
+
+def made(spark, schema, n, **values):
+    return spark.range(n).select(*[F.expr(values.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def test_a_pull_adds_its_log_rows_to_those_that_are_there(spark, tables, tmp_path):
+    """A refresh writes the new log rows alone."""
+    case, day = "concat(id % 7, ':0')", "TIMESTAMP_NTZ'2024-01-02 00:00:00' + make_interval(0, 0, 0, int(id) % 20, int(id))"
+    log = made(spark, schemas.PROGRAM_HISTORY, 60, casefile_id=case, program_name="if(id % 3 = 0, 'error', 'view')", start_date=day, logged_at=day, program_history_pk="id")
+    state = made(spark, schemas.LATEST, 7, casefile_id=case, last_updated_at=day)
+    views, since = StoredViews(spark, str(tmp_path), tables["types"], *SPINE, buckets=4), datetime(2000, 1, 1)
+    for n, until in enumerate(CUTS):
+        fresh = log.filter((F.col("logged_at") >= at(since)) & (F.col("logged_at") < at(until)))
+        views.refresh(fresh, state, AS_OF)
+        assert spark.read.parquet(f"{tmp_path}/log/data/{n}").count() == fresh.count() > 0
+        since = until
+    assert rows(views.read("log")) == rows(log.select(*schemas.PROGRAM_HISTORY.names))
+    assert rows(views.history()) == rows(build_history(log, tables["types"], state, as_of=AS_OF))
+
+
+def test_pieces_of_a_bucket_are_put_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(buckets, "PIECES", 3)
+    table = BucketTable(spark, str(tmp_path), spark.range(1).schema, ["id"], 2)
+    for n in range(7):
+        table.append(spark.range(n * 10, n * 10 + 10))
+        assert max(map(len, table._list(table.version)[0].values())) <= 3
+    again = BucketTable(spark, str(tmp_path), spark.range(1).schema, ["id"], 2)
+    assert again._list(6) == table._list(6) and again.buckets == 2
+    again.append(spark.range(60, 70), 6)  # the same version once more
+    assert sorted(rows(again.read())) == [(i,) for i in range(70)]
+    again.write(again.read().filter("id >= 35"), [0, 1])
+    assert sorted(rows(BucketTable(spark, str(tmp_path), spark.range(1).schema, ["id"], 2).read())) == [(i,) for i in range(35, 70)]

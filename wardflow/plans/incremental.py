@@ -70,7 +70,7 @@ class StoredViews:
         return self.read("history")
 
     def _clock(self) -> datetime | None:
-        return None if self.version < 0 else self.spark.read.parquet(f"{self.folder}/commits/{self.version}").first()["as_of"]
+        return None if self.version < 0 else self.spark.read.schema("as_of timestamp_ntz").parquet(f"{self.folder}/commits/{self.version}").first()["as_of"]
 
     def refresh(self, log: DataFrame, latest: DataFrame, as_of: datetime) -> int:
         """Take in new log rows and new states of cases; gives the version."""
@@ -82,8 +82,8 @@ class StoredViews:
         changed = settle((changed.unionByName(self.read("open")) if moved else changed).filter(F.col(CASE).isNotNull()).distinct())
         hit = t["history"].hit(changed)
 
-        t["log"].change(log, lambda old, new: old.unionByName(new), version)
-        t["latest"].change(latest.dropna(subset=[CASE]), lambda old, new: upsert(old, new, keys=[CASE], version=["last_updated_at"]), version)
+        t["log"].append(log, version)
+        t["latest"].change(latest.dropna(subset=[CASE]), lambda old, new: upsert(old, new, keys=[CASE], version=["last_updated_at"]), version, written=True)
         of = lambda df: df.join(changed, CASE, "left_semi")
         old = self.read("history", hit)
         fresh = settle(build_history(of(t["log"].read(hit, version)), self.program_types, of(t["latest"].read(hit, version)), as_of=as_of).select(*old.columns))
@@ -100,7 +100,7 @@ class StoredViews:
         delta = taken_back.unionByName(after.select("program_category", "day", *[F.col(n).cast("long").alias(n) for n in sums]))
         delta = settle(delta.groupBy("program_category", "day").agg(*[F.sum(n).alias(n) for n in sums]).filter(" OR ".join(f"{n} <> 0" for n in sums)))
         added = lambda rows, new: rows.unionByName(new).groupBy("program_category", "day").agg(*[F.sum(n).alias(n) for n in sums]).filter(" OR ".join(f"{n} <> 0" for n in sums))
-        t["ledger"].change(delta, added, version)
+        t["ledger"].change(delta, added, version, written=True)
         self._patch_census(delta, version)
         self.spark.createDataFrame([(as_of,)], "as_of timestamp_ntz").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/commits/{version}")
         self.version = version
