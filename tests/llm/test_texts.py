@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import uuid
 import zlib
 from collections import Counter, defaultdict
 from math import fsum, log10
@@ -271,6 +272,41 @@ def test_lm_keeps_ngrams_by_count_at_every_size(spark, docs, monkeypatch):
         assert np.allclose([x for _, x in found], [x for _, x in expected], rtol=1e-9, atol=1e-9)
 
 
+def test_lm_scores_do_not_depend_on_where_ngrams_are_asked_for(spark, monkeypatch):
+    """Frequent right parts shared out among buckets, any number of rounds, white space of all kinds, nulls and repeated rows."""
+    rng = np.random.default_rng(4)
+    rows = [(i, "".join(f"W{x}{' \t\n\x0b\x0c\r'[x % 6]}" for x in rng.zipf(1.4, 400) % 300)) for i in range(60)]
+    docs = spark.createDataFrame([*rows, *rows[:9], (None, None), (70, ""), (71, " \n")], "doc_id long, text string")
+    found = []
+    for size, hot, rounds in ((lm.SHARD_BYTES, lm.HOT, 1), (9_000, lm.HOT, 2), (9_000, 2, 3)):
+        monkeypatch.setattr(lm, "SHARD_BYTES", size), monkeypatch.setattr(lm, "HOT", hot), monkeypatch.setattr(lm, "ROUNDS", rounds)
+        found.append(sorted((tuple(-1 if x is None else x for x in r[:5]), r["base_score"], r["score"]) for r in lm.scores(docs).collect()))
+    assert len(found[0]) == 72
+    for other in found[1:]:
+        assert [r[0] for r in other] == [r[0] for r in found[0]]
+        assert np.allclose([r[1:] for r in other], [r[1:] for r in found[0]], rtol=1e-9, atol=1e-9)
+
+
+def test_lm_keeps_only_what_is_read_later(spark, docs, monkeypatch, tmp_path):
+    """Of all that is written on the way one table stays, without the words."""
+    for module in ("wardflow.session", "wardflow.llm.common"):
+        monkeypatch.setattr(f"{module}.scratch_dir", lambda spark: f"file://{tmp_path}/{uuid.uuid4().hex}")
+    scores = lm.scores(docs)
+    assert len(list(tmp_path.iterdir())) == 1
+    (kept,) = tmp_path.iterdir()
+    assert spark.read.parquet(f"file://{kept}").filter("words IS NOT NULL").isEmpty()
+    assert scores.count() == docs.count()
+
+
+def test_lm_numbers_come_back():
+    rng = np.random.default_rng(5)
+    number = (rng.integers(0, 5000, 400) << lm.RANK_BITS) + rng.integers(0, 1 << 20, 400)
+    new = np.append(True, rng.random(399) < 0.2)
+    assert (lm.far(*(lambda step, bits: (step, new, bits))(*lm.close(number, new))) == number).all()
+    for keys in (rng.integers(0, 50, 300), rng.integers(0, 1 << 62, 300), np.zeros(0, np.int64)):
+        assert all((a == b).all() for a, b in zip(lm.ranked(keys), np.unique(keys, return_inverse=True)))
+
+
 def test_automaton_is_a_distribution():
     """In every state the words, and the rest of the root, add up to one."""
     text = [[b"a", b"b", b"a", b"b", b"c", b""], [b"a", b"b", b"d", b""], [b"c", b"a", b"b", b"c", b""]]

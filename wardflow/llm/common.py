@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,18 +31,57 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 MOST_BUCKETS = 100_000
 
 
-def settle_by(df: DataFrame, key: str, least: int) -> DataFrame:
-    """As ``settle``, in buckets by the hash of a key, so that what is later joined or grouped by that key leaves these rows where they are.
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled for a write goes when it ends, and not when the driver next collects garbage; the session's setting is put back."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
-    There are at least as many buckets as shuffle partitions, or Spark would deal the rows anew.  The table's name is dropped at once; its files stay.
+
+class Dealt:
+    """A table in the shared scratch folder, in buckets by the hash of a key, so that what is grouped or joined by that key leaves its rows where they are.
+
+    There are at least as many buckets as shuffle partitions, or Spark would deal the rows anew.  Frames are added until the table's name is forgotten; its files stay.
     """
-    spark = df.sparkSession
-    parts = min(MOST_BUCKETS, max(least, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    name = f"settled_{uuid.uuid4().hex}"
-    df.write.format("parquet").bucketBy(parts, key).option("path", scratch_dir(spark)).saveAsTable(name)
-    out = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")
-    return out
+
+    def __init__(self, spark: SparkSession, key: str, least: int):
+        self.spark, self.key = spark, key
+        self.parts = min(MOST_BUCKETS, max(least, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        self.name, self.path = f"settled_{uuid.uuid4().hex}", scratch_dir(spark)
+
+    def add(self, df: DataFrame, moved: bool = True) -> None:
+        """Add rows, a file for each bucket; those that are not ``moved`` are written by the tasks that have them, each to a file for each of its buckets."""
+        df = df.repartition(self.parts, self.key) if moved else df
+        with swept(self.spark):
+            df.write.format("parquet").mode("append").bucketBy(self.parts, self.key).option("path", self.path).saveAsTable(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def plain(self) -> DataFrame:
+        """As ``read``, without the buckets, and with columns of its own: a table that comes twice into nested cogroups would lose some."""
+        return self.spark.read.schema(self.read().schema).parquet(self.path)
+
+    def forget(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+@contextmanager
+def fleeting(df: DataFrame) -> Iterator[DataFrame]:
+    """As ``settle``, for a frame that nothing reads later: its files are removed at the end.  So what was shuffled for a frame can go before it is dealt."""
+    spark, folder = df.sparkSession, scratch_dir(df.sparkSession)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    try:
+        with swept(spark):
+            df.write.parquet(folder)
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def two(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -9,8 +9,9 @@ grows with the input.  It never stands in one place.  Documents are taken where
 n-grams of its own texts, order by order: those whose two parts of one word less are kept.  They are totalled in buckets by hash, and the shard gets
 back the total and a number of each.  Two numbers of one order name an n-gram of the next, so names stay short and exact.  A number
 is the bucket and the rank there, so within a shard numbers ascend, and their steps are what is sent.
+An n-gram is asked for where its right part says, in pieces of bounded size, so what is asked of a bucket names few right parts, each once with its total.
 What a context's backoff weight needs are two sums over its followers, which are added up by context and told to the shards that hold it.
-The texts themselves are stored by shard and stay where they are; only what is asked and told moves.
+The texts and all that is told are stored by shard, in one table, and stay where they are; what is asked and told moves once.
 
 A shard so has just the states and arcs that its texts meet, and reads them from left to right once, carrying a state.  Since a state is known from the last
 ``ORDER - 1`` words, texts are cut into lanes that begin with as many words of the lane before, unscored, and all lanes take a step at a time.
@@ -20,10 +21,8 @@ A shard so has just the states and arcs that its texts meet, and reads them from
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections import defaultdict
 from dataclasses import dataclass
-from functools import reduce
 from math import log10
 
 import numpy as np
@@ -32,29 +31,32 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from wardflow.llm.common import batch, column, grow, remainder, settle_by, shrink, text_bytes
-from wardflow.session import settle
+from wardflow.llm.common import Dealt, column, fleeting, grow, remainder, shrink, text_bytes
 
 ORDER = 3
 #: An n-gram is kept if it occurs so often.
 LEAST_COUNT = 2
 DISCOUNT = 0.75
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 14 << 20
 #: Bits of a number that hold the rank in its bucket.
 RANK_BITS = 40
 #: The end of a text, which is also what stands before its first word.
 END = b""
-PACKED = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("words", pa.binary()), ("n", pa.int64()), ("data", pa.binary()), ("ids", pa.binary()), ("flags", pa.binary())])
-ASKED = pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
-TOLD = pa.schema([("level", pa.int64()), ("shard", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64()), ("data", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
-SUMS = pa.schema([("level", pa.int64()), ("shard", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64()), ("sums", pa.binary())])
+#: Occurrences of a right part for which its n-grams go to one bucket; more are shared out among several.
+HOT = 1 << 17
+#: The buckets are asked for n-grams of the highest order in so many rounds, so that part of what is asked lies on disk at a time.
+ROUNDS = 2
+#: The level of texts, of the words that a shard asks for, and less the order, of the sums of contexts; answers have the order of their n-grams.  Rows that no
+#: shard asked for have a negative shard.
+TEXT, WORDS, SUMS = 0, -1, -1
+STORED = pa.schema(
+    [("level", pa.int64()), ("shard", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64()), ("data", pa.binary()), ("totals", pa.binary()), ("size", pa.int64()), ("words", pa.binary())]
+    + [("ids", pa.binary()), ("flags", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())]
+)
+ASKED = pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("n", pa.int64()), ("data", pa.binary()), ("bits", pa.int64())])
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def words(text: bytes) -> list[bytes]:
-    return text.lower().split()
-
-
 @dataclass
 class Automaton:
     """Words with numbers; arcs by (state, word), failure arcs, and the state before a text."""
@@ -124,21 +126,13 @@ def build(frequent: dict[bytes, int], grams: list[dict[tuple, int]], tokens: int
     return Automaton(numbers, arcs, single, back, fail, down, single[numbers[END]] if END in numbers else 0)
 
 
-def grouped(found: list[bytes], buckets: int) -> dict[int, list[bytes]]:
-    """Words by bucket, each in order."""
-    out: dict[int, list[bytes]] = {}
-    for w in sorted(found):
-        out.setdefault(zlib.crc32(w) % buckets, []).append(w)
-    return out
-
-
 def ddl(schema: pa.Schema) -> str:
     names = {pa.int64(): "long", pa.binary(): "binary", pa.bool_(): "boolean", pa.float64(): "double"}
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
-def tabled(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
-    return pa.Table.from_batches([batch(schema, *zip(*rows))] if rows else [], schema=schema)
+def tabled(schema: pa.Schema, rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema=schema)
 
 
 def put(*columns: np.ndarray) -> bytes:
@@ -146,9 +140,9 @@ def put(*columns: np.ndarray) -> bytes:
     return shrink(np.stack([c.view(np.int64) for c in columns]).view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
-def got(rows: pa.Table, name: str, width: int) -> list[np.ndarray]:
+def got(rows: pa.Table, name: str, width: int, length: str = "n") -> list[np.ndarray]:
     """The columns of each row, by ``put``."""
-    sizes = rows["n"].to_pylist()
+    sizes = rows[length].to_pylist()
     return [np.frombuffer(grow(x, 8 * width * n), np.uint8).reshape(8, -1).T.copy().view(np.int64).reshape(width, n) for x, n in zip(rows[name].to_pylist(), sizes)]
 
 
@@ -157,9 +151,44 @@ def steps(number: np.ndarray) -> np.ndarray:
     return np.diff(np.maximum.accumulate(number), prepend=-1)
 
 
-def numbers(step: np.ndarray, total: np.ndarray, least: int) -> np.ndarray:
-    """Numbers by their steps, -1 where the total is too small."""
-    return np.where(total >= least, np.cumsum(step) - 1, -1)
+def numbers(step: np.ndarray) -> np.ndarray:
+    """Numbers by their steps, -1 where there is none: a number is larger than those before it."""
+    return np.where(step > 0, np.cumsum(step) - 1, -1)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x >> np.uint64(20)
+
+
+def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the place there of each; keys and places are sorted as one number where they fit."""
+    bits = len(keys).bit_length()
+    if not len(keys) or int(keys.max()) >> 63 - bits:
+        return np.unique(keys, return_inverse=True)
+    both = np.sort(keys << bits | np.arange(len(keys)))
+    at = both & (1 << bits) - 1
+    both >>= bits
+    new = np.append(True, np.diff(both) != 0)
+    place = np.empty(len(keys), np.int64)
+    place[at] = np.cumsum(new) - 1
+    return both[new], place
+
+
+def close(number: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, int]:
+    """Numbers with the rank in as few bits as it takes, each but the ``new`` ones as a step from the one before, and these bits."""
+    rank = number & (1 << RANK_BITS) - 1
+    bits = int(rank.max()).bit_length()
+    short = number >> RANK_BITS << bits | rank
+    return np.where(new, short, np.diff(short, prepend=0)), bits
+
+
+def far(step: np.ndarray, new: np.ndarray, bits: int) -> np.ndarray:
+    """Numbers, by ``close``."""
+    start, total = np.flatnonzero(new), np.cumsum(step)
+    short = total - np.repeat(total[start] - step[start], np.diff(np.append(start, len(step))))
+    return short >> bits << RANK_BITS | short & (1 << bits) - 1
 
 
 def discounted(n: np.ndarray) -> np.ndarray:
@@ -184,49 +213,66 @@ class Pack:
     """A shard's texts as places of words: -1, the end, the words, the end."""
 
     def __init__(self):
-        self.place: defaultdict[bytes, int] = defaultdict()
-        self.place.default_factory = self.place.__len__
-        self.end = self.place[END]
-        self.tokens, self.ids, self.flags = array("i"), [], []
+        self.texts, self.ids, self.flags = [], [], []
 
     def add(self, doc_id: int | None, held: bool, text: bytes) -> None:
-        self.tokens.extend((-1, self.end))
-        self.tokens.extend(map(self.place.__getitem__, words(text)))
-        self.tokens.append(self.end)
+        self.texts.append(text)
         self.ids.append(doc_id or 0)
         self.flags.append(held + 2 * (doc_id is None))
 
+    def places(self) -> tuple[np.ndarray, list[bytes]]:
+        """The place of each word, and the words, of which the end is the first."""
+        raw = np.frombuffer(b" ".join([*self.texts, b""]).lower(), np.uint8)
+        blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
+        start = np.flatnonzero(~blank & np.append(True, blank[:-1]))
+        stop = np.flatnonzero(~blank & np.append(blank[1:], True)) + 1
+        offsets = np.append(0, np.cumsum(stop - start))
+        found = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(raw[~blank])]).dictionary_encode()
+        n = np.diff(np.searchsorted(start, np.cumsum([len(t) + 1 for t in self.texts])), prepend=0)
+        first = np.cumsum(n + 3) - n - 3
+        at, inner = np.zeros(int((n + 3).sum()), np.int32), np.ones(int((n + 3).sum()), bool)
+        at[first], inner[first], inner[first + 1], inner[first + n + 2] = -1, False, False, False
+        at[inner] = found.indices.to_numpy() + 1
+        return at, [END, *found.dictionary.to_pylist()]
+
     def rows(self, shard: int, buckets: int) -> pa.RecordBatch:
         """The texts in one row, and the words with their counts in training documents in rows by bucket; places follow these rows."""
-        at = np.frombuffer(self.tokens, np.int32)
+        at, words = self.places()
         first = np.flatnonzero(at < 0)
         counted = np.repeat(np.array(self.flags) & 1 == 0, np.diff(np.append(first, len(at))))
         counted[first] = counted[first + 1] = False
-        counts = np.bincount(at[counted], minlength=len(self.place))
-        by = grouped(list(self.place), buckets)
-        order = np.array([self.place[w] for k in sorted(by) for w in by[k]])
-        moved = np.empty(len(order) + 1, np.int32)
-        moved[order], moved[-1] = np.arange(len(order)), -1
-        planes = moved[at].view(np.uint8).reshape(-1, 4).T.tobytes()
-        rows = [(shard, None, None, len(at), shrink(planes), np.array(self.ids, np.int64).tobytes(), np.array(self.flags, np.uint8).tobytes())]
-        for k in sorted(by):
-            rows.append((shard, k, b"\n".join(by[k]), len(by[k]), put(counts[[self.place[w] for w in by[k]]]), None, None))
-        return batch(PACKED, *zip(*rows))
+        counts = np.bincount(at[counted], minlength=len(words))
+        bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+        order = np.array(sorted(range(len(words)), key=words.__getitem__))
+        order = order[np.argsort(bucket[order], kind="stable")]
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        # Words by their counts, so that most numbers are small.
+        code = np.empty(len(order) + 1, np.int32)
+        code[order[np.argsort(-counts[order], kind="stable")]] = np.arange(1, len(order) + 1)
+        code[-1] = 0
+        planes = code[at].view(np.uint8).reshape(-1, 4).T.tobytes()
+        rows = [{"level": TEXT, "shard": shard, "n": len(at), "data": shrink(planes), "ids": np.array(self.ids, np.int64).tobytes(), "flags": np.array(self.flags, np.uint8).tobytes()}]
+        for k in np.unique(bucket).tolist():
+            own = order[cuts[k] : cuts[k + 1]]
+            joined = b"\n".join([words[i] for i in own.tolist()])
+            rows.append({"level": WORDS, "shard": shard, "bucket": k, "n": len(own), "data": put(counts[own]), "size": len(joined), "words": shrink(joined)})
+        return pa.RecordBatch.from_pylist(rows, schema=STORED)
 
 
 def tell(asked: pa.Table, least: int) -> pa.Table:
     """Numbers (-1: not kept) and totals of a bucket's words for each shard that asked, and the bucket's tokens and types."""
     total: defaultdict[bytes, int] = defaultdict(int)
-    for ws, (n,) in zip(asked["words"].to_pylist(), got(asked, "data", 1)):
-        for w, c in zip(ws.split(b"\n"), n.tolist()):
+    shards = asked["shard"].to_pylist()
+    found = [grow(x, size).split(b"\n") for x, size in zip(asked["words"].to_pylist(), asked["size"].to_pylist())]
+    for ws, (n,) in zip(found, got(asked, "data", 1)):
+        for w, c in zip(ws, n.tolist()):
             total[w] += c
     bucket = asked["bucket"][0].as_py()
     number = {w: (bucket << RANK_BITS) + i for i, w in enumerate(sorted(w for w, c in total.items() if c >= least))}
-    rows = [(1, None, bucket, 0, None, sum(total.values()), sum(c > 0 for c in total.values()))]
-    for shard, ws in zip(asked["shard"].to_pylist(), asked["words"].to_pylist()):
-        found = ws.split(b"\n")
-        rows.append((1, shard, bucket, len(found), put(steps(np.array([number.get(w, -1) for w in found])), np.array([total[w] for w in found])), None, None))
-    return tabled(TOLD, rows)
+    rows = [{"level": 1, "shard": -1 - bucket, "bucket": bucket, "n": 0, "tokens": sum(total.values()), "types": sum(c > 0 for c in total.values())}]
+    for shard, ws in zip(shards, found):
+        rows.append({"level": 1, "shard": shard, "bucket": bucket, "n": len(ws), "data": put(steps(np.array([number.get(w, -1) for w in ws]))), "totals": put(np.array([total[w] for w in ws])), "size": len(ws)})
+    return tabled(STORED, rows)
 
 
 @dataclass
@@ -245,11 +291,10 @@ class Level:
         size = len(self.number)
         kept = np.append(self.number, -1)[self.at] >= 0
         ok = kept[:-1] & kept[1:]
-        keys, place = np.unique(self.at[:-1][ok] * size + self.at[1:][ok], return_inverse=True)
-        left, right = keys // size, keys % size
-        mixed = self.number[left].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + self.number[right].astype(np.uint64)
-        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
-        bucket = ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+        keys, place = ranked(self.at[1:][ok] * size + self.at[:-1][ok])
+        right, left = keys // size, keys % size
+        piece = mixed(self.number[left]) % (1 + self.total[right] // HOT).astype(np.uint64)
+        bucket = (mixed(mixed(self.number[right]) + piece) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
         moved = np.empty(len(order), np.int64)
         moved[order] = np.arange(len(order))
@@ -258,54 +303,71 @@ class Level:
         return Level(at, left[order], right[order], bucket[order], np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def levels(packed: pa.Table, told: pa.Table, buckets: int, orders: int, least: int) -> list[Level]:
+def answers(rows: pa.Table, level: int) -> pa.Table:
+    return rows.filter(pc.equal(rows["level"], level)).sort_by("bucket")
+
+
+def levels(rows: pa.Table, buckets: int, orders: int) -> list[Level]:
     """A shard's n-grams up to an order, of which the last has no answers yet if there are none."""
-    planes = np.frombuffer(grow(packed["data"][0].as_py(), 4 * packed["n"][0].as_py()), np.uint8)
-    tokens = planes.reshape(4, -1).T.copy().view(np.int32).ravel().astype(np.int64)
+    text = answers(rows, TEXT)
+    planes = np.frombuffer(grow(text["data"][0].as_py(), 4 * text["n"][0].as_py()), np.uint8)
+    code = planes.reshape(4, -1).T.copy().view(np.int32).ravel()
+    counts = np.concatenate(got(answers(rows, WORDS), "data", 1), axis=1)[0]
     none = np.zeros(0, np.int64)
-    out = [Level(tokens, none, none, none, none, none)]
-    told = told.sort_by("bucket")
+    out = [Level(np.append(-1, np.argsort(-counts, kind="stable"))[code], none, none, none, none, none)]
     for k in range(1, orders + 1):
         if k > 1:
             out.append(out[-1].above(buckets))
-        answers = got(told.filter(pc.and_(pc.equal(told["level"], k), pc.is_valid(told["data"]))), "data", 2)
-        if answers:
-            out[-1].number = np.concatenate([numbers(step, total, least) for step, total in answers])
-            out[-1].total = np.concatenate([total for _, total in answers])
+        told = answers(rows, k)
+        if told.num_rows:
+            out[-1].number = number = np.concatenate([numbers(step) for (step,) in got(told, "data", 1)])
+            total = np.concatenate([x for (x,) in got(told, "totals", 1, "size")])
+            if k > 1:
+                out[-1].total = np.zeros(len(number), np.int64)
+                out[-1].total[number >= 0] = total
+            else:
+                out[-1].total = total
     return out
 
 
-def training(packed: pa.Table, at: np.ndarray) -> np.ndarray:
+def training(text: pa.Table, at: np.ndarray) -> np.ndarray:
     """Whether each position belongs to a training document."""
-    flags = np.frombuffer(packed["flags"][0].as_py(), np.uint8)
+    flags = np.frombuffer(text["flags"][0].as_py(), np.uint8)
     return np.repeat(flags & 1 == 0, np.diff(np.append(np.flatnonzero(at < 0), len(at))))
 
 
-def ask_above(packed: pa.Table, told: pa.Table, buckets: int, order: int, least: int) -> pa.Table:
-    """A shard's n-grams of an order, in rows by bucket: numbers of both parts, count in its training documents, total of the right part."""
-    own = levels(packed, told, buckets, order, least)
-    last, new = own[-2:]
-    shard = packed["shard"][0].as_py()
-    counts = np.bincount(new.at[training(packed, own[0].at) & (new.at >= 0)], minlength=len(new.left))
-    cuts = np.searchsorted(new.bucket, np.arange(buckets + 1))
+def ask_above(stored: pa.Table, buckets: int, order: int, round: int, rounds: int) -> pa.Table:
+    """A shard's n-grams of an order, in rows by bucket, of every so many buckets: numbers of both parts, count in its training documents, total of the right part.
+
+    They are sorted by right part, whose total stands at the first of its n-grams.
+    """
+    own = levels(stored, buckets, order)
+    last, above = own[-2:]
+    shard = stored["shard"][0].as_py()
+    counts = np.bincount(above.at[training(answers(stored, TEXT), own[0].at) & (above.at >= 0)], minlength=len(above.left))
+    cuts = np.searchsorted(above.bucket, np.arange(buckets + 1))
     rows = []
-    for k in np.unique(new.bucket).tolist():
+    for k in np.unique(above.bucket[above.bucket % rounds == round]).tolist():
         own = slice(cuts[k], cuts[k + 1])
-        left, right = new.left[own], new.right[own]
-        rows.append((k, shard, len(left), put(steps(last.number[left]), last.number[right], counts[own], last.total[right])))
+        left, right = above.left[own], above.right[own]
+        new = np.diff(right, prepend=-1) != 0
+        step, bits = close(last.number[left], new)
+        rows.append({"bucket": k, "shard": shard, "n": len(left), "data": put(steps(last.number[right]), step, counts[own], np.where(new, last.total[right], 0)), "bits": bits})
     return tabled(ASKED, rows)
 
 
 def tell_above(asked: pa.Table, least: int, level: int) -> pa.Table:
-    """Numbers and totals of a bucket's n-grams for each shard that asked, and two sums over the followers of each context, by its bucket.
+    """Numbers of a bucket's n-grams for each shard that asked, totals of those that are kept, and two sums over the followers of each context, by its bucket.
 
-    The sums are of the discounted counts of the kept n-grams and of their right parts'; words count without discount, as at the root.
+    The sums are four times those of the discounted counts of the kept n-grams and of their right parts', which are whole numbers; words count without discount, as at the root.
     """
     data = got(asked, "data", 4)
-    _, right, n, below = np.concatenate(data, axis=1)
-    left = np.concatenate([np.cumsum(x[0]) - 1 for x in data])
+    _, _, n, below = np.concatenate(data, axis=1)
+    left = np.concatenate([far(step, new > 0, bits) for (new, step, *_), bits in zip(data, asked["bits"].to_pylist())])
+    right = np.concatenate([np.cumsum(x[0]) - 1 for x in data])
+    below = below[np.maximum.accumulate(np.where(below > 0, np.arange(len(below)), 0))]
     bucket = asked["bucket"][0].as_py()
-    order = np.lexsort((right, left))
+    order = np.lexsort((left, right))
     new = np.append(True, (np.diff(left[order]) != 0) | (np.diff(right[order]) != 0))
     first = np.flatnonzero(new)
     total = np.add.reduceat(n[order], first)
@@ -313,41 +375,57 @@ def tell_above(asked: pa.Table, least: int, level: int) -> pa.Table:
     place = np.empty(len(order), np.int64)
     place[order] = np.cumsum(new) - 1
     number = np.where(kept, (bucket << RANK_BITS) + np.cumsum(kept) - 1, -1)
-    total[~kept] = 0
     rows, i = [], 0
     for shard, size in zip(asked["shard"].to_pylist(), asked["n"].to_pylist()):
         own = place[i : i + size]
-        rows.append((level, shard, bucket, size, put(steps(number[own]), total[own]), None, None))
+        some = own[kept[own]]
+        rows.append({"level": level, "shard": shard, "bucket": bucket, "n": size, "data": put(steps(number[own])), "totals": put(total[some]), "size": len(some)})
         i += size
     context, below = left[order][first][kept], below[order][first][kept]
     if len(context):
+        by = np.argsort(context, kind="stable")
+        context = context[by]
         start = np.flatnonzero(np.append(True, np.diff(context) != 0))
-        sums = [np.add.reduceat(x, start) for x in (discounted(total[kept]), below + 0.5 if level == 2 else discounted(below))]
+        sums = [np.add.reduceat((4 * x[by]).astype(np.int64), start) for x in (discounted(total[kept]), below + 0.5 if level == 2 else discounted(below))]
         context = context[start]
         home, cuts = np.unique(context >> RANK_BITS, return_index=True)
         for k, a, b in zip(home.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(context)]):
-            rows.append((level, None, k, b - a, put(context[a:b], *[x[a:b] for x in sums]), None, None))
-    return tabled(TOLD, rows)
-
-
-def tell_sums(asked: pa.Table, found: pa.Table, level: int, least: int) -> pa.Table:
-    """For each shard that asked a bucket, both sums of its n-grams as contexts; 0 where nothing follows."""
-    data = got(found, "data", 3)
-    context, *sums = np.concatenate(data, axis=1) if data else np.zeros((3, 0), np.int64)
-    context, place = np.unique(context, return_inverse=True)
-    sums = [np.append(np.bincount(place, x.view(np.float64), len(context)), 0.0) for x in sums]
+            rows.append({"level": level, "shard": -1 - k, "bucket": k, "n": b - a, "data": put(steps(context[a:b] - (k << RANK_BITS)), *[x[a:b] for x in sums])})
+    return tabled(STORED, rows)
+
+
+def tell_sums(asked: pa.Table, found: pa.Table, level: int) -> pa.Table:
+    """For each shard that asked a bucket, those of its n-grams that are contexts, by place, and four times both sums of each."""
+    data = got(found, "data", 3) if found.num_rows else []
+    rank, *sums = np.concatenate([[np.cumsum(x[0]) - 1, *x[1:]] for x in data], axis=1) if data else np.zeros((3, 0), np.int64)
+    rank, first = np.unique(rank, return_inverse=True)
+    order = np.argsort(first, kind="stable")
+    start = np.searchsorted(first[order], np.arange(len(rank)))
+    sums = [np.add.reduceat(x[order], start) if len(rank) else x for x in sums]
     rows = []
-    for shard, bucket, (step, total) in zip(asked["shard"].to_pylist(), asked["bucket"].to_pylist(), got(asked, "data", 2)):
-        number = numbers(step, total, least)
-        at = np.searchsorted(context, number)
-        at[np.append(context, -2)[at] != number] = len(context)
-        rows.append((level, shard, bucket, len(number), put(*[x[at] for x in sums])))
-    return tabled(SUMS, rows)
+    if not asked.num_rows:
+        return tabled(STORED, rows)
+    for shard, bucket, size, (step,) in zip(asked["shard"].to_pylist(), asked["bucket"].to_pylist(), asked["n"].to_pylist(), got(asked, "data", 1)):
+        own = numbers(step)
+        own = np.where(own < 0, -1, own - (bucket << RANK_BITS))
+        at = np.searchsorted(rank, own)
+        place = np.flatnonzero(np.append(rank, -2)[at] == own)
+        rows.append({"level": SUMS - level, "shard": shard, "bucket": bucket, "size": size, "n": len(place), "data": put(steps(place), *[x[at[place]] for x in sums])})
+    return tabled(STORED, rows)
+
+
+def context_sums(told: pa.Table, level: int, size: int) -> np.ndarray:
+    """Both sums of each of a shard's n-grams of an order; 0 where nothing follows."""
+    told, out, start = answers(told, SUMS - level), np.zeros((2, size)), 0
+    for n, (step, *sums) in zip(told["size"].to_pylist(), got(told, "data", 3)):
+        out[:, start + np.cumsum(step) - 1] = np.array(sums) / 4
+        start += n
+    return out
 
 
 def backoff(level: Level, below: Level | None, sums: np.ndarray, tokens: int, types: int) -> np.ndarray:
     """Log10 backoff weight of each n-gram as a context; 0 where nothing follows."""
-    kept, lower = sums.view(np.float64)
+    kept, lower = sums
     size = tokens + 0.5 * (types + 1) if below is None else below.total[level.right]
     with np.errstate(divide="ignore", invalid="ignore"):
         weight = np.log10(np.maximum(1 - kept / level.total, 1e-12) / np.maximum(1 - lower / size, 1e-12))
@@ -408,6 +486,11 @@ def traverse(own: list[Level], base: np.ndarray, arcs: list[np.ndarray], backs:
     return out
 
 
+def by_shard(stored: DataFrame):
+    """What is stored for each shard, but for the words themselves; no row moves."""
+    return stored.filter("shard >= 0").select("level", "shard", "bucket", "n", "data", "totals", "size", "ids", "flags").groupBy("shard")
+
+
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, least_count: int = LEAST_COUNT) -> DataFrame:
     """Scores of every row under a model of the training rows, those whose remainder modulo 5 is not 1.
 
@@ -418,51 +501,57 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (remainder(id_col, 5) == 1).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // SHARD_BYTES))
-    stored = settle_by(rows.mapInArrow(lambda b: packs(b, buckets), ddl(PACKED)), "shard", buckets)
-    packed = stored.filter("bucket IS NULL").select("shard", "n", "data", "ids", "flags")
-    asked = stored.filter("bucket IS NOT NULL").select("bucket", "shard", "words", "n", "data")
-    told = [settle(asked.groupBy("bucket").applyInArrow(lambda t: tell(t, least_count), ddl(TOLD)))]
-    totals = told[0].agg(F.sum("tokens"), F.sum("types")).first()
-    tokens, types = totals[0] or 0, totals[1] or 0
-
-    def answers(frame: DataFrame) -> DataFrame:
-        return frame.filter("shard IS NOT NULL").select("level", "shard", "bucket", "n", "data", F.lit(None).cast("binary").alias("sums"))
-
-    def next_order(k: int) -> DataFrame:
-        known = reduce(DataFrame.unionAll, map(answers, told))
-        asked = packed.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(lambda p, t: ask_above(p, t, buckets, k, least_count), ddl(ASKED))
-        return settle(asked.groupBy("bucket").applyInArrow(lambda t: tell_above(t, least_count, k), ddl(TOLD)))
-
-    def context_sums(k: int) -> DataFrame:
-        own = told[k - 1].filter("shard IS NOT NULL").select("shard", "bucket", "n", "data")
-        found = told[k].filter("shard IS NULL").select("bucket", "n", "data")
-        out = own.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(lambda a, f: tell_sums(a, f, k, least_count), ddl(SUMS))
-        return out.select("level", "shard", "bucket", "n", F.lit(None).cast("binary").alias("data"), "sums")
-
-    for k in range(2, order + 1):
-        told.append(next_order(k))
-
-    def score(packed: pa.Table, told: pa.Table) -> pa.Table:
-        own = levels(packed, told, buckets, order, least_count)
+    stored = Dealt(docs.sparkSession, "shard", buckets)
+    try:
+        with fleeting(rows.mapInArrow(lambda b: packs(b, buckets), ddl(STORED))) as packed:
+            asked = packed.filter(F.col("level") == WORDS).select("bucket", "shard", "n", "data", "size", "words")
+            stored.add(asked.groupBy("bucket").applyInArrow(lambda t: tell(t, least_count), ddl(STORED)))
+            stored.add(packed.withColumn("words", F.lit(None).cast("binary")), moved=False)
+        totals = stored.read().filter("level = 1 AND shard < 0").agg(F.sum("tokens"), F.sum("types")).first()
+        tokens, types = totals[0] or 0, totals[1] or 0
+
+        def next_order(k: int, round: int, rounds: int) -> DataFrame:
+            asked = by_shard(stored.read()).applyInArrow(lambda t: ask_above(t, buckets, k, round, rounds), ddl(ASKED))
+            return asked.groupBy("bucket").applyInArrow(lambda t: tell_above(t, least_count, k), ddl(STORED))
+
+        def sums_of(k: int, told: DataFrame) -> DataFrame:
+            own = stored.plain().filter((F.col("level") == k) & (F.col("shard") >= 0)).select("shard", "bucket", "n", "data")
+            found = told.filter((F.col("level") == k + 1) & (F.col("shard") < 0)).select("bucket", "n", "data")
+            return own.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(lambda a, f: tell_sums(a, f, k), ddl(STORED))
+
+        for k in range(2, order):
+            with fleeting(next_order(k, 0, 1)) as told:
+                stored.add(told.filter("shard >= 0"))
+                with fleeting(sums_of(k - 1, told)) as sums:
+                    stored.add(sums)
+        for r in range(ROUNDS if order > 1 else 0):
+            with fleeting(next_order(order, r, ROUNDS)) as told:
+                stored.add(told)
+        last_sums = sums_of(order - 1, stored.plain()) if order > 1 else stored.plain().filter("false")
+        every = stored.read()
+    finally:
+        stored.forget()
+
+    def score(stored: pa.Table, told: pa.Table) -> pa.Table:
+        own = levels(stored, buckets, order)
         at, total = own[0].at, own[0].total
         root = np.log10((total + 0.5) / (tokens + 0.5 * (types + 1)))
         base = np.append(root, 0.0)[at]
-        told, arcs, backs = told.sort_by("bucket"), [], []
+        arcs, backs = [], []
         for k in range(2, order + 1):
             last, new = own[k - 2], own[k - 1]
-            held = told.filter(pc.and_(pc.equal(told["level"], k - 1), pc.is_valid(told["sums"])))
-            back = backoff(last, own[k - 3] if k > 2 else None, np.concatenate(got(held, "sums", 2), axis=1) if held.num_rows else np.zeros((2, 0), np.int64), tokens, types)
+            back = backoff(last, own[k - 3] if k > 2 else None, context_sums(told if k == order else stored, k - 1, len(last.number)), tokens, types)
             with np.errstate(divide="ignore", invalid="ignore"):
                 arc = np.append(np.where(new.total > 0, np.log10(discounted(new.total) / last.total[new.left]), np.nan), np.nan)
             arcs.append(arc[new.at])
             backs.append(np.append(back, 0.0)[last.at])
         p = traverse(own, base, arcs, backs)
         known, out = np.append(total, 0)[at] > 0, []
-        first = np.flatnonzero(at < 0)
-        ids, flags = np.frombuffer(packed["ids"][0].as_py(), np.int64).tolist(), np.frombuffer(packed["flags"][0].as_py(), np.uint8).tolist()
+        first, text = np.flatnonzero(at < 0), answers(stored, TEXT)
+        ids, flags = np.frombuffer(text["ids"][0].as_py(), np.int64).tolist(), np.frombuffer(text["flags"][0].as_py(), np.uint8).tolist()
         for i, flag, a, b in zip(ids, flags, (first + 2).tolist(), np.append(first[1:], len(at)).tolist()):
-            out.append((None if flag & 2 else i, bool(flag & 1), b - a, int(known[a:b].sum()), tokens, float(base[a:b].sum()), float(p[a:b].sum())))
+            row = (None if flag & 2 else i, bool(flag & 1), b - a, int(known[a:b].sum()), tokens, float(base[a:b].sum()), float(p[a:b].sum()))
+            out.append(dict(zip(SCORES.names, row)))
         return tabled(SCORES, out)
 
-    known = reduce(DataFrame.unionAll, [*map(answers, told), *map(context_sums, range(1, order))])
-    return packed.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(score, ddl(SCORES))
+    return by_shard(every).cogroup(last_sums.groupBy("shard")).applyInArrow(score, ddl(SCORES))
